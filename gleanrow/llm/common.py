@@ -1,13 +1,14 @@
-"""What the training-data operators share: the shared folder, tables, ASCII rules."""
+"""What the training-data operators share: table access and ASCII rules."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import new_path, shared_dir, stored
+
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "new_path", "read", "shared_dir", "stored"]
+
 #: Only A-Z are lower-cased in every contract here; lower() would touch more letters.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word is a run of anything but ASCII white space.
@@ -20,24 +21,3 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); one of our own only where none is set."""
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not found:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="gleanrow-"))
-        found = sc.getCheckpointDir()
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/gleanrow/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: lineage ends there and a lost executor loses nothing."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

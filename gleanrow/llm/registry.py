@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, hashtree, hosts, mixing
+from pyspark.sql import functions as F
+
+from . import chat, decontam, hashtree, hosts, iforest, lines, mixing, simhash
 from .common import read
 from .sql import ORACLES
 
@@ -15,9 +17,17 @@ def op1_chat_format(spark, sf_dir):
     return chat.digest(chat.expand(base.unionByName(extra)))
 
 
-def op4_decontaminate(spark, sf_dir):
-    from pyspark.sql import functions as F
+def op2_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op3_line_dedup(spark, sf_dir):
+    found = lines.drop_repeated(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
+
+def op4_decontaminate(spark, sf_dir):
     found = decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
@@ -26,6 +36,11 @@ def op5_url_filter(spark, sf_dir):
     return hosts.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
 
 
+def op8_quality_rules(spark, sf_dir):
+    found = iforest.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", *iforest.COUNTS, "base_failed", "kept")
+
+
 def op9_shard(spark, sf_dir):
     return hashtree.shard_report(read(spark, sf_dir, "documents"))
 
@@ -34,7 +49,7 @@ def op10_mix(spark, sf_dir):
     return mixing.mix_report(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op4_decontaminate, op5_url_filter, op9_shard, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_line_dedup, op4_decontaminate, op5_url_filter, op8_quality_rules, op9_shard, op10_mix)}
 
 
 def queries():

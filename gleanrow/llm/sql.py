@@ -37,6 +37,18 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(c.n_hit, 0) as n_
 from d left join cov c on d.doc_id = c.doc_id left join its i on d.doc_id = i.doc_id
 """
 
+#: The characters of [\\x20\\x09-\\x0D].
+WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP3 = f"""
+with l as (select doc_id, line, i, translate(trim(line, {WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from (select doc_id, unnest(ls) as line, unnest(range(1, len(ls) + 1)) as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))),
+f as (select k, max(doc_id) as most from l where length(k) >= 40 group by k having count(distinct doc_id) >= 5),
+m as (select l.*, f.k is not null and l.doc_id <> f.most as gone from l left join f on l.k = f.k)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from m group by doc_id
+"""
+
 
 def _strength(groups: str) -> str:
     return f"""(select case when k < 2 or bad <= 0 or bad >= n then {hosts.STRONGEST}
@@ -98,4 +110,4 @@ from e join b on e.source is not distinct from b.source and e.seed = b.seed
 
 
 #: DuckDB has no CRC-32: it is left out of this form, so op9 itself is tested against a brute-force version.
-ORACLES = {"op1_chat_format": OP1, "op4_decontaminate": OP4, "op5_url_filter": _op5(), "op10_mix": _op10()}
+ORACLES = {"op1_chat_format": OP1, "op3_line_dedup": OP3, "op4_decontaminate": OP4, "op5_url_filter": _op5(), "op10_mix": _op10()}
