@@ -49,6 +49,14 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(
 from m group by doc_id
 """
 
+OP6 = """
+with p as (select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as d from pages),
+f as (select *, min(page_id) over (partition by d) as first from p)
+select page_id, n as payload_bytes, d as payload_digest, case when n >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+  case when n >= 100 and page_id <> first then first end as refers_to
+from f
+"""
+
 
 def _strength(groups: str) -> str:
     return f"""(select case when k < 2 or bad <= 0 or bad >= n then {hosts.STRONGEST}
@@ -110,4 +118,4 @@ from e join b on e.source is not distinct from b.source and e.seed = b.seed
 
 
 #: DuckDB has no CRC-32: it is left out of this form, so op9 itself is tested against a brute-force version.
-ORACLES = {"op1_chat_format": OP1, "op3_line_dedup": OP3, "op4_decontaminate": OP4, "op5_url_filter": _op5(), "op10_mix": _op10()}
+ORACLES = {"op1_chat_format": OP1, "op3_line_dedup": OP3, "op4_decontaminate": OP4, "op5_url_filter": _op5(), "op6_warc": OP6, "op10_mix": _op10()}
