@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontam, hashtree, hosts, iforest, lines, mixing, simhash, warc
+from . import chat, decontam, hashtree, hosts, iforest, lines, maxent, mixing, simhash, warc
 from .common import read
 from .sql import ORACLES
 
@@ -40,6 +40,10 @@ def op6_warc(spark, sf_dir):
     return warc.round_trip(read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_lm_score(spark, sf_dir):
+    return maxent.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark, sf_dir):
     found = iforest.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return found.select("doc_id", *iforest.COUNTS, "base_failed", "kept")
@@ -53,7 +57,7 @@ def op10_mix(spark, sf_dir):
     return mixing.mix_report(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_line_dedup, op4_decontaminate, op5_url_filter, op6_warc, op8_quality_rules, op9_shard, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_line_dedup, op4_decontaminate, op5_url_filter, op6_warc, op7_lm_score, op8_quality_rules, op9_shard, op10_mix)}
 
 
 def queries():
