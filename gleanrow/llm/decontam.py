@@ -118,7 +118,9 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
     """docs without the contaminated documents; same columns."""
     found = with_hits(docs, benchmark, n, max_set).withColumn("_hit", covered(F.col("hits")))
-    return found.where(~is_contaminated(F.col("_hit"), F.col("n_words"))).select(*docs.columns)
+    # the row number keeps the filter above the projection: pushed down, it would find the words anew for every window
+    found = found.withColumn("_row", F.monotonically_increasing_id())
+    return found.where(~is_contaminated(F.col("_hit"), F.col("n_words")) & (F.col("_row") >= 0)).select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
@@ -127,7 +129,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set
     w = words(F.col("text"))
     inside = lambda i: F.exists("hits", lambda x: (i >= x["start"]) & (i < x["start"] + x["len"]))
     kept = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))), lambda x: ~inside(x["i"]))
-    return found.withColumn("clean_words", F.transform(kept, lambda x: x["w"])).select(*docs.columns, "clean_words")
+    clean = F.when(F.size("hits") == 0, w).otherwise(F.transform(kept, lambda x: x["w"]))
+    return found.withColumn("clean_words", clean).select(*docs.columns, "clean_words")
 
 
 def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
