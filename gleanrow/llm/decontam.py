@@ -44,7 +44,7 @@ def _probe(at, k: int) -> Column:
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
-    """docs with n_words long and hits array<struct<start, len, win>>; a narrow plan, no shuffle."""
+    """docs with _n_words long and _hits array<struct<start, len, win>>; a narrow plan, no shuffle."""
     wins = item_windows(benchmark, n).select("len", "win").distinct()
     some = wins.limit(max_set + 1).collect()
     if len(some) > max_set:
@@ -68,7 +68,7 @@ def _set_hits(docs: DataFrame, wins: list[tuple[int, str]]) -> DataFrame:
         out = out.withColumn(f"_c{k}", near)
         found.append(_only(F.col(f"_c{k}"), own))
     hits = F.concat(*found) if found else F.array().cast(HITS)
-    return out.withColumn("n_words", F.size("_w").cast("long")).withColumn("hits", hits).drop("_w", *(f"_c{k}" for k in by_len))
+    return out.withColumn("_n_words", F.size("_w").cast("long")).withColumn("_hits", hits).drop("_w", *(f"_c{k}" for k in by_len))
 
 
 def _windows(k: int, near=None) -> Column:
@@ -95,8 +95,8 @@ def _joined_hits(docs: DataFrame, wins: DataFrame) -> DataFrame:
     rows = docs.withColumn("_id", F.monotonically_increasing_id()).withColumn("_w", words(F.col("text")))
     at = F.concat(*(_windows(k) for k in lens)) if lens else F.array().cast(HITS)
     hits = rows.select("_id", F.explode(at).alias("hit")).join(wins.select(F.col("win").alias("_win"), F.col("len").alias("_len")), (F.col("hit.win") == F.col("_win")) & (F.col("hit.len") == F.col("_len")))
-    per = hits.groupBy("_id").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
-    return rows.withColumn("n_words", F.size("_w").cast("long")).drop("_w").join(per, "_id", "left").withColumn("hits", F.coalesce("hits", F.array().cast(HITS))).drop("_id")
+    per = hits.groupBy("_id").agg(F.sort_array(F.collect_list("hit")).alias("_hits"))
+    return rows.withColumn("_n_words", F.size("_w").cast("long")).drop("_w").join(per, "_id", "left").withColumn("_hits", F.coalesce("_hits", F.array().cast(HITS))).drop("_id")
 
 
 def covered(hits: Column) -> Column:
@@ -117,25 +117,25 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
     """docs without the contaminated documents; same columns."""
-    found = with_hits(docs, benchmark, n, max_set).withColumn("_hit", covered(F.col("hits")))
+    found = with_hits(docs, benchmark, n, max_set).withColumn("_hit", covered(F.col("_hits")))
     # the row number keeps the filter above the projection: pushed down, it would find the words anew for every window
     found = found.withColumn("_row", F.monotonically_increasing_id())
-    return found.where(~is_contaminated(F.col("_hit"), F.col("n_words")) & (F.col("_row") >= 0)).select(*docs.columns)
+    return found.where(~is_contaminated(F.col("_hit"), F.col("_n_words")) & (F.col("_row") >= 0)).select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
     """docs with clean_words: the document's words without those inside a hit."""
     found = with_hits(docs, benchmark, n, max_set)
     w = words(F.col("text"))
-    inside = lambda i: F.exists("hits", lambda x: (i >= x["start"]) & (i < x["start"] + x["len"]))
+    inside = lambda i: F.exists("_hits", lambda x: (i >= x["start"]) & (i < x["start"] + x["len"]))
     kept = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))), lambda x: ~inside(x["i"]))
-    clean = F.when(F.size("hits") == 0, w).otherwise(F.transform(kept, lambda x: x["w"]))
+    clean = F.when(F.size("_hits") == 0, w).otherwise(F.transform(kept, lambda x: x["w"]))
     return found.withColumn("clean_words", clean).select(*docs.columns, "clean_words")
 
 
 def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
     """Per document: n_words, n_hit, items (sorted as strings), contaminated."""
-    found = with_hits(docs.select("doc_id", "text"), benchmark, n, max_set).select(F.monotonically_increasing_id().alias("_id"), "doc_id", "n_words", covered(F.col("hits")).alias("n_hit"), F.array_distinct(F.transform("hits", lambda x: x["win"])).alias("wins"))
+    found = with_hits(docs.select("doc_id", "text"), benchmark, n, max_set).select(F.monotonically_increasing_id().alias("_id"), "doc_id", F.col("_n_words").alias("n_words"), covered(F.col("_hits")).alias("n_hit"), F.array_distinct(F.transform("_hits", lambda x: x["win"])).alias("wins"))
     owners = item_windows(benchmark, n).groupBy("win").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
     rows = found.select("_id", "doc_id", "n_words", "n_hit", F.explode_outer("wins").alias("win")).join(owners, "win", "left")
     per = rows.groupBy("_id").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.first("n_hit").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("items"))

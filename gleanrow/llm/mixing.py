@@ -97,7 +97,7 @@ def mix_report(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_rate:
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_rate: int = MAX_RATE) -> DataFrame:
     """The mixed documents, repeats as rows, with docs' columns."""
-    p = stored(plan(sized(docs), weights, share, max_rate), "mix").select(F.col("source").alias("_s"), "rate", "seed")
+    p = stored(plan(sized(docs), weights, share, max_rate), "mix").select(F.col("source").alias("_s"), F.col("rate").alias("_rate"), F.col("seed").alias("_seed"))
     out = docs.join(p, F.col("source").eqNullSafe(F.col("_s")), "left")
-    n = copies(F.col("doc_id"), F.col("rate"), F.col("seed"))
+    n = copies(F.col("doc_id"), F.col("_rate"), F.col("_seed"))
     return out.withColumn("_copy", F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")))).select(*docs.columns)
