@@ -54,8 +54,8 @@ OWN_BUCKETS = 96
 BUCKETS = OWN_BUCKETS + CLASSES + 1
 START = BUCKETS - 1
 PAIRS, WORD_WEIGHTS = 1 << 12, 1 << 17
-#: Times that each block is updated, and the counts added to both terms of a gradient.
-ROUNDS, PRIOR = 3, 3.0
+#: Times that each block is updated, and the counts added to both terms of a block's gradient.
+ROUNDS, PRIORS = 3, {"last": 3.0, "skip": 6.0, "pair": 12.0, "word": 6.0}
 EVENT_PARTITIONS = 12
 BLOCKS = ("last", "skip", "pair")
 #: Words whose counts travel with the model, and the longest such word in bytes.
@@ -229,9 +229,13 @@ def _events(shared):
 
 def _gradient(shared, block: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums over this partition's events: observed and expected counts of the block's features."""
+        """Sums over this partition's events: observed and expected counts of the block's features.
+
+        Only rows of features that occur are returned, so all partitions together return
+        no more than the histories that there can be, however many partitions there are.
+        """
         w: Weights = shared.value
-        sums = {block: np.zeros((2, *getattr(w, block).shape)), "word": np.zeros((2, WORD_WEIGHTS))}
+        sums = {block: np.zeros((2, *getattr(w, block).shape)), "word": np.zeros((2, WORD_WEIGHTS, 1))}
         for batch in batches:
             kind, key, n = (batch.column(i).to_numpy() for i in range(3))
             for k, add in ((0, _class_sums), (1, _word_sums)):
@@ -239,8 +243,9 @@ def _gradient(shared, block: str):
                 if own.any():
                     add(w, key[own], n[own].astype(float), sums, block)
         for name, x in sums.items():
-            if x.any():
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([x.astype(np.float32).tobytes()], pa.binary())], ["name", "sums"])
+            rows = np.flatnonzero(x.any(axis=(0, 2)))
+            if len(rows):
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([rows.astype(np.int32).tobytes()], pa.binary()), pa.array([x[:, rows].astype(np.float32).tobytes()], pa.binary())], ["name", "rows", "sums"])
 
     return run
 
@@ -263,7 +268,28 @@ def _word_sums(w: Weights, key: np.ndarray, n: np.ndarray, sums: dict, block: st
     want = np.exp(w.word_logits(groups)).reshape(seen.shape) * seen.sum(axis=2, keepdims=True)
     index = word_hash(groups[:, None], np.arange(FREQUENT)[None, :]).ravel()
     for total, x in zip(sums["word"], (seen, want), strict=True):
-        total += np.bincount(index, x.ravel(), WORD_WEIGHTS)
+        total[:, 0] += np.bincount(index, x.ravel(), WORD_WEIGHTS)
+
+
+def top_words(counts: DataFrame, most: int = BROADCAST_WORDS) -> tuple[list[bytes], np.ndarray]:
+    """(words, counts) by falling count: all words over a count that at most ``most`` words reach.
+
+    The count comes from a histogram of fixed size, so no task or driver sees more than ``most`` words.
+    """
+    short = counts.where((F.length("word") > 0) & (F.length("word") <= LONGEST))
+    step = F.when(F.col("c") < 1024, F.col("c")).otherwise(1024 + F.floor((F.log2("c") - 10) * 64)).cast("long")
+    histogram = sorted(((r["step"], r["n"]) for r in short.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, taken = None, 0
+    for s, n in histogram:
+        if taken + n > most:
+            break
+        least, taken = s, taken + n
+    if least is None:
+        return [], np.zeros(0, np.int64)
+    top = short.where(step >= least).select("word", "c").toArrow()
+    words, n = top.column(0).to_pylist(), top.column(1).to_numpy()
+    order = sorted(range(len(words)), key=lambda i: (-n[i], words[i]))
+    return [words[i] for i in order], n[order]
 
 
 def train(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
@@ -272,9 +298,8 @@ def train(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     sc = spark.sparkContext
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     end = counts.where(F.length("word") == 0).select("c").first()
-    # a bounded number of words of bounded length
-    top = counts.where((F.length("word") > 0) & (F.length("word") <= LONGEST)).orderBy(F.desc("c"), "word").limit(BROADCAST_WORDS).collect()
-    m = Model(n=total["n"], v=total["v"], end_count=end["c"] if end else 0, words=[bytes(r["word"]) for r in top], counts=np.array([r["c"] for r in top], np.int64))
+    words, top = top_words(counts)
+    m = Model(n=total["n"], v=total["v"], end_count=end["c"] if end else 0, words=words, counts=top)
     m.rare_total, m.rare_types = _rare_sums(counts, sc.broadcast(set(m.words[:FREQUENT])))
     shared = sc.broadcast(Model(words=m.words))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -320,13 +345,13 @@ def _rare_sums(counts: DataFrame, frequent) -> tuple[np.ndarray, np.ndarray]:
 def _step(w: Weights, events: DataFrame, block: str) -> None:
     """One update of a block and of the word features: the partitions' sums are of fixed size."""
     shared = events.sparkSession.sparkContext.broadcast(w)
-    sums: dict[str, np.ndarray] = {}
-    for r in events.select("kind", "key", "n").mapInArrow(_gradient(shared, block), "name string, sums binary").collect():
-        sums[r["name"]] = sums.get(r["name"], 0) + np.frombuffer(bytes(r["sums"]), np.float32).astype(float)
-    for name, x in sums.items():
+    sums = {name: np.zeros((2, *getattr(w, name).shape)) for name in (block, "word")}
+    for r in events.select("kind", "key", "n").mapInArrow(_gradient(shared, block), "name string, rows binary, sums binary").collect():
+        total, rows = sums[r["name"]], np.frombuffer(bytes(r["rows"]), np.int32)
+        total[:, rows] += np.frombuffer(bytes(r["sums"]), np.float32).reshape(2, len(rows), *total.shape[2:])
+    for name, (seen, want) in sums.items():
         weights = getattr(w, name)
-        seen, want = x.reshape(2, *weights.shape)
-        weights += np.log((seen + PRIOR) / (want + PRIOR)).astype(np.float32)
+        weights += np.log((seen + PRIORS[name]) / (want + PRIORS[name])).astype(np.float32)
     shared.unpersist()
 
 
