@@ -8,11 +8,11 @@ classes of ``CLASS_WORDS`` by rank; every other word, known or not, is in a rare
 its letters decide, and the end is a class of its own. Class logits are sums of hashed
 features of the history: bias, last word (n-gram), the word before it (skip), and both
 together. Inside a frequent class logits are a bias and a hashed feature of the word and the
-last word's class. Inside a rare class a word has its smoothed share of that class's counts;
+last word. Inside a rare class a word has its smoothed share of that class's counts;
 each rare class keeps one share for unknown words. So probabilities sum to one.
 
 Training. All training tokens are counted, once for the vocabulary, once for
-(skip, last, class) and (last class, word) events over hashed histories. Events are a table;
+(skip, last, class) and (last, word) events over hashed histories. Events are a table;
 each round sends the weights to its partitions, which return both terms of the likelihood's
 gradient (observed and expected counts) for one block of features, of which every history
 has exactly one. The block's update is the log of their ratio, smoothed: the scaled
@@ -49,9 +49,9 @@ FOLDS, HELD_OUT = 7, 2
 FREQUENT, CLASS_WORDS, RARE = 2048, 32, 32
 CLASSES = FREQUENT // CLASS_WORDS + RARE + 1
 END_CLASS = CLASSES - 1
-#: Hashed histories: the first words have a bucket each, the others share one per class.
+#: Hashed histories: the first words have a bucket each, the others share those of the rare classes.
 OWN_BUCKETS = 96
-BUCKETS = OWN_BUCKETS + CLASSES + 1
+BUCKETS = OWN_BUCKETS + RARE + 1
 START = BUCKETS - 1
 PAIRS, WORD_WEIGHTS = 1 << 12, 1 << 17
 #: Times that each block is updated, and the counts added to both terms of a block's gradient.
@@ -134,12 +134,12 @@ class Weights:
     def class_logits(self, skip: np.ndarray, last: np.ndarray) -> np.ndarray:
         return self.bias + self.last[last] + self.skip[skip] + self.pair[pair_hash(skip, last)]
 
-    def word_logits(self, last_class: np.ndarray) -> np.ndarray:
-        """One row per last class, one column per frequent word, normalised within each class."""
+    def word_logits(self, last: np.ndarray) -> np.ndarray:
+        """One row per last bucket, one column per frequent word, normalised within each class."""
         w = np.arange(FREQUENT)
-        x = self.word_bias + self.word[word_hash(last_class[:, None], w[None, :])]
-        x = np.where(w < self.frequent, x, -np.inf).reshape(len(last_class), -1, CLASS_WORDS)
-        return _log_softmax(x).reshape(len(last_class), FREQUENT)
+        x = self.word_bias + self.word[word_hash(last[:, None], w[None, :])]
+        x = np.where(w < self.frequent, x, -np.inf).reshape(len(last), -1, CLASS_WORDS)
+        return _log_softmax(x).reshape(len(last), FREQUENT)
 
 
 @dataclass
@@ -158,15 +158,15 @@ class Model:
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     top = x.max(axis=-1, keepdims=True)
-    top = np.where(np.isfinite(top), top, 0)
-    with np.errstate(divide="ignore"):
-        return x - top - np.log(np.exp(x - top).sum(axis=-1, keepdims=True))
+    top = np.where(np.isfinite(top), top, 0)  # a class without words stays at -inf
+    total = np.exp(x - top).sum(axis=-1, keepdims=True)
+    return x - top - np.log(np.where(total > 0, total, 1))
 
 
 def classes_and_buckets(rank: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class and history bucket of tokens; rank -1: the end; rank >= FREQUENT: a word of class rare."""
+    """Class and history bucket of tokens; rank -1: the end; rank >= FREQUENT: a word of class rare. rare is by letters for every word."""
     cls = np.where(rank < 0, END_CLASS, np.where(rank < FREQUENT, rank // CLASS_WORDS, FREQUENT // CLASS_WORDS + rare))
-    bucket = np.where((rank >= 0) & (rank < OWN_BUCKETS), rank, OWN_BUCKETS + cls)
+    bucket = np.where((rank >= 0) & (rank < OWN_BUCKETS), rank, OWN_BUCKETS + rare)
     return cls, bucket
 
 
@@ -189,12 +189,11 @@ class Reader:
         cls, bucket = classes_and_buckets(rank, rare)
         # histories start anew with each text
         last, skip = np.append(START, bucket[:-1]), np.append([START, START], bucket[:-2])[: len(bucket)]
-        last_class = np.append(END_CLASS, cls[:-1])
         starts = stops - sizes + 1
-        last[starts], last_class[starts], skip[starts] = START, END_CLASS, START
+        last[starts], skip[starts] = START, START
         second = starts[sizes > 1] + 1
         skip[second] = START
-        return rank, rare, cls, last, skip, last_class, starts
+        return rank, rare, cls, last, skip, starts
 
 
 def _parts(batch: pa.RecordBatch, rows: int = 400) -> Iterator[pa.RecordBatch]:
@@ -208,16 +207,16 @@ def _events(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value.words)
         of_class = np.zeros(BUCKETS * BUCKETS * CLASSES, np.int32)
-        of_word = np.zeros(CLASSES * FREQUENT, np.int64)
+        of_word = np.zeros(BUCKETS * FREQUENT, np.int64)
         for batch in batches:
             for part in _parts(batch):
                 texts = [tokens(t.as_py()) for d, t in zip(part.column(0).to_pylist(), part.column(1), strict=True) if not held_out(d)]
                 if texts:
-                    rank, _, cls, last, skip, last_class, _ = reader.read(texts)
+                    rank, _, cls, last, skip, _ = reader.read(texts)
                     key, n = np.unique((skip * BUCKETS + last) * CLASSES + cls, return_counts=True)
                     of_class[key] += n.astype(np.int32)
                     own = (rank >= 0) & (rank < FREQUENT)
-                    of_word += np.bincount(last_class[own] * FREQUENT + rank[own], minlength=len(of_word))
+                    of_word += np.bincount(last[own] * FREQUENT + rank[own], minlength=len(of_word))
         for kind, counts in ((0, of_class), (1, of_word)):
             at = np.flatnonzero(counts)
             for i in range(0, len(at), 100_000):
@@ -366,7 +365,7 @@ def _score(shared):
         reader = Reader(m.words)
         w = m.weights
         log_z = _normalisers(w)
-        word_p = w.word_logits(np.arange(CLASSES))
+        word_p = w.word_logits(np.arange(BUCKETS))
         base_of = np.log10(np.concatenate([m.counts + 1.0, [1.0, m.end_count + 1.0]])) - math.log10(m.n + m.v + 1)
         rare_of = np.log(m.rare_total + m.rare_types + 1)
         uid = TaskContext.get().partitionId() << 33
@@ -375,11 +374,11 @@ def _score(shared):
             for part in _parts(batch):
                 ids = part.column(0).to_pylist()
                 texts = [tokens(t.as_py()) for t in part.column(1)]
-                rank, rare, cls, last, skip, last_class, starts = reader.read(texts)
+                rank, rare, cls, last, skip, starts = reader.read(texts)
                 p = w.bias[cls] + w.last[last, cls] + w.skip[skip, cls] + w.pair[pair_hash(skip, last), cls] - log_z[skip, last]
                 p = p.astype(float)
                 frequent = (rank >= 0) & (rank < FREQUENT) & (rank < known)
-                p[frequent] += word_p[last_class[frequent], rank[frequent]]
+                p[frequent] += word_p[last[frequent], rank[frequent]]
                 middle = (rank >= FREQUENT) & (rank < known)
                 p[middle] += np.log(m.counts[rank[middle]] + 1.0) - rare_of[rare[middle]]
                 beyond = rank == reader.beyond
