@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.storage import new_path, shared_dir, stored
 
-__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "new_path", "read", "shared_dir", "stored"]
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "keep_first", "new_path", "read", "shared_dir", "stored", "text_key"]
 
 #: Only A-Z are lower-cased in every contract here; lower() would touch more letters.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,3 +21,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
+
+
+def text_key() -> Column:
+    """Tells texts apart where ids do not: they may be null or repeated."""
+    return F.xxhash64(F.col("text").cast("string"), F.length("text"))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs with one row of each root of found (doc_id, txt, root; txt is text_key()), a table.
+
+    It is that of the least doc_id (null ids last), then of the least text_key().
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id").alias("_id"), F.col("txt").alias("_txt")))
+    kept = found.groupBy("root").agg(first.alias("_k")).select("_k._id", "_k._txt")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_key() == F.col("_txt"))
+    out = docs.join(kept, same, "left_semi")
+    if found.groupBy("doc_id", "txt").count().where("count > 1").isEmpty():
+        return out
+    return out.withColumn("_txt", text_key()).dropDuplicates(["doc_id", "_txt"]).drop("_txt")

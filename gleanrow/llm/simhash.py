@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import stored
+from .common import keep_first, stored, text_key
 
 SHINGLE, SEED, BUDGET = 3, 42, 3
 #: Rows of a bucket that one task may hold, and rows that are joined at a time.
@@ -60,15 +60,15 @@ def _fingerprints(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), k) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints)], ["doc_id", "txt", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id, fp long (the 64 bits, signed) of every document."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(_fingerprints(k), "doc_id long, fp long")
+    """doc_id, txt (the text's text_key()), fp long (the 64 bits, signed) of every document."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key().alias("txt"))
+    return rows.mapInArrow(_fingerprints(k), "doc_id long, txt long, fp long")
 
 
 def _turned(bits: Column, fixed: int, by: int) -> Column:
@@ -239,13 +239,13 @@ def link_forest(prints: DataFrame, budget: int = BUDGET, bucket_rows: int = BUCK
 
 
 def components(prints: DataFrame, budget: int = BUDGET, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """From (doc_id, fp) rows, which are read several times: fp, component_id of every distinct fp."""
+    """From (doc_id, fp) rows, which are read several times: fp, root (the same in a component only), component_id of every distinct fp."""
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     linked = connected_components(link_forest(distinct.select("fp"), budget, bucket_rows))
     linked = linked.select(F.col("node").alias("fp"), F.col("component").alias("root"))
     rooted = distinct.join(linked, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(ids, "root").select("fp", "component_id")
+    return rooted.join(ids, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -255,12 +255,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, buc
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
-    """docs with one document of each component: that of the least doc_id, once."""
-    found = near_duplicates(docs, k, budget)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    out = docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    again = found.groupBy("doc_id").count().where("count > 1").isEmpty()
-    return out if again else out.dropDuplicates(["doc_id"])
+    """docs with one row of each component: that of the least doc_id, once."""
+    prints = stored(fingerprints(docs, k), "fingerprints")
+    return keep_first(docs, stored(prints.join(components(prints, budget), "fp").select("doc_id", "txt", "root"), "found"))
 
 
 def fingerprint_hex(fp: Column) -> Column:

@@ -1,0 +1,15 @@
+import random
+
+from gleanrow.llm import simhash
+
+from .helpers import documents, prose
+
+
+def test_null_and_shared_ids_lose_no_document_of_their_own(spark):
+    """Unrelated texts under null ids or one id stay; copies go."""
+    rng = random.Random(7)
+    base = [prose(rng, 200, 3000) for _ in range(6)]
+    texts = [*base, base[0], base[3], base[4], base[4]]
+    ids = [None, None, None, 5, 5, 6, None, None, 5, 9]
+    out = [(r["doc_id"], r["text"]) for r in simhash.keep_one(documents(spark, texts, ids)).collect()]
+    assert sorted(out, key=str) == sorted(zip(ids[:6], base, strict=True), key=str)
