@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanrow.llm import decontam, hashtree, iforest, mixing, simhash
+from gleanrow.llm import decontam, hashtree, iforest, mixing, resemblance
 from gleanrow.llm.common import new_path, read
 
 SHARDS = 16
@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: that of the least doc_id."""
-    return simhash.keep_one(docs)
+    """One document of each component of five-word similarity 0.8 or more stays: that of the least doc_id."""
+    return resemblance.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,272 @@
+"""Near-duplicates by exact Jaccard similarity of five-word shingles, for the corpus pipeline.
+
+Two texts are linked when ``5 * common >= 4 * all`` of their distinct shingles (similarity
+0.8); components of links are duplicates of one another. Fingerprints of 64 bits cannot find
+these pairs: at 0.8 about ten bits differ, and no block of bits is then sure to be equal. So
+candidates come from a prefix filter, which misses none: in any one order of all shingles, two
+linked texts share one of the first ``n - ceil(0.8 n) + 1`` of each. Candidates are verified on
+all shingles.
+
+The order only decides the cost. Shingles that are frequent in a sample of texts come last, so
+that a passage that many texts quote is no candidate key of theirs. Equal shingle sets are one
+node, so copies cost nothing. Where a key is shared by many nodes, its nodes are first compared
+with a few of them, over ``STAR_ROUNDS`` rounds; in the end all pairs of nodes that are not yet
+connected are compared, so a group of near copies costs its links, not its pairs, and nothing is
+capped.
+
+Edge cases: texts without words are equal; a text of fewer than five words is one shingle;
+null and repeated ids are ordinary rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.components import connected_components
+from .common import keep_first, stored, text_key
+
+SHINGLE, SEED = 5, 42
+#: Texts that the order is taken from, and the least of them that hold a frequent shingle.
+SAMPLE, OFTEN, MOST_OFTEN = 16_000, 4, 1 << 20
+#: Nodes of a key that are compared with each other at once, rounds of stars, and nodes that a star has in its middle.
+FEW, STAR_ROUNDS, MIDDLE = 32, 3, 3
+#: Shingles that two prefixes must share: more of them make longer prefixes and fewer candidates.
+COMMON = 8
+#: Nodes whose texts are chosen by a broadcast join.
+BROADCAST_NODES = 2_000_000
+
+
+def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
+    """The distinct shingles' XXH64 values, signed and sorted."""
+    words = (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space only
+    if not words:
+        return np.zeros(0, np.int64)
+    line = b" ".join(words)
+    if len(words) <= k:
+        return np.array([xxhash.xxh64_intdigest(line, SEED)], np.uint64).view(np.int64)
+    gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    starts = [0, *(gaps[: len(words) - k] + 1).tolist()]
+    ends = [*gaps[k - 1 :].tolist(), len(line)]
+    h = xxhash.xxh64_intdigest
+    return np.unique(np.array([h(line[a:b], SEED) for a, b in zip(starts, ends, strict=True)], np.uint64).view(np.int64))
+
+
+def node_of(some: np.ndarray) -> int:
+    """The id of a shingle set."""
+    return int(np.array(xxhash.xxh3_64_intdigest(some.tobytes(), SEED), np.uint64).view(np.int64))
+
+
+def prefix(some: np.ndarray, often: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The shingles of which linked texts share COMMON: the rarest, by the ranks of the frequent ones (sorted)."""
+    n = len(some)
+    most = min(n, n - (4 * n + 4) // 5 + COMMON)
+    if not len(often):
+        return some[:most]
+    at = np.minimum(np.searchsorted(often, some), len(often) - 1)
+    order = np.lexsort((some, np.where(often[at] == some, rank[at], -1)))
+    return some[order[:most]]
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    return (b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _parts(batches):
+        sets = [shingles(t.as_py()) for t in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), _lists(sets)], ["node", "shingles"])
+
+
+def _nodes(order):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            sets = [shingles(t.as_py()) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array([node_of(s) for s in sets], pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()), _lists([prefix(s, *order.value) for s in sets]),
+            ], ["doc_id", "txt", "node", "size", "keys"])
+
+    return run
+
+
+def frequent_shingles(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles and their counts over distinct sampled texts, those found in ``OFTEN`` of them."""
+    every = max(1, docs.count() // sample)
+    some = docs.where(F.pmod(text_key(), F.lit(every)) == 0).select(F.col("text").cast("string"))
+    pairs = some.mapInArrow(_sets, "node long, shingles array<long>").select("node", F.explode("shingles").alias("key")).distinct()
+    often = pairs.groupBy("key").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "key").limit(MOST_OFTEN).toArrow()
+    keys, n = (often.column(i).to_numpy() for i in range(2))
+    order = np.argsort(keys)
+    return keys[order], n[order]
+
+
+def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def _whole_keys(work, rows_at_a_time: int = 1 << 17):
+    """work(columns, bounds) over rows that come sorted by their first column, whole keys at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        rows = 0
+        for batch in _then_none(batches):
+            if batch is not None and batch.num_rows:
+                held.append(np.stack([c.to_numpy() for c in batch.columns]))
+                rows += batch.num_rows
+            if not rows or (batch is not None and rows < rows_at_a_time):
+                continue
+            x = np.concatenate(held, axis=1)
+            cut = np.flatnonzero(x[0] != x[0, -1])
+            at = x.shape[1] if batch is None else (cut[-1] + 1 if len(cut) else 0)
+            if at:
+                y = x[:, :at]
+                bounds = np.concatenate([[0], np.flatnonzero(y[0, 1:] != y[0, :-1]) + 1, [at]])
+                yield from work(y, bounds)
+            held, rows = [x[:, at:]], x.shape[1] - at
+
+    return run
+
+
+def _shared(x: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of keys that more than one node has."""
+    count = np.diff(bounds)
+    many = np.repeat(count, count) > 1
+    if many.any():
+        y = x[:, many]
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (*y, np.repeat(count, count)[many])], ["key", "node", "size", "n"])
+
+
+def _fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes that similarity 0.8 allows."""
+    return 5 * np.minimum(a, b) >= 4 * np.maximum(a, b)
+
+
+def _pairs(a: list[np.ndarray], b: list[np.ndarray], need: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs, the keys that they share here and those that they need."""
+    if a:
+        x, y, k = np.concatenate(a), np.concatenate(b), np.concatenate(need)
+        x, y = np.minimum(x, y), np.maximum(x, y)
+        order = np.lexsort((y, x))
+        x, y, k = x[order], y[order], k[order]
+        first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
+        times = np.diff(np.append(first, len(x)))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (x[first], y[first], times, k[first])], ["a", "b", "times", "need"])
+
+
+def _need(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Keys that linked texts of these sizes share at least."""
+    return np.minimum(COMMON, (4 * np.minimum(a, b) + 4) // 5)
+
+
+def _stars(rnd: int):
+    def work(x: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Of keys with many nodes: the nodes outside the largest component with a few of those in it."""
+        _, node, size, root = x
+        a, b, need = [], [], []
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            if hi - lo <= FEW:
+                continue
+            n, s = node[lo:hi], size[lo:hi]
+            roots, of, count = np.unique(root[lo:hi], return_inverse=True, return_counts=True)
+            if len(roots) == 1:
+                continue
+            inside = of == count.argmax() if count.max() > 1 else np.ones(len(n), bool)
+            mixed = (n ^ (n >> 29)) * (2 * rnd + 1)  # another order of the nodes each round, the same in all keys
+            middle = np.flatnonzero(inside)[np.argsort(mixed[inside], kind="stable")[:MIDDLE]]
+            others = np.arange(len(n)) if count.max() == 1 else np.flatnonzero(~inside)
+            for m in middle:
+                to = others[(others != m) & _fit(s[others], s[m])]
+                a.append(np.full(len(to), n[m]))
+                b.append(n[to])
+                need.append(_need(s[to], s[m]))
+        yield from _pairs(a, b, need)
+
+    return work
+
+
+def _rest(x: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """All pairs of nodes with a key in common that are not connected."""
+    _, node, size, root = x
+    a, b, need, held = [], [], [], 0
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        n, s, r = node[lo:hi], size[lo:hi], root[lo:hi]
+        if (r == r[0]).all():
+            continue
+        for i in range(len(n) - 1):
+            to = np.flatnonzero((r[i + 1 :] != r[i]) & _fit(s[i + 1 :], s[i])) + i + 1
+            if len(to):
+                a.append(np.full(len(to), n[i]))
+                b.append(n[to])
+                need.append(_need(s[to], s[i]))
+                held += len(to)
+            if held >= 1 << 20:
+                yield from _pairs(a, b, need)
+                a, b, need, held = [], [], [], 0
+    yield from _pairs(a, b, need)
+
+
+def _by_key(rows: DataFrame, work, schema: str) -> DataFrame:
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_whole_keys(work), schema)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of similarity 0.8 among the pairs that share enough keys; texts: node, txt of every node."""
+    pairs = pairs.groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("need").alias("need"))
+    pairs = stored(pairs.where("times >= need").select("a", "b"), "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = stored(texts.join(nodes, "node", "left_semi").select("txt"), "wanted")
+    rows = docs.select(text_key().alias("txt"), F.col("text").cast("string"))
+    rows = rows.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted, "txt", "left_semi").select("text")
+    sets = stored(rows.mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    both = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
+    return both.where(F.col("common") * 9 >= (F.size("x") + F.size("y")) * 4).select("a", "b")
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """doc_id, txt (text_key() of the text), root of every row: rows of one root are near-duplicates."""
+    spark = docs.sparkSession
+    order = spark.sparkContext.broadcast(frequent_shingles(docs))
+    rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("txt"), F.col("text").cast("string"))
+    rows = stored(rows.mapInArrow(_nodes(order), "doc_id long, txt long, node long, size long, keys array<long>"), "nodes")
+    distinct = rows.select("node", "size", "keys").dropDuplicates(["node"])
+    index = distinct.select(F.explode("keys").alias("key"), "node", "size")
+    index = stored(_by_key(index, _shared, "key long, node long, size long, n long"), "keys")
+    texts = rows.groupBy("node").agg(F.min("txt").alias("txt"))
+    counted = "a long, b long, times long, need long"
+
+    def rooted(of: DataFrame) -> DataFrame:
+        if links is None:
+            return of.select("key", "node", "size", F.col("node").alias("root"))
+        return of.join(connected, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("root"))
+
+    links = connected = None
+    large = index.where(F.col("n") > FEW)
+    for rnd in range(0 if large.isEmpty() else STAR_ROUNDS):
+        more = stored(_verified(_by_key(rooted(large), _stars(rnd), counted), docs, texts), "links")
+        if more.isEmpty():
+            break
+        links = more if links is None else links.unionByName(more)
+        connected = stored(connected_components(links), "connected")
+    more = stored(_verified(_by_key(rooted(index), _rest, counted), docs, texts), "links")
+    connected = connected_components(more if links is None else links.unionByName(more))
+    return rows.join(connected, "node", "left").select("doc_id", "txt", F.coalesce("component", "node").alias("root"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """docs with one row of each component: that of the least doc_id (null ids last), then of the least text_key()."""
+    return keep_first(docs, stored(components(docs), "found"))

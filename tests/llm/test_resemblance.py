@@ -1,0 +1,68 @@
+import random
+
+import corpus_pipeline
+from gleanrow.llm import resemblance
+
+from .helpers import ODD, documents, prose
+
+
+def plain_set(text):
+    w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def plain_roots(texts):
+    sets, root = [plain_set(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if root[i] != root[j] and (a == b or 5 * len(a & b) >= 4 * len(a | b)):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    return root
+
+
+def edited(rng, text, n):
+    w = text.split()
+    for _ in range(n):
+        w[rng.randrange(len(w))] = f"edit{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+def near_texts(rng):
+    base = [prose(rng, rng.randrange(60, 300), 3000) for _ in range(25)]
+    near = [edited(rng, t, k) for t in base for k in (1, 3, 6)]
+    crowd = prose(rng, 200, 3000)
+    passage = prose(rng, 80, 3000)
+    quoting = [prose(rng, rng.randrange(15, 120), 3000) + " " + passage for _ in range(60)]
+    return base + near + [edited(rng, crowd, rng.randrange(0, 5)) for _ in range(60)] + quoting + ODD
+
+
+def test_edited_copies_against_all_pairs(spark):
+    """Every pair of similarity 0.8 is found and no other, in a crowd of near copies and beside a common passage too."""
+    texts = near_texts(random.Random(5))
+    want = {i for i, r in enumerate(plain_roots(texts)) if r == i}
+    out = corpus_pipeline.near_dedup(spark, documents(spark, texts).repartition(3), "")
+    assert {r["doc_id"] for r in out.collect()} == want
+    assert out.count() == len(want) and out.columns == documents(spark, []).columns
+
+
+def test_the_order_of_shingles_does_not_matter(spark, monkeypatch):
+    texts = near_texts(random.Random(6))
+    want = {i for i, r in enumerate(plain_roots(texts)) if r == i}
+    for name, value in (("OFTEN", 10**9), ("FEW", 2), ("STAR_ROUNDS", 0)):
+        monkeypatch.setattr(resemblance, name, value)
+        assert {r["doc_id"] for r in resemblance.keep_one(documents(spark, texts)).collect()} == want
+
+
+def test_empty_table(spark):
+    assert resemblance.keep_one(documents(spark, [])).count() == 0
+
+
+def test_null_and_shared_ids_lose_no_document_of_their_own(spark):
+    rng = random.Random(7)
+    base = [prose(rng, 200, 3000) for _ in range(6)]
+    texts = [*base, base[0], edited(rng, base[3], 2), base[4], base[4]]
+    ids = [None, None, None, 5, 5, 6, None, None, 5, 9]
+    out = [(r["doc_id"], r["text"]) for r in resemblance.keep_one(documents(spark, texts, ids)).collect()]
+    assert sorted(out, key=str) == sorted(zip(ids[:6], base, strict=True), key=str)
