@@ -8,7 +8,7 @@ rate exceeds ``max_bad``.
 
 Edge cases: null urls and urls without ``://`` have empty host and path; labels with a null
 outcome or without a page are ignored; a host without labels takes its domain's posterior,
-then its suffix's, then the overall rate; no labels at all: allow. Repeated rows are each
+then its suffix's; a suffix without labels: allow. Repeated rows are each
 judged and each counted.
 """
 
