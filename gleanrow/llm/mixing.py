@@ -6,7 +6,8 @@ take goes to the others by weight until none is above its cap. A document is emi
 floor(rate) times plus one Bernoulli copy with the fraction as its probability, drawn from
 a hash of its id. Of ``SEEDS`` draws per document one is used, the same for a whole source:
 the one whose words come nearest to the source's target. So reruns agree, and short
-sources meet their targets too.
+sources meet their targets too. The choice looks at the outcome, so a document's own probability
+is the fraction only approximately, the more nearly the more documents its source has.
 
 Edge cases: null text has size 0; the null source is one source, after all others; a
 source without words has target 0 and rate 0; rows with the same id are drawn alike; an
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stored
+from .common import WORD, all_of, own_prefix, stored
 
 #: Weights in the order of the sources' names, repeating; share of all sizes; cap on a source's rate.
 WEIGHTS, SHARE, MAX_RATE = (5, 2, 1), 1.5, 2
@@ -97,7 +98,11 @@ def mix_report(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_rate:
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_rate: int = MAX_RATE) -> DataFrame:
     """The mixed documents, repeats as rows, with docs' columns."""
-    p = stored(plan(sized(docs), weights, share, max_rate), "mix").select(F.col("source").alias("_s"), F.col("rate").alias("_rate"), F.col("seed").alias("_seed"))
-    out = docs.join(p, F.col("source").eqNullSafe(F.col("_s")), "left")
-    n = copies(F.col("doc_id"), F.col("_rate"), F.col("_seed"))
-    return out.withColumn("_copy", F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")))).select(*docs.columns)
+    p = own_prefix(docs)
+    source, rate, seed, copy = (p + x for x in ("source", "rate", "seed", "copy"))
+    how = stored(plan(sized(docs), weights, share, max_rate), "mix")
+    how = how.select(F.col("source").alias(source), F.col("rate").alias(rate), F.col("seed").alias(seed))
+    out = docs.join(how, F.col("source").eqNullSafe(F.col(source)), "left")
+    n = copies(F.col("doc_id"), F.col(rate), F.col(seed))
+    times = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return out.withColumn(copy, F.explode(times)).select(*all_of(docs))
