@@ -1,15 +1,19 @@
 """Benchmark decontamination by a broadcast hash set of test n-grams, DataFrame functions only.
 
-Items and documents become lower-cased words. An item's windows are its runs of ``n``
-words; a shorter item with at least one word is one window of its own. A document position
-is looked at twice: first the hash of three of the window's words is looked up in the set
-of hashes, then the whole window in the set of windows, so a hash never decides alone.
-Both sets travel inside the plan and are refused above ``max_set`` windows; beyond that
-bound positions are exploded as hashes and joined, with the same result.
-
-Edge cases: null or empty texts have no words and no hits; items without words are
-ignored; repeated rows are each judged; empty tables give empty or all-clean results;
-columns of other names pass through.
+Items and documents become lower-cased words. An item's windows are its runs of ``n`` words; a
+shorter item with at least one word is one window of its own.
+
+One way for benchmarks of any size. The first ``PROBE`` words of each window (all of a shorter
+one) are hashed into a set of ``SLOTS`` bits, a table of 64-bit words that is broadcast: it never
+has more than ``SLOTS / 64`` rows. Every position of every text is looked up in it inside the
+scan, without a shuffle. Where it hits, the whole windows that start there are compared with the
+item windows by 128-bit digests of their words, so a probe never decides alone. That table is
+broadcast up to ``broadcast_rows`` windows; beyond, digests of the hits (never texts) are shuffled.
+Hits are gathered per distinct text, and documents take those of their text.
+
+Edge cases: null or empty texts have no words and no hits; items without words are ignored; the
+windows of an item with a null id count as hits but name no item; repeated rows are each judged;
+empty tables give empty or all-clean results; columns of any other name pass through unchanged.
 """
 
 from __future__ import annotations
@@ -17,86 +21,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import all_of, ascii_lower, own_prefix, stored
 
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Runs of these are words, before A-Z are lower-cased.
+WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
-HITS = "array<struct<start:int,len:int,win:string>>"
-#: Windows that fit the plan: 8 bytes of hash and about 100 of text each, 5 MB in all.
-MAX_SET = 50_000
+#: Words of a window that are looked up first, and bits of the set: at most SLOTS / 64 rows of 16 bytes.
+PROBE, SLOTS = 3, 1 << 26
+#: Item windows, or texts with hits, that are broadcast; more are joined by a shuffle of their keys.
+BROADCAST_ROWS = 200_000
+FOUND = "text_id binary, n_words long, hits array<struct<start:int,len:int>>, items array<string>, n_hit long"
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORDS), F.lit(0))
 
 
-def item_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
-    """Distinct (item_id, len, win): win is a window's words joined by a space."""
-    w = benchmark.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
-    size = F.least(F.lit(n), F.size("w"))
-    at = F.sequence(F.lit(1), F.size("w") - size + 1)
-    return w.select("item_id", size.alias("len"), F.explode(F.transform(at, lambda i: F.array_join(F.slice("w", i, size), " "))).alias("win")).distinct()
-
-
-def _probe(at, k: int) -> Column:
-    """Hash of the first, middle and last word of the window of k words."""
-    return F.xxhash64(at(0), at(k // 2), at(k - 1))
+def text_id() -> Column:
+    """128 bits of the text; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
-    """docs with _n_words long and _hits array<struct<start, len, win>>; a narrow plan, no shuffle."""
-    wins = item_windows(benchmark, n).select("len", "win").distinct()
-    some = wins.limit(max_set + 1).collect()
-    if len(some) > max_set:
-        return _joined_hits(docs, wins)
-    return _set_hits(docs, [(r["len"], r["win"]) for r in some])
+def _digest(win: Column) -> Column:
+    return F.unhex(F.md5(win))
 
 
-def _set_hits(docs: DataFrame, wins: list[tuple[int, str]]) -> DataFrame:
-    by_len: dict[int, list[str]] = {}
-    for k, win in wins:
-        by_len.setdefault(k, []).append(win)
-    spark = docs.sparkSession
-    out = docs.withColumn("_w", words(F.col("text")))
-    found = []
-    for k, own in sorted(by_len.items()):
-        parts = [x.split(" ") for x in own]
-        probes = spark.createDataFrame([(p[0], p[k // 2], p[k - 1]) for p in parts], "a string, b string, c string").select(F.xxhash64("a", "b", "c").alias("h")).distinct()
-        # the collected hashes are at most max_set longs
-        hashes = sorted(r["h"] for r in probes.collect())
-        near = _windows(k, lambda i, k=k, hashes=hashes: _in(_probe(lambda j: F.get("_w", i + j), k), hashes))
-        out = out.withColumn(f"_c{k}", near)
-        found.append(_only(F.col(f"_c{k}"), own))
-    hits = F.concat(*found) if found else F.array().cast(HITS)
-    return out.withColumn("_n_words", F.size("_w").cast("long")).withColumn("_hits", hits).drop("_w", *(f"_c{k}" for k in by_len))
+def _slot(*some: Column) -> Column:
+    """A bit of the set by the words given; nulls are words past the end.
 
+    lower() changes more letters than A-Z, so it joins more words than are equal: the digest decides.
+    """
+    return F.pmod(F.xxhash64(*(F.lower(w) for w in some)), F.lit(SLOTS))
 
-def _windows(k: int, near=None) -> Column:
-    """The k-word windows of _w, or those at positions that near() keeps."""
-    at = F.sequence(F.lit(0), F.size("_w") - k)
-    if near:
-        at = F.filter(at, lambda i: near(i))
-    win = F.transform(at, lambda i: F.struct(i.alias("start"), F.lit(k).alias("len"), F.array_join(F.slice("_w", i + 1, k), " ").alias("win")))
-    return F.when(F.size("_w") >= k, win).otherwise(F.array().cast(HITS))
 
-
-def _only(windows: Column, of: list[str]) -> Column:
-    return F.filter(windows, lambda x: _in(x["win"], of))
-
-
-def _in(value: Column, of: list) -> Column:
-    """value IN (literals): Catalyst makes one hash set of them."""
-    return value.isin(of)
+def item_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
+    """len, slot, digest, items (sorted ids as strings) of every distinct window."""
+    w = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    size = F.least(F.lit(n), F.size("w"))
+    at = F.sequence(F.lit(1), F.size("w") - size + 1)
+    wins = w.select("item", size.alias("len"), F.explode(F.transform(at, lambda i: F.slice("w", i, size))).alias("v"))
+    some = [F.when(F.col("len") > j, F.get("v", F.lit(j))) for j in range(PROBE)]
+    rows = wins.select("item", "len", _slot(*some).alias("slot"), _digest(F.array_join("v", " ")).alias("digest"))
+    return rows.groupBy("len", "slot", "digest").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def _joined_hits(docs: DataFrame, wins: DataFrame) -> DataFrame:
-    """The same for sets of any size: positions become hashes that are joined with the windows."""
-    lens = [r["len"] for r in wins.select("len").distinct().collect()]  # as many as there are window lengths
-    rows = docs.withColumn("_id", F.monotonically_increasing_id()).withColumn("_w", words(F.col("text")))
-    at = F.concat(*(_windows(k) for k in lens)) if lens else F.array().cast(HITS)
-    hits = rows.select("_id", F.explode(at).alias("hit")).join(wins.select(F.col("win").alias("_win"), F.col("len").alias("_len")), (F.col("hit.win") == F.col("_win")) & (F.col("hit.len") == F.col("_len")))
-    per = hits.groupBy("_id").agg(F.sort_array(F.collect_list("hit")).alias("_hits"))
-    return rows.withColumn("_n_words", F.size("_w").cast("long")).drop("_w").join(per, "_id", "left").withColumn("_hits", F.coalesce("_hits", F.array().cast(HITS))).drop("_id")
+def _bits(wins: DataFrame) -> DataFrame:
+    """The set: at most SLOTS / 64 rows (place, bits)."""
+    return wins.groupBy(F.shiftright("slot", 6).alias("place")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
 
 
 def covered(hits: Column) -> Column:
@@ -111,32 +82,71 @@ def covered(hits: Column) -> Column:
     return F.aggregate(F.sort_array(hits), begin, step, lambda acc: acc["n"]).cast("long")
 
 
+def found(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """FOUND of every distinct text with a hit, as a table."""
+    wins = stored(item_windows(benchmark, n), "windows")
+    per_len = {r["len"]: r["count"] for r in wins.groupBy("len").count().collect()}  # at most n rows
+    if not per_len:
+        return docs.sparkSession.createDataFrame([], FOUND)
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    w = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORDS), F.lit(0))
+    at = texts.select("text", w.alias("w")).select("text", "w", F.posexplode("w").alias("i", "first"))
+    # a window shorter than PROBE has a slot of its own number of words
+    ahead = [F.col("first"), *(F.get("w", F.col("i") + j) for j in range(1, PROBE))]
+    none = F.lit(None).cast("string")
+    slots = [_slot(*ahead[:k], *[none] * (PROBE - k)) for k in sorted({min(k, PROBE) for k in per_len})]
+    at = at.withColumn("slot", slots[0] if len(slots) == 1 else F.explode(F.array_distinct(F.array(*slots))))
+    near = at.join(F.broadcast(_bits(wins)), F.shiftright("slot", 6) == F.col("place"))
+    near = near.where(F.expr("shiftright(bits, cast(slot & 63 as int)) & 1") == 1)
+    lens = F.filter(F.array(*(F.lit(k) for k in sorted(per_len))), lambda k: F.col("i") + k <= F.size("w"))
+    near = near.select("text", "w", "i", "slot", F.explode(lens).alias("len"))
+    win = ascii_lower(F.array_join(F.slice("w", F.col("i") + 1, F.col("len")), " "))
+    near = near.select(text_id().alias("text_id"), F.size("w").cast("long").alias("n_words"), "i", "len", _digest(win).alias("digest"))
+    keys = wins.select("len", "digest", "items")
+    hits = near.join(F.broadcast(keys) if sum(per_len.values()) <= broadcast_rows else keys, ["len", "digest"])
+    hit = F.struct(F.col("i").alias("start"), "len")
+    per = hits.groupBy("text_id", "n_words").agg(F.collect_set(hit).alias("hits"), F.collect_set("items").alias("items"))
+    items = F.array_sort(F.array_distinct(F.flatten("items")))
+    return stored(per.select("text_id", "n_words", F.sort_array("hits").alias("hits"), items.alias("items"), covered(F.col("hits")).alias("n_hit")), "hits")
+
+
 def is_contaminated(n_hit: Column, n_words: Column) -> Column:
     return (n_hit > 0) & (20 * n_hit >= n_words)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
+def _joined(docs: DataFrame, per: DataFrame, how: str, broadcast_rows: int) -> DataFrame:
+    """docs with per (text_id, ...) of their texts; per's columns get a prefix of their own."""
+    p = own_prefix(docs)
+    per = per.select(*(F.col(c).alias(p + c) for c in per.columns))
+    if per.count() <= broadcast_rows:
+        per = F.broadcast(per)
+    return docs.join(per, text_id() == F.col(f"{p}text_id"), how)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """docs without the contaminated documents; same columns."""
-    found = with_hits(docs, benchmark, n, max_set).withColumn("_hit", covered(F.col("_hits")))
-    # the row number keeps the filter above the projection: pushed down, it would find the words anew for every window
-    found = found.withColumn("_row", F.monotonically_increasing_id())
-    return found.where(~is_contaminated(F.col("_hit"), F.col("_n_words")) & (F.col("_row") >= 0)).select(*docs.columns)
+    bad = found(docs, benchmark, n, broadcast_rows).where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select("text_id")
+    return _joined(docs, bad, "left_anti", broadcast_rows)
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """docs with clean_words: the document's words without those inside a hit."""
-    found = with_hits(docs, benchmark, n, max_set)
-    w = words(F.col("text"))
-    inside = lambda i: F.exists("_hits", lambda x: (i >= x["start"]) & (i < x["start"] + x["len"]))
+    p = own_prefix(docs)
+    out = _joined(docs, found(docs, benchmark, n, broadcast_rows).select("text_id", "hits"), "left", broadcast_rows)
+    w = words(F.col("text").cast("string"))
+    inside = lambda i: F.exists(f"{p}hits", lambda x: (i >= x["start"]) & (i < x["start"] + x["len"]))
     kept = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))), lambda x: ~inside(x["i"]))
-    clean = F.when(F.size("_hits") == 0, w).otherwise(F.transform(kept, lambda x: x["w"]))
-    return found.withColumn("clean_words", clean).select(*docs.columns, "clean_words")
-
-
-def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
-    """Per document: n_words, n_hit, items (sorted as strings), contaminated."""
-    found = with_hits(docs.select("doc_id", "text"), benchmark, n, max_set).select(F.monotonically_increasing_id().alias("_id"), "doc_id", F.col("_n_words").alias("n_words"), covered(F.col("_hits")).alias("n_hit"), F.array_distinct(F.transform("_hits", lambda x: x["win"])).alias("wins"))
-    owners = item_windows(benchmark, n).groupBy("win").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
-    rows = found.select("_id", "doc_id", "n_words", "n_hit", F.explode_outer("wins").alias("win")).join(owners, "win", "left")
-    per = rows.groupBy("_id").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.first("n_hit").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("items"))
-    return per.select("doc_id", "n_words", "n_hit", "items", is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+    clean = F.when(F.col(f"{p}hits").isNull(), w).otherwise(F.transform(kept, lambda x: x["w"]))
+    return out.select(*all_of(docs), clean.alias("clean_words"))
+
+
+def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, items (sorted as strings), contaminated."""
+    per = found(docs, benchmark, n, broadcast_rows).select("text_id", "n_hit", "items")
+    narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long")
+    narrow = narrow.select("doc_id", text_id().alias("id"), n_words.alias("n_words"))
+    out = narrow.join(F.broadcast(per) if per.count() <= broadcast_rows else per, F.col("id") == F.col("text_id"), "left")
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), items.alias("items"), is_contaminated(n_hit, F.col("n_words")).alias("contaminated"))

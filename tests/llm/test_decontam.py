@@ -39,8 +39,8 @@ def corpus():
 def test_against_plain_both_ways(spark):
     texts, items = corpus()
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for most in (decontam.MAX_SET, 3):
-        rows = decontam.report(documents(spark, texts), bench, max_set=most).orderBy("doc_id").collect()
+    for most in (decontam.BROADCAST_ROWS, 3):
+        rows = decontam.report(documents(spark, texts), bench, broadcast_rows=most).orderBy("doc_id").collect()
         assert [(r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in rows] == plain(texts, items)
 
 
@@ -48,8 +48,8 @@ def test_removal(spark):
     texts, items = corpus()
     docs, bench = documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")
     want = plain(texts, items)
-    for most in (decontam.MAX_SET, 3):
-        left = decontam.decontaminate(docs, bench, max_set=most)
+    for most in (decontam.BROADCAST_ROWS, 3):
+        left = decontam.decontaminate(docs, bench, broadcast_rows=most)
         assert left.columns == docs.columns
         assert sorted(r["doc_id"] for r in left.collect()) == [i for i, x in enumerate(want) if not x[3]]
     spans = {r["doc_id"]: r["clean_words"] for r in decontam.remove_spans(docs, bench).collect()}
@@ -62,3 +62,36 @@ def test_empty_tables(spark):
     assert decontam.report(documents(spark, []), bench).count() == 0
     assert decontam.report(documents(spark, texts), bench.limit(0)).where("contaminated or n_hit > 0").count() == 0
     assert decontam.decontaminate(documents(spark, texts), bench.limit(0)).count() == len(texts)
+
+
+def test_repeated_rows_and_letters_that_lower_changes(spark):
+    """Only A-Z are lower-cased: other letters that lower() would join are told apart by the digest."""
+    item = "Σας ΣΑΣ É naïve İx one two three four five six seven eight nine ten"
+    texts = [item, item, item.replace("É", "é"), item.replace("one", "ONE").replace(" ", "."), "ς" + item[1:], None, None]
+    bench = spark.createDataFrame([(1, item), (None, "eight nine ten")], "item_id long, text string")
+    ids = [3, 3, 4, 5, 6, 7, 7]
+    rows = sorted(decontam.report(documents(spark, texts, ids), bench).collect(), key=lambda r: r["doc_id"])
+    want = plain(texts, [(1, item), (None, "eight nine ten")])
+    assert [(r["n_words"], r["n_hit"], r["contaminated"]) for r in rows] == [(x[0], x[1], x[3]) for x in want]
+    assert [r["items"] for r in rows] == [[i for i in x[2] if i != "None"] for x in want]
+
+
+def test_more_windows_than_are_broadcast(spark):
+    """Over 50,000 windows, whose digests are shuffled."""
+    rng = random.Random(14)
+    items = [(i, " ".join(f"v{rng.randrange(60)}" for _ in range(600))) for i in range(100)]
+    texts = [items[i][1][200:600] + " x y z" for i in range(0, 100, 9)] + [" ".join(f"v{rng.randrange(60)}" for _ in range(3000))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert decontam.item_windows(bench).count() > 50_000
+    rows = decontam.report(documents(spark, texts), bench, broadcast_rows=1000).orderBy("doc_id").collect()
+    wins = {}
+    for i, t in items:
+        w = t.split()
+        for k in range(len(w) - 12):
+            wins.setdefault(tuple(w[k : k + 13]), set()).add(str(i))
+    for r, t in zip(rows, texts, strict=True):
+        w = t.split()
+        at = [k for k in range(len(w) - 12) if tuple(w[k : k + 13]) in wins]
+        hit = {j for k in at for j in range(k, k + 13)}
+        assert (r["n_words"], r["n_hit"]) == (len(w), len(hit))
+        assert r["items"] == sorted({i for k in at for i in wins[tuple(w[k : k + 13])]})
