@@ -4,17 +4,19 @@ A line's key is the line without ASCII white space at its ends, A-Z lower-cased.
 least ``min_chars`` code points in at least ``min_docs`` documents lose all their lines
 except in the largest doc_id holding them.
 
-Keys are counted as 128-bit hashes, summed per task before they are shuffled. Those that
-reach ``min_docs`` are dealt into shards of at most ``SHARD_KEYS``; each shard becomes a
-minimal perfect hash (levels of bit arrays with ranks) that indexes arrays of a 64-bit
-fingerprint, a document count and the largest doc_id. Documents probe the arrays: hash,
-index, compare the fingerprint. Arrays of up to ``max_broadcast`` bytes go to every worker;
-larger ones stay in tables, and hashes of lines are dealt to the shards and probed there in
-streams, hot shards salted, with the same result.
+Keys are counted as 128-bit hashes, summed per task before they are shuffled. The keys of two or
+more documents (those of one can be repeated nowhere) are dealt into shards of about
+``SHARD_KEYS``; each shard becomes a minimal perfect hash (levels of bit arrays with ranks) that
+indexes arrays of a 64-bit fingerprint, a document count and the largest doc_id. Documents probe
+the arrays: hash, index, compare the fingerprint, then the count with ``min_docs``. Arrays of up
+to ``max_broadcast`` bytes go to every worker; larger ones stay in tables, and hashes of lines are
+dealt to the shards and probed there in streams, with the same result. There a shard is split over
+one task for each ``TASK_LINES`` of the lines that its own counts say will come.
 
 Edge cases: null and empty texts are one empty line; every row counts as a document, so
 repeated rows of one doc_id each count and each keep their lines if that id is the largest;
-a null doc_id is smaller than all others; empty tables give an empty result.
+a null doc_id is smaller than all others; empty tables give an empty result; doc_id is an
+integer, and other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +40,10 @@ KEY_BYTES = 24
 #: Keys that a task counts before it hands them on.
 COUNTED = 1 << 18
 NO_DOC = -(1 << 63)
-SALTS = 16
+#: Counts stop here, far above any threshold.
+MOST_COUNTED = 2**32 - 1
+#: Lines of a shard that one task probes.
+TASK_LINES = 1 << 22
 
 
 def line_keys(text: str | None, min_chars: int = MIN_CHARS) -> tuple[list[bytes], list[int], list[bytes]]:
@@ -85,11 +90,11 @@ def _count(min_chars: int):
     return run
 
 
-def frequent_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """h, g (the key's hash), n documents, most: the largest doc_id, of the keys in min_docs documents."""
+def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """h, g (the key's hash), n documents, most: the largest doc_id, of the keys in two or more documents."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     counted = rows.mapInArrow(_count(min_chars), "h long, g long, n long, most long")
-    return counted.groupBy("h", "g").agg(F.sum("n").alias("n"), F.max("most").alias("most")).where(F.col("n") >= min_docs)
+    return counted.groupBy("h", "g").agg(F.sum("n").alias("n"), F.max("most").alias("most")).where("n > 1")
 
 
 # -- the minimal perfect hash -------------------------------------------------------------
@@ -131,7 +136,7 @@ class LineIndex:
         order = np.concatenate(order) if order else np.zeros(0, np.int64)
         words = bits.reshape(-1, 64)
         ranks = np.concatenate([[0], np.cumsum(words.sum(axis=1))])[:-1].astype(np.uint32)
-        return cls(np.array(sizes, np.int64), np.packbits(bits), ranks, g[order], np.minimum(n[order], 2**32 - 1).astype(np.uint32), most[order])
+        return cls(np.array(sizes, np.int64), np.packbits(bits), ranks, g[order], np.minimum(n[order], MOST_COUNTED).astype(np.uint32), most[order])
 
     def find(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
         """The index of each key in the arrays, -1 for keys that are not there."""
@@ -150,6 +155,14 @@ class LineIndex:
         there[there] = self.prints[out[there]] == g[there]
         return np.where(there, out, -1)
 
+    def gone(self, h: np.ndarray, g: np.ndarray, doc: np.ndarray, min_docs: int) -> np.ndarray:
+        """Which lines go: in min_docs documents at least, of which their own is not the largest."""
+        at = self.find(h, g)
+        there = at >= 0
+        own = at[there]
+        there[there] = (self.counts[own] >= min_docs) & (self.most[own] != doc[there])
+        return there
+
     def dump(self) -> bytes:
         f = io.BytesIO()
         np.savez(f, sizes=self.sizes, bits=self.bits, ranks=self.ranks, prints=self.prints, counts=self.counts, most=self.most)
@@ -167,21 +180,20 @@ def _build(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "blob": pa.array([blob], pa.binary())})
 
 
-def build_shards(frequent: DataFrame, shards: int) -> DataFrame:
+def build_shards(shared: DataFrame, shards: int) -> DataFrame:
     """shard, blob: each shard's index, built where its keys meet (SHARD_KEYS of them on average)."""
-    dealt = frequent.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
+    dealt = shared.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
     return dealt.groupBy("shard").applyInArrow(_build, "shard int, blob binary")
 
 
-def _dropped(index: dict[int, LineIndex], shards: int, h: np.ndarray, g: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Which lines go: found in the index, and their document is not the largest that holds them."""
+def _dropped(index: dict[int, LineIndex], shards: int, h: np.ndarray, g: np.ndarray, doc: np.ndarray, min_docs: int) -> np.ndarray:
+    """Which lines go, each by the index of its shard."""
     gone, shard = np.zeros(len(h), bool), np.mod(h, shards)
     for s in np.unique(shard):
         own = index.get(int(s))
         if own is not None:
             at = np.flatnonzero(shard == s)
-            found = own.find(h[at], g[at])
-            gone[at] = (found >= 0) & (own.most[np.maximum(found, 0)] != doc[at])
+            gone[at] = own.gone(h[at], g[at], doc[at], min_docs)
     return gone
 
 
@@ -199,7 +211,7 @@ def _as_batch(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t.type) for i, t in enumerate(_OUT)], schema=_OUT)
 
 
-def _probe(blobs, shards: int, min_chars: int):
+def _probe(blobs, shards: int, min_chars: int, min_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {s: LineIndex.load(b) for s, b in blobs.value}
         for batch in batches:
@@ -209,7 +221,7 @@ def _probe(blobs, shards: int, min_chars: int):
                 owner = np.repeat(np.arange(len(docs)), [len(k[1]) for k in keys])
                 at = np.array([i for k in keys for i in k[1]], np.int64)
                 ids = np.array([NO_DOC if d is None else d for d in docs], np.int64)
-                gone = _dropped(index, shards, *_halves([x for k in keys for x in k[2]]), ids[owner])
+                gone = _dropped(index, shards, *_halves([x for k in keys for x in k[2]]), ids[owner], min_docs)
                 lost: dict[int, list[int]] = {}
                 for i in np.flatnonzero(gone):
                     lost.setdefault(int(owner[i]), []).append(int(at[i]))
@@ -221,30 +233,35 @@ def _probe(blobs, shards: int, min_chars: int):
 def _hashed(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for uid, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                _, at, hashes = line_keys(text.as_py(), min_chars)
-                if at:
-                    h, g = _halves(hashes)
-                    yield pa.RecordBatch.from_arrays([pa.array([uid] * len(at)), pa.array([NO_DOC if doc is None else doc] * len(at)), pa.array(at), pa.array(h), pa.array(g)], ["uid", "doc_id", "line", "h", "g"])
+            for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+                keys = [line_keys(t.as_py(), min_chars) for t in part.column(2)]
+                n = [len(k[1]) for k in keys]
+                h, g = _halves([x for k in keys for x in k[2]])
+                doc = np.array([NO_DOC if d is None else d for d in part.column(1).to_pylist()], np.int64)
+                line = np.array([i for k in keys for i in k[1]], np.int64)
+                uid = np.repeat(part.column(0).to_numpy(), n)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (uid, np.repeat(doc, n), line, h, g)], ["uid", "doc_id", "line", "h", "g"])
 
     return run
 
 
-def _probe_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """uid and line of the lines that go. Rows come sorted by shard, each shard's index before its lines."""
-    index = None
-    for batch in batches:
-        blobs = batch.column(5)
-        marks = np.flatnonzero(blobs.is_valid().to_numpy(zero_copy_only=False)).tolist()
-        for a, b in zip([-1, *marks], [*marks, batch.num_rows], strict=True):
-            if a >= 0:
-                index = LineIndex.load(blobs[a].as_py())
-            if index is None or b - a < 2:
-                continue
-            uid, doc, line, h, g = (batch.column(i).slice(a + 1, b - a - 1).to_numpy() for i in range(5))
-            found = index.find(h, g)
-            gone = (found >= 0) & (index.most[np.maximum(found, 0)] != doc)
-            yield pa.RecordBatch.from_arrays([pa.array(uid[gone]), pa.array(line[gone])], ["uid", "line"])
+def _probe_stream(min_docs: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """uid and line of the lines that go. Rows come sorted by shard, each shard's index before its lines."""
+        index = None
+        for batch in batches:
+            blobs = batch.column(5)
+            marks = np.flatnonzero(blobs.is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for a, b in zip([-1, *marks], [*marks, batch.num_rows], strict=True):
+                if a >= 0:
+                    index = LineIndex.load(blobs[a].as_py())
+                if index is None or b - a < 2:
+                    continue
+                uid, doc, line, h, g = (batch.column(i).slice(a + 1, b - a - 1).to_numpy() for i in range(5))
+                gone = index.gone(h, g, doc, min_docs)
+                yield pa.RecordBatch.from_arrays([pa.array(uid[gone]), pa.array(line[gone])], ["uid", "line"])
+
+    return run
 
 
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,28 +272,35 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _as_batch([_rewritten(doc, (text or "").encode().split(b"\n"), gone or []) for doc, text, gone in rows])
 
 
-def _drop_dealt(rows: DataFrame, built: DataFrame, shards: int, min_chars: int) -> DataFrame:
-    """For indexes of any size: lines' hashes are dealt to their shard, SALTS tasks for each."""
+def _drop_dealt(rows: DataFrame, shared: DataFrame, shards: int, min_chars: int, min_docs: int) -> DataFrame:
+    """For indexes of any size: lines' hashes are dealt to their shard, a hot shard to several tasks."""
+    shard = F.pmod("h", F.lit(shards)).cast("int").alias("shard")
+    tasks = F.ceil(F.sum("n") / F.lit(TASK_LINES)).cast("int").alias("tasks")
+    deal = stored(shared.groupBy(shard).agg(tasks), "deal")
+    built = build_shards(shared, shards)
     base = stored(rows.withColumn("uid", F.monotonically_increasing_id()), "texts").select("uid", "doc_id", "text")
-    hashed = base.mapInArrow(_hashed(min_chars), "uid long, doc_id long, line long, h long, g long")
-    lines = hashed.select(F.pmod("h", F.lit(shards)).cast("int").alias("shard"), F.pmod("uid", F.lit(SALTS)).cast("int").alias("salt"), F.lit(1).alias("kind"), "uid", "doc_id", "line", "h", "g", F.lit(None).cast("binary").alias("blob"))
+    lines = base.mapInArrow(_hashed(min_chars), "uid long, doc_id long, line long, h long, g long").select(shard, "uid", "doc_id", "line", "h", "g")
+    # 8 bytes a shard; lines of a shard without keys cannot go
+    lines = lines.join(F.broadcast(deal) if shards <= 1 << 20 else deal, "shard")
+    salt = F.pmod(F.xxhash64("uid", "line"), F.col("tasks")).cast("int").alias("salt")
+    lines = lines.select("shard", salt, F.lit(1).alias("kind"), "uid", "doc_id", "line", "h", "g", F.lit(None).cast("binary").alias("blob"))
     none = [F.lit(0).cast("long").alias(c) for c in ("uid", "doc_id", "line", "h", "g")]
-    marks = built.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(0).alias("kind"), *none, "blob")
-    sorted_ = lines.unionByName(marks).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
-    gone = sorted_.select("uid", "doc_id", "line", "h", "g", "blob").mapInArrow(_probe_stream, "uid long, line long")
+    marks = built.join(deal, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("salt"), F.lit(0).alias("kind"), *none, "blob")
+    dealt = lines.unionByName(marks).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
+    gone = dealt.select("uid", "doc_id", "line", "h", "g", "blob").mapInArrow(_probe_stream(min_docs), "uid long, line long")
     per = gone.groupBy("uid").agg(F.collect_list("line").alias("gone"))
     return base.join(per, "uid", "left").select("doc_id", "text", "gone").mapInArrow(_rewrite, OUT)
 
 
 def drop_repeated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
-    """doc_id, kept (the text without the dropped lines), n_lines, n_dropped of every document."""
+    """doc_id, kept (the text without the dropped lines), n_lines, n_dropped of every document. min_docs: 2 or more."""
     spark = docs.sparkSession
-    frequent = stored(frequent_lines(docs, min_chars, min_docs), "lines")
-    n = frequent.count()
+    shared = stored(shared_lines(docs, min_chars), "lines")
+    n = shared.count()
     shards = max(1, -(-n // SHARD_KEYS))
-    built = build_shards(frequent, shards)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     if n * KEY_BYTES <= max_broadcast:
+        built = build_shards(shared, shards)
         blobs = spark.sparkContext.broadcast([(r["shard"], bytes(r["blob"])) for r in built.collect()])
-        return rows.mapInArrow(_probe(blobs, shards, min_chars), OUT)
-    return _drop_dealt(rows, stored(built, "shards"), shards, min_chars)
+        return rows.mapInArrow(_probe(blobs, shards, min_chars, min_docs), OUT)
+    return _drop_dealt(rows, shared, shards, min_chars, min_docs)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from . import hosts, mixing
 
 OP1 = """
@@ -41,12 +43,13 @@ from d left join cov c on d.doc_id = c.doc_id left join its i on d.doc_id = i.do
 WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 OP3 = f"""
-with l as (select doc_id, line, i, translate(trim(line, {WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
-  from (select doc_id, unnest(ls) as line, unnest(range(1, len(ls) + 1)) as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))),
-f as (select k, max(doc_id) as most from l where length(k) >= 40 group by k having count(distinct doc_id) >= 5),
-m as (select l.*, f.k is not null and l.doc_id <> f.most as gone from l left join f on l.k = f.k)
+with l as (select r, doc_id, line, i, translate(trim(line, {WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from (select r, doc_id, unnest(ls) as line, unnest(range(1, len(ls) + 1)) as i
+    from (select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))),
+f as (select k, max(doc_id) as most from l where length(k) >= 40 group by k having count(distinct r) >= 5),
+m as (select l.*, f.k is not null and l.doc_id is distinct from f.most as gone from l left join f on l.k = f.k)
 select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
-from m group by doc_id
+from m group by r, doc_id
 """
 
 OP6 = """
@@ -75,25 +78,48 @@ def _rules() -> tuple[str, str]:
     return f"case{rule} end", f"case{verdict} end"
 
 
+def _sure() -> str:
+    """Whether the beta(a, b) posterior is sure of a bad rate over MAX_BAD: hosts.below() in SQL."""
+    mode, width = "ln(a / b)", "sqrt(1 / a + 1 / b)"
+    low, high = f"greatest({mode} - {hosts.REACH} * {width}, -{hosts.FARTHEST})", f"least({mode} + {hosts.REACH} * {width}, {hosts.FARTHEST})"
+    cut = math.log(hosts.MAX_BAD / (1 - hosts.MAX_BAD))
+    height = lambda u: f"(a * ({u}) - (a + b) * ln(1 + exp({u})))"
+
+    def area(start: str, end: str) -> str:
+        step = f"(({end}) - ({start})) / {hosts.POINTS}"
+        return f"list_sum(list_transform(range({hosts.POINTS}), lambda i: exp({height(f'({start}) + (i + 0.5) * {step}')} - {height(mode)}))) * {step}"
+
+    left, right = area(low, f"{cut}"), area(f"{cut}", high)
+    return f"case when {low} >= {cut} then true when {high} <= {cut} then false else {left} <= {1 - hosts.SURE} * ({left} + {right}) end"
+
+
 def _op5() -> str:
     rule, verdict = _rules()
-    low = f"a / (a + b) - {hosts.BOUND_Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > {hosts.MAX_BAD}"
+    bare = f"regexp_replace(host, '{hosts.HOST_CLUTTER}', '', 'g')"
+    found = f"regexp_extract({bare}, '{hosts.DOMAIN}', 1)"
+    address = f"regexp_matches({bare}, '{hosts.ADDRESS}')"
+    domain = f"case when {address} or {found} = '' then {bare} else {found} end"
+    suffix = f"case when {address} then '{hosts.ADDRESSES}' else regexp_extract({bare}, '{hosts.SUFFIX}', 1) end"
+    sums = "sum(n) as n, sum(bad) as bad"
     return f"""
 with u as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end as rest from pages),
-h as (select page_id, translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from u),
+h as (select page_id, translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from u),
 l as (select doc_id as page_id, case when quality = 0 or toxic = 1 then 1 else 0 end as bad from labels where quality is not null or toxic is not null),
-hs as (select host, regexp_extract(host, '([^.]*[.])?[^.]*$') as domain, regexp_extract(host, '[^.]*$') as suffix, count(*) as n, sum(bad) as bad from h join l using (page_id) group by host),
-ds as (select domain, suffix, sum(n) as n, sum(bad) as bad from hs group by domain, suffix),
-ss as (select suffix, sum(n) as n, sum(bad) as bad from ds group by suffix),
-m as (select (select (sum(bad) + 1) / (sum(n) + 2) from ss) as rate, {_strength('ss')} as ms, {_strength('ds')} as md, {_strength('hs')} as mh),
+hs as (select host, {domain} as domain, {suffix} as suffix, count(*) as n, sum(bad) as bad from h join l using (page_id) group by host),
+ds as (select domain, suffix, {sums} from hs group by domain, suffix),
+ss as (select suffix, {sums} from ds group by suffix),
+al as (select coalesce(sum(bad), 0) + 1.0 as a, coalesce(sum(n) - sum(bad), 0) + 1.0 as b from ss),
+m as (select (select a / (a + b) from al) as rate, {_strength('ss')} as ms, {_strength('ds')} as md, {_strength('hs')} as mh),
 sp as (select suffix, bad + ms * rate as a, n - bad + ms * (1 - rate) as b from ss, m),
 dp as (select domain, ds.bad + md * (a / (a + b)) as a, ds.n - ds.bad + md * (1 - a / (a + b)) as b from ds join sp using (suffix), m),
 hp as (select host, hs.bad + mh * (a / (a + b)) as a, hs.n - hs.bad + mh * (1 - a / (a + b)) as b from hs join dp using (domain), m),
-j as (select page_id, h.host, path, {rule} as rule, {verdict} as verdict, regexp_extract(h.host, '([^.]*[.])?[^.]*$') as domain, regexp_extract(h.host, '[^.]*$') as suffix from h)
-select page_id, j.host, path, rule, coalesce(verdict, case when coalesce(x.bad, y.bad, z.bad, false) then 'block' else 'allow' end) as verdict
-from j left join (select host, {low} as bad from hp) x on j.host = x.host
-  left join (select domain, {low} as bad from dp) y on j.domain = y.domain
-  left join (select suffix, {low} as bad from sp) z on j.suffix = z.suffix
+j as (select page_id, h.host, path, {rule} as rule, {verdict} as verdict, {domain} as domain, {suffix} as suffix from h)
+select page_id, j.host, path, rule,
+  coalesce(verdict, case when coalesce(x.bad, y.bad, z.bad, (select {_sure()} from (select cast(a as double) as a, cast(b as double) as b from al))) then 'block' else 'allow' end) as verdict
+from j left join (select host, {_sure()} as bad from hp) x on j.host = x.host
+  left join (select domain, {_sure()} as bad from dp) y on j.domain = y.domain
+  left join (select suffix, {_sure()} as bad from sp) z on j.suffix = z.suffix
 """
 
 

@@ -1,3 +1,8 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
 from gleanrow.llm import hosts
 
 PAGES = "page_id long, url string, html string, host string, n long"
@@ -37,3 +42,33 @@ def test_reputation_shrinks_and_blocks(spark):
 def test_empty(spark):
     assert judged(spark, []) == {}
     assert judged(spark, ["http://a.org/"], [(7, 0, 1)])[0]["verdict"] == "allow"
+
+
+def test_levels_of_hosts(spark):
+    want = {
+        "www.bbc.co.uk": ("bbc.co.uk", "co.uk"), "bbc.co.uk": ("bbc.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "a.b.example.com": ("example.com", "com"), "example.com": ("example.com", "com"),
+        "com": ("com", "com"), "localhost": ("localhost", "localhost"), "me:pw@www.x.org:8080": ("x.org", "org"), "x.org.": ("x.org", "org"), "10.0.3.4:80": ("10.0.3.4", "(address)"),
+        "[::1]:80": ("[::1]", "(address)"), "": ("", ""), "x.org.:80": ("x.org", "org"),
+    }
+    rows = spark.createDataFrame([(h,) for h in want], "host string")
+    domain, suffix = hosts.levels(F.col("host"))
+    assert {r["host"]: (r["d"], r["s"]) for r in rows.select("host", domain.alias("d"), suffix.alias("s")).collect()} == want
+
+
+def test_beta_tails(spark):
+    """Against binomial sums: beta(a, b) is at most x as often as a or more of a + b - 1 draws are under x."""
+    cases = [(1, 1), (2, 1), (5, 1), (3, 7), (40, 20), (900, 700), (1, 60)]
+    rows = spark.createDataFrame([(float(a), float(b)) for a, b in cases], "a double, b double")
+    for x in (0.5, 0.3):
+        got = {(r["a"], r["b"]): r["p"] for r in rows.select("a", "b", hosts.below(F.col("a"), F.col("b"), x).alias("p")).collect()}
+        for a, b in cases:
+            n = a + b - 1
+            term = lambda j: math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(x) + (n - j) * math.log(1 - x))
+            assert got[a, b] == pytest.approx(sum(term(j) for j in range(a, n + 1)), abs=2e-3)
+
+
+def test_a_suffix_without_labels_takes_the_rate_of_all(spark):
+    urls = [f"http://h{i}.bad.org/{i}" for i in range(40)] + ["http://x.unseen/", "http://" + "h" * 30000 + ".org/" + "p" * 100000]
+    got = judged(spark, urls * 2, [(i, 0, 0) for i in range(40)])
+    assert got[40]["verdict"] == got[82]["verdict"] == "block"
+    assert len(got[41]["host"]) == 30004 and len(got[41]["path"]) == 100001
