@@ -8,11 +8,15 @@ that is added becomes a region of its own: it wins documents from every other re
 none move between those. Law: ``key``.
 
 slot counts a shard's documents from 0 without gaps: documents of a shard are dealt into
-cells by hash, cells are counted, and a document's slot is the count of the cells before
-its own plus its rank in the cell; only cell counts meet in one place.
+cells by a hash of id, size and checksum, as many cells as keep about ``CELL_ROWS`` rows each;
+a document's slot is the count of the cells before its own plus its rank in the cell, so only
+cell counts meet in one place. Rows that are equal in all three are counted as one row and
+share out a run of slots, so a third of all rows may be copies of one without a long sort.
 
 Edge cases: a null doc_id is drawn as the text "null"; equal ids share a shard and get
-different slots; an empty table has no rows; null text has size 1 and checksum 0.
+different slots, by size, then checksum (rows that are equal in all three differ in nothing
+that is reported); an empty table has no rows; null text has size 1 and checksum 0; columns of
+any name pass through assign() unchanged.
 """
 
 from __future__ import annotations
@@ -22,6 +26,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import own_prefix
+
+#: Rows that a cell holds on average, and offsets of cells that are broadcast; more are joined by shuffle.
+CELL_ROWS, BROADCAST_CELLS = 1 << 16, 1 << 18
 #: Children of the first shards: regions of racks of shards.
 SHARDS_PER_RACK, RACKS_PER_REGION = 4, 2
 
@@ -86,11 +94,17 @@ def by_level(tree: Node) -> list[list[list[tuple[str, float, int]]]]:
 
 
 def assign(docs: DataFrame, tree: Node, into: str = "shard") -> DataFrame:
-    """docs with the shard of each row; a narrow plan. One column per level says where a row stands."""
+    """docs with the shard of each row as its last column; a narrow plan, one step a level.
+
+    The column is called ``into``, with as many underscores after it as set it apart from docs' own.
+    """
+    while into.lower() in (c.lower() for c in docs.columns):
+        into += "_"
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     out = docs.withColumn(into, F.lit(0 if tree.children else tree.shard))
     for level in by_level(tree):
-        nodes = F.array(*(F.array(*(F.struct(F.lit(name).alias("name"), F.lit(weight).alias("weight"), F.lit(to).alias("to")) for name, weight, to in own)) for own in level))
+        child = lambda name, weight, to: F.struct(F.lit(name).alias("name"), F.lit(weight).alias("weight"), F.lit(to).alias("to"))
+        nodes = F.array(*(F.array(*(child(*c) for c in own)) for own in level))
         out = out.withColumn(into, _race(key, F.get(nodes, F.col(into))))
     return out
 
@@ -100,22 +114,30 @@ def _race(key: Column, children: Column) -> Column:
     return F.array_min(times)["to"]
 
 
-def with_slots(rows: DataFrame, cells: int = 256) -> DataFrame:
-    """rows (with doc_id, shard) with slot long. cells: per shard; raise it so that a cell's rows fit a task."""
-    cell = F.pmod(F.xxhash64("doc_id"), F.lit(cells)).cast("int")
-    dealt = rows.withColumn("_cell", cell)
-    counts = dealt.groupBy("shard", "_cell").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    # at most shards x cells rows of 16 bytes
-    rank = F.row_number().over(Window.partitionBy("shard", "_cell").orderBy("doc_id"))
-    ranked = dealt.withColumn("_rank", rank)
-    return ranked.join(F.broadcast(offsets), ["shard", "_cell"]).withColumn("slot", (F.col("_before") + F.col("_rank") - 1).cast("long")).drop("_cell", "_rank", "_before")
-
-
-def shard_report(docs: DataFrame, shards: int = 16, cells: int = 256) -> DataFrame:
+def with_slots(rows: DataFrame, shards: int, cells: int) -> DataFrame:
+    """rows (doc_id, shard below shards, and more) with slot long; cells: into which each shard is dealt."""
+    p = own_prefix(rows)
+    cell, n, before, first = (p + x for x in ("cell", "n", "before", "first"))
+    dealt = rows.groupBy(*rows.columns).agg(F.count("*").alias(n))
+    dealt = dealt.withColumn(cell, F.pmod(F.xxhash64(*rows.columns), F.lit(cells)).cast("int"))
+    counts = dealt.groupBy("shard", cell).agg(F.sum(n).alias(n))
+    ahead = Window.partitionBy("shard").orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", cell, F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(before))
+    within = Window.partitionBy("shard", cell).orderBy("doc_id", *rows.columns).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dealt.withColumn(first, F.coalesce(F.sum(n).over(within), F.lit(0)))
+    # 24 bytes for each cell of each shard
+    offsets = F.broadcast(offsets) if cells * shards <= BROADCAST_CELLS else offsets
+    out = ranked.join(offsets, ["shard", cell])
+    start = F.col(before) + F.col(first)
+    return out.select(*rows.columns, F.explode(F.sequence(start, start + F.col(n) - 1)).alias("slot"))
+
+
+def shard_report(docs: DataFrame, shards: int = 16, cell_rows: int = CELL_ROWS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
     tree = default_tree(shards)
     text = F.coalesce("text", F.lit(""))
-    narrow = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"), F.lit("key").alias("law"))
-    return with_slots(assign(assign(narrow, tree), add_shard(tree, shards), "grown_shard"), cells).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    size, crc = (F.octet_length(text) + 1).cast("long"), F.crc32(text).cast("long")
+    narrow = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), F.lit("key").alias("law"))
+    cells = max(1, -(-docs.count() // (cell_rows * shards)))
+    out = with_slots(assign(assign(narrow, tree), add_shard(tree, shards), "grown_shard"), shards + 1, cells)
+    return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -17,7 +17,7 @@ def plain_shard(key, node):
 
 def test_report_against_plain(spark):
     texts = ODD * 60
-    rows = hashtree.shard_report(documents(spark, texts), cells=8).collect()
+    rows = hashtree.shard_report(documents(spark, texts), cell_rows=5).collect()
     tree = hashtree.default_tree(16)
     grown = hashtree.add_shard(tree, 16)
     assert len(rows) == len(texts)
@@ -48,5 +48,11 @@ def test_null_and_repeated_ids_and_empty(spark):
     rows = hashtree.shard_report(documents(spark, ["a"] * 6, [None, None, 5, 5, 5, 6])).collect()
     assert len({(r["shard"], r["slot"]) for r in rows}) == 6
     assert len({r["shard"] for r in rows if r["doc_id"] == 5}) == 1
+    rows = hashtree.shard_report(documents(spark, ["a", "a", "b", None] * 50, [7, 7, 7, None] * 50), cell_rows=1).collect()
+    for s in {r["shard"] for r in rows}:
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sum(r["shard"] == s for r in rows)))
+    assert len(rows) == 200
     assert hashtree.shard_report(documents(spark, [])).count() == 0
-    assert {r["shard"] for r in hashtree.assign(documents(spark, ["a"], [1]), hashtree.default_tree(1)).collect()} == {0}
+    assert {r["shard"] for r in hashtree.assign(documents(spark, ["a"], [1]).drop("shard"), hashtree.default_tree(1)).collect()} == {0}
+    row = hashtree.assign(documents(spark, ["a"], [1]), hashtree.default_tree(1)).first()
+    assert (row["shard"], row["shard_"]) == ("x", 0)
