@@ -2,16 +2,24 @@
 
 Each round rewires every node to the least neighbour it knows; rounds grow with the
 logarithm of the longest chain. Edges stay in tables in the shared folder, never on the
-driver, which only compares a count and a checksum per round.
+driver, which compares a count and a checksum that each round observes while it writes.
+At most ``FEW_EDGES`` edges are settled by one task instead, in one pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.storage import stored
 
+#: Edges that one task settles: some tens of bytes each.
+FEW_EDGES = 1 << 17
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -26,24 +34,55 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).first()
-    return r["n"], r["h"]
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """edges as a table, and (count, checksum) of them."""
+    seen = Observation()
+    part = F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31))
+    table = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(part).alias("h")), "edges")
+    return table, (seen.get["n"], seen.get["h"])
+
+
+def joined_labels(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """labels (each the least of its set) after the sets of i and j are joined pairwise."""
+    while len(i):
+        a, b = labels[i], labels[j]
+        apart = a != b
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        if not len(i):
+            break
+        np.minimum.at(labels, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = labels[labels]
+            if (up == labels).all():
+                break
+            labels = up
+    return labels
+
 
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, component of all edges, which come to one task."""
+    held = [b for b in batches if b.num_rows]
+    if held:
+        edges = pa.Table.from_batches(held)
+        ends = pa.chunked_array([*edges.column(0).chunks, *edges.column(1).chunks])
+        nodes, at = np.unique(np.array(ends.to_pylist(), object if not pa.types.is_integer(ends.type) else None), return_inverse=True)
+        labels = joined_labels(np.arange(len(nodes)), at[: len(at) // 2], at[len(at) // 2 :])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes.tolist(), ends.type), pa.array(nodes[labels].tolist(), ends.type)], ["node", "component"])
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+
+def connected_components(edges: DataFrame, max_rounds: int = 60, few_edges: int = FEW_EDGES) -> DataFrame:
     """From edges (a, b) of any ordered type: node, component (its least node).
 
     Only nodes with an edge to another node are in the result; nulls and loops are ignored.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
-    edges = stored(edges.distinct(), "edges")
-    mark = _mark(edges)
+    edges, mark = _written(edges.distinct())
+    if mark[0] <= few_edges:
+        kind = edges.schema["a"].dataType.simpleString()
+        return edges.coalesce(1).mapInArrow(_settled, f"node {kind}, component {kind}")
     for _ in range(max_rounds):
-        if not mark[0]:
-            break
-        edges = stored(_small_star(_large_star(edges)), "edges")
-        before, mark = mark, _mark(edges)
+        before = mark
+        edges, mark = _written(_small_star(_large_star(edges)))
         if mark == before:
             break
     else:
