@@ -3,13 +3,19 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
 and read again as the next one's docs. All but the last return the columns of documents;
 the last adds the shard of each row.
+
+Edge cases: null, empty and very short texts fail the base rules and go in the first stage; rows
+with null or repeated ids are judged, grouped and mixed as rows of their own (unrelated texts of
+one id all stay, exactly repeated rows are copies of one another); empty tables go through all
+stages; columns of any other name pass through, and the shard's column is called ``shard``, with
+underscores after it where documents has one of that name.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanrow.llm import decontam, hashtree, iforest, mixing, resemblance
+from gleanrow.llm import decontam, hashtree, iforest, mixing, simhash
 from gleanrow.llm.common import new_path, read
 
 SHARDS = 16
@@ -21,8 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of five-word similarity 0.8 or more stays: that of the least doc_id."""
-    return resemblance.keep_one(docs)
+    """One document of each group of near copies (five-word similarity of 0.8 or more by their fingerprints) stays: that of the least doc_id."""
+    return simhash.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
