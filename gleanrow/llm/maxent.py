@@ -3,33 +3,39 @@
 Tokens are words (A-Z lower-cased) and one end per text. Training documents are those whose
 CRC-32 of the id, modulo ``FOLDS``, is not ``HELD_OUT``.
 
-The model. P(w | h) = P(class of w | h) * P(w | class of w, h). The frequent words fill
-classes of ``CLASS_WORDS`` by rank; every other word, known or not, is in a rare class that
-its letters decide, and the end is a class of its own. Class logits are sums of hashed
-features of the history: bias, last word (n-gram), the word before it (skip), and both
-together. Inside a frequent class logits are a bias and a hashed feature of the word and the
-last word. Inside a rare class a word has its smoothed share of that class's counts;
-each rare class keeps one share for unknown words. So probabilities sum to one.
-
-Training. All training tokens are counted, once for the vocabulary, once for
-(skip, last, class) and (last, word) events over hashed histories. Events are a table;
-each round sends the weights to its partitions, which return both terms of the likelihood's
-gradient (observed and expected counts) for one block of features, of which every history
-has exactly one. The block's update is the log of their ratio, smoothed: the scaled
-gradient step that cannot lower the likelihood. The number of events per partition is
-bounded by the hash sizes, not by the corpus.
-
-Scoring. Texts are scored in numpy batches from a few tables of fixed size. Counts of the
+The model. P(w | h) = P(class | h) * P(unit | class, last word) * P(w | unit). The ``FREQUENT``
+most frequent words are units of their own, in classes of ``CLASS_WORDS`` by rank. Every other
+word, known or not, belongs to one of ``RARE_UNITS`` units of one of ``RARE`` classes: its letters
+decide the class, its hash the unit, and in a unit words have their smoothed shares, with one
+share for unknown words. The end is a class of its own. So all words have features and the
+probabilities sum to one. Class logits are sums of hashed features of the history: bias, last
+word (n-gram), the word before it (skip), and both together; unit logits are a bias and a hashed
+feature of last word and unit. Histories are hashed real words: the most frequent have a bucket
+each, all others share theirs by hash.
+
+Training. All training tokens are counted, once for the vocabulary, once for (skip, last, class)
+and (last, unit) events. Events are a table; the first pass starts the last-word weights at their
+smoothed log odds, then each round sends the weights to the partitions of events, which return
+the gradient of the log likelihood (observed less expected counts) and the likelihood itself.
+The step is that gradient under a Gaussian prior, scaled per feature by its counts; a round that
+does not raise the penalised likelihood is taken back and the step halved. Events are dealt by
+groups of last words that share no hashed features, and a partition returns the features that it
+has seen; all they return, and the number of possible events, is bounded by the hash sizes.
+
+Scoring. Texts are scored in numpy batches from tables of fixed size. Counts of the
 ``BROADCAST_WORDS`` most frequent words travel with the model; tokens of other words are
-joined with the counts of all words, so base scores and rare words are exact.
+joined with the counts of all words, so base scores and shares are exact. Words over ``LONGEST``
+bytes are counted by their 128-bit digests.
 
 Edge cases: a null or empty text has one token, its end; a null id is trained on and not
 held out; repeated rows are each counted and scored; without training tokens V and N are
-zero and every probability is that of an unknown word; an empty table gives an empty result.
+zero and every probability is that of an unknown word; an empty table gives an empty result;
+doc_id is an integer; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import Counter
@@ -46,26 +52,34 @@ from pyspark.sql import functions as F
 from .common import stored
 
 FOLDS, HELD_OUT = 7, 2
-FREQUENT, CLASS_WORDS, RARE = 2048, 32, 32
-CLASSES = FREQUENT // CLASS_WORDS + RARE + 1
+FREQUENT, CLASS_WORDS, RARE, RARE_UNITS = 8192, 128, 32, 64
+UNITS = FREQUENT + RARE * RARE_UNITS
+FREQUENT_CLASSES = FREQUENT // CLASS_WORDS
+CLASSES = FREQUENT_CLASSES + RARE + 1
 END_CLASS = CLASSES - 1
-#: Hashed histories: the first words have a bucket each, the others share those of the rare classes.
-OWN_BUCKETS = 96
-BUCKETS = OWN_BUCKETS + RARE + 1
-START = BUCKETS - 1
-PAIRS, WORD_WEIGHTS = 1 << 12, 1 << 17
-#: Times that each block is updated, and the counts added to both terms of a block's gradient.
-ROUNDS, PRIORS = 3, {"last": 3.0, "skip": 6.0, "pair": 12.0, "word": 6.0}
+#: First unit of each class but the end's.
+CLASS_STARTS = np.concatenate([np.arange(FREQUENT_CLASSES) * CLASS_WORDS, FREQUENT + np.arange(RARE) * RARE_UNITS])
+#: History buckets: words of their own, hashed ones, and the start of a text.
+LAST_OWN, LAST_HASHED, SKIP_OWN, SKIP_HASHED = 2048, 512, 256, 128
+LASTS, SKIPS = LAST_OWN + LAST_HASHED + 1, SKIP_OWN + SKIP_HASHED + 1
+LAST_START, SKIP_START = LASTS - 1, SKIPS - 1
+#: Features of pairs and of (last, unit) lie in GROUPS by the last word, so that a partition of events has its own.
+GROUPS, PAIRS, WORD_WEIGHTS = 64, 1 << 13, 1 << 20
+#: Gradient rounds, first step, precision of the prior, and counts added to a feature's own in its scale.
+ROUNDS, STEP, PRECISION, SMOOTH = 5, 0.5, 0.05, 3.0
 EVENT_PARTITIONS = 12
-BLOCKS = ("last", "skip", "pair")
-#: Words whose counts travel with the model, and the longest such word in bytes.
+#: Words whose counts travel with the model, and the longest word that is kept as it is, in bytes.
 BROADCAST_WORDS, LONGEST = 150_000, 64
-#: Words that a task counts before it hands them on.
-COUNTED = 1 << 19
+#: Words, and tokens, that a task counts before it hands them on.
+COUNTED, COUNTED_TOKENS = 1 << 19, 1 << 22
 
 
 def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space only
+    words = (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space only
+    if words and max(map(len, words)) > LONGEST:
+        # no word has a space
+        return [w if len(w) <= LONGEST else b" " + hashlib.md5(w).digest() for w in words]
+    return words
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -80,12 +94,25 @@ def rare_class(word: bytes) -> int:
     return RARE // 2 + (marks * 7 + word[-1]) % (RARE // 2)
 
 
+def places(word: bytes, rank: int) -> tuple[int, int, int]:
+    """(unit, last bucket, skip bucket) of a word; ranks from FREQUENT on are all alike."""
+    h = zlib.crc32(word)
+    unit = rank if rank < FREQUENT else FREQUENT + rare_class(word) * RARE_UNITS + (h >> 16) % RARE_UNITS
+    return unit, rank if rank < LAST_OWN else LAST_OWN + h % LAST_HASHED, rank if rank < SKIP_OWN else SKIP_OWN + (h >> 9) % SKIP_HASHED
+
+
+def class_of(unit: np.ndarray) -> np.ndarray:
+    """Class of units; -1 is the end."""
+    rare = FREQUENT_CLASSES + (unit - FREQUENT) // RARE_UNITS
+    return np.where(unit < 0, END_CLASS, np.where(unit < FREQUENT, unit // CLASS_WORDS, rare))
+
+
 def pair_hash(skip: np.ndarray, last: np.ndarray) -> np.ndarray:
-    return (skip * 7919 + last * 104729) % PAIRS
+    return last % GROUPS * (PAIRS // GROUPS) + (skip * 7919 + last // GROUPS * 104729) % (PAIRS // GROUPS)
 
 
-def word_hash(last: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return (last * 1000003 + word * 8191) % WORD_WEIGHTS
+def word_hash(last: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    return last % GROUPS * (WORD_WEIGHTS // GROUPS) + (last // GROUPS * 1000003 + unit * 8191) % (WORD_WEIGHTS // GROUPS)
 
 
 # -- vocabulary ---------------------------------------------------------------------------
@@ -125,21 +152,41 @@ class Weights:
 
     frequent: int = 0
     bias: np.ndarray = _zeros(CLASSES)
-    last: np.ndarray = _zeros(BUCKETS, CLASSES)
-    skip: np.ndarray = _zeros(BUCKETS, CLASSES)
+    last: np.ndarray = _zeros(LASTS, CLASSES)
+    skip: np.ndarray = _zeros(SKIPS, CLASSES)
     pair: np.ndarray = _zeros(PAIRS, CLASSES)
-    word_bias: np.ndarray = _zeros(FREQUENT)
+    unit: np.ndarray = _zeros(UNITS)
     word: np.ndarray = _zeros(WORD_WEIGHTS)
 
-    def class_logits(self, skip: np.ndarray, last: np.ndarray) -> np.ndarray:
-        return self.bias + self.last[last] + self.skip[skip] + self.pair[pair_hash(skip, last)]
-
-    def word_logits(self, last: np.ndarray) -> np.ndarray:
-        """One row per last bucket, one column per frequent word, normalised within each class."""
-        w = np.arange(FREQUENT)
-        x = self.word_bias + self.word[word_hash(last[:, None], w[None, :])]
-        x = np.where(w < self.frequent, x, -np.inf).reshape(len(last), -1, CLASS_WORDS)
-        return _log_softmax(x).reshape(len(last), FREQUENT)
+    def blocks(self) -> list[np.ndarray]:
+        return [self.bias, self.last, self.skip, self.pair, self.unit, self.word]
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.blocks()]).astype(float)
+
+    def set_flat(self, x: np.ndarray) -> None:
+        at = 0
+        for block in self.blocks():
+            block[...] = x[at : at + block.size].reshape(block.shape)
+            at += block.size
+
+    def class_log_p(self, skip: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log probabilities of the classes after each history, logs of their softmax's sums)."""
+        x = self.bias + self.last[last] + self.skip[skip] + self.pair[pair_hash(skip, last)]
+        top = x.max(axis=1, keepdims=True)
+        z = top + np.log(np.exp(x - top).sum(axis=1, keepdims=True))
+        return x - z, z[:, 0]
+
+    def unit_log_p(self, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log probabilities of the units in their classes after each last word, logs of the classes' sums)."""
+        u = np.arange(UNITS)
+        x = self.unit + self.word[word_hash(last[:, None], u[None, :])]
+        there = (u < self.frequent) | (u >= FREQUENT)
+        top = x.max(axis=1, keepdims=True)
+        sums = np.add.reduceat(np.where(there, np.exp(x - top), 0), CLASS_STARTS, axis=1)
+        z = np.log(np.maximum(sums, 1e-30)) + top  # a class without words has no tokens either
+        sizes = np.diff(np.append(CLASS_STARTS, UNITS))
+        return x - np.repeat(z, sizes, axis=1), z
 
 
 @dataclass
@@ -151,49 +198,45 @@ class Model:
     words: list[bytes] = field(default_factory=list)  # by rank, the end left out
     counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     end_count: int = 0
-    rare_total: np.ndarray = field(default_factory=lambda: np.zeros(RARE))
-    rare_types: np.ndarray = field(default_factory=lambda: np.zeros(RARE))
+    unit_total: np.ndarray = field(default_factory=lambda: np.zeros(UNITS))
+    unit_types: np.ndarray = field(default_factory=lambda: np.zeros(UNITS))
     weights: Weights = field(default_factory=Weights)
+    #: Penalised log likelihood per training token, at the start and after each round.
+    history: list[float] = field(default_factory=list)
+    class_z: np.ndarray = _zeros(0)
+    unit_z: np.ndarray = _zeros(0)
 
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=-1, keepdims=True)
-    top = np.where(np.isfinite(top), top, 0)  # a class without words stays at -inf
-    total = np.exp(x - top).sum(axis=-1, keepdims=True)
-    return x - top - np.log(np.where(total > 0, total, 1))
-
-
-def classes_and_buckets(rank: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class and history bucket of tokens; rank -1: the end; rank >= FREQUENT: a word of class rare. rare is by letters for every word."""
-    cls = np.where(rank < 0, END_CLASS, np.where(rank < FREQUENT, rank // CLASS_WORDS, FREQUENT // CLASS_WORDS + rare))
-    bucket = np.where((rank >= 0) & (rank < OWN_BUCKETS), rank, OWN_BUCKETS + rare)
-    return cls, bucket
+    def finish(self) -> None:
+        """The logs of all softmax sums, so that scoring needs no sum."""
+        lasts = np.arange(LASTS)
+        self.class_z = np.stack([self.weights.class_log_p(np.full(LASTS, s), lasts)[1] for s in range(SKIPS)]).astype(np.float32)
+        self.unit_z = np.concatenate([self.weights.unit_log_p(lasts[i : i + 256])[1] for i in range(0, LASTS, 256)]).astype(np.float32)
 
 
 class Reader:
-    """Texts as arrays: rank, class and histories of their tokens, several texts after one another."""
+    """Texts as arrays: rank, unit and histories of their tokens, several texts after one another."""
 
     def __init__(self, words: list[bytes]):
         self.known = {w: i for i, w in enumerate(words)} | {b"": -1}  # no word is empty: the end
-        self.rare = np.array([rare_class(w) for w in words] + [0], np.int64)
-        self.beyond = max(len(words), FREQUENT)
+        self.places = np.array([places(w, i) for i, w in enumerate(words)] + [(0, 0, 0), (-1, 0, 0)], np.int64)
+        self.beyond = len(words)
 
     def read(self, texts: list[list[bytes]]):
+        """rank (-1: the end, beyond: not a word that travels), unit, last, skip; the texts' first tokens."""
         flat = [w for t in texts for w in (*t, b"")]
         rank = np.fromiter(map(self.known.get, flat, repeat(self.beyond)), np.int64, len(flat))
-        rare = self.rare[np.minimum(rank, len(self.rare) - 1)]
-        for i in np.flatnonzero(rank == self.beyond).tolist():
-            rare[i] = rare_class(flat[i])
+        unit, as_last, as_skip = self.places[rank].T.copy()
+        strange = np.flatnonzero(rank == self.beyond)
+        if len(strange):
+            seen = {w: places(w, FREQUENT) for w in {flat[i] for i in strange}}
+            unit[strange], as_last[strange], as_skip[strange] = np.array([seen[flat[i]] for i in strange]).T
         sizes = np.array([len(t) + 1 for t in texts])
-        stops = np.cumsum(sizes) - 1
-        cls, bucket = classes_and_buckets(rank, rare)
+        starts = np.cumsum(sizes) - sizes
         # histories start anew with each text
-        last, skip = np.append(START, bucket[:-1]), np.append([START, START], bucket[:-2])[: len(bucket)]
-        starts = stops - sizes + 1
-        last[starts], skip[starts] = START, START
-        second = starts[sizes > 1] + 1
-        skip[second] = START
-        return rank, rare, cls, last, skip, starts
+        last, skip = np.append(LAST_START, as_last[:-1]), np.append([SKIP_START, SKIP_START], as_skip[:-2])[: len(flat)]
+        last[starts], skip[starts] = LAST_START, SKIP_START
+        skip[starts[sizes > 1] + 1] = SKIP_START
+        return rank, unit, last, skip, starts
 
 
 def _parts(batch: pa.RecordBatch, rows: int = 400) -> Iterator[pa.RecordBatch]:
@@ -204,78 +247,103 @@ def _parts(batch: pa.RecordBatch, rows: int = 400) -> Iterator[pa.RecordBatch]:
 
 
 def _events(shared):
+    def out(kind: int, keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key, n = np.unique(np.concatenate(keys), return_counts=True)
+        for i in range(0, len(key), 100_000):
+            some = key[i : i + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), pa.array(some), pa.array(n[i : i + 100_000])], ["kind", "key", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value.words)
-        of_class = np.zeros(BUCKETS * BUCKETS * CLASSES, np.int32)
-        of_word = np.zeros(BUCKETS * FREQUENT, np.int64)
+        reader = Reader(shared.value)
+        of_class, of_unit, held = [], [], 0
         for batch in batches:
             for part in _parts(batch):
                 texts = [tokens(t.as_py()) for d, t in zip(part.column(0).to_pylist(), part.column(1), strict=True) if not held_out(d)]
-                if texts:
-                    rank, _, cls, last, skip, _ = reader.read(texts)
-                    key, n = np.unique((skip * BUCKETS + last) * CLASSES + cls, return_counts=True)
-                    of_class[key] += n.astype(np.int32)
-                    own = (rank >= 0) & (rank < FREQUENT)
-                    of_word += np.bincount(last[own] * FREQUENT + rank[own], minlength=len(of_word))
-        for kind, counts in ((0, of_class), (1, of_word)):
-            at = np.flatnonzero(counts)
-            for i in range(0, len(at), 100_000):
-                some = at[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), pa.array(some), pa.array(counts[some].astype(np.int64))], ["kind", "key", "n"])
+                if not texts:
+                    continue
+                _, unit, last, skip, _ = reader.read(texts)
+                of_class.append((skip * LASTS + last) * CLASSES + class_of(unit))
+                own = unit >= 0
+                of_unit.append(last[own] * UNITS + unit[own])
+                held += len(unit)
+                if held >= COUNTED_TOKENS:
+                    yield from out(0, of_class)
+                    yield from out(1, of_unit)
+                    of_class, of_unit, held = [], [], 0
+        if held:
+            yield from out(0, of_class)
+            yield from out(1, of_unit)
 
     return run
 
 
-def _gradient(shared, block: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums over this partition's events: observed and expected counts of the block's features.
+def _sum_rows(total: np.ndarray, feature: np.ndarray, x: np.ndarray) -> None:
+    order = np.argsort(feature, kind="stable")
+    some, first = np.unique(feature[order], return_index=True)
+    total[some] += np.add.reduceat(x[order], first, axis=0)
+
 
-        Only rows of features that occur are returned, so all partitions together return
-        no more than the histories that there can be, however many partitions there are.
-        """
+def _class_sums(w: Weights, key: np.ndarray, n: np.ndarray, seen: Weights, want: Weights) -> float:
+    """Adds observed and expected counts of the class features; the events' log likelihood."""
+    groups, at = np.unique(key // CLASSES, return_inverse=True)
+    skip, last = groups // LASTS, groups % LASTS
+    observed = np.bincount(at * CLASSES + key % CLASSES, n, len(groups) * CLASSES).reshape(-1, CLASSES)
+    log_p, _ = w.class_log_p(skip, last)
+    expected = np.exp(log_p) * observed.sum(axis=1, keepdims=True)
+    for sums, x in ((seen, observed), (want, expected)):
+        sums.bias += x.sum(axis=0)
+        for block, feature in ((sums.last, last), (sums.skip, skip), (sums.pair, pair_hash(skip, last))):
+            _sum_rows(block, feature, x)
+    return float((observed * log_p).sum())
+
+
+def _unit_sums(w: Weights, key: np.ndarray, n: np.ndarray, seen: Weights, want: Weights) -> float:
+    """The same for the unit features, some last words at a time."""
+    total = 0.0
+    order = np.argsort(key, kind="stable")  # a batch may come from several files
+    key, n = key[order], n[order]
+    lasts = np.unique(key // UNITS)
+    for i in range(0, len(lasts), 128):
+        some = lasts[i : i + 128]
+        lo, hi = np.searchsorted(key, (some[0] * UNITS, (some[-1] + 1) * UNITS))
+        at = np.searchsorted(some, key[lo:hi] // UNITS)
+        observed = np.bincount(at * UNITS + key[lo:hi] % UNITS, n[lo:hi], len(some) * UNITS).reshape(-1, UNITS)
+        log_p, _ = w.unit_log_p(some)
+        of_class = np.add.reduceat(observed, CLASS_STARTS, axis=1)
+        expected = np.exp(log_p) * np.repeat(of_class, np.diff(np.append(CLASS_STARTS, UNITS)), axis=1)
+        index = word_hash(some[:, None], np.arange(UNITS)[None, :]).ravel()
+        for sums, x in ((seen, observed), (want, expected)):
+            sums.unit += x.sum(axis=0)
+            sums.word += np.bincount(index, x.ravel(), WORD_WEIGHTS)
+        total += float(log_p[observed > 0] @ observed[observed > 0])
+    return total
+
+
+def _gradient(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row: this partition's log likelihood, the features that it has seen, their observed and expected counts."""
         w: Weights = shared.value
-        sums = {block: np.zeros((2, *getattr(w, block).shape)), "word": np.zeros((2, WORD_WEIGHTS, 1))}
+        seen, want, total = Weights(), Weights(), 0.0
         for batch in batches:
             kind, key, n = (batch.column(i).to_numpy() for i in range(3))
-            for k, add in ((0, _class_sums), (1, _word_sums)):
+            for k, add in ((0, _class_sums), (1, _unit_sums)):
                 own = kind == k
                 if own.any():
-                    add(w, key[own], n[own].astype(float), sums, block)
-        for name, x in sums.items():
-            rows = np.flatnonzero(x.any(axis=(0, 2)))
-            if len(rows):
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([rows.astype(np.int32).tobytes()], pa.binary()), pa.array([x[:, rows].astype(np.float32).tobytes()], pa.binary())], ["name", "rows", "sums"])
+                    total += add(w, key[own], n[own].astype(float), seen, want)
+        seen, want = seen.flat(), want.flat()
+        at = np.flatnonzero(want)
+        blobs = [pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), seen[at].astype(np.float32), want[at].astype(np.float32))]
+        yield pa.RecordBatch.from_arrays([pa.array([total]), *blobs], ["total", "at", "seen", "want"])
 
     return run
 
 
-def _class_sums(w: Weights, key: np.ndarray, n: np.ndarray, sums: dict, block: str) -> None:
-    groups, at = np.unique(key // CLASSES, return_inverse=True)
-    skip, last = groups // BUCKETS, groups % BUCKETS
-    seen = np.bincount(at * CLASSES + key % CLASSES, n, len(groups) * CLASSES).reshape(-1, CLASSES)
-    want = np.exp(_log_softmax(w.class_logits(skip, last).astype(float))) * seen.sum(axis=1, keepdims=True)
-    feature = {"last": last, "skip": skip}[block] if block != "pair" else pair_hash(skip, last)
-    order = np.argsort(feature, kind="stable")
-    some, first = np.unique(feature[order], return_index=True)
-    for total, x in zip(sums[block], (seen, want), strict=True):
-        total[some] += np.add.reduceat(x[order], first, axis=0)
-
-
-def _word_sums(w: Weights, key: np.ndarray, n: np.ndarray, sums: dict, block: str) -> None:
-    groups, at = np.unique(key // FREQUENT, return_inverse=True)
-    seen = np.bincount(at * FREQUENT + key % FREQUENT, n, len(groups) * FREQUENT).reshape(-1, FREQUENT // CLASS_WORDS, CLASS_WORDS)
-    want = np.exp(w.word_logits(groups)).reshape(seen.shape) * seen.sum(axis=2, keepdims=True)
-    index = word_hash(groups[:, None], np.arange(FREQUENT)[None, :]).ravel()
-    for total, x in zip(sums["word"], (seen, want), strict=True):
-        total[:, 0] += np.bincount(index, x.ravel(), WORD_WEIGHTS)
-
-
 def top_words(counts: DataFrame, most: int = BROADCAST_WORDS) -> tuple[list[bytes], np.ndarray]:
     """(words, counts) by falling count: all words over a count that at most ``most`` words reach.
 
     The count comes from a histogram of fixed size, so no task or driver sees more than ``most`` words.
     """
-    short = counts.where((F.length("word") > 0) & (F.length("word") <= LONGEST))
+    short = counts.where(F.length("word") > 0)
     step = F.when(F.col("c") < 1024, F.col("c")).otherwise(1024 + F.floor((F.log2("c") - 10) * 64)).cast("long")
     histogram = sorted(((r["step"], r["n"]) for r in short.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True)
     least, taken = None, 0
@@ -299,59 +367,83 @@ def train(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     end = counts.where(F.length("word") == 0).select("c").first()
     words, top = top_words(counts)
     m = Model(n=total["n"], v=total["v"], end_count=end["c"] if end else 0, words=words, counts=top)
-    m.rare_total, m.rare_types = _rare_sums(counts, sc.broadcast(set(m.words[:FREQUENT])))
-    shared = sc.broadcast(Model(words=m.words))
+    _unit_counts(m, counts)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    events = rows.mapInArrow(_events(shared), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    events = rows.mapInArrow(_events(sc.broadcast(m.words)), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    last = F.when(F.col("kind") == 0, F.expr(f"(key div {CLASSES}) % {LASTS}")).otherwise(F.expr(f"key div {UNITS}"))
     # whole histories in a partition, so that a class's expected counts are computed once
-    history = F.when(F.col("kind") == 0, F.floor(F.col("key") / CLASSES)).otherwise(F.floor(F.col("key") / FREQUENT))
-    events = stored(events.repartition(EVENT_PARTITIONS, "kind", history).sortWithinPartitions("kind", "key"), "events")
+    events = stored(events.repartition(EVENT_PARTITIONS, last % GROUPS).sortWithinPartitions("kind", "key"), "events")
     w = m.weights
     w.frequent = min(FREQUENT, len(m.words))
-    w.word_bias[: w.frequent] = np.log(m.counts[: w.frequent])
-    w.bias[:] = np.log(np.concatenate([_class_totals(m), m.rare_total, [m.end_count]]) + 0.5)
-    for block in BLOCKS * rounds:
-        _step(w, events, block)
+    w.unit[:] = np.log(m.unit_total + 0.5)
+    by_class = np.add.reduceat(m.unit_total, CLASS_STARTS)
+    w.bias[:] = np.log(np.append(by_class, m.end_count) + 0.5)
+    _ascend(m, events, rounds)
+    m.finish()
     return m
 
 
-def _class_totals(m: Model) -> np.ndarray:
-    counts = np.zeros(FREQUENT)
-    counts[: m.weights.frequent] = m.counts[: m.weights.frequent]
-    return counts.reshape(-1, CLASS_WORDS).sum(axis=1)
-
-
-def _rare_sums(counts: DataFrame, frequent) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and types of every rare class, over the whole vocabulary."""
+def _unit_counts(m: Model, counts: DataFrame) -> None:
+    """Tokens and types of every unit, over the whole vocabulary."""
+    frequent = counts.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(m.words[:FREQUENT])})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, types, own = np.zeros(RARE, np.int64), np.zeros(RARE, np.int64), frequent.value
+        sums, own = np.zeros((2, UNITS), np.int64), frequent.value
         for batch in batches:
             for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if w and w not in own:
-                    r = rare_class(w)
-                    total[r] += c
-                    types[r] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(RARE)), pa.array(total), pa.array(types)], ["r", "total", "types"])
+                if w:
+                    unit = places(w, own.get(w, FREQUENT))[0]
+                    sums[0, unit] += c
+                    sums[1, unit] += 1
+        at = np.flatnonzero(sums[1])
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(x[at]) for x in sums)], ["unit", "total", "types"])
 
-    sums = counts.select("word", "c").mapInArrow(run, "r long, total long, types long").groupBy("r").agg(F.sum("total").alias("total"), F.sum("types").alias("types"))
-    total, types = np.zeros(RARE), np.zeros(RARE)
-    for r in sums.collect():
-        total[r["r"]], types[r["r"]] = r["total"], r["types"]
-    return total, types
+    found = counts.select("word", "c").mapInArrow(run, "unit long, total long, types long")
+    for r in found.groupBy("unit").agg(F.sum("total").alias("total"), F.sum("types").alias("types")).collect():  # at most UNITS rows
+        m.unit_total[r["unit"]], m.unit_types[r["unit"]] = r["total"], r["types"]
 
 
-def _step(w: Weights, events: DataFrame, block: str) -> None:
-    """One update of a block and of the word features: the partitions' sums are of fixed size."""
+def _measured(w: Weights, events: DataFrame) -> tuple[float, np.ndarray, np.ndarray]:
+    """(log likelihood, observed, expected counts): sums over at most GROUPS partitions with events."""
     shared = events.sparkSession.sparkContext.broadcast(w)
-    sums = {name: np.zeros((2, *getattr(w, name).shape)) for name in (block, "word")}
-    for r in events.select("kind", "key", "n").mapInArrow(_gradient(shared, block), "name string, rows binary, sums binary").collect():
-        total, rows = sums[r["name"]], np.frombuffer(bytes(r["rows"]), np.int32)
-        total[:, rows] += np.frombuffer(bytes(r["sums"]), np.float32).reshape(2, len(rows), *total.shape[2:])
-    for name, (seen, want) in sums.items():
-        weights = getattr(w, name)
-        weights += np.log((seen + PRIORS[name]) / (want + PRIORS[name])).astype(np.float32)
+    found = events.select("kind", "key", "n").mapInArrow(_gradient(shared), "total double, at binary, seen binary, want binary")
+    total, (seen, want) = 0.0, np.zeros((2, sum(x.size for x in w.blocks())))
+    for r in found.where("length(at) > 0").collect():
+        at = np.frombuffer(bytes(r["at"]), np.int32)
+        total += r["total"]
+        seen[at] += np.frombuffer(bytes(r["seen"]), np.float32)
+        want[at] += np.frombuffer(bytes(r["want"]), np.float32)
     shared.unpersist()
+    return total, seen, want
+
+
+def _ascend(m: Model, events: DataFrame, rounds: int) -> None:
+    """Rounds of scaled gradient steps on the penalised likelihood; m.history has its value after each."""
+    w, n = m.weights, max(m.n, 1)
+    total, seen, want = _measured(w, events)
+    if not seen.any():
+        return
+    # biases stand for the priors of classes and units: the penalty leaves them alone
+    free = np.concatenate([np.zeros(CLASSES), np.ones(w.last.size + w.skip.size + w.pair.size), np.zeros(UNITS), np.ones(WORD_WEIGHTS)])
+    start, odds = w.flat(), np.log((seen + SMOOTH) / (want + SMOOTH))
+    only = np.concatenate([np.zeros(CLASSES), np.ones(w.last.size), np.zeros(w.skip.size + w.pair.size + UNITS), np.ones(WORD_WEIGHTS)])
+    at, step = start + odds * only, STEP
+    value = lambda t, x: (t - PRECISION / 2 * (free * x * x).sum()) / n
+    w.set_flat(at)
+    total, seen, want = _measured(w, events)
+    best = value(total, at)
+    m.history = [best]
+    for _ in range(rounds):
+        gradient = seen - want - PRECISION * free * at
+        trial = at + step * gradient / (np.maximum(seen, want) + SMOOTH)
+        w.set_flat(trial)
+        total, seen_, want_ = _measured(w, events)
+        if value(total, trial) > best:
+            at, best, seen, want = trial, value(total, trial), seen_, want_
+        else:
+            step /= 2
+        m.history.append(best)
+    w.set_flat(at)
 
 
 # -- scoring ------------------------------------------------------------------------------
@@ -364,30 +456,29 @@ def _score(shared):
         m: Model = shared.value
         reader = Reader(m.words)
         w = m.weights
-        log_z = _normalisers(w)
-        word_p = w.word_logits(np.arange(BUCKETS))
         base_of = np.log10(np.concatenate([m.counts + 1.0, [1.0, m.end_count + 1.0]])) - math.log10(m.n + m.v + 1)
-        rare_of = np.log(m.rare_total + m.rare_types + 1)
+        share = -np.log(m.unit_total + m.unit_types + 1)
+        share[:FREQUENT] = 0
+        more_of = np.append(np.log(m.counts + 1.0), [0.0, 0.0])  # a rare word's count, where it is known here
+        more_of[:FREQUENT] = 0
+        more_of[-2:] = 0
         uid = TaskContext.get().partitionId() << 33
-        known = len(m.words)
         for batch in batches:
             for part in _parts(batch):
                 ids = part.column(0).to_pylist()
                 texts = [tokens(t.as_py()) for t in part.column(1)]
-                rank, rare, cls, last, skip, starts = reader.read(texts)
-                p = w.bias[cls] + w.last[last, cls] + w.skip[skip, cls] + w.pair[pair_hash(skip, last), cls] - log_z[skip, last]
-                p = p.astype(float)
-                frequent = (rank >= 0) & (rank < FREQUENT) & (rank < known)
-                p[frequent] += word_p[last[frequent], rank[frequent]]
-                middle = (rank >= FREQUENT) & (rank < known)
-                p[middle] += np.log(m.counts[rank[middle]] + 1.0) - rare_of[rare[middle]]
+                rank, unit, last, skip, starts = reader.read(texts)
+                cls = class_of(unit)
+                p = (w.bias[cls] + w.last[last, cls] + w.skip[skip, cls] + w.pair[pair_hash(skip, last), cls] - m.class_z[skip, last]).astype(float)
+                own = unit >= 0
+                u, prev = unit[own], last[own]
+                p[own] += w.unit[u] + w.word[word_hash(prev, u)] - m.unit_z[prev, cls[own]] + share[u]
+                p += more_of[rank]
                 beyond = rank == reader.beyond
-                p[beyond] -= rare_of[rare[beyond]]
-                base = base_of[np.where(rank < 0, known + 1, np.minimum(rank, known))]
+                base = base_of[rank]
                 far = [Counter(x for x in t if x not in reader.known) if b else {} for t, b in zip(texts, np.add.reduceat(beyond, starts), strict=True)]
                 sizes = [len(t) + 1 for t in texts]
-                ends_known = int(m.end_count > 0)
-                n_known = np.add.reduceat((rank >= 0) & ~beyond, starts) + ends_known
+                n_known = np.add.reduceat((rank >= 0) & ~beyond, starts) + int(m.end_count > 0)
                 offsets = np.concatenate([[0], np.cumsum([len(f) for f in far])]).astype(np.int32)
                 words = pa.array([w for f in far for w in f], pa.binary())
                 times = pa.array([k for f in far for k in f.values()], pa.int64())
@@ -401,17 +492,6 @@ def _score(shared):
     return run
 
 
-def _normalisers(w: Weights) -> np.ndarray:
-    """log of the class softmax's sum for every (skip, last) history."""
-    out = np.zeros((BUCKETS, BUCKETS))
-    every = np.arange(BUCKETS)
-    for skip in range(BUCKETS):
-        x = w.class_logits(np.full(BUCKETS, skip), every).astype(float)
-        top = x.max(axis=1)
-        out[skip] = top + np.log(np.exp(x - top[:, None]).sum(axis=1))
-    return out
-
-
 def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -51,39 +51,88 @@ def test_model_beats_the_base_on_held_out_texts(scored):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
-def test_probabilities_sum_to_one(spark):
-    """All known tokens and every class's unknown word after one history."""
-    docs = documents(spark, languages(120))
-    counts = maxent.word_counts(docs).cache()
-    m = maxent.train(docs, counts, rounds=1)
-    words = [r["word"] for r in counts.collect()]
+def plain_token(m, counts, word, last, skip):
+    """log probability of a token by sums over all classes and over all units of its class. word None: the end."""
     w = m.weights
-    skip, last = np.array([maxent.START]), np.array([3])
-    p_class = np.exp(maxent._log_softmax(w.class_logits(skip, last).astype(float)))[0]
-    p_word = np.exp(w.word_logits(last))[0]
     rank = {x: i for i, x in enumerate(m.words)}
-    total = p_class[maxent.END_CLASS]
-    rare_size = m.rare_total + m.rare_types + 1
-    by = {r["word"]: r["c"] for r in counts.collect()}
-    for x in words:
-        if x and rank.get(bytes(x), 10**9) < maxent.FREQUENT:
-            total += p_class[rank[bytes(x)] // maxent.CLASS_WORDS] * p_word[rank[bytes(x)]]
-        elif x:
-            r = maxent.rare_class(bytes(x))
-            total += p_class[maxent.FREQUENT // maxent.CLASS_WORDS + r] * (by[x] + 1) / rare_size[r]
-    total += sum(p_class[maxent.FREQUENT // maxent.CLASS_WORDS + r] / rare_size[r] for r in range(maxent.RARE))
-    empty = sum(p_class[c] for c in range(maxent.FREQUENT // maxent.CLASS_WORDS) if c * maxent.CLASS_WORDS >= w.frequent)
-    assert total + empty == pytest.approx(1, abs=1e-5)
-
-
-def test_words_that_do_not_travel_give_the_same_scores(spark, monkeypatch):
+    bucket = lambda x, own, kind: kind if x == "start" else maxent.places(x, min(rank.get(x, maxent.FREQUENT), maxent.FREQUENT))[own]
+    a, b = bucket(last, 1, maxent.LAST_START), bucket(skip, 2, maxent.SKIP_START)
+    pair = maxent.pair_hash(np.array([b]), np.array([a]))[0]
+    logits = [float(w.bias[c]) + float(w.last[a, c]) + float(w.skip[b, c]) + float(w.pair[pair, c]) for c in range(maxent.CLASSES)]
+    log_sum = lambda xs: max(xs) + math.log(sum(math.exp(x - max(xs)) for x in xs))
+    if word is None:
+        return logits[maxent.END_CLASS] - log_sum(logits)
+    unit = maxent.places(word, min(rank.get(word, maxent.FREQUENT), maxent.FREQUENT))[0]
+    cls = int(maxent.class_of(np.array([unit]))[0])
+    stop = [*maxent.CLASS_STARTS[1:], maxent.UNITS][cls]
+    units = [u for u in range(maxent.CLASS_STARTS[cls], stop) if u >= maxent.FREQUENT or u < w.frequent]
+    of = {u: float(w.unit[u]) + float(w.word[maxent.word_hash(np.array([a]), np.array([u]))[0]]) for u in units}
+    p = logits[cls] - log_sum(logits) + of[unit] - log_sum(list(of.values()))
+    if unit >= maxent.FREQUENT:
+        mine = [c for x, c in counts.items() if x and maxent.places(x, min(rank.get(x, maxent.FREQUENT), maxent.FREQUENT))[0] == unit]
+        p += math.log(counts.get(word, 0) + 1) - math.log(sum(mine) + len(mine) + 1)
+    return p
+
+
+def trained(docs, rounds):
+    counts = maxent.word_counts(docs).cache()
+    return maxent.train(docs, counts, rounds), counts
+
+
+def test_scores_against_plain_sums(spark, monkeypatch):
+    """Every token by brute force; few words travel, so that frequent, known, far and unknown words all occur."""
+    monkeypatch.setattr(maxent.top_words, "__defaults__", (90,))
+    texts = [*languages(60), None, "", "one", "never seen words 3x 5x", "=" * 200 + " 2y " + "=" * 200, "=" * 200]
+    docs = documents(spark, texts)
+    m, table = trained(docs, 2)
+    counts = {bytes(r["word"]): r["c"] for r in table.collect()}
+    rows = maxent.score(docs, m, table).orderBy("doc_id").collect()
+    assert len(m.words) <= 90 < len(counts)
+    for t, r in zip(texts[-12:], rows[-12:], strict=True):
+        want, last, skip = 0.0, "start", "start"
+        for word in [*maxent.tokens(t), None]:
+            want += plain_token(m, counts, word, last, skip)
+            last, skip = word, last
+        assert r["score"] == pytest.approx(want / math.log(10), rel=1e-4)
+
+
+def test_probabilities_sum_to_one(spark):
+    """All known tokens and every unit's unknown word after one history."""
+    m, table = trained(documents(spark, languages(120)), 1)
+    counts = {bytes(r["word"]): r["c"] for r in table.collect()}
+    word, before = m.words[3], m.words[50]
+    total = math.exp(plain_token(m, counts, None, word, before))
+    w = m.weights
+    a, b = maxent.places(word, 3)[1], maxent.places(before, 50)[2]
+    p_class = np.exp(w.class_log_p(np.array([b]), np.array([a]))[0][0].astype(float))
+    p_unit = np.exp(w.unit_log_p(np.array([a]))[0][0].astype(float))
+    for u in [*range(w.frequent), *range(maxent.FREQUENT, maxent.UNITS)]:
+        share = 1.0
+        if u >= maxent.FREQUENT:
+            mine = [c for x, c in counts.items() if x and x not in m.words[: maxent.FREQUENT] and maxent.places(x, maxent.FREQUENT)[0] == u]
+            share = (sum(mine) + len(mine) + 1) / (m.unit_total[u] + m.unit_types[u] + 1)
+        total += p_class[int(maxent.class_of(np.array([u]))[0])] * p_unit[u] * share
+    empty = sum(p_class[c] for c in range(maxent.FREQUENT_CLASSES) if c * maxent.CLASS_WORDS >= w.frequent)
+    assert total + empty == pytest.approx(1, abs=1e-4)
+
+
+def test_the_likelihood_rises_each_round(spark):
+    m, _ = trained(documents(spark, languages(200)), 4)
+    assert len(m.history) == 5 and m.history == sorted(m.history)
+    assert m.history[-1] > m.history[0] + 1e-3
+
+
+def test_words_that_do_not_travel_give_the_same_base_scores(spark, monkeypatch):
     docs = documents(spark, languages(60))
     one = maxent.score_documents(docs, rounds=1).orderBy("doc_id").collect()
     counts = maxent.word_counts(docs)
     words, n = maxent.top_words(counts, most=40)
     assert 0 < len(words) <= 40 and list(n) == sorted(n, reverse=True)
     assert min(n) > max(r["c"] for r in counts.collect() if r["word"] and bytes(r["word"]) not in words)
-    assert len(one) == 60
+    monkeypatch.setattr(maxent.top_words, "__defaults__", (40,))
+    two = maxent.score_documents(docs, rounds=1).orderBy("doc_id").collect()
+    for a, b in zip(one, two, strict=True):
+        assert a["base_score"] == pytest.approx(b["base_score"], rel=1e-9) and a["n_known"] == b["n_known"]
 
 
 def test_repeated_rows_null_ids_and_empty_table(spark):
