@@ -72,9 +72,9 @@ def distinct_cells(listings: DataFrame) -> DataFrame:
 
 
 def sample_cells(cells: DataFrame, share: float, seed: int) -> DataFrame:
-    """An exact share of the cells (at least one), the same for a seed: those with the least hash."""
+    """An exact share of the cells (at least one), the same for a seed on any engine: those with the least md5."""
     k = max(1, int(cells.count() * share))
-    return cells.orderBy(F.xxhash64("cell_id", F.lit(seed)), "cell_id").limit(k)
+    return cells.orderBy(F.md5(F.concat("cell_id", F.lit(f"|{seed}"))), "cell_id").limit(k)
 
 
 def parse_stats(parsed: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from ..functions.storage import stored
 from ..operators import blocking, calibration, clustering, fusion, geocode, grid, identity, quality, report, upsert
 from ..sinks.files import map_markers
 from ..sources import pages, tables
-from . import views
+from . import payload_catalog, state_catalog, views
 from .curate import curate
 from .sql import SQL
 
@@ -109,9 +109,8 @@ def q_conflict_groups(spark, sf_dir):
 
 @query
 def q_offset_median(spark, sf_dir):
-    most = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).first()[0]
     none = F.lit(None).cast("double")
-    members = listings(spark, sf_dir).where(F.col("k") <= most).withColumn("group_id", F.concat(F.lit("g"), F.col("k").cast("string")))
+    members = listings(spark, sf_dir).withColumn("group_id", F.concat(F.lit("g"), F.col("k").cast("string")))
     return calibration.offsets(members.select("group_id", "id", "platform", "latitude", "longitude", none.alias("geo_latitude"), none.alias("geo_longitude"), F.lit(100.0).alias("sigma_m")))
 
 
@@ -340,8 +339,8 @@ def q_curate(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return QUERIES | payload_catalog.QUERIES | state_catalog.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return SQL | payload_catalog.SQL | state_catalog.SQL

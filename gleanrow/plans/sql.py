@@ -77,7 +77,7 @@ SQL = {
  round(greatest(0.0, least(1.0, (150 - sigma) / 150)), 3) position_confidence, case when sigma <= {O.exact_max_sigma} then 'exact' else 'approximate' end location_precision from fu""",
     "q_conflict_groups": OBS + f""", p as (select distinct key, platform, latitude, longitude from o), q as (select a.key, max({hav('a', 'b')}) m from p a join p b on a.key = b.key and a.platform = 'booking' and b.platform = 'airbnb' group by a.key)
  select key, round(m, 3) max_distance_m from q where m > {O.disagreement_m}""",
-    "q_offset_median": L + f""", m as (select *, 'g' || cast(k as varchar) group_id from l where k <= (select max(s_suppkey) from supplier)), d as (select a.group_id, {hav('b', 'a')} d from m a join m b on a.group_id = b.group_id and a.platform = 'booking' and b.platform = 'airbnb'),
+    "q_offset_median": L + f""", m as (select *, 'g' || cast(k as varchar) group_id from l), d as (select a.group_id, {hav('b', 'a')} d from m a join m b on a.group_id = b.group_id and a.platform = 'booking' and b.platform = 'airbnb'),
  h as (select group_id, median(d) d from d group by group_id) select id, round(d, 1) offset_m, 'scraped' offset_source from m join h using (group_id)""",
     "q_sigma_calibration": OBS + f""", d as (select b.sigma_m s, {hav('a', 'b')} d from o a join o b on a.key = b.key and a.platform = 'booking' and b.platform = 'airbnb' and a.source = 'geocoded' and b.source = 'geocoded'),
  q as (select round_even(s, 1) sigma, count(*) n, median(d) m from d where d <= {O.disagreement_m} group by 1)

@@ -54,14 +54,14 @@ def tables_of(sql: str) -> list[str]:
 def spark_view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A view's SQL over the tables of a folder, without registering names in the session."""
     names = tables_of(sql)
-    body = sql.replace("{S}", "string").replace("{", "{{").replace("}", "}}")
+    body = sql.replace("{S}", "string").replace("{Y}", "binary").replace("{", "{{").replace("}", "}}")
     for n in names:
         body = re.sub(rf"\b(from|join) {n}\b", rf"\1 {{{n}}}", body)
     return spark.sql(body, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
 
 
 def duck_view(sql: str) -> str:
-    return sql.replace("{S}", "varchar")
+    return sql.replace("{S}", "varchar").replace("{Y}", "blob")
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,9 +57,29 @@ def export_operators(summary: DataFrame, path: str) -> str:
     return write_csv(summary.orderBy(F.desc("listing_count"), "operator_key"), path, OPERATOR_COLUMNS)
 
 
+def save_csv(listings: DataFrame, path: str) -> None:
+    """The listing export as a folder of sorted part files on any file system, each with a byte-order mark and a header."""
+    _save(map_projection(listings), ["platform", "name", "id"], path)
+
+
+def save_operators(summary: DataFrame, path: str) -> None:
+    """The operator export as a folder of sorted part files."""
+    _save(summary.select(*OPERATOR_COLUMNS), [F.desc("listing_count"), "operator_key"], path)
+
+
+def _save(df: DataFrame, order: list, path: str) -> None:
+    marked = df.orderBy(*order).withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
+    marked.write.option("header", True).option("escape", '"').csv(path)
+
+
+def metrics_text(metrics: DataFrame) -> DataFrame:
+    """document: the JSON text of a one-row DataFrame, nulls kept."""
+    return metrics.select(F.to_json(F.struct(*metrics.columns), {"ignoreNullFields": "false"}).alias("document"))
+
+
 def export_metrics(metrics: DataFrame, path: str) -> str:
     """A one-row DataFrame as a JSON document."""
-    document = json.loads(metrics.select(F.to_json(F.struct(*metrics.columns), {"ignoreNullFields": "false"}).alias("j")).first()["j"])
+    document = json.loads(metrics_text(metrics).first()["document"])
     Path(path).write_text(json.dumps(document, ensure_ascii=False, indent=2), encoding="utf-8")
     return path
 
@@ -80,16 +100,32 @@ def _popup_row(label: str, value) -> F.Column:
 
 
 def popup_html(listings: DataFrame):
-    """A column: the escaped table of the fields that are known."""
-    has = lambda c: F.col(c) if c in listings.columns else F.lit(None).cast("string")
-    price = F.when(has("price_per_night").isNotNull(), F.concat(F.format_string("%.0f", has("price_per_night").cast("double")), F.lit(" "), F.coalesce(has("currency"), F.lit(""))))
-    reviews = F.when(has("review_score").isNotNull(), F.concat(F.format_string("%.1f", has("review_score").cast("double")), F.lit(" ("), F.format_number(F.coalesce(has("review_count"), F.lit(0)).cast("long"), 0), F.lit(")")))
+    """A column: a picture, the escaped table of all fields that are known, and a link to the page."""
+    kinds = dict(listings.dtypes)
+    has = lambda c: F.col(c) if c in kinds else F.lit(None).cast("string")
+    number = lambda c, digits: F.format_string(f"%.{digits}f", has(c).cast("double"))
+
+    def known(test: str, *parts) -> F.Column:
+        return F.when(has(test).isNotNull(), F.concat(*parts))
+
+    stars = known("star_rating", number("star_rating", 0), F.lit(" stars"))
+    best = lambda c: "map_" + c if "map_" + c in kinds else c
     rows = [
-        ("Platform", has("platform")), ("Type", has("property_type")), ("Price", price), ("Rating", reviews), ("Bedrooms", has("bedrooms")), ("Beds", has("beds")), ("Guests", has("max_guests")),
-        ("Business", has("business_name")), ("Kind", has("business_type")), ("Registration", has("registration")), ("Register", has("trade_register")), ("Host", has("host_name")),
-        ("Position", has("map_precision")), ("Source", has("map_source")),
+        ("Platform", has("platform")), ("Type", has("property_type")), ("Stars", stars),
+        ("Price", known("price_per_night", number("price_per_night", 0), F.lit(" "), F.coalesce(has("currency"), F.lit("")))),
+        ("Rating", known("review_score", number("review_score", 1), F.lit(" ("), F.format_number(F.coalesce(has("review_count"), F.lit(0)).cast("long"), 0), F.lit(")"))),
+        ("Bedrooms", has("bedrooms")), ("Beds", has("beds")), ("Bathrooms", known("bathrooms", number("bathrooms", 1))), ("Guests", has("max_guests")),
+        ("Business", has("business_name")), ("Kind", has("business_type")), ("Registration", has("registration")), ("Register", has("trade_register")), ("VAT", has("vat")),
+        ("Email", has("email")), ("Phone", has("phone")), ("Address", has("address")), ("Country", has("country")),
+        ("Host", has("host_name")), ("Superhost", F.when(has("is_superhost").cast("boolean"), "yes")), ("Response", has("host_response_rate")), ("Answers", has("host_response_time")), ("Since", has("host_join_date")),
+        ("Coordinates", known(best("latitude"), number(best("latitude"), 5), F.lit(", "), number(best("longitude"), 5))),
+        ("Accuracy", known("est_accuracy_m", number("est_accuracy_m", 1), F.lit(" m"))), ("Confidence", known("position_confidence", number("position_confidence", 2))),
+        ("Radius", known("radius_m", number("radius_m", 0), F.lit(" m"))), ("Position", has("map_precision")), ("Platform says", has("platform_precision")), ("Source", has("map_source")),
     ]
-    return F.concat(F.lit("<b>"), T.html_escape(has("name")), F.lit("</b><table>"), *(_popup_row(label, v) for label, v in rows), F.lit("</table>"))
+    picture = F.when(F.coalesce(has("thumbnail_url"), F.lit("")) != "", F.concat(F.lit('<img src="'), T.html_escape(has("thumbnail_url")), F.lit('">'))).otherwise("")
+    page = T.html_escape(has("url"))
+    link = F.when(F.coalesce(has("url"), F.lit("")) != "", F.concat(F.lit('<tr><td>Page</td><td><a href="'), page, F.lit('">'), page, F.lit("</a></td></tr>"))).otherwise("")
+    return F.concat(F.lit("<b>"), T.html_escape(has("name")), F.lit("</b>"), picture, F.lit("<table>"), *(_popup_row(label, v) for label, v in rows), link, F.lit("</table>"))
 
 
 def map_markers(listings: DataFrame) -> DataFrame:
