@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import all_of, ascii_lower, own_prefix, stored
 
-#: Runs of these are words, before A-Z are lower-cased.
-WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What is between words, before A-Z are lower-cased.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: Words of a window that are looked up first, and bits of the set: at most SLOTS / 64 rows of 16 bytes.
 PROBE, SLOTS = 3, 1 << 26
@@ -33,8 +33,22 @@ BROADCAST_ROWS = 200_000
 FOUND = "text_id binary, n_words long, hits array<struct<start:int,len:int>>, items array<string>, n_hit long"
 
 
+def _pieces(text: Column) -> Column:
+    """The words, and an empty piece before or after them where the text does not begin or end with one."""
+    return F.split(F.coalesce(text, F.lit("")), BETWEEN, -1)
+
+
+def _blank_first(pieces: Column) -> Column:
+    return (F.get(pieces, F.lit(0)) == "").cast("int")
+
+
+def _count(pieces: Column) -> Column:
+    last = (F.size(pieces) > 1) & (F.get(pieces, F.size(pieces) - 1) == "")
+    return (F.size(pieces) - _blank_first(pieces) - last.cast("int")).cast("long")
+
+
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORDS), F.lit(0))
+    return F.filter(_pieces(ascii_lower(text)), lambda w: w != "")
 
 
 def text_id() -> Column:
@@ -51,7 +65,7 @@ def _slot(*some: Column) -> Column:
 
     lower() changes more letters than A-Z, so it joins more words than are equal: the digest decides.
     """
-    return F.pmod(F.xxhash64(*(F.lower(w) for w in some)), F.lit(SLOTS))
+    return F.xxhash64(*(F.lower(w) for w in some)).bitwiseAND(F.lit(SLOTS - 1))
 
 
 def item_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -89,8 +103,8 @@ def found(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_rows
     if not per_len:
         return docs.sparkSession.createDataFrame([], FOUND)
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    w = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORDS), F.lit(0))
-    at = texts.select("text", w.alias("w")).select("text", "w", F.posexplode("w").alias("i", "first"))
+    # the outer form: from the inner one the optimizer infers a filter that splits each text once more
+    at = texts.select("text", _pieces(F.col("text")).alias("w")).select("text", "w", F.posexplode_outer("w").alias("i", "first"))
     # a window shorter than PROBE has a slot of its own number of words
     ahead = [F.col("first"), *(F.get("w", F.col("i") + j) for j in range(1, PROBE))]
     none = F.lit(None).cast("string")
@@ -101,7 +115,7 @@ def found(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_rows
     lens = F.filter(F.array(*(F.lit(k) for k in sorted(per_len))), lambda k: F.col("i") + k <= F.size("w"))
     near = near.select("text", "w", "i", "slot", F.explode(lens).alias("len"))
     win = ascii_lower(F.array_join(F.slice("w", F.col("i") + 1, F.col("len")), " "))
-    near = near.select(text_id().alias("text_id"), F.size("w").cast("long").alias("n_words"), "i", "len", _digest(win).alias("digest"))
+    near = near.select(text_id().alias("text_id"), _count(F.col("w")).alias("n_words"), (F.col("i") - _blank_first(F.col("w"))).alias("i"), "len", _digest(win).alias("digest"))
     keys = wins.select("len", "digest", "items")
     hits = near.join(F.broadcast(keys) if sum(per_len.values()) <= broadcast_rows else keys, ["len", "digest"])
     hit = F.struct(F.col("i").alias("start"), "len")
@@ -144,8 +158,8 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_row
     """Per document: doc_id, n_words, n_hit, items (sorted as strings), contaminated."""
     per = found(docs, benchmark, n, broadcast_rows).select("text_id", "n_hit", "items")
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long")
-    narrow = narrow.select("doc_id", text_id().alias("id"), n_words.alias("n_words"))
+    narrow = narrow.select("doc_id", text_id().alias("id"), _pieces(F.col("text")).alias("w"))
+    narrow = narrow.select("doc_id", "id", _count(F.col("w")).alias("n_words"))
     out = narrow.join(F.broadcast(per) if per.count() <= broadcast_rows else per, F.col("id") == F.col("text_id"), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items = F.coalesce("items", F.array().cast("array<string>"))
