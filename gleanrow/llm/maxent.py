@@ -41,7 +41,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -60,13 +60,13 @@ END_CLASS = CLASSES - 1
 #: First unit of each class but the end's.
 CLASS_STARTS = np.concatenate([np.arange(FREQUENT_CLASSES) * CLASS_WORDS, FREQUENT + np.arange(RARE) * RARE_UNITS])
 #: History buckets: words of their own, hashed ones, and the start of a text.
-LAST_OWN, LAST_HASHED, SKIP_OWN, SKIP_HASHED = 2048, 512, 256, 128
+LAST_OWN, LAST_HASHED, SKIP_OWN, SKIP_HASHED = 2048, 512, 96, 32
 LASTS, SKIPS = LAST_OWN + LAST_HASHED + 1, SKIP_OWN + SKIP_HASHED + 1
 LAST_START, SKIP_START = LASTS - 1, SKIPS - 1
 #: Features of pairs and of (last, unit) lie in GROUPS by the last word, so that a partition of events has its own.
-GROUPS, PAIRS, WORD_WEIGHTS = 64, 1 << 13, 1 << 20
+GROUPS, PAIRS, WORD_WEIGHTS = 64, 1 << 13, 1 << 18
 #: Gradient rounds, first step, precision of the prior, and counts added to a feature's own in its scale.
-ROUNDS, STEP, PRECISION, SMOOTH = 5, 0.5, 0.05, 3.0
+ROUNDS, STEP, PRECISION, SMOOTH = 3, 0.5, 0.05, 3.0
 EVENT_PARTITIONS = 12
 #: Words whose counts travel with the model, and the longest word that is kept as it is, in bytes.
 BROADCAST_WORDS, LONGEST = 150_000, 64
@@ -101,10 +101,8 @@ def places(word: bytes, rank: int) -> tuple[int, int, int]:
     return unit, rank if rank < LAST_OWN else LAST_OWN + h % LAST_HASHED, rank if rank < SKIP_OWN else SKIP_OWN + (h >> 9) % SKIP_HASHED
 
 
-def class_of(unit: np.ndarray) -> np.ndarray:
-    """Class of units; -1 is the end."""
-    rare = FREQUENT_CLASSES + (unit - FREQUENT) // RARE_UNITS
-    return np.where(unit < 0, END_CLASS, np.where(unit < FREQUENT, unit // CLASS_WORDS, rare))
+#: Class of each unit; the last one is the end's, of unit -1.
+CLASS_OF = np.append(np.repeat(np.arange(END_CLASS), np.diff(np.append(CLASS_STARTS, UNITS))), END_CLASS)
 
 
 def pair_hash(skip: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -162,7 +160,7 @@ class Weights:
         return [self.bias, self.last, self.skip, self.pair, self.unit, self.word]
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in self.blocks()]).astype(float)
+        return np.concatenate([x.ravel() for x in self.blocks()])
 
     def set_flat(self, x: np.ndarray) -> None:
         at = 0
@@ -218,25 +216,28 @@ class Reader:
 
     def __init__(self, words: list[bytes]):
         self.known = {w: i for i, w in enumerate(words)} | {b"": -1}  # no word is empty: the end
-        self.places = np.array([places(w, i) for i, w in enumerate(words)] + [(0, 0, 0), (-1, 0, 0)], np.int64)
+        table = [places(w, i) for i, w in enumerate(words)] + [(0, 0, 0), (-1, 0, 0)]
+        self.unit, self.last, self.skip = (np.array(x, np.int32) for x in zip(*table, strict=True))
         self.beyond = len(words)
 
     def read(self, texts: list[list[bytes]]):
-        """rank (-1: the end, beyond: not a word that travels), unit, last, skip; the texts' first tokens."""
-        flat = [w for t in texts for w in (*t, b"")]
-        rank = np.fromiter(map(self.known.get, flat, repeat(self.beyond)), np.int64, len(flat))
-        unit, as_last, as_skip = self.places[rank].T.copy()
+        """rank (-1: the end, beyond: not a word that travels), unit, class, last, skip; the texts' first tokens."""
+        sizes = np.array([len(t) + 1 for t in texts])
+        for t in texts:
+            t.append(b"")
+        flat = list(chain.from_iterable(texts))
+        rank = np.fromiter(map(self.known.get, flat, repeat(self.beyond)), np.int32, len(flat))
+        unit, as_last, as_skip = self.unit[rank], self.last[rank], self.skip[rank]
         strange = np.flatnonzero(rank == self.beyond)
         if len(strange):
             seen = {w: places(w, FREQUENT) for w in {flat[i] for i in strange}}
             unit[strange], as_last[strange], as_skip[strange] = np.array([seen[flat[i]] for i in strange]).T
-        sizes = np.array([len(t) + 1 for t in texts])
         starts = np.cumsum(sizes) - sizes
         # histories start anew with each text
         last, skip = np.append(LAST_START, as_last[:-1]), np.append([SKIP_START, SKIP_START], as_skip[:-2])[: len(flat)]
         last[starts], skip[starts] = LAST_START, SKIP_START
         skip[starts[sizes > 1] + 1] = SKIP_START
-        return rank, unit, last, skip, starts
+        return rank, unit.astype(np.int64), CLASS_OF[unit], last, skip, starts
 
 
 def _parts(batch: pa.RecordBatch, rows: int = 400) -> Iterator[pa.RecordBatch]:
@@ -261,8 +262,8 @@ def _events(shared):
                 texts = [tokens(t.as_py()) for d, t in zip(part.column(0).to_pylist(), part.column(1), strict=True) if not held_out(d)]
                 if not texts:
                     continue
-                _, unit, last, skip, _ = reader.read(texts)
-                of_class.append((skip * LASTS + last) * CLASSES + class_of(unit))
+                _, unit, cls, last, skip, _ = reader.read(texts)
+                of_class.append((skip * LASTS + last) * CLASSES + cls)
                 own = unit >= 0
                 of_unit.append(last[own] * UNITS + unit[own])
                 held += len(unit)
@@ -407,7 +408,7 @@ def _measured(w: Weights, events: DataFrame) -> tuple[float, np.ndarray, np.ndar
     """(log likelihood, observed, expected counts): sums over at most GROUPS partitions with events."""
     shared = events.sparkSession.sparkContext.broadcast(w)
     found = events.select("kind", "key", "n").mapInArrow(_gradient(shared), "total double, at binary, seen binary, want binary")
-    total, (seen, want) = 0.0, np.zeros((2, sum(x.size for x in w.blocks())))
+    total, (seen, want) = 0.0, np.zeros((2, sum(x.size for x in w.blocks())), np.float32)
     for r in found.where("length(at) > 0").collect():
         at = np.frombuffer(bytes(r["at"]), np.int32)
         total += r["total"]
@@ -424,22 +425,24 @@ def _ascend(m: Model, events: DataFrame, rounds: int) -> None:
     if not seen.any():
         return
     # biases stand for the priors of classes and units: the penalty leaves them alone
-    free = np.concatenate([np.zeros(CLASSES), np.ones(w.last.size + w.skip.size + w.pair.size), np.zeros(UNITS), np.ones(WORD_WEIGHTS)])
-    start, odds = w.flat(), np.log((seen + SMOOTH) / (want + SMOOTH))
-    only = np.concatenate([np.zeros(CLASSES), np.ones(w.last.size), np.zeros(w.skip.size + w.pair.size + UNITS), np.ones(WORD_WEIGHTS)])
-    at, step = start + odds * only, STEP
-    value = lambda t, x: (t - PRECISION / 2 * (free * x * x).sum()) / n
+    units = slice(CLASSES + w.last.size + w.skip.size + w.pair.size, -WORD_WEIGHTS)
+    penalty = np.full(len(seen), PRECISION, np.float32)
+    penalty[:CLASSES] = penalty[units] = 0
+    odds = np.log((seen + SMOOTH) / (want + SMOOTH))
+    odds[:CLASSES] = odds[CLASSES + w.last.size : -WORD_WEIGHTS] = 0
+    at, step = w.flat() + odds, STEP
+    del odds
+    value = lambda t, x: (t - float((penalty * x * x).sum(dtype=float)) / 2) / n
     w.set_flat(at)
     total, seen, want = _measured(w, events)
     best = value(total, at)
     m.history = [best]
     for _ in range(rounds):
-        gradient = seen - want - PRECISION * free * at
-        trial = at + step * gradient / (np.maximum(seen, want) + SMOOTH)
+        trial = at + step * (seen - want - penalty * at) / (np.maximum(seen, want) + SMOOTH)
         w.set_flat(trial)
-        total, seen_, want_ = _measured(w, events)
+        total, *counts = _measured(w, events)
         if value(total, trial) > best:
-            at, best, seen, want = trial, value(total, trial), seen_, want_
+            at, best, (seen, want) = trial, value(total, trial), counts
         else:
             step /= 2
         m.history.append(best)
@@ -467,17 +470,18 @@ def _score(shared):
             for part in _parts(batch):
                 ids = part.column(0).to_pylist()
                 texts = [tokens(t.as_py()) for t in part.column(1)]
-                rank, unit, last, skip, starts = reader.read(texts)
-                cls = class_of(unit)
-                p = (w.bias[cls] + w.last[last, cls] + w.skip[skip, cls] + w.pair[pair_hash(skip, last), cls] - m.class_z[skip, last]).astype(float)
+                rank, unit, cls, last, skip, starts = reader.read(texts)
+                of = lambda block, row: block.ravel().take(row * CLASSES + cls)
+                p = w.bias[cls] + of(w.last, last) + of(w.skip, skip) + of(w.pair, pair_hash(skip, last))
+                p = (p - m.class_z.ravel().take(skip * LASTS + last)).astype(float)
                 own = unit >= 0
                 u, prev = unit[own], last[own]
-                p[own] += w.unit[u] + w.word[word_hash(prev, u)] - m.unit_z[prev, cls[own]] + share[u]
+                p[own] += w.unit[u] + w.word[word_hash(prev, u)] - m.unit_z.ravel().take(prev * END_CLASS + cls[own]) + share[u]
                 p += more_of[rank]
                 beyond = rank == reader.beyond
                 base = base_of[rank]
                 far = [Counter(x for x in t if x not in reader.known) if b else {} for t, b in zip(texts, np.add.reduceat(beyond, starts), strict=True)]
-                sizes = [len(t) + 1 for t in texts]
+                sizes = [len(t) for t in texts]  # the end included
                 n_known = np.add.reduceat((rank >= 0) & ~beyond, starts) + int(m.end_count > 0)
                 offsets = np.concatenate([[0], np.cumsum([len(f) for f in far])]).astype(np.int32)
                 words = pa.array([w for f in far for w in f], pa.binary())

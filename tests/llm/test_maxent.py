@@ -63,7 +63,7 @@ def plain_token(m, counts, word, last, skip):
     if word is None:
         return logits[maxent.END_CLASS] - log_sum(logits)
     unit = maxent.places(word, min(rank.get(word, maxent.FREQUENT), maxent.FREQUENT))[0]
-    cls = int(maxent.class_of(np.array([unit]))[0])
+    cls = int(maxent.CLASS_OF[unit])
     stop = [*maxent.CLASS_STARTS[1:], maxent.UNITS][cls]
     units = [u for u in range(maxent.CLASS_STARTS[cls], stop) if u >= maxent.FREQUENT or u < w.frequent]
     of = {u: float(w.unit[u]) + float(w.word[maxent.word_hash(np.array([a]), np.array([u]))[0]]) for u in units}
@@ -111,7 +111,7 @@ def test_probabilities_sum_to_one(spark):
         if u >= maxent.FREQUENT:
             mine = [c for x, c in counts.items() if x and x not in m.words[: maxent.FREQUENT] and maxent.places(x, maxent.FREQUENT)[0] == u]
             share = (sum(mine) + len(mine) + 1) / (m.unit_total[u] + m.unit_types[u] + 1)
-        total += p_class[int(maxent.class_of(np.array([u]))[0])] * p_unit[u] * share
+        total += p_class[int(maxent.CLASS_OF[u])] * p_unit[u] * share
     empty = sum(p_class[c] for c in range(maxent.FREQUENT_CLASSES) if c * maxent.CLASS_WORDS >= w.frequent)
     assert total + empty == pytest.approx(1, abs=1e-4)
 
