@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,17 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); one of our own only where none is set."""
+    """The cluster's shared folder (spark.checkpoint.dir).
+
+    Where none is set, a local master gets one of our own, removed when the process ends; on a cluster
+    that is an error, as each executor would write to a disk of its own.
+    """
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="gleanrow-"))
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        own = tempfile.mkdtemp(prefix="gleanrow-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
         found = sc.getCheckpointDir()
     return found.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/gleanrow/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/gleanrow/{name}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -27,3 +42,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes this application's tables, on any file system; call it when no DataFrame reads them any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
