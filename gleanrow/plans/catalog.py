@@ -15,7 +15,7 @@ from ..functions.storage import stored
 from ..operators import blocking, calibration, clustering, fusion, geocode, grid, identity, quality, report, upsert
 from ..sinks.files import map_markers
 from ..sources import pages, tables
-from . import payload_catalog, state_catalog, views
+from . import linkage_sql, payload_catalog, state_catalog, views
 from .curate import curate
 from .sql import SQL
 
@@ -91,6 +91,20 @@ def q_name_similarity(spark, sf_dir):
     return near.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), name_similarity("a_name", "b_name").alias("similarity"))
 
 
+@query
+def q_strict_pairs(spark, sf_dir):
+    """The pair rule: near, not distinct units, similar names."""
+    pairs = blocking.strict_candidates(listings(spark, sf_dir))
+    return pairs.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round("distance_m", 3).alias("distance_m"), "similarity")
+
+
+@query
+def q_matched_pairs(spark, sf_dir):
+    """Cross-platform candidates with similar names."""
+    pairs = blocking.cross_platform_matches(listings(spark, sf_dir))
+    return pairs.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round("distance_m", 3).alias("distance_m"), "similarity")
+
+
 @query
 def q_stack_count(spark, sf_dir):
     return report.stack_counts(listings(spark, sf_dir)).select("id", "stack_count")
@@ -343,4 +357,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return SQL | payload_catalog.SQL | state_catalog.SQL
+    return SQL | linkage_sql.SQL | payload_catalog.SQL | state_catalog.SQL
