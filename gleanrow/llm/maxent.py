@@ -41,7 +41,8 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain, repeat
+from itertools import chain, groupby, repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +68,11 @@ LAST_START, SKIP_START = LASTS - 1, SKIPS - 1
 GROUPS, PAIRS, WORD_WEIGHTS = 64, 1 << 13, 1 << 18
 #: Gradient rounds, first step, precision of the prior, and counts added to a feature's own in its scale.
 ROUNDS, STEP, PRECISION, SMOOTH = 3, 0.5, 0.05, 3.0
-EVENT_PARTITIONS = 12
+#: Tokens whose events one level of merging takes; events of more are merged in parts first.
+MERGED_TOKENS = 1 << 32
+#: Keys of a block of events, a row of some 100 KB.
+BLOCK = 1 << 13
+EVENTS = "part long, group int, kind int, keys binary, n binary"
 #: Words whose counts travel with the model, and the longest word that is kept as it is, in bytes.
 BROADCAST_WORDS, LONGEST = 150_000, 64
 #: Words, and tokens, that a task counts before it hands them on.
@@ -247,12 +252,27 @@ def _parts(batch: pa.RecordBatch, rows: int = 400) -> Iterator[pa.RecordBatch]:
 # -- training -----------------------------------------------------------------------------
 
 
+def _blocks(part: int, group: int, kind: int, key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of EVENTS: keys (int32, sorted) and their counts (int64)."""
+    for i in range(0, len(key), BLOCK):
+        ints = [pa.array([part], pa.int64()), pa.array([group], pa.int32()), pa.array([kind], pa.int32())]
+        blobs = [pa.array([x[i : i + BLOCK].astype(t).tobytes()], pa.binary()) for x, t in ((key, np.int32), (n, np.int64))]
+        yield pa.RecordBatch.from_arrays([*ints, *blobs], ["part", "group", "kind", "keys", "n"])
+
+
+def _last_of(kind: int, key: np.ndarray) -> np.ndarray:
+    return key // CLASSES % LASTS if kind == 0 else key // UNITS
+
+
 def _events(shared):
     def out(kind: int, keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, n = np.unique(np.concatenate(keys), return_counts=True)
-        for i in range(0, len(key), 100_000):
-            some = key[i : i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), pa.array(some), pa.array(n[i : i + 100_000])], ["kind", "key", "n"])
+        group = _last_of(kind, key) % GROUPS
+        order = np.argsort(group, kind="stable")
+        bounds = np.searchsorted(group[order], np.arange(GROUPS + 1))
+        for g in range(GROUPS):
+            own = order[bounds[g] : bounds[g + 1]]
+            yield from _blocks(TaskContext.get().partitionId(), g, kind, key[own], n[own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
@@ -263,9 +283,9 @@ def _events(shared):
                 if not texts:
                     continue
                 _, unit, cls, last, skip, _ = reader.read(texts)
-                of_class.append((skip * LASTS + last) * CLASSES + cls)
+                of_class.append(((skip * LASTS + last) * CLASSES + cls).astype(np.int32))
                 own = unit >= 0
-                of_unit.append(last[own] * UNITS + unit[own])
+                of_unit.append((last[own] * UNITS + unit[own]).astype(np.int32))
                 held += len(unit)
                 if held >= COUNTED_TOKENS:
                     yield from out(0, of_class)
@@ -278,6 +298,38 @@ def _events(shared):
     return run
 
 
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of EVENTS come sorted by part, group and kind; the events of each as blocks of sorted, distinct keys."""
+
+    def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        return key, np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)
+
+    rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    for where, some in groupby(rows, key=itemgetter(0, 1, 2)):
+        keys, counts, held = [], [], 0
+        for *_, key, n in some:
+            keys.append(np.frombuffer(key, np.int32))
+            counts.append(np.frombuffer(n, np.int64))
+            held += len(keys[-1])
+            if held >= COUNTED_TOKENS:
+                key, n = summed(keys, counts)
+                keys, counts, held = [key], [n], 0
+        yield from _blocks(*where, *summed(keys, counts))
+
+
+def event_table(rows: DataFrame, words: list[bytes], tokens_: int) -> DataFrame:
+    """EVENTS of all training tokens: each group's distinct keys, sorted, in one partition."""
+    found = rows.mapInArrow(_events(rows.sparkSession.sparkContext.broadcast(words)), EVENTS)
+    parts = max(1, -(-tokens_ // MERGED_TOKENS))
+    order = ["part", "group", "kind"]
+    if parts > 1:
+        found = found.withColumn("part", F.pmod(F.col("part"), F.lit(parts)))
+        found = found.repartition("part", "group").sortWithinPartitions(*order).mapInArrow(_merge, EVENTS)
+    found = found.withColumn("part", F.lit(0).cast("long"))
+    return stored(found.repartition(GROUPS, "group").sortWithinPartitions(*order).mapInArrow(_merge, EVENTS), "events")
+
+
 def _sum_rows(total: np.ndarray, feature: np.ndarray, x: np.ndarray) -> None:
     order = np.argsort(feature, kind="stable")
     some, first = np.unique(feature[order], return_index=True)
@@ -286,7 +338,7 @@ def _sum_rows(total: np.ndarray, feature: np.ndarray, x: np.ndarray) -> None:
 
 def _class_sums(w: Weights, key: np.ndarray, n: np.ndarray, seen: Weights, want: Weights) -> float:
     """Adds observed and expected counts of the class features; the events' log likelihood."""
-    groups, at = np.unique(key // CLASSES, return_inverse=True)
+    groups, at = np.unique(key // CLASSES, return_inverse=True)  # keys are sorted: contexts of a block lie together
     skip, last = groups // LASTS, groups % LASTS
     observed = np.bincount(at * CLASSES + key % CLASSES, n, len(groups) * CLASSES).reshape(-1, CLASSES)
     log_p, _ = w.class_log_p(skip, last)
@@ -301,8 +353,6 @@ def _class_sums(w: Weights, key: np.ndarray, n: np.ndarray, seen: Weights, want:
 def _unit_sums(w: Weights, key: np.ndarray, n: np.ndarray, seen: Weights, want: Weights) -> float:
     """The same for the unit features, some last words at a time."""
     total = 0.0
-    order = np.argsort(key, kind="stable")  # a batch may come from several files
-    key, n = key[order], n[order]
     lasts = np.unique(key // UNITS)
     for i in range(0, len(lasts), 128):
         some = lasts[i : i + 128]
@@ -326,11 +376,9 @@ def _gradient(shared):
         w: Weights = shared.value
         seen, want, total = Weights(), Weights(), 0.0
         for batch in batches:
-            kind, key, n = (batch.column(i).to_numpy() for i in range(3))
-            for k, add in ((0, _class_sums), (1, _unit_sums)):
-                own = kind == k
-                if own.any():
-                    total += add(w, key[own], n[own].astype(float), seen, want)
+            for kind, key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                add = _unit_sums if kind else _class_sums
+                total += add(w, np.frombuffer(key, np.int32).astype(np.int64), np.frombuffer(n, np.int64).astype(float), seen, want)
         seen, want = seen.flat(), want.flat()
         at = np.flatnonzero(want)
         blobs = [pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), seen[at].astype(np.float32), want[at].astype(np.float32))]
@@ -370,10 +418,7 @@ def train(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     m = Model(n=total["n"], v=total["v"], end_count=end["c"] if end else 0, words=words, counts=top)
     _unit_counts(m, counts)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    events = rows.mapInArrow(_events(sc.broadcast(m.words)), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    last = F.when(F.col("kind") == 0, F.expr(f"(key div {CLASSES}) % {LASTS}")).otherwise(F.expr(f"key div {UNITS}"))
-    # whole histories in a partition, so that a class's expected counts are computed once
-    events = stored(events.repartition(EVENT_PARTITIONS, last % GROUPS).sortWithinPartitions("kind", "key"), "events")
+    events = event_table(rows, m.words, m.n)
     w = m.weights
     w.frequent = min(FREQUENT, len(m.words))
     w.unit[:] = np.log(m.unit_total + 0.5)
@@ -405,9 +450,9 @@ def _unit_counts(m: Model, counts: DataFrame) -> None:
 
 
 def _measured(w: Weights, events: DataFrame) -> tuple[float, np.ndarray, np.ndarray]:
-    """(log likelihood, observed, expected counts): sums over at most GROUPS partitions with events."""
+    """(log likelihood, observed, expected counts): sums over the partitions of events; their features hardly overlap."""
     shared = events.sparkSession.sparkContext.broadcast(w)
-    found = events.select("kind", "key", "n").mapInArrow(_gradient(shared), "total double, at binary, seen binary, want binary")
+    found = events.select("kind", "keys", "n").mapInArrow(_gradient(shared), "total double, at binary, seen binary, want binary")
     total, (seen, want) = 0.0, np.zeros((2, sum(x.size for x in w.blocks())), np.float32)
     for r in found.where("length(at) > 0").collect():
         at = np.frombuffer(bytes(r["at"]), np.int32)
