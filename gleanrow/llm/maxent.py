@@ -226,7 +226,8 @@ class Reader:
         self.beyond = len(words)
 
     def read(self, texts: list[list[bytes]]):
-        """rank (-1: the end, beyond: not a word that travels), unit, class, last, skip; the texts' first tokens."""
+        """rank (-1: the end, beyond: not a word that travels), unit, class, last, skip; the texts' first tokens;
+        the places of words that do not travel, and these words. An end is appended to each text."""
         sizes = np.array([len(t) + 1 for t in texts])
         for t in texts:
             t.append(b"")
@@ -234,15 +235,16 @@ class Reader:
         rank = np.fromiter(map(self.known.get, flat, repeat(self.beyond)), np.int32, len(flat))
         unit, as_last, as_skip = self.unit[rank], self.last[rank], self.skip[rank]
         strange = np.flatnonzero(rank == self.beyond)
-        if len(strange):
-            seen = {w: places(w, FREQUENT) for w in {flat[i] for i in strange}}
-            unit[strange], as_last[strange], as_skip[strange] = np.array([seen[flat[i]] for i in strange]).T
+        far = [flat[i] for i in strange.tolist()]
+        if far:
+            seen = {w: places(w, FREQUENT) for w in set(far)}
+            unit[strange], as_last[strange], as_skip[strange] = np.array([seen[w] for w in far]).T
         starts = np.cumsum(sizes) - sizes
         # histories start anew with each text
         last, skip = np.append(LAST_START, as_last[:-1]), np.append([SKIP_START, SKIP_START], as_skip[:-2])[: len(flat)]
         last[starts], skip[starts] = LAST_START, SKIP_START
         skip[starts[sizes > 1] + 1] = SKIP_START
-        return rank, unit.astype(np.int64), CLASS_OF[unit], last, skip, starts
+        return rank, unit.astype(np.int64), CLASS_OF[unit], last, skip, starts, strange, far
 
 
 def _parts(batch: pa.RecordBatch, rows: int = 400) -> Iterator[pa.RecordBatch]:
@@ -282,7 +284,7 @@ def _events(shared):
                 texts = [tokens(t.as_py()) for d, t in zip(part.column(0).to_pylist(), part.column(1), strict=True) if not held_out(d)]
                 if not texts:
                     continue
-                _, unit, cls, last, skip, _ = reader.read(texts)
+                _, unit, cls, last, skip, *_ = reader.read(texts)
                 of_class.append(((skip * LASTS + last) * CLASSES + cls).astype(np.int32))
                 own = unit >= 0
                 of_unit.append((last[own] * UNITS + unit[own]).astype(np.int32))
@@ -515,7 +517,7 @@ def _score(shared):
             for part in _parts(batch):
                 ids = part.column(0).to_pylist()
                 texts = [tokens(t.as_py()) for t in part.column(1)]
-                rank, unit, cls, last, skip, starts = reader.read(texts)
+                rank, unit, cls, last, skip, starts, strange, far = reader.read(texts)
                 of = lambda block, row: block.ravel().take(row * CLASSES + cls)
                 p = w.bias[cls] + of(w.last, last) + of(w.skip, skip) + of(w.pair, pair_hash(skip, last))
                 p = (p - m.class_z.ravel().take(skip * LASTS + last)).astype(float)
@@ -523,14 +525,14 @@ def _score(shared):
                 u, prev = unit[own], last[own]
                 p[own] += w.unit[u] + w.word[word_hash(prev, u)] - m.unit_z.ravel().take(prev * END_CLASS + cls[own]) + share[u]
                 p += more_of[rank]
-                beyond = rank == reader.beyond
                 base = base_of[rank]
-                far = [Counter(x for x in t if x not in reader.known) if b else {} for t, b in zip(texts, np.add.reduceat(beyond, starts), strict=True)]
+                owner = np.searchsorted(starts, strange, side="right") - 1
+                times = Counter(zip(owner.tolist(), far, strict=True))  # in the order of the texts
                 sizes = [len(t) for t in texts]  # the end included
-                n_known = np.add.reduceat((rank >= 0) & ~beyond, starts) + int(m.end_count > 0)
-                offsets = np.concatenate([[0], np.cumsum([len(f) for f in far])]).astype(np.int32)
-                words = pa.array([w for f in far for w in f], pa.binary())
-                times = pa.array([k for f in far for k in f.values()], pa.int64())
+                n_known = np.add.reduceat((rank >= 0) & (rank < reader.beyond), starts) + int(m.end_count > 0)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(np.array([o for o, _ in times], np.int64), minlength=len(ids)))]).astype(np.int32)
+                words = pa.array([w for _, w in times], pa.binary())
+                times = pa.array(list(times.values()), pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(uid, uid + len(ids))), pa.array(ids, pa.int64()), pa.array([held_out(d) for d in ids]), pa.array(sizes, pa.int64()), pa.array(n_known.astype(np.int64)),
                     pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(p, starts) / math.log(10)),
