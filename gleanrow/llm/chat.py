@@ -9,9 +9,10 @@ Inside roles and texts each ``<``, ``[`` and backslash is followed by a backslas
 control string, of this template or of the common ``[INST]``/``</s>`` ones, can stand in
 a text, and removing those backslashes gives the text back.
 
-Edge cases: null text or role is the empty string; a null conv_id is a conversation of
-its own; turns are ordered by turn, nulls first, ties by role, then text; repeated rows
-are repeated turns; an empty table gives an empty result; other columns are ignored.
+Edge cases: null text or role is the empty string; a row without conv_id is a conversation of
+its own turn alone; turns are ordered by turn, nulls first, ties by role, then text; repeated rows
+are repeated turns; an empty table gives an empty result; other columns are ignored. A conversation
+must fit a task: its examples repeat its turns, as prefix-target expansion means them to.
 """
 
 from __future__ import annotations
@@ -32,12 +33,14 @@ def unescape(text: Column) -> Column:
 
 
 def format_turns(conversations: DataFrame) -> DataFrame:
-    """One row per conversation: conv_id, turns array<struct<role, text, formatted>>, in order."""
+    """One row per conversation: conv_id, alone (tells rows without conv_id apart), turns array<struct<role, head, body>>, in order."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    rows = conversations.select("conv_id", F.struct(F.col("turn").alias("turn"), role.alias("role"), text.alias("text")).alias("t"))
-    lists = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    turn = F.struct(F.col("turn").alias("turn"), role.alias("role"), text.alias("text")).alias("t")
+    rows = conversations.select("conv_id", F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("alone"), turn)
+    lists = rows.groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list("t")).alias("ts"))
     return lists.select(
         "conv_id",
+        "alone",
         F.transform(
             "ts",
             lambda t: F.struct(
@@ -50,7 +53,7 @@ def format_turns(conversations: DataFrame) -> DataFrame:
 
 
 def expand(conversations: DataFrame, trainable: str = "assistant") -> DataFrame:
-    """Examples: conv_id, example int (0..), formatted string, loss_start and loss_end int.
+    """Examples: conv_id, alone, example int (0..), formatted string, loss_start and loss_end int.
 
     The loss span counts code points of ``formatted``; both are null in the closing example
     that only carries turns after the last trainable one.
@@ -59,20 +62,23 @@ def expand(conversations: DataFrame, trainable: str = "assistant") -> DataFrame:
     # cut[i]: the conversation up to and with turn i
     at = lists.select(
         "conv_id",
+        "alone",
         "turns",
         F.filter(
             F.sequence(F.lit(0), F.size("turns") - 1),
             lambda i: (F.get("turns", i)["role"] == trainable) | (i == F.size("turns") - 1),
         ).alias("ends"),
     )
-    one = at.select("conv_id", "turns", F.posexplode("ends").alias("example", "end"))
+    one = at.select("conv_id", "alone", "turns", F.posexplode("ends").alias("example", "end"))
     said = lambda t: F.concat(t["head"], t["body"], F.lit(END))
     last = F.get("turns", F.col("end"))
     context = F.array_join(F.transform(F.slice("turns", F.lit(1), F.col("end")), said), "")
     start = F.length("context") + F.length("head")
     learns = F.col("role") == trainable
-    return one.select("conv_id", "example", context.alias("context"), last["role"].alias("role"), last["head"].alias("head"), last["body"].alias("body")).select(
+    parts = [context.alias("context"), *(last[c].alias(c) for c in ("role", "head", "body"))]
+    return one.select("conv_id", "alone", "example", *parts).select(
         "conv_id",
+        "alone",
         "example",
         F.concat("context", "head", "body", F.lit(END)).alias("formatted"),
         F.when(learns, start).alias("loss_start"),
@@ -99,7 +105,7 @@ def digest(examples: DataFrame) -> DataFrame:
     """
     last = F.max_by("formatted", "example").alias("whole")
     loss = F.sort_array(F.collect_list(F.struct("example", read_loss(F.col("formatted"), F.col("loss_start"), F.col("loss_end")).alias("text"))))
-    per = examples.groupBy("conv_id").agg(last, loss.alias("loss"), F.sum(F.length("formatted")).alias("formatted_chars"))
+    per = examples.groupBy("conv_id", "alone").agg(last, loss.alias("loss"), F.sum(F.length("formatted")).alias("formatted_chars"))
     out = per.select("conv_id", read_turns(F.col("whole")).alias("turns"), F.array_join(F.transform("loss", lambda x: x["text"]), "").alias("loss"), "formatted_chars")
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(

@@ -11,17 +11,18 @@ with c as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
   union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+k as (select *, case when conv_id is null then row_number() over () end as alone from c),
 n as (
-  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i, count(*) over (partition by conv_id) as n,
+  select *, row_number() over (partition by conv_id, alone order by turn nulls first, role, text) as i, count(*) over (partition by conv_id, alone) as n,
     length(regexp_replace(role, '([<\\[\\\\])', '\\1\\\\', 'g')) + length(regexp_replace(text, '([<\\[\\\\])', '\\1\\\\', 'g')) + 23 as size
-  from c),
-s as (select *, sum(size) over (partition by conv_id order by i) as upto from n)
+  from k),
+s as (select *, sum(size) over (partition by conv_id, alone order by i) as upto from n)
 select conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256,
   cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
   sha256(coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '')) as loss_sha256,
   cast(sum(upto) filter (role = 'assistant' or i = n) as bigint) as formatted_chars
-from s group by conv_id
+from s group by conv_id, alone
 """
 
 OP4 = """

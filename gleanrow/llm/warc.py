@@ -8,9 +8,12 @@ is an empty gzip member, which is a valid part of a gzip file.
 
 Reading: each member or record is checked (gzip CRC, header, length, closing blank lines,
 block digest). After a failed check the reader searches for the next member or version line
-whose record passes all checks, goes on there, and reports the bytes between as a gap.
+whose record passes all checks, goes on there, and reports the bytes between as a gap. Of a
+member that fails, or holds a record that does, the records that pass their own checks are kept:
+version lines are searched in what could be inflated, and the gap says how many were found.
 
-An archive file is read whole by one task; ``records_per_file`` bounds those written here.
+An archive file is read whole by one task and inflated member by member; ``records_per_file`` bounds
+those written here. Spark's reader takes files of up to 2 GB: larger ones must be split beforehand.
 
 Edge cases: null html is an empty payload, a null url is no header; line breaks in a url are
 percent-encoded; a null page_id is written as ``null`` and read back as null, it is only
@@ -66,7 +69,11 @@ def gzip_member(data: bytes, level: int = LEVEL) -> bytes:
 
 
 class Damaged(ValueError):
-    pass
+    """reason, and the records inside that pass their own checks."""
+
+    def __init__(self, reason: str, records: list[dict] | None = None):
+        super().__init__(reason)
+        self.records = records or []
 
 
 def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
@@ -95,20 +102,30 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
     return {"fields": fields, "block": block}, end + 4
 
 
-def _inflate(data: memoryview, at: int) -> tuple[bytes, int]:
-    """(content, end) of the gzip member at ``at``; its CRC and length are checked."""
-    z, out = zlib.decompressobj(31), []
-    step = 1 << 16
+def _inflate(data: memoryview, begin: int) -> tuple[bytes, int, str | None]:
+    """(content, end, what is wrong) of the gzip member at ``begin``; its CRC and length are checked."""
+    z, out, at, step = zlib.decompressobj(31), [], begin, 1 << 16
     while not z.eof:
         piece = data[at : at + step]
         if not len(piece):
-            raise Damaged("the member is cut off")
+            return b"".join(out), at, "the member is cut off"
         try:
             out.append(z.decompress(piece))
         except zlib.error as e:
-            raise Damaged(f"gzip: {e}") from None
+            return _inflated_until(data, begin, at + step), at, f"gzip: {e}"
         at += len(piece)
-    return b"".join(out), at - len(z.unused_data)
+    return b"".join(out), at - len(z.unused_data), None
+
+
+def _inflated_until(data: memoryview, begin: int, end: int, step: int = 64) -> bytes:
+    """What a member gives before it fails, in small steps as a failing one gives nothing."""
+    z, out = zlib.decompressobj(31), []
+    try:
+        for i in range(begin, min(end, len(data)), step):
+            out.append(z.decompress(data[i : i + step]))
+    except zlib.error:
+        pass
+    return b"".join(out)
 
 
 def _unit(data: bytes, view: memoryview, at: int) -> tuple[list[dict], int]:
@@ -116,23 +133,36 @@ def _unit(data: bytes, view: memoryview, at: int) -> tuple[list[dict], int]:
     if data[at : at + 3] != MAGIC:
         record, end = parse_record(data, at)
         return [record], end
-    content, end = _inflate(view, at)
+    content, end, wrong = _inflate(view, at)
     records, i = [], 0
     while i < len(content):
-        record, i = parse_record(content, i)
-        records.append(record)
+        try:
+            record, i = parse_record(content, i)
+            records.append(record)
+        except Damaged as e:
+            wrong = wrong or str(e)
+            i = content.find(VERSION, i + 1)
+            if i < 0:
+                break
+    if wrong:
+        raise Damaged(wrong, records)
     return records, end
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
-    """("record", start, end, record) and ("gap", start, end, reason) over a whole archive, in order."""
-    view, at, lost, why = memoryview(data), 0, None, ""
+    """("record", start, end, record) and ("gap", start, end, reason) over a whole archive, in order.
+
+    Records that are saved from a failed member have its gap's place in the file.
+    """
+    view, at, lost, why, saved = memoryview(data), 0, None, "", []
     while at < len(data):
         try:
             records, end = _unit(data, view, at)
         except Damaged as e:
             if lost is None:
                 lost, why = at, str(e)
+            # the same records would be found again from every start inside the member
+            saved += [r for r in e.records if r not in saved]
             found = _START.search(data, at + 1)
             at = found.start() if found else len(data)
             continue
@@ -140,13 +170,19 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
             if not records:  # a separator proves nothing about what comes before a real record
                 at = end
                 continue
-            yield "gap", lost, at, why
-            lost = None
+            yield from _gap(lost, at, why, saved)
+            lost, saved = None, []
         for record in records:
             yield "record", at, end, record
         at = end
     if lost is not None:
-        yield "gap", lost, len(data), why
+        yield from _gap(lost, len(data), why, saved)
+
+
+def _gap(start: int, end: int, why: str, saved: list[dict]) -> Iterator[tuple[str, int, int, dict | str]]:
+    for record in saved:
+        yield "record", start, end, record
+    yield "gap", start, end, why + (f"; {len(saved)} records saved" if saved else "")
 
 
 # -- tables -------------------------------------------------------------------------------
@@ -158,7 +194,11 @@ def _page(value: bytes | None) -> int | None:
 
 
 def with_revisits(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """page_id, url, payload, digest, refers_to. Only ids and digests are compared and shuffled."""
+    """page_id, url, payload, digest, refers_to.
+
+    Only ids and digests are compared; the table of revisits is joined back to the payloads, which are
+    shuffled once where it is too large for Spark to broadcast.
+    """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     narrow = stored(rows.where(F.octet_length("payload") >= min_revisit).select("page_id", "digest"), "digests")

@@ -19,15 +19,16 @@ def test_round_trip_with_control_strings_nulls_and_ties(spark):
         3: [("assistant", CONTROL[4])],
         4: [(None, "no role"), ("assistant", ""), ("us\ner<|says|>", "é" * 50)],
     }
-    rows = [(c, i, r, t, "clash") for c, turns in convs.items() for i, (r, t) in enumerate(turns)] + [(None, 0, "user", "null id", "x")]
+    rows = [(c, i, r, t, "clash") for c, turns in convs.items() for i, (r, t) in enumerate(turns)] + [(None, 0, "user", "null id", "x"), (None, 1, "assistant", "another", "x")]
     df = spark.createDataFrame(rows, SCHEMA)
     examples = chat.expand(df)
     assert examples.where("conv_id = 1").count() == 2
     assert [r["loss_start"] for r in examples.where("conv_id = 2").collect()] == [None]
-    got = {r["conv_id"]: r for r in chat.digest(examples).collect()}
+    found = chat.digest(examples).collect()
+    got = {r["conv_id"]: r for r in found}
     for c, turns in convs.items():
         assert tuple(got[c])[1:5] == digest_of(turns), c
-    assert got[None]["n_turns"] == 1
+    assert sorted((r["n_turns"], r["loss_chars"]) for r in found if r["conv_id"] is None) == [(1, 0), (1, 7)]
     for r in examples.collect():
         for mark in ("</s>", "[INST]"):
             assert mark not in r["formatted"]
@@ -45,3 +46,9 @@ def test_repeated_turns_and_empty_table(spark):
     row = chat.digest(chat.expand(df)).first()
     assert tuple(row)[1:5] == digest_of([("assistant", "first"), ("user", "same"), ("user", "same")])
     assert chat.digest(chat.expand(df.limit(0))).count() == 0
+
+
+def test_very_long_text(spark):
+    turns = [("user", "a<b [x] " * 200_000), ("assistant", "é\\<" * 300_000)]
+    df = spark.createDataFrame([(1, i, r, t, "") for i, (r, t) in enumerate(turns)], SCHEMA)
+    assert tuple(chat.digest(chat.expand(df)).first())[1:5] == digest_of(turns)

@@ -58,9 +58,35 @@ def test_salvage(spark, tmp_path):
                 if x[0] == "gap":
                     assert start <= x[1] < x[2] <= start + len(units[k]) + len(between)
         cut = list(warc.salvage(whole[: len(whole) - 5]))
-        assert cut[-1][0] == "gap" and len([x for x in cut if x[0] == "record"]) == 39
+        # a member without its trailer still gives its record, which passes its own checks
+        assert cut[-1][0] == "gap" and len([x for x in cut if x[0] == "record"]) == (40 if between else 39)
         (tmp_path / f"{len(between)}.warc").write_bytes(b"junk\r\n" + whole + b"tail")
     found = warc.read_archives(spark, str(tmp_path))
     assert warc.records(found).count() == 80
     assert sorted((r["start"], r["stop"] - r["start"]) for r in warc.gaps(found).collect() if r["start"] == 0) == [(0, 6), (0, 6)]
     assert warc.gaps(found).count() == 4
+
+
+def test_salvage_inside_a_member():
+    """An archive that is one member: records before a cut, and around a bad record, are kept."""
+    records = [warc.make_record(i, f"http://a/{i}", (f"payload {i} ".encode() + bytes(random.Random(i).randbytes(300))) * 20, "0", None) for i in range(40)]
+    kept = lambda data: [int(x[3]["fields"][b"warc-record-id"].split(b":")[-1][:-1]) for x in warc.salvage(data) if x[0] == "record"]
+    whole = warc.gzip_member(b"".join(records))
+    assert kept(whole) == list(range(40))
+    cut = list(warc.salvage(whole[: len(whole) // 2]))
+    assert 10 < len(kept(whole[: len(whole) // 2])) < 30 and kept(whole[: len(whole) // 2]) == list(range(len(cut) - 1))
+    assert cut[-1][0] == "gap" and "records saved" in cut[-1][3]
+    spoilt = records[:7] + [records[7].replace(b"payload 7", b"payload !", 1)] + records[8:]
+    assert kept(warc.gzip_member(b"".join(spoilt))) == [i for i in range(40) if i != 7]
+    bad = bytearray(whole)
+    bad[len(bad) // 2] ^= 0xFF
+    follow = warc.gzip_member(warc.make_record(99, None, b"next", "0", None))
+    found = kept(bytes(bad) + follow)
+    assert found[-1] == 99 and found[:10] == list(range(10))
+
+
+def test_very_long_page(spark):
+    html = "<p>é</p>" * 1_000_000
+    rows = warc.round_trip(some_pages(spark, [(1, "u", html), (2, "u", html)])).orderBy("page_id").collect()
+    assert [(r["record_type"], r["payload_bytes"], r["refers_to"]) for r in rows] == [("response", 9_000_000, None), ("revisit", 9_000_000, 1)]
+    assert rows[0]["payload_digest"] == hashlib.sha256(html.encode()).hexdigest()
