@@ -43,13 +43,44 @@ class Options:
     exact_radius: bool = False
 
     @classmethod
-    def load(cls, path: str) -> Options:
-        """From a YAML file of names and values; missing names keep their defaults."""
+    def load(cls, *paths: str) -> Options:
+        """From YAML files, later ones first in rank; what none of them names keeps its default.
+
+        A file may hold option names at its top level, or the sections of SECTIONS; other sections and
+        names in them (of data collection, say) are left alone, unknown names at the top level are errors.
+        """
         import yaml
 
-        with open(path, encoding="utf-8") as f:
-            given = yaml.safe_load(f) or {}
-        unknown = set(given) - {x.name for x in fields(cls)}
-        if unknown:
-            raise ValueError(f"unknown options: {', '.join(sorted(unknown))}")
+        given: dict[str, object] = {}
+        names = {x.name for x in fields(cls)}
+        for path in paths:
+            with open(path, encoding="utf-8") as f:
+                content = yaml.safe_load(f) or {}
+            for key, value in content.items():
+                if isinstance(value, dict):
+                    of = SECTIONS.get(key, {})
+                    given |= {of[k][0]: v * of[k][1] if of[k][1] != 1 else v for k, v in value.items() if k in of}
+                elif key in names:
+                    given[key] = value
+                elif key not in PLAIN:
+                    raise ValueError(f"unknown option: {key}")
         return cls(**given)
+
+
+#: Names of a configuration file's sections, the option that each sets, and its unit in ours.
+SECTIONS: dict[str, dict[str, tuple[str, float]]] = {
+    "grid": {"refine_threshold": ("refine_threshold", 1), "max_refine_resolution": ("max_resolution", 1)},
+    "booking": {"results_cap": ("cap_a", 1)},
+    "airbnb": {"results_cap": ("cap_b", 1)},
+    "currency": {"ron_to_eur_rate": ("ron_per_eur", 1)},
+    "geocoding": {"max_retries": ("max_retries", 1), "max_geocode_drift_km": ("max_drift_m", 1000)},
+    "dedup": {
+        "operator_relaxed_distance_m": ("relaxed_distance_m", 1), "strict_distance_m": ("strict_distance_m", 1), "strict_name_threshold": ("strict_name", 1),
+    },
+    "fusion": {
+        "sigma_geocoded_m": ("sigma_geocoded", 1), "sigma_booking_address_m": ("sigma_address", 1), "sigma_vague_m": ("sigma_vague", 1),
+        "sigma_airbnb_m": ("sigma_fuzzed", 1), "disagreement_km": ("disagreement_m", 1000), "exact_max_sigma_m": ("exact_max_sigma", 1),
+    },
+}
+#: Names at the top level that say what a file is about.
+PLAIN = ("city", "country")

@@ -100,3 +100,17 @@ def test_options(tmp_path):
     (tmp_path / "o.yaml").write_text("nope: 1\n")
     with pytest.raises(ValueError, match="nope"):
         Options.load(str(tmp_path / "o.yaml"))
+
+
+def test_options_from_sections(tmp_path):
+    from gleanrow.functions.options import Options
+
+    city = tmp_path / "city.yaml"
+    city.write_text("city: X\ngrid:\n  refine_threshold: 0.8\n  other: 3\nbooking:\n  results_cap: 99\n")
+    rules = tmp_path / "rules.yaml"
+    rules.write_text("delays:\n  a: 1\ndedup:\n  strict_name_threshold: 85\nfusion:\n  disagreement_km: 2.5\nmin_sigma: 7.0\n")
+    o = Options.load(str(city), str(rules))
+    assert (o.refine_threshold, o.cap_a, o.strict_name, o.disagreement_m, o.min_sigma, o.cap_b) == (0.8, 99, 85, 2500.0, 7.0, Options().cap_b)
+    rules.write_text("no_such_option: 1\n")
+    with pytest.raises(ValueError, match="no_such_option"):
+        Options.load(str(rules))
