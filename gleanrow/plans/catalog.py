@@ -37,7 +37,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixed_groups(rows: DataFrame) -> DataFrame:
-    return rows.where("k % 2 = 1").select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"), (F.col("k") % 13 == 0).alias("by_identity"))
+    return rows.select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"), (F.col("k") % 13 == 0).alias("by_identity"))
 
 
 @query
@@ -144,7 +144,7 @@ def q_dedup_metrics(spark, sf_dir):
 @query
 def q_upsert_last_nonnull(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.when(F.col("event_id") % 3 != 0, F.round("value", 2)).alias("price"), F.when(F.col("event_id") % 4 != 0, F.col("props")).alias("props"))
-    old, new = (upsert.latest_non_null(x, ["user_id"], "event_id", ["event_type"]) for x in (e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1 and user_id % 5 != 0")))
+    old, new = (upsert.latest_non_null(x, ["user_id"], "event_id", ["event_type"]) for x in (e.where("event_type in ('view', 'click')"), e.where("event_type not in ('view', 'click')")))
     return upsert.upsert_last_non_null(old, new, ["user_id"], overwrite=["event_type"], frozen=["props"])
 
 
@@ -153,7 +153,7 @@ def q_enrich_first_nonnull(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     old = o.select(k.alias("id"), F.when(k % 3 == 1, "Unknown").when(k % 3 == 2, "Private").alias("kind"), F.when(k % 4 != 0, F.col("o_totalprice")).alias("price"), F.col("o_orderpriority").alias("priority"))
-    new = o.where(k % 2 == 0).select(k.alias("id"), F.when(k % 5 == 0, "Unknown").when(k % 5 > 1, "Professional").alias("kind"), (F.col("o_totalprice") * 2).alias("price"), F.when(k % 6 != 0, "new").alias("priority"))
+    new = o.where("o_orderstatus = 'F'").select(k.alias("id"), F.when(k % 5 == 0, "Unknown").when(k % 5 > 1, "Professional").alias("kind"), (F.col("o_totalprice") * 2).alias("price"), F.when(k % 6 != 0, "new").alias("priority"))
     return upsert.enrich_first_non_null(old, new, ["id"], prefer_new=["priority"], soft={"kind": "Unknown"})
 
 
@@ -267,10 +267,12 @@ def q_text_normalize(spark, sf_dir):
 
 @query
 def q_pii_keys(spark, sf_dir):
-    email = T.none_if_empty(F.regexp_extract("text", r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+", 0))
-    phone = T.none_if_empty(F.regexp_extract("text", r"\+?\d[\d .()-]{7,18}\d", 0))
-    found = table(spark, sf_dir, "documents").select("doc_id", email.alias("email"), phone.alias("phone")).where("email is not null or phone is not null")
-    return found.select("doc_id", T.normalize_email(F.col("email")).alias("mail"), T.normalize_phone(F.col("phone")).alias("tel"))
+    """Every address and number of a text, as identity keys."""
+    found = lambda pattern: F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("raw")
+    kinds = (("mail", r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+", T.normalize_email), ("tel", r"\+?\d[\d .()-]{7,18}\d", T.normalize_phone))
+    docs = table(spark, sf_dir, "documents")
+    mails, phones = (docs.select("doc_id", found(p)).select("doc_id", F.lit(kind).alias("kind"), key(F.col("raw")).alias("value")) for kind, p, key in kinds)
+    return mails.unionByName(phones).where("value is not null").distinct()
 
 
 @query
@@ -349,7 +351,10 @@ def q_batch_dedup(spark, sf_dir):
 @query
 def q_curate(spark, sf_dir):
     done = curate(views.listings(spark, sf_dir).withColumn("scraped_at", F.lit("2026-05-01T00:00:00").cast("timestamp")))
-    return done.listings.select("id", "operator_id", "group_id", "cross_group_id", "latitude_best", "longitude_best", "est_accuracy_m", "location_source", "location_precision", "offset_m", "platform_precision")
+    six = lambda c: F.round(c, 6).alias(c)
+    return done.listings.select(
+        "id", "operator_id", "group_id", "cross_group_id", six("latitude_best"), six("longitude_best"), "est_accuracy_m", "location_source", "location_precision", "offset_m", "platform_precision",
+    )
 
 
 def queries() -> dict[str, Query]:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from ..functions import geo
 from ..functions.options import Options
-from .sql import BLOCKS, L, OPS, TWINS, hav
+from .sql import _LEVEL, _STACK, ADDRESS, BLOCKS, L, OPS, TWINS, fused, hav
 
 O = Options()
 
@@ -83,7 +84,24 @@ GROUPS = f"""{OPS}{TWINS[TWINS.rindex(', tw as') :]}{STRICT},
  fin as (select comp, unnest(arg_max(gs, n)) g from w group by comp)
  select unnest(g.m) id, 'pg_' || substr(md5(array_to_string(list_sort(g.m), '|')), 1, 16) group_id, len(list_distinct(list_transform(g.m, lambda x: split_part(x, '_', 1)))) = 2 cross_platform, g.f by_identity from fin"""
 
+_GROUP_ROWS = "select unnest(g.m) id, 'pg_'"
+#: The whole plan: groups, landed observations, fused positions per group and per row, conflicts, offsets, labels.
+CURATE = f"""{GROUPS[: GROUPS.rindex(_GROUP_ROWS)].rstrip()}, grp as ({GROUPS[GROUPS.rindex(_GROUP_ROWS) :]}){ADDRESS[len(L) :]}{_STACK},
+ sl as (select *, coalesce(regexp_matches(address, '{_LEVEL}'), false) street from st),
+ o as (select id listing_id, platform, coalesce(group_id, id) key, latitude, longitude, radius_m, cross_platform, group_id, id seq, 'scraped' source,
+  case when platform = 'booking' then case when street and stack_count < {O.stack_min} then {O.sigma_address} else {O.sigma_vague} end when radius_m is null then {O.sigma_fuzzed} when radius_m = 0 then {O.sigma_exact} else greatest({O.sigma_fuzzed}, radius_m * 0.7) end sigma_m,
+  case when platform = 'booking' then case when street then 'exact' else 'approximate' end when radius_m = 0 then 'exact' when radius_m is not null then 'approximate' end own from sl left join grp using (id)),
+ {fused('o', 'key', 'fk')}, {fused('o', 'listing_id', 'fl')},
+ ab as (select a.key, a.group_id, {_D} d, {hav('b', 'a')} od from o a join o b on a.key = b.key and a.platform = 'booking' and b.platform = 'airbnb'),
+ cf as (select key from ab group by key having max(d) > {O.disagreement_m}), om as (select group_id, round(median(od), 1) offset_m from ab where group_id is not null group by 1),
+ ch as (select o.*, cf.key is not null or coalesce(radius_m = 0, false) alone, fk.fx kx, fk.fy ky, fk.s ks, fk.d kd, fl.fx lx, fl.fy ly, fl.s ls, fl.d ld from o left join cf on cf.key = o.key join fk on fk.g = o.key join fl on fl.g = o.listing_id),
+ fx as (select *, case when alone then lx else kx end x, case when alone then ly else ky end y, case when alone then ls else ks end s, case when alone then ld else kd end dom from ch)
+ select listing_id id, operator_id, fx.group_id, case when cross_platform then fx.group_id end cross_group_id, round({geo.ANCHOR_LAT} + y / {geo.METRES_PER_DEGREE}, 6) latitude_best, round({geo.ANCHOR_LNG} + x / {geo.METRES_PER_DEGREE_LNG!r}, 6) longitude_best,
+ round(s, 1) est_accuracy_m, case when not alone and dom <> listing_id then 'transferred_from_twin' else 'platform_coord' end location_source, case when s <= {O.exact_max_sigma} then 'exact' else 'approximate' end location_precision,
+ case when cross_platform then offset_m end offset_m, own platform_precision from fx left join op on op.id = listing_id left join om on om.group_id = fx.group_id"""
+
 SQL = {
+    "q_curate": CURATE,
     "q_name_similarity": NAME_SIMILARITY,
     "q_strict_pairs": STRICT_PAIRS,
     "q_matched_pairs": MATCHED_PAIRS,

@@ -37,7 +37,7 @@ def _block(c: str) -> str:
 BLOCKS = L + f", c as (select *, {_block('latitude')} bi, {_block('longitude')} bj from l)"
 PAIRS = BLOCKS + f""", pr as (select a.id id_a, b.id id_b, {hav('a', 'b')} d, a.platform pa, b.platform pb from c a join c b on a.id < b.id and abs(a.bi - b.bi) <= 1 and abs(a.bj - b.bj) <= 1)"""
 
-FIXED_GROUPS = ", g as (select id, 'g' || cast(k % 450 as varchar) group_id, k % 13 = 0 by_identity from l where k % 2 = 1)"
+FIXED_GROUPS = ", g as (select id, 'g' || cast(k % 450 as varchar) group_id, k % 13 = 0 by_identity from l)"
 
 _X, _Y = f"((longitude - {geo.ANCHOR_LNG}) * {geo.METRES_PER_DEGREE_LNG!r})", f"((latitude - {geo.ANCHOR_LAT}) * {geo.METRES_PER_DEGREE})"
 FUSED = OBS + f""", x as (select *, {_X} x, {_Y} y from o where sigma_m > 0),
@@ -45,6 +45,16 @@ FUSED = OBS + f""", x as (select *, {_X} x, {_Y} y from o where sigma_m > 0),
  kp as (select x.*, 1 / (sigma_m * sigma_m) w from x join an using (key) where sqrt((x - ax) * (x - ax) + (y - ay) * (y - ay)) <= {O.outlier_m}),
  fu as (select key, sum(w * x) / sum(w) fx, sum(w * y) / sum(w) fy, greatest(1 / sqrt(sum(w)), {O.min_sigma}) sigma, arg_min(listing_id, (sigma_m, seq)) dominant_id, arg_min(source, (sigma_m, seq)) dominant_source from kp group by key)"""
 
+def fused(table: str, key: str, name: str) -> str:
+    """Common table expressions of the fused position of every key of a table."""
+    sums = "sum(w * x) / sum(w) fx, sum(w * y) / sum(w) fy"
+    top = "arg_min(listing_id, (sigma_m, seq)) d, arg_min(source, (sigma_m, seq)) src"
+    return f"""{name}_x as (select {key} g, listing_id, source, sigma_m, seq, (longitude - {geo.ANCHOR_LNG}) * {geo.METRES_PER_DEGREE_LNG!r} x, (latitude - {geo.ANCHOR_LAT}) * {geo.METRES_PER_DEGREE} y from {table} where sigma_m > 0),
+ {name}_a as (select g, arg_min(x, (sigma_m, seq)) ax, arg_min(y, (sigma_m, seq)) ay from {name}_x group by g),
+ {name}_k as (select *, 1 / (sigma_m * sigma_m) w from {name}_x join {name}_a using (g) where sqrt((x - ax) * (x - ax) + (y - ay) * (y - ay)) <= {O.outlier_m}),
+ {name} as (select g, {sums}, greatest(1 / sqrt(sum(w)), {O.min_sigma}) s, {top} from {name}_k group by g)"""
+
+
 _ADDR = "coalesce(json_extract_string(raw_json, '$.basicPropertyData.location.address'), json_extract_string(raw_json, '$.location.address'))"
 _NOISE = text.ADDRESS_NOISE.replace("(?iU)", "(?i)")
 _CLEAN1 = f"regexp_replace(regexp_replace(coalesce({_ADDR}, ''), '(\\d+)\\s*[-–]\\s*\\d+', '\\1', 'g'), '(?i)\\s*,?\\s*\\bnr\\b\\.?\\s*', ' ', 'g')"
@@ -89,11 +99,11 @@ SQL = {
  select (select count(*) from a) comparable_groups, (select count(*) from a where agrees) agreeing_groups, (select coalesce(string_agg(group_id, ',' order by group_id), '') from a where not agrees) conflict_groups,
  round((select count(*) from a where agrees) / nullif((select count(*) from a), 0), 4) precision_proxy, identity_twins, identity_twins_grouped, round(identity_twins_grouped / nullif(identity_twins, 0), 4) recall_proxy from r""",
     "q_upsert_last_nonnull": """with e as (select user_id, event_id, event_type, case when event_id % 3 = 0 then null else round(value, 2) end price, case when event_id % 4 = 0 then null else props end props from events),
- old as (select user_id, arg_max(event_type, event_id) event_type, arg_max(price, event_id) filter (price is not null) price, arg_max(props, event_id) filter (props is not null) props from e where event_id % 2 = 0 group by 1),
- new as (select user_id, arg_max(event_type, event_id) event_type, arg_max(price, event_id) filter (price is not null) price, arg_max(props, event_id) filter (props is not null) props from e where event_id % 2 = 1 and user_id % 5 <> 0 group by 1)
+ old as (select user_id, arg_max(event_type, event_id) event_type, arg_max(price, event_id) filter (price is not null) price, arg_max(props, event_id) filter (props is not null) props from e where event_type in ('view', 'click') group by 1),
+ new as (select user_id, arg_max(event_type, event_id) event_type, arg_max(price, event_id) filter (price is not null) price, arg_max(props, event_id) filter (props is not null) props from e where event_type not in ('view', 'click') group by 1)
  select coalesce(o.user_id, n.user_id) user_id, case when n.user_id is not null then n.event_type else o.event_type end event_type, coalesce(n.price, o.price) price, case when o.user_id is not null then o.props else n.props end props from old o full join new n on o.user_id = n.user_id""",
     "q_enrich_first_nonnull": """with o as (select o_orderkey id, case when o_orderkey % 3 = 0 then null when o_orderkey % 3 = 1 then 'Unknown' else 'Private' end kind, case when o_orderkey % 4 = 0 then null else o_totalprice end price, o_orderpriority priority from orders),
- n as (select o_orderkey id, case when o_orderkey % 5 = 0 then 'Unknown' when o_orderkey % 5 = 1 then null else 'Professional' end kind, o_totalprice * 2 price, case when o_orderkey % 6 = 0 then null else 'new' end priority from orders where o_orderkey % 2 = 0)
+ n as (select o_orderkey id, case when o_orderkey % 5 = 0 then 'Unknown' when o_orderkey % 5 = 1 then null else 'Professional' end kind, o_totalprice * 2 price, case when o_orderkey % 6 = 0 then null else 'new' end priority from orders where o_orderstatus = 'F')
  select o.id, coalesce(nullif(n.kind, 'Unknown'), o.kind, n.kind) kind, coalesce(o.price, n.price) price, coalesce(n.priority, o.priority) priority from o left join n using (id)""",
     "q_progress_summary": """select case when o_custkey % 2 = 0 then 'booking' else 'airbnb' end platform, o_orderstatus status, count(*) cells, cast(coalesce(sum(case when o_orderkey % 3 = 0 then null else o_custkey % 300 end), 0) as bigint) results from orders group by 1, 2""",
     "q_cell_transitions": """with p as (select o_custkey cell_id, case when o_orderkey % 4 = 0 then 'in_progress' when o_orderkey % 4 = 1 then 'completed' when o_orderkey % 4 = 2 then 'failed' else 'needs_refinement' end status, o_orderkey t, o_custkey % 300 result_count from orders)
@@ -117,8 +127,9 @@ SQL = {
     "q_html_escape": "select page_id, replace(replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') escaped from pages",
     "q_url_clean": "select page_id, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/$', '') clean from pages",
     "q_text_normalize": "select doc_id, md5(replace(replace(replace(replace(replace(replace(replace(replace(text, '—', '-'), '–', '-'), '‘', ''''), '’', ''''), '“', '\"'), '”', '\"'), '…', '...'), '`', '''')) plain_md5 from documents",
-    "q_pii_keys": """with d as (select doc_id, nullif(regexp_extract(text, '[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\\.[A-Za-z0-9.-]+'), '') email, nullif(regexp_extract(text, '\\+?\\d[\\d .()-]{7,18}\\d'), '') phone from documents) """
-    + f"select doc_id, {_MAIL} mail, {_TEL} tel from d where email is not null or phone is not null",
+    "q_pii_keys": """with e as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\\.[A-Za-z0-9.-]+')) email from documents),
+ t as (select doc_id, unnest(regexp_extract_all(text, '\\+?\\d[\\d .()-]{7,18}\\d')) phone from documents) """
+    + f"select distinct doc_id, 'mail' kind, {_MAIL} value from e where {_MAIL} is not null union all select distinct doc_id, 'tel', {_TEL} from t where {_TEL} is not null",
     "q_exact_dup_groups": "select min(doc_id) first_id, count(*) copies from documents where text is not null group by md5(text) having count(*) > 1",
     "q_address_clean": ADDRESS + " select id, address, lower(regexp_replace(address, '\\s+', ' ', 'g')) address_key from ad where platform = 'booking'",
     "q_precision_class": ADDRESS + _STACK + f""", sl as (select *, coalesce(regexp_matches(address, '{_LEVEL}'), false) street from st)

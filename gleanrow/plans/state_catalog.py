@@ -15,7 +15,7 @@ from ..operators import blocking, fusion, geocode, identity, quality, report, up
 from ..sinks import files
 from ..sources import tables
 from . import views
-from .sql import _ADDR, FIXED_GROUPS, OBS, OPS, L, hav
+from .sql import _ADDR, FIXED_GROUPS, OBS, OPS, L, fused, hav
 from .sql import SQL as BASE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,8 +90,8 @@ def q_accept_near(spark, sf_dir):
 
 
 _CACHE = """c as (select concat('a', cast(c_custkey as varchar)) address_norm, case c_custkey % 3 when 0 then 'ok' when 1 then 'not_found' else 'failed' end status, case when c_custkey % 3 = 0 then 44.5 end latitude, case when c_custkey % 3 = 0 then 26.5 end longitude,
- case when c_custkey % 3 = 0 then 'street' end quality, cast(1 + c_custkey % 6 as int) attempts, timestamp '2026-01-01 00:00:00' last_tried_at from customer where c_custkey % 2 = 0),
- d as (select concat('a', cast(c_custkey as varchar)) address_norm, case when c_custkey % 5 < 3 then cast(44 as double) + c_custkey % 5 end lat, c_custkey % 7 = 0 failed from customer where c_custkey % 4 <> 3),
+ case when c_custkey % 3 = 0 then 'street' end quality, cast(1 + c_custkey % 6 as int) attempts, timestamp '2026-01-01 00:00:00' last_tried_at from customer where c_acctbal > 0),
+ d as (select concat('a', cast(c_custkey as varchar)) address_norm, case when c_custkey % 5 < 3 then cast(44 as double) + c_custkey % 5 end lat, c_custkey % 7 = 0 failed from customer where c_nationkey < 19),
  w as (select concat('a', cast(c_custkey as varchar)) address_norm, attempts from customer left join c on c.address_norm = concat('a', cast(c_custkey as varchar)) where status is null or (status = 'failed' and attempts < 5)),
  f as (select w.address_norm, case when coalesce(failed, false) then 'failed' when lat is null then 'not_found' else 'ok' end status, lat, coalesce(attempts, 0) + 1 attempts from w left join d using (address_norm)),
  r as (select address_norm, status, case when status = 'ok' then lat end latitude, case when status = 'ok' then 26.0 end longitude, case when status = 'ok' then 'house' end quality, cast(attempts as int) attempts from f)"""
@@ -100,15 +100,15 @@ _CACHE = """c as (select concat('a', cast(c_custkey as varchar)) address_norm, c
 def _cache(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(cache, fresh answers) of addresses that the customers stand for."""
     k = F.col("c_custkey")
-    who = spark.read.parquet(f"{sf_dir}/customer.parquet").select(k, F.concat(F.lit("a"), k.cast("string")).alias("address_norm"))
+    who = spark.read.parquet(f"{sf_dir}/customer.parquet").select(k, "c_acctbal", "c_nationkey", F.concat(F.lit("a"), k.cast("string")).alias("address_norm"))
     ok = k % 3 == 0
     status = F.when(ok, "ok").when(k % 3 == 1, "not_found").otherwise("failed")
-    cache = who.where(k % 2 == 0).select(
+    cache = who.where("c_acctbal > 0").select(
         "address_norm", status.alias("status"), F.when(ok, 44.5).alias("latitude"), F.when(ok, 26.5).alias("longitude"), F.when(ok, "street").alias("quality"), (1 + k % 6).cast("int").alias("attempts"),
         F.lit("2026-01-01 00:00:00").cast("timestamp_ntz").alias("last_tried_at"),
     )
     looked = geocode.lookup(who.select(F.col("c_custkey").alias("id"), F.col("address_norm").alias("address")), cache)
-    answers = who.where(k % 4 != 3).select("address_norm", F.when(k % 5 < 3, 44.0 + k % 5).alias("latitude"), F.when(k % 5 < 3, 26.0).alias("longitude"), F.lit("house").alias("quality"), (k % 7 == 0).alias("failed"))
+    answers = who.where("c_nationkey < 19").select("address_norm", F.when(k % 5 < 3, 44.0 + k % 5).alias("latitude"), F.when(k % 5 < 3, 26.0).alias("longitude"), F.lit("house").alias("quality"), (k % 7 == 0).alias("failed"))
     return cache, geocode.resolve(looked.drop("latitude", "longitude"), answers, F.lit("2026-02-01 00:00:00"))
 
 
@@ -129,15 +129,15 @@ def q_cache_purge(spark, sf_dir):
     return geocode.purge(geocode.update_cache(*_cache(spark, sf_dir))).select("address_norm", "latitude")
 
 
-@query("""select o_orderkey run_id, case when o_orderkey % 2 = 0 then o_custkey end completed_at, case when o_orderkey % 2 = 0 then 'completed' else 'running' end status,
- case when o_orderkey % 2 = 0 and o_orderkey % 3 <> 0 then o_orderkey % 100 else cast(5 as bigint) end total_listings, cast(7 as bigint) listings_dropped from orders""")
+@query("""select o_orderkey run_id, case when o_orderstatus = 'F' then o_custkey end completed_at, case when o_orderstatus = 'F' then 'completed' else 'running' end status,
+ case when o_orderstatus = 'F' and o_orderkey % 3 <> 0 then o_orderkey % 100 else cast(5 as bigint) end total_listings, cast(7 as bigint) listings_dropped from orders""")
 def q_finish_runs(spark, sf_dir):
     """The run audit: ends fill it, missing tallies stay."""
     k = F.col("o_orderkey")
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     five, seven = F.lit(5).cast("long"), F.lit(7).cast("long")
     runs = o.select(k.alias("run_id"), F.lit(None).cast("long").alias("completed_at"), F.lit("running").alias("status"), five.alias("total_listings"), seven.alias("listings_dropped"))
-    ends = o.where(k % 2 == 0).select(k.alias("run_id"), F.col("o_custkey").alias("completed_at"), F.when(k % 3 != 0, k % 100).alias("total_listings"))
+    ends = o.where("o_orderstatus = 'F'").select(k.alias("run_id"), F.col("o_custkey").alias("completed_at"), F.when(k % 3 != 0, k % 100).alias("total_listings"))
     return upsert.finish_runs(runs, ends)
 
 
@@ -159,10 +159,10 @@ def q_merge_fields(spark, sf_dir):
     return rows.select("id", *upsert.merge_fields("row", "page", ["business_name"], ["max_guests"], {"business_name": "none"}))
 
 
-@query("select count(*) filter (o_orderkey % 3 <> 0) inserted, count(*) filter (o_orderkey % 3 = 0) updated from orders where o_orderkey % 2 = 0")
+@query("select count(*) filter (o_orderstatus <> 'F') inserted, count(*) filter (o_orderstatus = 'F') updated from orders where o_custkey > 100")
 def q_write_counts(spark, sf_dir):
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return upsert.write_counts(o.where("o_orderkey % 3 = 0"), o.where("o_orderkey % 2 = 0"), ["o_orderkey"])
+    return upsert.write_counts(o.where("o_orderstatus = 'F'"), o.where("o_custkey > 100"), ["o_orderkey"])
 
 
 @query(L + f" select id, platform, \"name\", latitude map_latitude, longitude map_longitude, 'platform_coord' map_source, 'approximate' map_precision, {_ADDR} address_raw, phone, k from l")
@@ -203,7 +203,7 @@ def q_operator_csv(spark, sf_dir):
 def q_metrics_json(spark, sf_dir):
     """The metrics document, read back from its text."""
     rows = listings(spark, sf_dir)
-    groups = rows.where("k % 2 = 1").select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"), (F.col("k") % 13 == 0).alias("by_identity"))
+    groups = rows.select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"), (F.col("k") % 13 == 0).alias("by_identity"))
     document = files.metrics_text(quality.dedup_metrics(rows, groups))
     n = lambda k: F.get_json_object("document", f"$.{k}").cast("long").alias(k)
     return document.select(*(n(k) for k in ("comparable_groups", "agreeing_groups", "identity_twins", "identity_twins_grouped")))
@@ -213,7 +213,7 @@ def q_metrics_json(spark, sf_dir):
 def q_review_rows(spark, sf_dir):
     """The review sheet: its limit is the operator's own."""
     rows = listings(spark, sf_dir)
-    groups = rows.where("k % 2 = 1").select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"))
+    groups = rows.select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"))
     return files.review_sample(rows.join(groups, "id")).select("group_id", "id", "platform", "name", "latitude", "longitude", "registration", "phone")
 
 
@@ -248,23 +248,13 @@ def q_raw_dump(spark, sf_dir):
     return spark.read.text(path).groupBy("cell_id").agg(F.count("*").alias("n"), F.count_distinct("value").alias("payloads"))
 
 
-def _fused(table: str, key: str, name: str) -> str:
-    """Common table expressions of the fused position of every key of a table."""
-    sums = "sum(w * x) / sum(w) fx, sum(w * y) / sum(w) fy"
-    top = "arg_min(listing_id, (sigma_m, seq)) d, arg_min(source, (sigma_m, seq)) src"
-    return f"""{name}_x as (select {key} g, listing_id, source, sigma_m, seq, (longitude - {geo.ANCHOR_LNG}) * {geo.METRES_PER_DEGREE_LNG!r} x, (latitude - {geo.ANCHOR_LAT}) * {geo.METRES_PER_DEGREE} y from {table} where sigma_m > 0),
- {name}_a as (select g, arg_min(x, (sigma_m, seq)) ax, arg_min(y, (sigma_m, seq)) ay from {name}_x group by g),
- {name}_k as (select *, 1 / (sigma_m * sigma_m) w from {name}_x join {name}_a using (g) where sqrt((x - ax) * (x - ax) + (y - ay) * (y - ay)) <= {O.outlier_m}),
- {name} as (select g, {sums}, greatest(1 / sqrt(sum(w)), {O.min_sigma}) s, {top} from {name}_k group by g)"""
-
-
 _NUMBER = "cast(substr(listing_id, 2) as int)"
 _FARTHEST = hav("a", "b")
 
 
 @query(
     OBS
-    + f""", {_fused('o', 'key', 'fk')}, {_fused('o', 'listing_id', 'fl')}, p as (select distinct key, platform, latitude, longitude from o),
+    + f""", {fused('o', 'key', 'fk')}, {fused('o', 'listing_id', 'fl')}, p as (select distinct key, platform, latitude, longitude from o),
  bad as (select a.key from p a join p b on a.key = b.key and a.platform = 'booking' and b.platform = 'airbnb' group by a.key having max({_FARTHEST}) > {O.disagreement_m}),
  m as (select distinct listing_id, key, case when {_NUMBER} % 10 = 0 then 0.0 when {_NUMBER} % 3 = 0 then 152.0 end radius_m from o),
  ch as (select listing_id, bad.key is not null or coalesce(radius_m = 0, false) alone, fk.fy ky, fk.s ks, fk.d kd, fk.src ksrc, fl.fy ly, fl.s ls, fl.d ld, fl.src lsrc
