@@ -119,7 +119,8 @@ def with_slots(rows: DataFrame, shards: int, cells: int) -> DataFrame:
     p = own_prefix(rows)
     cell, n, before, first = (p + x for x in ("cell", "n", "before", "first"))
     dealt = rows.groupBy(*rows.columns).agg(F.count("*").alias(n))
-    dealt = dealt.withColumn(cell, F.pmod(F.xxhash64(*rows.columns), F.lit(cells)).cast("int"))
+    whole = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in rows.columns))
+    dealt = dealt.withColumn(cell, (F.conv(F.substring(F.md5(whole), 1, 8), 16, 10).cast("long") % cells).cast("int"))
     counts = dealt.groupBy("shard", cell).agg(F.sum(n).alias(n))
     ahead = Window.partitionBy("shard").orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", cell, F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(before))

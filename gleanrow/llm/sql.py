@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import hosts, mixing
+from . import hashtree, hosts, mixing
 
 OP1 = """
 with c as (
@@ -144,5 +144,32 @@ from e join b on e.source is not distinct from b.source and e.seed = b.seed
 """
 
 
-#: DuckDB has no CRC-32: it is left out of this form, so op9 itself is tested against a brute-force version.
-ORACLES = {"op1_chat_format": OP1, "op3_line_dedup": OP3, "op4_decontaminate": OP4, "op5_url_filter": _op5(), "op6_warc": OP6, "op10_mix": _op10()}
+def _race(tree: hashtree.Node) -> str:
+    """The shard of key k, level by level: of each node's children the one with the least -ln(draw) / weight."""
+    at = "0"
+    for level in hashtree.by_level(tree):
+        draw = lambda name: f"((cast('0x' || substr(md5(k || '|{name}'), 1, 13) as bigint) + 0.5) / {float(2**52)})"
+        first = lambda own: f"list_sort([{', '.join(f'struct_pack(t := -ln({draw(name)}) / {weight}, child := {to})' for name, weight, to in own)}])[1].child"
+        at = f"case {at} {' '.join(f'when {i} then {first(own)}' for i, own in enumerate(level))} end"
+    return at
+
+
+def _op9(shards: int = 16) -> str:
+    tree = hashtree.default_tree(shards)
+    # the table of CRC-32: eight halvings of each byte, with the polynomial where a bit falls out
+    half = "case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end"
+    rounds = f"select i, cast(i as bigint) v, 0 s from range(256) q(i) union all select i, {half}, s + 1 from r where s < 8"
+    table = f"with recursive r as ({rounds}) select list(v order by i) t from r where s = 8"
+    return f"""
+with t as ({table}),
+d as (select doc_id, coalesce(text, '') as text, coalesce(cast(doc_id as varchar), 'null') as k from documents),
+c as (select doc_id, k, cast(strlen(text) + 1 as bigint) as size,
+  xor(list_reduce(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: cast('0x' || h as bigint)), lambda a, b: xor(a >> 8, t.t[(xor(a, b) & 255) + 1]), cast(4294967295 as bigint)), 4294967295) as text_crc32 from d, t),
+s as (select *, 'key' as law, {_race(tree)} as shard, {_race(hashtree.add_shard(tree, shards))} as grown_shard from c),
+e as (select *, cast('0x' || substr(md5(concat_ws('|', k, size, text_crc32, law, shard, grown_shard)), 1, 8) as bigint) % greatest(1, cast(ceil((select count(*) from documents) / {float(hashtree.CELL_ROWS * shards)}) as bigint)) as cell from s)
+select doc_id, size, text_crc32, law, shard, row_number() over (partition by shard order by cell, doc_id nulls first, size, text_crc32) - 1 as slot, grown_shard from e
+"""
+
+
+#: op2 (XXH64), op7 and op8 (trained models) are beyond SQL: tests hold them against brute-force versions.
+ORACLES = {"op1_chat_format": OP1, "op3_line_dedup": OP3, "op4_decontaminate": OP4, "op5_url_filter": _op5(), "op6_warc": OP6, "op9_shard": _op9(), "op10_mix": _op10()}
