@@ -17,7 +17,7 @@ A bucket returns a spanning forest of its links; components are then joined acro
 
 keep_one() is for the corpus pipeline, whose near copies are texts of five-word similarity 0.8 or
 more. At 0.8 a bit differs with probability 0.15 (the angle of the two shingle sets over pi), so
-64 bits are too few to tell 0.8 from 0.6, and no block of bits is sure to be equal. It takes 256
+64 bits are too few to tell 0.8 from 0.6, and no block of bits is sure to be equal. It takes 512
 bits of the distinct shingles and a budget of ``WIDE_BUDGET`` in the same trie join. Buckets are
 made of shared shingles instead of equal bits: a text goes to ``KEYS`` buckets, one for its least
 shingle in each of as many orders, of which texts of similarity 0.8 share none with probability
@@ -45,7 +45,7 @@ from .common import keep_first, stored, text_key
 
 SHINGLE, SEED, BUDGET = 3, 42, 3
 #: keep_one(): words of a shingle, bits (in words of 64) that may differ, orders, rows of a bucket that is not dealt again, and times that it is.
-WIDE_SHINGLE, WIDE_WORDS, WIDE_BUDGET, KEYS, WIDE_ROWS, LEVELS = 5, 4, 46, 10, 1 << 15, 2
+WIDE_SHINGLE, WIDE_WORDS, WIDE_BUDGET, KEYS, WIDE_ROWS, LEVELS = 5, 8, 90, 10, 1 << 15, 2
 #: Rows of a bucket that is not split again, and rows that are joined at a time.
 BUCKET_ROWS, CHUNK_ROWS = 1 << 10, 1 << 18
 #: Pairs of nodes that go down the trie together, and of rows that are compared at once: they bound a task's memory.
@@ -227,7 +227,7 @@ def _descend(pairs: np.ndarray, bits: np.ndarray, depth: int, allowed: int) -> n
 
 
 def _forest(budgets: Sequence[int], chunk_rows: int, words: int = 1):
-    """From rows key, bits, fp, sorted by key: a spanning forest of each key's links, whole keys at a time."""
+    """From rows key, bits, fp (or key and fp, which are the bits), sorted by key: a spanning forest of each key's links, whole keys at a time."""
 
     def as_words(column: pa.ChunkedArray) -> np.ndarray:
         if words == 1:
@@ -243,7 +243,7 @@ def _forest(budgets: Sequence[int], chunk_rows: int, words: int = 1):
         bounds = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]).astype(np.int64)
         labels = trie_forest(bits, bounds, budgets)
         to = np.flatnonzero(labels != np.arange(len(labels)))
-        fp = rows.column(2)
+        fp = rows.column(rows.num_columns - 1)
         out = pa.table({"a": fp.take(pa.array(order[to])), "b": fp.take(pa.array(order[labels[to]]))})
         yield from out.combine_chunks().to_batches()
 
@@ -304,7 +304,7 @@ def _wide(k: int):
 
 
 def shingle_buckets(prints: DataFrame, wide_rows: int = WIDE_ROWS) -> DataFrame:
-    """From (fp, keys): (key, bits, fp). Buckets over wide_rows are dealt by one more of their rows' keys, LEVELS times."""
+    """From (fp, keys): (key, fp). Buckets over wide_rows are dealt by one more of their rows' keys, LEVELS times."""
     rows = prints.select(F.explode("keys").alias("key"), "keys", "fp")
     done = None
     for _ in range(LEVELS):
@@ -316,7 +316,7 @@ def shingle_buckets(prints: DataFrame, wide_rows: int = WIDE_ROWS) -> DataFrame:
         more = rows.join(large, "key", "left_semi").select("key", "keys", "fp", F.explode("keys").alias("other"))
         rows = stored(more.select(F.xxhash64("key", "other").alias("key"), "keys", "fp").distinct(), "dealt")
     rows = rows if done is None else done.unionByName(rows)
-    return rows.select("key", F.col("fp").alias("bits"), "fp")
+    return rows.select("key", "fp")
 
 
 def near_roots(docs: DataFrame, k: int = WIDE_SHINGLE, budget: int = WIDE_BUDGET, wide_rows: int = WIDE_ROWS) -> DataFrame:
