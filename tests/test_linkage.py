@@ -1,8 +1,12 @@
+import math
 import random
 
+from pyspark.sql import functions as F
+
+from gleanrow.functions import similarity
 from gleanrow.functions.options import Options
 from gleanrow.functions.similarity import compatible, indel_ratio
-from gleanrow.operators import clustering, identity, quality
+from gleanrow.operators import blocking, clustering, identity, quality
 from gleanrow.operators.components import connected_components
 
 ROW = "id string, platform string, name string, latitude double, longitude double, registration string, phone string, email string, bedrooms int, beds int, bathrooms double, max_guests int, amenities array<string>"
@@ -139,3 +143,54 @@ def test_metrics(spark):
     assert (m["identity_twins"], m["identity_twins_grouped"], m["recall_proxy"]) == (1, 1, 1.0)
     none = quality.dedup_metrics(frame(spark, rows[4:]), mapping).first()
     assert none["precision_proxy"] is None and none["recall_proxy"] is None
+
+
+def test_components_by_rounds_and_in_one_task(spark):
+    """Chains, stars, cliques, loops and nulls; whole numbers, texts and bytes; both ways of settling them."""
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(7, 7), (None, 3)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            low, high = sorted((find(a), find(b)))
+            parent[high] = low
+    want = {x: find(x) for x in parent}
+    for kind, as_node in (("long", lambda x: x), ("string", lambda x: f"é{x:05d}"), ("binary", lambda x: x.to_bytes(4, "big"))):
+        df = spark.createDataFrame([(None if a is None else as_node(a), as_node(b)) for a, b in edges], f"a {kind}, b {kind}")
+        for few in (0, 1 << 17):
+            got = {r["node"]: r["component"] for r in connected_components(df, few_edges=few).collect()}
+            assert {(bytes(k) if kind == "binary" else k): (bytes(v) if kind == "binary" else v) for k, v in got.items()} == {as_node(k): as_node(v) for k, v in want.items()}
+    assert connected_components(df.limit(0)).count() == 0
+
+
+def test_cells_hold_every_near_pair(spark):
+    """Pairs within the distance share a cell everywhere: at the poles and across the date line too."""
+    rng = random.Random(4)
+    points = []
+    for _ in range(4000):
+        lat = rng.choice([rng.uniform(-90, 90), rng.uniform(79.95, 80.05), rng.uniform(-80.05, -79.95), rng.uniform(89.99, 90), rng.uniform(-0.01, 0.01)])
+        lng = rng.choice([rng.uniform(-180, 180), rng.uniform(179.999, 180), rng.uniform(-180, -179.999)])
+        angle, far = rng.uniform(0, 2 * math.pi), rng.uniform(0, 300)
+        lat2 = max(-90.0, min(90.0, lat + math.degrees(far * math.cos(angle) / 6_371_000)))
+        lng2 = lng + math.degrees(far * math.sin(angle) / 6_371_000 / max(1e-6, math.cos(math.radians(lat))))
+        points.append((lat, lng, lat2, (lng2 + 180) % 360 - 180))
+    df = spark.createDataFrame(points, "a_latitude double, a_longitude double, b_latitude double, b_longitude double")
+    own, around = blocking.distance_cells(F.col("a_latitude"), F.col("a_longitude"), 250.0)[0], blocking.distance_cells(F.col("b_latitude"), F.col("b_longitude"), 250.0)[1]
+    rows = df.select(similarity.pair_distance("a_", "b_").alias("d"), F.array_contains(around, own).alias("meet"), F.size(around).alias("n")).collect()
+    assert sum(r["d"] <= 250 for r in rows) > 1000
+    assert all(r["meet"] for r in rows if r["d"] <= 250) and max(r["n"] for r in rows) == 9
+
+
+def test_rows_of_one_id_in_a_batch(spark):
+    """The first row of an id that stays is the only one; one that falls to a neighbour leaves room for the next."""
+    rows = [("x", 1, "flat one", 44.0), ("y", 2, "flat one", 44.0), ("y", 3, "other name", 44.5), ("y", 4, "other name", 44.9), ("z", 5, "zzz", 45.0)]
+    df = spark.createDataFrame([(i, s, "airbnb", n, lat, 26.0) for i, s, n, lat in rows], "id string, seq long, platform string, name string, latitude double, longitude double")
+    none = {"bedrooms": "int", "beds": "int", "bathrooms": "double", "max_guests": "int", "amenities": "array<string>"}
+    df = df.select("*", *(F.lit(None).cast(t).alias(c) for c, t in none.items()))
+    assert sorted(r["seq"] for r in clustering.batch_dedup(df).collect()) == [1, 3, 5]
