@@ -104,9 +104,11 @@ def digest(examples: DataFrame) -> DataFrame:
     The last example holds every turn; the masked text of all of them, in order, is the loss.
     """
     last = F.max_by("formatted", "example").alias("whole")
-    loss = F.sort_array(F.collect_list(F.struct("example", read_loss(F.col("formatted"), F.col("loss_start"), F.col("loss_end")).alias("text"))))
+    loss = F.sort_array(F.collect_list(F.struct("example", read_loss(F.col("formatted"), F.col("loss_start"),
+        F.col("loss_end")).alias("text"))))
     per = examples.groupBy("conv_id", "alone").agg(last, loss.alias("loss"), F.sum(F.length("formatted")).alias("formatted_chars"))
-    out = per.select("conv_id", read_turns(F.col("whole")).alias("turns"), F.array_join(F.transform("loss", lambda x: x["text"]), "").alias("loss"), "formatted_chars")
+    out = per.select("conv_id", read_turns(F.col("whole")).alias("turns"),
+        F.array_join(F.transform("loss", lambda x: x["text"]), "").alias("loss"), "formatted_chars")
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(
         "conv_id",

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.storage import new_path, shared_dir, stored
 
 __all__ = [
-    "LOWER", "UPPER", "WORD", "all_of", "ascii_lower", "keep_first", "name", "new_path", "own_prefix", "read", "shared_dir", "stored", "text_key",
+    "LOWER", "UPPER", "WORD", "all_of", "ascii_lower", "keep_first", "name", "new_path", "own_prefix", "read", "shared_dir", "stored",
+    "text_key",
 ]
 
 #: Only A-Z are lower-cased in every contract here; lower() would touch more letters.

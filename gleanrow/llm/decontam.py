@@ -115,13 +115,15 @@ def found(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_rows
     lens = F.filter(F.array(*(F.lit(k) for k in sorted(per_len))), lambda k: F.col("i") + k <= F.size("w"))
     near = near.select("text", "w", "i", "slot", F.explode(lens).alias("len"))
     win = ascii_lower(F.array_join(F.slice("w", F.col("i") + 1, F.col("len")), " "))
-    near = near.select(text_id().alias("text_id"), _count(F.col("w")).alias("n_words"), (F.col("i") - _blank_first(F.col("w"))).alias("i"), "len", _digest(win).alias("digest"))
+    near = near.select(text_id().alias("text_id"), _count(F.col("w")).alias("n_words"), (F.col("i") - _blank_first(F.col("w"))).alias("i"),
+        "len", _digest(win).alias("digest"))
     keys = wins.select("len", "digest", "items")
     hits = near.join(F.broadcast(keys) if sum(per_len.values()) <= broadcast_rows else keys, ["len", "digest"])
     hit = F.struct(F.col("i").alias("start"), "len")
     per = hits.groupBy("text_id", "n_words").agg(F.collect_set(hit).alias("hits"), F.collect_set("items").alias("items"))
     items = F.array_sort(F.array_distinct(F.flatten("items")))
-    return stored(per.select("text_id", "n_words", F.sort_array("hits").alias("hits"), items.alias("items"), covered(F.col("hits")).alias("n_hit")), "hits")
+    return stored(per.select("text_id", "n_words", F.sort_array("hits").alias("hits"), items.alias("items"),
+        covered(F.col("hits")).alias("n_hit")), "hits")
 
 
 def is_contaminated(n_hit: Column, n_words: Column) -> Column:
@@ -163,4 +165,5 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_row
     out = narrow.join(F.broadcast(per) if per.count() <= broadcast_rows else per, F.col("id") == F.col("text_id"), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items = F.coalesce("items", F.array().cast("array<string>"))
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), items.alias("items"), is_contaminated(n_hit, F.col("n_words")).alias("contaminated"))
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), items.alias("items"),
+        is_contaminated(n_hit, F.col("n_words")).alias("contaminated"))

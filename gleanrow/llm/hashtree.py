@@ -53,7 +53,8 @@ def default_tree(shards: int) -> Node:
     per = SHARDS_PER_RACK * RACKS_PER_REGION
     regions = []
     for r in range(shards // per):
-        racks = tuple(Node(f"{r}.{k}", tuple(Node(f"{r}.{k}.{s}", shard=r * per + k * SHARDS_PER_RACK + s) for s in range(SHARDS_PER_RACK))) for k in range(RACKS_PER_REGION))
+        racks = tuple(Node(f"{r}.{k}", tuple(Node(f"{r}.{k}.{s}",
+            shard=r * per + k * SHARDS_PER_RACK + s) for s in range(SHARDS_PER_RACK))) for k in range(RACKS_PER_REGION))
         regions.append(Node(f"{r}", racks))
     tree = Node("root", tuple(regions))
     for s in range(shards // per * per, shards):
@@ -103,7 +104,8 @@ def assign(docs: DataFrame, tree: Node, into: str = "shard") -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     out = docs.withColumn(into, F.lit(0 if tree.children else tree.shard))
     for level in by_level(tree):
-        child = lambda name, weight, to: F.struct(F.lit(name).alias("name"), F.lit(weight).alias("weight"), F.lit(to).alias("to"))
+        child = lambda name, weight, to: F.struct(F.lit(name).alias("name"), F.lit(weight).alias("weight"),
+            F.lit(to).alias("to"))
         nodes = F.array(*(F.array(*(child(*c) for c in own)) for own in level))
         out = out.withColumn(into, _race(key, F.get(nodes, F.col(into))))
     return out

@@ -105,7 +105,8 @@ def reputation(stats: DataFrame) -> DataFrame:
     d = stored(h.groupBy("domain", "suffix").agg(*sums), "domains")
     s = stored(d.groupBy("suffix").agg(*sums), "suffixes")
     total = s.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
-    whole = stats.sparkSession.createDataFrame([("all", "", total["bad"] + 1.0, total["n"] - total["bad"] + 1.0)], "level string, name string, a double, b double")
+    whole = stats.sparkSession.createDataFrame([("all", "", total["bad"] + 1.0, total["n"] - total["bad"] + 1.0)],
+        "level string, name string, a double, b double")
     rate = (total["bad"] + 1) / (total["n"] + 2)
     ms, md, mh = strength(s), strength(d), strength(h)
 
@@ -144,7 +145,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, max_bad: float = MAX
     rep = reputation(stored(outcomes(pages, labels), "outcomes"))
     rep = rep.select("level", "name", (below(F.col("a"), F.col("b"), max_bad) <= 1 - sure).alias("bad"))
     rep = stored(rep, "reputation")
-    of = lambda level: rep.where(F.col("level") == level).select(F.col("name").alias(level), F.col("bad").alias(f"{level}_bad"))
+    of = lambda level: rep.where(F.col("level") == level).select(F.col("name").alias(level),
+        F.col("bad").alias(f"{level}_bad"))
     overall = rep.where("level = 'all'").first()["bad"]
     host, path = F.col("host"), F.col("path")
     rule, verdict = match_rule(host, path, rules)
@@ -155,4 +157,5 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, max_bad: float = MAX
     hosts = hosts.join(of("host"), "host", "left").join(of("domain"), "domain", "left").join(of("suffix"), "suffix", "left")
     bad = F.coalesce("host_bad", "domain_bad", "suffix_bad", F.lit(overall))
     hosts = hosts.select("host", F.when(bad, "block").otherwise("allow").alias("reputed"))
-    return seen.join(hosts, "host", "left").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.col("reputed")).alias("verdict"))
+    return seen.join(hosts, "host", "left").select("page_id", "host", "path", rule.alias("rule"),
+        F.coalesce(verdict, F.col("reputed")).alias("verdict"))

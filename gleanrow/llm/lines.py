@@ -136,7 +136,8 @@ class LineIndex:
         order = np.concatenate(order) if order else np.zeros(0, np.int64)
         words = bits.reshape(-1, 64)
         ranks = np.concatenate([[0], np.cumsum(words.sum(axis=1))])[:-1].astype(np.uint32)
-        return cls(np.array(sizes, np.int64), np.packbits(bits), ranks, g[order], np.minimum(n[order], MOST_COUNTED).astype(np.uint32), most[order])
+        return cls(np.array(sizes, np.int64), np.packbits(bits), ranks, g[order], np.minimum(n[order], MOST_COUNTED).astype(np.uint32),
+            most[order])
 
     def find(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
         """The index of each key in the arrays, -1 for keys that are not there."""
@@ -240,7 +241,8 @@ def _hashed(min_chars: int):
                 doc = np.array([NO_DOC if d is None else d for d in part.column(1).to_pylist()], np.int64)
                 line = np.array([i for k in keys for i in k[1]], np.int64)
                 uid = np.repeat(part.column(0).to_numpy(), n)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (uid, np.repeat(doc, n), line, h, g)], ["uid", "doc_id", "line", "h", "g"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (uid, np.repeat(doc, n), line, h, g)],
+                    ["uid", "doc_id", "line", "h", "g"])
 
     return run
 
@@ -279,13 +281,15 @@ def _drop_dealt(rows: DataFrame, shared: DataFrame, shards: int, min_chars: int,
     deal = stored(shared.groupBy(shard).agg(tasks), "deal")
     built = build_shards(shared, shards)
     base = stored(rows.withColumn("uid", F.monotonically_increasing_id()), "texts").select("uid", "doc_id", "text")
-    lines = base.mapInArrow(_hashed(min_chars), "uid long, doc_id long, line long, h long, g long").select(shard, "uid", "doc_id", "line", "h", "g")
+    lines = base.mapInArrow(_hashed(min_chars), "uid long, doc_id long, line long, h long, g long").select(shard, "uid", "doc_id", "line",
+        "h", "g")
     # 8 bytes a shard; lines of a shard without keys cannot go
     lines = lines.join(F.broadcast(deal) if shards <= 1 << 20 else deal, "shard")
     salt = F.pmod(F.xxhash64("uid", "line"), F.col("tasks")).cast("int").alias("salt")
     lines = lines.select("shard", salt, F.lit(1).alias("kind"), "uid", "doc_id", "line", "h", "g", F.lit(None).cast("binary").alias("blob"))
     none = [F.lit(0).cast("long").alias(c) for c in ("uid", "doc_id", "line", "h", "g")]
-    marks = built.join(deal, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("salt"), F.lit(0).alias("kind"), *none, "blob")
+    marks = built.join(deal, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("salt"),
+        F.lit(0).alias("kind"), *none, "blob")
     dealt = lines.unionByName(marks).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
     gone = dealt.select("uid", "doc_id", "line", "h", "g", "blob").mapInArrow(_probe_stream(min_docs), "uid long, line long")
     per = gone.groupBy("uid").agg(F.collect_list("line").alias("gone"))

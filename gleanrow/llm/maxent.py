@@ -383,7 +383,8 @@ def _gradient(shared):
                 total += add(w, np.frombuffer(key, np.int32).astype(np.int64), np.frombuffer(n, np.int64).astype(float), seen, want)
         seen, want = seen.flat(), want.flat()
         at = np.flatnonzero(want)
-        blobs = [pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), seen[at].astype(np.float32), want[at].astype(np.float32))]
+        blobs = [pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), seen[at].astype(np.float32),
+            want[at].astype(np.float32))]
         yield pa.RecordBatch.from_arrays([pa.array([total]), *blobs], ["total", "at", "seen", "want"])
 
     return run
@@ -396,7 +397,8 @@ def top_words(counts: DataFrame, most: int = BROADCAST_WORDS) -> tuple[list[byte
     """
     short = counts.where(F.length("word") > 0)
     step = F.when(F.col("c") < 1024, F.col("c")).otherwise(1024 + F.floor((F.log2("c") - 10) * 64)).cast("long")
-    histogram = sorted(((r["step"], r["n"]) for r in short.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    histogram = sorted(((r["step"], r["n"]) for r in short.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()),
+        reverse=True)
     least, taken = None, 0
     for s, n in histogram:
         if taken + n > most:
@@ -530,11 +532,13 @@ def _score(shared):
                 times = Counter(zip(owner.tolist(), far, strict=True))  # in the order of the texts
                 sizes = [len(t) for t in texts]  # the end included
                 n_known = np.add.reduceat((rank >= 0) & (rank < reader.beyond), starts) + int(m.end_count > 0)
-                offsets = np.concatenate([[0], np.cumsum(np.bincount(np.array([o for o, _ in times], np.int64), minlength=len(ids)))]).astype(np.int32)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(np.array([o for o, _ in times], np.int64),
+                    minlength=len(ids)))]).astype(np.int32)
                 words = pa.array([w for _, w in times], pa.binary())
                 times = pa.array(list(times.values()), pa.int64())
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(uid, uid + len(ids))), pa.array(ids, pa.int64()), pa.array([held_out(d) for d in ids]), pa.array(sizes, pa.int64()), pa.array(n_known.astype(np.int64)),
+                    pa.array(np.arange(uid, uid + len(ids))), pa.array(ids, pa.int64()), pa.array([held_out(d) for d in ids]),
+                    pa.array(sizes, pa.int64()), pa.array(n_known.astype(np.int64)),
                     pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(p, starts) / math.log(10)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([words, times], ["word", "k"])),
                 ], [c.split(" ")[0] for c in SCORED.split(", ")])
@@ -556,7 +560,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     out = part.drop("rare").join(per, "uid", "left")
     more = F.coalesce("more", F.lit(0.0))
     return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"),
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        F.lit(model.n).cast("long").alias("train_tokens"),
         (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"),
     )
 

@@ -44,7 +44,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_rate: i
     order = Window.orderBy(F.col("_cap") / F.col("_w"), "_r")
     caps = F.coalesce(F.sum("_cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     budget = F.sum("source_size").over(Window.partitionBy()) * F.lit(share)
-    left = w.withColumn("_left", budget - caps).withColumn("_weights", F.sum("_w").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    left = w.withColumn("_left", budget - caps).withColumn("_weights",
+        F.sum("_w").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
     full = F.col("_cap") * F.col("_weights") <= F.col("_left") * F.col("_w")
     level = left.withColumn("_level", F.when(~full, F.col("_left") / F.col("_weights")))
     # the first source that does not fill up sets the level for all after it
@@ -66,7 +67,8 @@ def draws(doc_id: Column) -> list[Column]:
 def plan(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_rate: int = MAX_RATE) -> DataFrame:
     """From (doc_id, source, size) rows: per source its target, rate and the seed to use."""
     # a table of one row per source: Spark broadcasts it if its size on disk is under the session's threshold
-    t = stored(targets(sizes, weights, share, max_rate), "targets").withColumn("rate", F.when(F.col("source_size") > 0, F.least(F.lit(float(max_rate)), F.col("target") / F.col("source_size"))).otherwise(0.0))
+    t = stored(targets(sizes, weights, share, max_rate), "targets").withColumn("rate",
+        F.when(F.col("source_size") > 0, F.least(F.lit(float(max_rate)), F.col("target") / F.col("source_size"))).otherwise(0.0))
     rated = sizes.join(t.select(F.col("source").alias("_s"), "rate"), F.col("source").eqNullSafe(F.col("_s")))
     fraction = F.col("rate") - F.floor("rate")
     sums = [F.sum(F.when(d < fraction, F.col("size")).otherwise(0)).alias(f"_s{i}") for i, d in enumerate(draws(F.col("doc_id")))]

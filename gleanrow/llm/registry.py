@@ -29,7 +29,8 @@ def op3_line_dedup(spark, sf_dir):
 
 def op4_decontaminate(spark, sf_dir):
     found = decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
 def op5_url_filter(spark, sf_dir):
@@ -57,7 +58,8 @@ def op10_mix(spark, sf_dir):
     return mixing.mix_report(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_line_dedup, op4_decontaminate, op5_url_filter, op6_warc, op7_lm_score, op8_quality_rules, op9_shard, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_line_dedup, op4_decontaminate, op5_url_filter, op6_warc, op7_lm_score,
+    op8_quality_rules, op9_shard, op10_mix)}
 
 
 def queries():

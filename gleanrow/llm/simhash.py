@@ -298,7 +298,8 @@ def _wide(k: int):
                 fps, keys = zip(*(wide_fingerprint(t.as_py(), k) for t in part.column(2)), strict=True)
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps, pa.binary()), lists], ["doc_id", "txt", "fp", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps, pa.binary()), lists],
+                    ["doc_id", "txt", "fp", "keys"])
 
     return run
 

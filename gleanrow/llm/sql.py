@@ -13,7 +13,8 @@ with c as (
   union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 k as (select *, case when conv_id is null then row_number() over () end as alone from c),
 n as (
-  select *, row_number() over (partition by conv_id, alone order by turn nulls first, role, text) as i, count(*) over (partition by conv_id, alone) as n,
+  select *, row_number() over (partition by conv_id, alone order by turn nulls first, role, text) as i, count(*) over (partition by conv_id,
+  alone) as n,
     length(regexp_replace(role, '([<\\[\\\\])', '\\1\\\\', 'g')) + length(regexp_replace(text, '([<\\[\\\\])', '\\1\\\\', 'g')) + 23 as size
   from k),
 s as (select *, sum(size) over (partition by conv_id, alone order by i) as upto from n)
@@ -26,15 +27,21 @@ from s group by conv_id, alone
 """
 
 OP4 = """
-with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
-b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
 k as (select item_id, w, least(13, len(w)) as n from b where len(w) > 0),
-wins as (select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as win from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i from k)),
+wins as (select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as win from (select item_id, w, n, unnest(range(1, len(w) - n +
+  2)) as i from k)),
 lens as (select distinct n from wins),
-pos as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as win from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, lens where len(w) >= n)),
+pos as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as win from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+  from d, lens where len(w) >= n)),
 hit as (select p.doc_id, p.i, p.n, x.item_id from pos p join wins x on p.win = x.win and p.n = x.n),
-cov as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from (select distinct doc_id, i, n from hit)) group by doc_id),
-its as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from hit) group by doc_id)
+cov as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from (select distinct doc_id, i, n from
+  hit)) group by doc_id),
+its as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as
+  varchar) as item from hit) group by doc_id)
 select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(c.n_hit, 0) as n_hit, coalesce(i.n_items, 0) as n_items,
   sha256(coalesce(i.items, '')) as items_sha256, coalesce(c.n_hit, 0) > 0 and 20 * coalesce(c.n_hit, 0) >= len(d.w) as contaminated
 from d left join cov c on d.doc_id = c.doc_id left join its i on d.doc_id = i.doc_id
@@ -49,7 +56,8 @@ with l as (select r, doc_id, line, i, translate(trim(line, {WHITE}), 'ABCDEFGHIJ
     from (select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))),
 f as (select k, max(doc_id) as most from l where length(k) >= 40 group by k having count(distinct r) >= 5),
 m as (select l.*, f.k is not null and l.doc_id is distinct from f.most as gone from l left join f on l.k = f.k)
-select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (not
+  gone), '')) as kept_sha256
 from m group by r, doc_id
 """
 
@@ -66,8 +74,10 @@ def _strength(groups: str) -> str:
     return f"""(select case when k < 2 or bad <= 0 or bad >= n then {hosts.STRONGEST}
       when n - nn / n <= k - 1 then {hosts.STRONGEST}
       when (bb - n * p * p) - (k - 1) * p * (1 - p) <= 0 then {hosts.STRONGEST}
-      else least({hosts.STRONGEST}, greatest({hosts.WEAKEST}, 1 / (((bb - n * p * p) - (k - 1) * p * (1 - p)) / (p * (1 - p) * ((n - nn / n) - (k - 1)))) - 1)) end
-    from (select *, bad / n as p from (select cast(count(*) as double) as k, cast(sum(n) as double) as n, cast(sum(bad) as double) as bad, cast(sum(n * n) as double) as nn, sum(cast(bad * bad as double) / n) as bb from {groups})))"""
+      else least({hosts.STRONGEST}, greatest({hosts.WEAKEST}, 1 / (((bb - n * p * p) - (k - 1) * p * (1 - p)) / (p * (1 - p) * ((n - nn / n)
+  - (k - 1)))) - 1)) end
+    from (select *, bad / n as p from (select cast(count(*) as double) as k, cast(sum(n) as double) as n, cast(sum(bad) as double) as bad,
+  cast(sum(n * n) as double) as nn, sum(cast(bad * bad as double) / n) as bb from {groups})))"""
 
 
 def _rules() -> tuple[str, str]:
@@ -104,9 +114,11 @@ def _op5() -> str:
     sums = "sum(n) as n, sum(bad) as bad"
     return f"""
 with u as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end as rest from pages),
-h as (select page_id, translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+h as (select page_id, translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+  as host,
   coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from u),
-l as (select doc_id as page_id, case when quality = 0 or toxic = 1 then 1 else 0 end as bad from labels where quality is not null or toxic is not null),
+l as (select doc_id as page_id, case when quality = 0 or toxic = 1 then 1 else 0 end as bad from labels where quality is not null or toxic
+  is not null),
 hs as (select host, {domain} as domain, {suffix} as suffix, count(*) as n, sum(bad) as bad from h join l using (page_id) group by host),
 ds as (select domain, suffix, {sums} from hs group by domain, suffix),
 ss as (select suffix, {sums} from ds group by suffix),
@@ -117,7 +129,8 @@ dp as (select domain, ds.bad + md * (a / (a + b)) as a, ds.n - ds.bad + md * (1
 hp as (select host, hs.bad + mh * (a / (a + b)) as a, hs.n - hs.bad + mh * (1 - a / (a + b)) as b from hs join dp using (domain), m),
 j as (select page_id, h.host, path, {rule} as rule, {verdict} as verdict, {domain} as domain, {suffix} as suffix from h)
 select page_id, j.host, path, rule,
-  coalesce(verdict, case when coalesce(x.bad, y.bad, z.bad, (select {_sure()} from (select cast(a as double) as a, cast(b as double) as b from al))) then 'block' else 'allow' end) as verdict
+  coalesce(verdict, case when coalesce(x.bad, y.bad, z.bad, (select {_sure()} from (select cast(a as double) as a, cast(b as double) as b
+  from al))) then 'block' else 'allow' end) as verdict
 from j left join (select host, {_sure()} as bad from hp) x on j.host = x.host
   left join (select domain, {_sure()} as bad from dp) y on j.domain = y.domain
   left join (select suffix, {_sure()} as bad from sp) z on j.suffix = z.suffix
@@ -128,18 +141,25 @@ def _op10() -> str:
     w = ", ".join(f"{float(x)}" for x in mixing.WEIGHTS)
     drawn = ", ".join(f"cast(('0x' || substr(md5(k || '|{h}'), {1 + 8 * j}, 8)) as ubigint) / {float(2**32)}" for h in range(mixing.HASHES) for j in range(mixing.DRAWS))
     return f"""
-with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size, coalesce(cast(doc_id as varchar), 'null') as k from documents),
+with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size, coalesce(cast(doc_id as
+  varchar), 'null') as k from documents),
 s as (select source, sum(size) as source_size from d group by source),
 r as (select *, row_number() over (order by source nulls last) - 1 as r from s),
 w as (select *, [{w}][r % {len(mixing.WEIGHTS)} + 1] as w, cast(source_size * {mixing.MAX_RATE} as double) as cap from r),
-o as (select *, sum(source_size) over () * cast({mixing.SHARE} as double) - coalesce(sum(cap) over (order by cap / w, r rows between unbounded preceding and 1 preceding), 0) as lft, sum(w) over (order by cap / w, r rows between current row and unbounded following) as ws from w),
+o as (select *, sum(source_size) over () * cast({mixing.SHARE} as double) - coalesce(sum(cap) over (order by cap / w, r rows between
+  unbounded preceding and 1 preceding), 0) as lft, sum(w) over (order by cap / w, r rows between current row and unbounded following) as ws
+  from w),
 f as (select *, case when not cap * ws <= lft * w then lft / ws end as level from o),
-t as (select source, source_size, coalesce(first_value(level ignore nulls) over (order by cap / w, r rows between unbounded preceding and current row) * w, cap) as target from f),
+t as (select source, source_size, coalesce(first_value(level ignore nulls) over (order by cap / w, r rows between unbounded preceding and
+  current row) * w, cap) as target from f),
 q as (select *, case when source_size > 0 then least({float(mixing.MAX_RATE)}, target / source_size) else 0 end as rate from t),
-e as (select d.*, source_size, target, rate, unnest([{drawn}]) as draw, unnest(range({mixing.SEEDS})) as seed from d join q on d.source is not distinct from q.source),
-g as (select source, seed, abs(sum(case when draw < rate - floor(rate) then size else 0 end) - any_value(target - floor(rate) * source_size)) as gap from e group by source, seed),
+e as (select d.*, source_size, target, rate, unnest([{drawn}]) as draw, unnest(range({mixing.SEEDS})) as seed from d join q on d.source is
+  not distinct from q.source),
+g as (select source, seed, abs(sum(case when draw < rate - floor(rate) then size else 0 end) - any_value(target - floor(rate) *
+  source_size)) as gap from e group by source, seed),
 b as (select source, arg_min(seed, (gap, seed)) as seed from g group by source)
-select doc_id, cast(size as bigint) as size, cast(source_size as bigint) as source_size, target, cast(size * (floor(rate) + case when draw < rate - floor(rate) then 1 else 0 end) as bigint) as taken
+select doc_id, cast(size as bigint) as size, cast(source_size as bigint) as source_size, target, cast(size * (floor(rate) + case when draw <
+  rate - floor(rate) then 1 else 0 end) as bigint) as taken
 from e join b on e.source is not distinct from b.source and e.seed = b.seed
 """
 
@@ -164,12 +184,16 @@ def _op9(shards: int = 16) -> str:
 with t as ({table}),
 d as (select doc_id, coalesce(text, '') as text, coalesce(cast(doc_id as varchar), 'null') as k from documents),
 c as (select doc_id, k, cast(strlen(text) + 1 as bigint) as size,
-  xor(list_reduce(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: cast('0x' || h as bigint)), lambda a, b: xor(a >> 8, t.t[(xor(a, b) & 255) + 1]), cast(4294967295 as bigint)), 4294967295) as text_crc32 from d, t),
+  xor(list_reduce(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: cast('0x' || h as bigint)), lambda a, b: xor(a >> 8,
+  t.t[(xor(a, b) & 255) + 1]), cast(4294967295 as bigint)), 4294967295) as text_crc32 from d, t),
 s as (select *, 'key' as law, {_race(tree)} as shard, {_race(hashtree.add_shard(tree, shards))} as grown_shard from c),
-e as (select *, cast('0x' || substr(md5(concat_ws('|', k, size, text_crc32, law, shard, grown_shard)), 1, 8) as bigint) % greatest(1, cast(ceil((select count(*) from documents) / {float(hashtree.CELL_ROWS * shards)}) as bigint)) as cell from s)
-select doc_id, size, text_crc32, law, shard, row_number() over (partition by shard order by cell, doc_id nulls first, size, text_crc32) - 1 as slot, grown_shard from e
+e as (select *, cast('0x' || substr(md5(concat_ws('|', k, size, text_crc32, law, shard, grown_shard)), 1, 8) as bigint) % greatest(1,
+  cast(ceil((select count(*) from documents) / {float(hashtree.CELL_ROWS * shards)}) as bigint)) as cell from s)
+select doc_id, size, text_crc32, law, shard, row_number() over (partition by shard order by cell, doc_id nulls first, size, text_crc32) - 1
+  as slot, grown_shard from e
 """
 
 
 #: op2 (XXH64), op7 and op8 (trained models) are beyond SQL: tests hold them against brute-force versions.
-ORACLES = {"op1_chat_format": OP1, "op3_line_dedup": OP3, "op4_decontaminate": OP4, "op5_url_filter": _op5(), "op6_warc": OP6, "op9_shard": _op9(), "op10_mix": _op10()}
+ORACLES = {"op1_chat_format": OP1, "op3_line_dedup": OP3, "op4_decontaminate": OP4, "op5_url_filter": _op5(), "op6_warc": OP6,
+    "op9_shard": _op9(), "op10_mix": _op10()}

@@ -53,10 +53,12 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, digest: st
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = head if refers_to is not None else head + payload
     name = "null" if page_id is None else str(page_id)
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{name}>", f"WARC-Date: {DATE}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{name}>",
+        f"WARC-Date: {DATE}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", url))
-    lines += ["Content-Type: application/http;msgtype=response", f"WARC-Payload-Digest: sha256:{digest}", f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}"]
+    lines += ["Content-Type: application/http;msgtype=response", f"WARC-Payload-Digest: sha256:{digest}",
+        f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}"]
     if refers_to is not None:
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
     lines.append(f"Content-Length: {len(block)}")
@@ -203,9 +205,11 @@ def with_revisits(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     narrow = stored(rows.where(F.octet_length("payload") >= min_revisit).select("page_id", "digest"), "digests")
     first = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
-    later = narrow.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("first"))).select("page_id", "digest", F.col("first").alias("refers_to")).distinct()
+    later = narrow.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("first"))).select("page_id", "digest",
+        F.col("first").alias("refers_to")).distinct()
     later = stored(later, "revisits").select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "refers_to")
-    return rows.join(later, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left").select("page_id", "url", "payload", "digest", "refers_to")
+    return rows.join(later, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left").select("page_id",
+        "url", "payload", "digest", "refers_to")
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +223,8 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT,
     members = with_revisits(pages, min_revisit).mapInArrow(_members, "member binary")
     # the cast keeps the bytes as they are
     text = members.select(F.col("member").cast("string").alias("value"))
-    text.write.option("lineSep", SEPARATOR.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", records_per_file).text(path)
+    text.write.option("lineSep", SEPARATOR.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile",
+        records_per_file).text(path)
 
 
 READ = "path string, start long, stop long, gap string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"

@@ -19,7 +19,8 @@ def test_round_trip_with_control_strings_nulls_and_ties(spark):
         3: [("assistant", CONTROL[4])],
         4: [(None, "no role"), ("assistant", ""), ("us\ner<|says|>", "é" * 50)],
     }
-    rows = [(c, i, r, t, "clash") for c, turns in convs.items() for i, (r, t) in enumerate(turns)] + [(None, 0, "user", "null id", "x"), (None, 1, "assistant", "another", "x")]
+    rows = [(c, i, r, t, "clash") for c, turns in convs.items() for i, (r, t) in enumerate(turns)] + [(None, 0, "user", "null id", "x"),
+        (None, 1, "assistant", "another", "x")]
     df = spark.createDataFrame(rows, SCHEMA)
     examples = chat.expand(df)
     assert examples.where("conv_id = 1").count() == 2

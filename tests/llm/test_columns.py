@@ -11,8 +11,10 @@ from .test_iforest import junk
 
 #: Names that an operator might use inside, and names that need quoting.
 NAMES = (
-    "_w", "_hits", "_c13", "_n_words", "_row", "_hit", "_s", "_rate", "_seed", "_copy", "_id", "_kept", "_cell", "_rank", "_txt", "_none", "shard", "shard_", "fp", "root", "txt", "key", "keys", "hits", "slot",
-    "size", "n", "text_id", "n_words", "items", "source_size", "target", "rate", "quality", "_own", "_ownid", "_OWNtxt", "_own_text_id", "a.b", "back`tick", "word count", "len", "start",
+    "_w", "_hits", "_c13", "_n_words", "_row", "_hit", "_s", "_rate", "_seed", "_copy", "_id", "_kept", "_cell", "_rank", "_txt", "_none",
+    "shard", "shard_", "fp", "root", "txt", "key", "keys", "hits", "slot",
+    "size", "n", "text_id", "n_words", "items", "source_size", "target", "rate", "quality", "_own", "_ownid", "_OWNtxt", "_own_text_id",
+    "a.b", "back`tick", "word count", "len", "start",
 )
 
 
@@ -57,7 +59,8 @@ def test_pipeline_with_odd_tables(spark, tmp_path):
     one = prose(rng, 300, 3000)
     # column names of Parquet may not hold all marks in all readers: the plain ones stay
     plain = [c for c in docs.columns if not set(c) & set(".` ")]
-    more = [(None, one, "s0"), (None, prose(rng, 250, 3000), None), (5, prose(rng, 250, 3000), "s1"), (5, one, "s1"), (40, prose(rng, 60_000, 9000), "s0"), (40, "", "s0")]
+    more = [(None, one, "s0"), (None, prose(rng, 250, 3000), None), (5, prose(rng, 250, 3000), "s1"), (5, one, "s1"),
+        (40, prose(rng, 60_000, 9000), "s0"), (40, "", "s0")]
     extra = spark.createDataFrame([(*r, *("x" for _ in plain[3:])) for r in more], docs.select(*plain).schema)
     docs.select(*plain).unionByName(extra).unionByName(extra).write.parquet(str(tmp_path / "full/documents.parquet"))
     labels.write.parquet(str(tmp_path / "full/labels.parquet"))

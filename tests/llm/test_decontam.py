@@ -31,8 +31,10 @@ def corpus():
     rng = random.Random(4)
     words = [f"v{i}" for i in range(50)] + ["É", "naïve"]
     say = lambda n: " ".join(rng.choice(words) for _ in range(n))
-    items = [(i, say(rng.randrange(14, 40))) for i in range(8)] + [(10, "three Short words"), (2, "one"), (3, None), (4, "..."), (5, "the same item " * 6), (6, "the same item " * 6)]
-    texts = [*ODD, items[0][1].upper(), "x, " + items[1][1].replace(" ", "-") + " y", say(300) + " " + items[2][1] + " " + say(400), say(2000) + " " + items[3][1], "Three short WORDS!", "the same item " * 40, say(50)]
+    items = [(i, say(rng.randrange(14, 40))) for i in range(8)] + [(10, "three Short words"), (2, "one"), (3, None), (4, "..."),
+        (5, "the same item " * 6), (6, "the same item " * 6)]
+    texts = [*ODD, items[0][1].upper(), "x, " + items[1][1].replace(" ", "-") + " y", say(300) + " " + items[2][1] + " " + say(400),
+        say(2000) + " " + items[3][1], "Three short WORDS!", "the same item " * 40, say(50)]
     return texts, items
 
 

@@ -33,7 +33,8 @@ def test_report_against_plain(spark):
 def test_weights_and_confined_movement(spark):
     ids = spark.range(6000).withColumnRenamed("id", "doc_id")
     leaf = lambda n, s, w: hashtree.Node(n, shard=s, own_weight=w)
-    tree = lambda w: hashtree.Node("root", (hashtree.Node("a", (leaf("a0", 0, 1.0), leaf("a1", 1, w))), hashtree.Node("b", (leaf("b0", 2, 1.0), leaf("b1", 3, 1.0)))))
+    tree = lambda w: hashtree.Node("root", (hashtree.Node("a", (leaf("a0", 0, 1.0), leaf("a1", 1, w))),
+        hashtree.Node("b", (leaf("b0", 2, 1.0), leaf("b1", 3, 1.0)))))
     both = hashtree.assign(hashtree.assign(ids, tree(1.0)), tree(3.0), "later").collect()
     n = Counter(r["later"] for r in both)
     assert abs(n[1] / 6000 - 0.5) < 0.03 and abs(n[0] / 6000 - 1 / 6) < 0.03

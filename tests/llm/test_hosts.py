@@ -16,20 +16,24 @@ def judged(spark, urls, labels=()):
 
 def test_parts_and_longest_rule(spark):
     urls = [
-        None, "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?y#z", "http://a.example.com/en/", "http://example.com/en", "http://xexample.com/en/", "ftp://b.net/es/1#f",
+        None, "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?y#z", "http://a.example.com/en/", "http://example.com/en",
+        "http://xexample.com/en/", "ftp://b.net/es/1#f",
         "http://b.net/eso", "http://c.com", "http://c.com/a://b.net/fr/", "http://É.com/\nx?q",
     ]
     got = judged(spark, urls)
     assert [(got[i]["host"], got[i]["path"], got[i]["rule"]) for i in range(len(urls))] == [
-        ("", "", None), ("", "", None), ("", "", None), ("www.example.com", "/en/x", "www.example.com/en/"), ("a.example.com", "/en/", "example.com/en/"), ("example.com", "/en", "com/"), ("xexample.com", "/en/", "com/"),
-        ("b.net", "/es/1", "net/es/"), ("b.net", "/eso", None), ("c.com", "", None), ("c.com", "/a://b.net/fr/", "com/"), ("É.com", "/\nx", "com/"),
+        ("", "", None), ("", "", None), ("", "", None), ("www.example.com", "/en/x", "www.example.com/en/"),
+        ("a.example.com", "/en/", "example.com/en/"), ("example.com", "/en", "com/"), ("xexample.com", "/en/", "com/"),
+        ("b.net", "/es/1", "net/es/"), ("b.net", "/eso", None), ("c.com", "", None), ("c.com", "/a://b.net/fr/", "com/"),
+        ("É.com", "/\nx", "com/"),
     ]
     assert [got[i]["verdict"] for i in (3, 4, 5, 7)] == ["allow", "block", "allow", "block"]
     assert all(got[i]["verdict"] == "allow" for i in (0, 1, 8, 9))
 
 
 def test_reputation_shrinks_and_blocks(spark):
-    urls = [f"http://bad.spam.org/{i}" for i in range(60)] + [f"http://h{i}.good.org/{i}" for i in range(60)] + ["http://new.spam.org/", "http://new.good.org/", "http://once.good.org/", "http://x.unseen/"]
+    urls = [f"http://bad.spam.org/{i}" for i in range(60)] + [f"http://h{i}.good.org/{i}" for i in range(60)] + ["http://new.spam.org/",
+        "http://new.good.org/", "http://once.good.org/", "http://x.unseen/"]
     labels = [(i, 0, 0) for i in range(55)] + [(i, 1, 0) for i in range(60, 118)] + [(122, 1, 1), (5, None, None), (None, 0, 0)]
     got = judged(spark, urls, labels)
     assert got[0]["verdict"] == got[59]["verdict"] == "block"
@@ -46,8 +50,10 @@ def test_empty(spark):
 
 def test_levels_of_hosts(spark):
     want = {
-        "www.bbc.co.uk": ("bbc.co.uk", "co.uk"), "bbc.co.uk": ("bbc.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "a.b.example.com": ("example.com", "com"), "example.com": ("example.com", "com"),
-        "com": ("com", "com"), "localhost": ("localhost", "localhost"), "me:pw@www.x.org:8080": ("x.org", "org"), "x.org.": ("x.org", "org"), "10.0.3.4:80": ("10.0.3.4", "(address)"),
+        "www.bbc.co.uk": ("bbc.co.uk", "co.uk"), "bbc.co.uk": ("bbc.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+        "a.b.example.com": ("example.com", "com"), "example.com": ("example.com", "com"),
+        "com": ("com", "com"), "localhost": ("localhost", "localhost"), "me:pw@www.x.org:8080": ("x.org", "org"),
+        "x.org.": ("x.org", "org"), "10.0.3.4:80": ("10.0.3.4", "(address)"),
         "[::1]:80": ("[::1]", "(address)"), "": ("", ""), "x.org.:80": ("x.org", "org"),
     }
     rows = spark.createDataFrame([(h,) for h in want], "host string")

@@ -28,7 +28,8 @@ def plain(rows, min_chars=40, min_docs=5):
 def corpus():
     rng = random.Random(5)
     common = [f"this line number {i} is found in many of the documents É" for i in range(6)] + ["ü" * 40, "ü" * 39, "short"]
-    texts = ["\n".join(rng.choice(["  ", "", "\t"]) + rng.choice([str.upper, str, str])(rng.choice(common)) + rng.choice([" ", "\r", ""]) if rng.random() < 0.6 else f"own {rng.random()} " * 3 for _ in range(rng.randrange(9))) for _ in range(60)]
+    texts = ["\n".join(rng.choice(["  ", "", "\t"]) + rng.choice([str.upper, str, str])(rng.choice(common)) + rng.choice([" ", "\r",
+        ""]) if rng.random() < 0.6 else f"own {rng.random()} " * 3 for _ in range(rng.randrange(9))) for _ in range(60)]
     texts = [t.replace("Ü", "ü") for t in texts] + ODD
     ids = [*range(len(texts) - 3), None, 7, 7]
     return list(zip(ids, texts, strict=True))

@@ -55,7 +55,8 @@ def plain_token(m, counts, word, last, skip):
     """log probability of a token by sums over all classes and over all units of its class. word None: the end."""
     w = m.weights
     rank = {x: i for i, x in enumerate(m.words)}
-    bucket = lambda x, own, kind: kind if x == "start" else maxent.places(x, min(rank.get(x, maxent.FREQUENT), maxent.FREQUENT))[own]
+    bucket = lambda x, own, kind: kind if x == "start" else maxent.places(x,
+        min(rank.get(x, maxent.FREQUENT), maxent.FREQUENT))[own]
     a, b = bucket(last, 1, maxent.LAST_START), bucket(skip, 2, maxent.SKIP_START)
     pair = maxent.pair_hash(np.array([b]), np.array([a]))[0]
     logits = [float(w.bias[c]) + float(w.last[a, c]) + float(w.skip[b, c]) + float(w.pair[pair, c]) for c in range(maxent.CLASSES)]

@@ -13,7 +13,8 @@ def some_pages(spark, rows):
 
 def test_round_trip_with_revisits(spark):
     same = "<p>é WARC/1.1\r\n\r\n" * 20
-    rows = [(5, "http://a", same), (3, None, same), (9, "http://b\r\nX: y", same), (1, "u", None), (2, "u", ""), (4, "u", "x" * 99), (6, "u", "x" * 99), (None, "u", same), (7, "u", "y" * 300_000)]
+    rows = [(5, "http://a", same), (3, None, same), (9, "http://b\r\nX: y", same), (1, "u", None), (2, "u", ""), (4, "u", "x" * 99),
+        (6, "u", "x" * 99), (None, "u", same), (7, "u", "y" * 300_000)]
     got = {r["page_id"]: r for r in warc.round_trip(some_pages(spark, rows)).collect()}
     assert len(got) == len(rows)
     for i, url, html in rows:
@@ -69,7 +70,8 @@ def test_salvage(spark, tmp_path):
 
 def test_salvage_inside_a_member():
     """An archive that is one member: records before a cut, and around a bad record, are kept."""
-    records = [warc.make_record(i, f"http://a/{i}", (f"payload {i} ".encode() + bytes(random.Random(i).randbytes(300))) * 20, "0", None) for i in range(40)]
+    records = [warc.make_record(i, f"http://a/{i}", (f"payload {i} ".encode() + bytes(random.Random(i).randbytes(300))) * 20, "0",
+        None) for i in range(40)]
     kept = lambda data: [int(x[3]["fields"][b"warc-record-id"].split(b":")[-1][:-1]) for x in warc.salvage(data) if x[0] == "record"]
     whole = warc.gzip_member(b"".join(records))
     assert kept(whole) == list(range(40))
@@ -88,5 +90,6 @@ def test_salvage_inside_a_member():
 def test_very_long_page(spark):
     html = "<p>é</p>" * 1_000_000
     rows = warc.round_trip(some_pages(spark, [(1, "u", html), (2, "u", html)])).orderBy("page_id").collect()
-    assert [(r["record_type"], r["payload_bytes"], r["refers_to"]) for r in rows] == [("response", 9_000_000, None), ("revisit", 9_000_000, 1)]
+    assert [(r["record_type"], r["payload_bytes"], r["refers_to"]) for r in rows] == [("response", 9_000_000, None),
+        ("revisit", 9_000_000, 1)]
     assert rows[0]["payload_digest"] == hashlib.sha256(html.encode()).hexdigest()
