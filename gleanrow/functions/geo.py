@@ -42,7 +42,8 @@ def position_confidence(sigma: Column) -> Column:
 def scraped_sigma(platform: Column, address: Column, radius: Column, stack_count: Column, o: Options = Options()) -> Column:
     """Standard error in metres of a landed coordinate."""
     street = F.when(T.is_street_level(address) & (stack_count < o.stack_min), o.sigma_address).otherwise(o.sigma_vague)
-    pin = F.when(radius.isNull(), o.sigma_fuzzed).when(radius == 0, o.sigma_exact).otherwise(F.greatest(F.lit(o.sigma_fuzzed), radius.cast("double") * 0.7))
+    pin = F.when(radius.isNull(), o.sigma_fuzzed).when(radius == 0,
+        o.sigma_exact).otherwise(F.greatest(F.lit(o.sigma_fuzzed), radius.cast("double") * 0.7))
     return F.when(platform == "booking", street).otherwise(pin).cast("double")
 
 

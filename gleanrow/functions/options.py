@@ -75,7 +75,8 @@ SECTIONS: dict[str, dict[str, tuple[str, float]]] = {
     "currency": {"ron_to_eur_rate": ("ron_per_eur", 1)},
     "geocoding": {"max_retries": ("max_retries", 1), "max_geocode_drift_km": ("max_drift_m", 1000)},
     "dedup": {
-        "operator_relaxed_distance_m": ("relaxed_distance_m", 1), "strict_distance_m": ("strict_distance_m", 1), "strict_name_threshold": ("strict_name", 1),
+        "operator_relaxed_distance_m": ("relaxed_distance_m", 1), "strict_distance_m": ("strict_distance_m", 1),
+        "strict_name_threshold": ("strict_name", 1),
     },
     "fusion": {
         "sigma_geocoded_m": ("sigma_geocoded", 1), "sigma_booking_address_m": ("sigma_address", 1), "sigma_vague_m": ("sigma_vague", 1),

@@ -44,7 +44,8 @@ def indel_ratio_sql(a: Column, b: Column) -> Column:
 
     def row(prev, c):
         def cell(acc, i):
-            here = F.when(F.substring(x, i, F.lit(1)) == c, F.element_at(prev, i) + 1).otherwise(F.greatest(F.element_at(prev, i + 1), F.element_at(acc, -1)))
+            here = F.when(F.substring(x, i, F.lit(1)) == c, F.element_at(prev, i) + 1).otherwise(F.greatest(F.element_at(prev, i + 1),
+                F.element_at(acc, -1)))
             return F.concat(acc, F.array(here))
 
         return F.when(n == 0, prev).otherwise(F.aggregate(F.sequence(F.lit(1), n), F.array(F.lit(0)), cell))
@@ -55,7 +56,8 @@ def indel_ratio_sql(a: Column, b: Column) -> Column:
 
 def rooms_match(a: str, b: str) -> Column:
     """Rooms of sides a and b (column prefixes): null is a wildcard, at least one pair must be comparable."""
-    pairs = [(F.col(f"{a}bedrooms"), F.col(f"{b}bedrooms")), (F.col(f"{a}beds"), F.col(f"{b}beds")), (F.col(f"{a}bathrooms"), F.col(f"{b}bathrooms"))]
+    pairs = [(F.col(f"{a}bedrooms"), F.col(f"{b}bedrooms")), (F.col(f"{a}beds"), F.col(f"{b}beds")),
+        (F.col(f"{a}bathrooms"), F.col(f"{b}bathrooms"))]
     some = F.coalesce(*((x == y) for x, y in pairs)).isNotNull()
     equal = F.lit(True)
     for x, y in pairs:
@@ -78,7 +80,8 @@ def distinct_units(a: str, b: str, o: Options = Options()) -> Column:
     """Two rows of one platform that are surely different units: capacities or amenities differ."""
     ga, gb = F.col(f"{a}max_guests"), F.col(f"{b}max_guests")
     capacity = F.coalesce(ga != gb, F.lit(False))
-    return (F.col(f"{a}platform") == F.col(f"{b}platform")) & (capacity | (jaccard(F.col(f"{a}amenities"), F.col(f"{b}amenities")) < o.amenity_jaccard))
+    return (F.col(f"{a}platform") == F.col(f"{b}platform")) & (capacity | (jaccard(F.col(f"{a}amenities"),
+        F.col(f"{b}amenities")) < o.amenity_jaccard))
 
 
 def pair_distance(a: str, b: str) -> Column:

@@ -134,7 +134,8 @@ def map_radius(html: Column) -> Column:
 
 def available_amenities(html: Column) -> Column:
     """Sorted, distinct, lower-case titles of the amenities that are available; empty if none."""
-    titles = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r'"__typename":"AmenityItem","available":true,"title":"([^"]{1,80})"'), F.lit(1))
+    titles = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r'"__typename":"AmenityItem","available":true,"title":"([^"]{1,80})"'),
+        F.lit(1))
     plain = F.transform(titles, lambda t: F.lower(strip(t)))
     return F.array_sort(F.array_distinct(F.filter(plain, lambda t: t != "")))
 
@@ -163,7 +164,8 @@ def room_counts(lines: Column) -> Column:
 def rating_parts(text: Column) -> Column:
     """struct<score double, count int> of ``4.85 (120)``; a decimal comma will do."""
     head, tail = F.split(text, " ", 2)[0], F.get(F.split(text, " ", 2), F.lit(1))
-    return F.struct(F.replace(head, F.lit(","), F.lit(".")).try_cast("double").alias("score"), extract(tail, r"(?U)\d+", 0).try_cast("int").alias("count"))
+    return F.struct(F.replace(head, F.lit(","), F.lit(".")).try_cast("double").alias("score"),
+        extract(tail, r"(?U)\d+", 0).try_cast("int").alias("count"))
 
 
 def nightly_price(descriptions: Column) -> Column:

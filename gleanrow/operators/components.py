@@ -67,7 +67,8 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = pa.chunked_array([*edges.column(0).chunks, *edges.column(1).chunks])
         nodes, at = np.unique(np.array(ends.to_pylist(), object if not pa.types.is_integer(ends.type) else None), return_inverse=True)
         labels = joined_labels(np.arange(len(nodes)), at[: len(at) // 2], at[len(at) // 2 :])
-        yield pa.RecordBatch.from_arrays([pa.array(nodes.tolist(), ends.type), pa.array(nodes[labels].tolist(), ends.type)], ["node", "component"])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes.tolist(), ends.type), pa.array(nodes[labels].tolist(), ends.type)],
+            ["node", "component"])
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60, few_edges: int = FEW_EDGES) -> DataFrame:

@@ -24,7 +24,8 @@ def _with_geometry(cells: DataFrame, south: float, west: float, step: float, bas
     boundary = F.array(corner(lat, lng), corner(lat, lng + size), corner(lat + size, lng + size), corner(lat + size, lng))
     out = cells.withColumn("cell_id", cell_id(F.col("level"), F.col("row"), F.col("col"))).withColumn("boundary", boundary)
     lats, lngs = F.transform("boundary", lambda p: p["lat"]), F.transform("boundary", lambda p: p["lng"])
-    bbox = F.struct(F.array_max(lats).alias("ne_lat"), F.array_max(lngs).alias("ne_lng"), F.array_min(lats).alias("sw_lat"), F.array_min(lngs).alias("sw_lng"))
+    bbox = F.struct(F.array_max(lats).alias("ne_lat"), F.array_max(lngs).alias("ne_lng"), F.array_min(lats).alias("sw_lat"),
+        F.array_min(lngs).alias("sw_lng"))
     return out.withColumn("bbox", bbox).withColumn("center_lat", lat + size / 2).withColumn("center_lng", lng + size / 2)
 
 
@@ -33,15 +34,18 @@ def generate(spark: SparkSession, south: float, west: float, north: float, east:
     from math import ceil
 
     rows, cols = ceil(round((north - south) / step, 9)), ceil(round((east - west) / step, 9))
-    cells = spark.range(rows * cols).select(F.lit(base).alias("level"), F.floor(F.col("id") / cols).alias("row"), (F.col("id") % cols).alias("col"))
+    cells = spark.range(rows * cols).select(F.lit(base).alias("level"), F.floor(F.col("id") / cols).alias("row"),
+        (F.col("id") % cols).alias("col"))
     return _with_geometry(cells, south, west, step, base)
 
 
 def children(cells: DataFrame) -> DataFrame:
     """level, row, col of the 4 children of each cell, with parent_id."""
     quads = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)))
-    out = cells.select("level", "row", "col", cell_id(F.col("level"), F.col("row"), F.col("col")).alias("parent_id"), F.explode(quads).alias("q"))
-    return out.select((F.col("level") + 1).alias("level"), (F.col("row") * 2 + F.col("q.i")).alias("row"), (F.col("col") * 2 + F.col("q.j")).alias("col"), "parent_id")
+    out = cells.select("level", "row", "col", cell_id(F.col("level"), F.col("row"), F.col("col")).alias("parent_id"),
+        F.explode(quads).alias("q"))
+    return out.select((F.col("level") + 1).alias("level"), (F.col("row") * 2 + F.col("q.i")).alias("row"),
+        (F.col("col") * 2 + F.col("q.j")).alias("col"), "parent_id")
 
 
 def should_refine(result_count: Column, cap: int, threshold: float) -> Column:

@@ -44,7 +44,8 @@ def counts(listings: DataFrame) -> DataFrame:
     """Per platform, in one pass: listings, without price, without business data."""
     grouped = listings.groupBy("platform")
     either = lambda test: test("booking") | test("airbnb")
-    return grouped.agg(F.count("*").alias("listings"), F.count_if(either(missing_price)).alias("missing_price"), F.count_if(either(lambda p: missing_business(p, False))).alias("missing_business"))
+    return grouped.agg(F.count("*").alias("listings"), F.count_if(either(missing_price)).alias("missing_price"),
+        F.count_if(either(lambda p: missing_business(p, False))).alias("missing_business"))
 
 
 def missing_share(listings: DataFrame, column: str) -> float:
@@ -54,7 +55,8 @@ def missing_share(listings: DataFrame, column: str) -> float:
 
 
 def progress_summary(progress: DataFrame) -> DataFrame:
-    return progress.groupBy("platform", "status").agg(F.count("*").alias("cells"), F.coalesce(F.sum("result_count"), F.lit(0)).cast("long").alias("results"))
+    return progress.groupBy("platform", "status").agg(F.count("*").alias("cells"),
+        F.coalesce(F.sum("result_count"), F.lit(0)).cast("long").alias("results"))
 
 
 def cells_by_status(progress: DataFrame, platform: str, status: str) -> DataFrame:
@@ -100,8 +102,10 @@ def operator_summary(listings: DataFrame) -> DataFrame:
     key = F.coalesce("operator_id", "registration", "business_name", "host_id")
     rows = listings.withColumn("operator_key", key).where("operator_key is not null")
     return rows.groupBy("operator_key").agg(
-        F.coalesce(F.max("business_name"), F.max("host_name")).alias("operator_name"), F.max("registration").alias("registration_number"), F.max("trade_register").alias("trade_register"),
-        F.array_join(F.sort_array(F.collect_set("platform")), ",").alias("platforms"), F.count("*").alias("listing_count"), F.count_if(F.col("business_type") == "Professional").alias("professional_listings"),
+        F.coalesce(F.max("business_name"), F.max("host_name")).alias("operator_name"), F.max("registration").alias("registration_number"),
+        F.max("trade_register").alias("trade_register"),
+        F.array_join(F.sort_array(F.collect_set("platform")), ",").alias("platforms"), F.count("*").alias("listing_count"),
+        F.count_if(F.col("business_type") == "Professional").alias("professional_listings"),
     )
 
 
@@ -124,10 +128,12 @@ def union_targets(first: DataFrame, second: DataFrame) -> DataFrame:
 
 def map_columns() -> dict[str, Column]:
     """The derived export columns: canonical position, its source and precision, raw address."""
-    address = F.coalesce(F.get_json_object("raw_json", "$.basicPropertyData.location.address"), F.get_json_object("raw_json", "$.location.address"))
+    address = F.coalesce(F.get_json_object("raw_json", "$.basicPropertyData.location.address"),
+        F.get_json_object("raw_json", "$.location.address"))
     return {
         "map_latitude": F.coalesce("latitude_best", "latitude"), "map_longitude": F.coalesce("longitude_best", "longitude"),
-        "map_source": F.coalesce("location_source", F.lit("platform_coord")), "map_precision": F.coalesce("location_precision", F.lit("approximate")),
+        "map_source": F.coalesce("location_source", F.lit("platform_coord")),
+        "map_precision": F.coalesce("location_precision", F.lit("approximate")),
         "address_raw": address,
     }
 

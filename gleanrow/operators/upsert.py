@@ -35,7 +35,8 @@ def upsert_last_non_null(old: DataFrame, new: DataFrame, key: Sequence[str], ove
     return _pair(old, new, key, "full_outer").select(*(value(c).alias(c) for c in old.columns))
 
 
-def enrich_first_non_null(old: DataFrame, new: DataFrame, key: Sequence[str], prefer_new: Sequence[str] = (), overwrite: Sequence[str] = (), soft: dict[str, str] | None = None) -> DataFrame:
+def enrich_first_non_null(old: DataFrame, new: DataFrame, key: Sequence[str], prefer_new: Sequence[str] = (), overwrite: Sequence[str] = (),
+    soft: dict[str, str] | None = None) -> DataFrame:
     """old with its nulls filled from new; keys that old lacks are ignored.
 
     prefer_new columns take a new value if there is one, overwrite columns take it even if null. soft: columns whose given
@@ -59,7 +60,8 @@ def enrich_first_non_null(old: DataFrame, new: DataFrame, key: Sequence[str], pr
 def write_counts(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row: how many of new's keys insert and how many update."""
     there = old.select(*key).distinct().withColumn("_there", F.lit(True))
-    return new.select(*key).distinct().join(there, list(key), "left").agg(F.count_if(F.col("_there").isNull()).alias("inserted"), F.count_if("_there").alias("updated"))
+    return new.select(*key).distinct().join(there, list(key), "left").agg(F.count_if(F.col("_there").isNull()).alias("inserted"),
+        F.count_if("_there").alias("updated"))
 
 
 def insert_or_ignore(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -81,13 +83,16 @@ def apply_transitions(progress: DataFrame, events: DataFrame) -> DataFrame:
     ended = F.col("status").isin("completed", "failed", "needs_refinement")
     known = events.where(ended | (F.col("status") == "in_progress"))
     last = known.groupBy("cell_id", "platform").agg(
-        F.max_by("status", "at").alias("_status"), F.max(F.when(F.col("status") == "in_progress", F.col("at"))).alias("_started"), F.max(F.when(ended, F.col("at"))).alias("_ended"),
+        F.max_by("status", "at").alias("_status"), F.max(F.when(F.col("status") == "in_progress", F.col("at"))).alias("_started"),
+        F.max(F.when(ended, F.col("at"))).alias("_ended"),
         F.max_by(F.struct(F.coalesce("result_count", F.lit(0)).alias("n"), "error_message"), F.when(ended, F.col("at"))).alias("_end"),
     )
     was_ended = F.col("_ended").isNotNull()
     return progress.join(last, ["cell_id", "platform"], "left").select(
-        "cell_id", "platform", F.coalesce("_status", "status").alias("status"), F.coalesce("_started", "started_at").alias("started_at"), F.coalesce("_ended", "completed_at").alias("completed_at"),
-        F.when(was_ended, F.col("_end.n")).otherwise(F.col("result_count")).alias("result_count"), F.when(was_ended, F.col("_end.error_message")).otherwise(F.col("error_message")).alias("error_message"),
+        "cell_id", "platform", F.coalesce("_status", "status").alias("status"), F.coalesce("_started", "started_at").alias("started_at"),
+        F.coalesce("_ended", "completed_at").alias("completed_at"),
+        F.when(was_ended, F.col("_end.n")).otherwise(F.col("result_count")).alias("result_count"),
+        F.when(was_ended, F.col("_end.error_message")).otherwise(F.col("error_message")).alias("error_message"),
     )
 
 
@@ -95,7 +100,8 @@ def finish_runs(runs: DataFrame, ends: DataFrame) -> DataFrame:
     """runs after ends (run_id, completed_at and tallies): given tallies replace, missing ones stay."""
     tallies = [c for c in ("total_listings", "completed_cells", "listings_dropped") if c in ends.columns]
     done = ends.withColumn("status", F.lit("completed"))
-    return enrich_first_non_null(runs, done.select("run_id", "completed_at", "status", *tallies), ["run_id"], prefer_new=tallies, overwrite=["completed_at", "status"])
+    return enrich_first_non_null(runs, done.select("run_id", "completed_at", "status", *tallies), ["run_id"], prefer_new=tallies,
+        overwrite=["completed_at", "status"])
 
 
 def replace_latest(old: DataFrame, new: DataFrame, key: Sequence[str], order: str) -> DataFrame:
@@ -104,7 +110,9 @@ def replace_latest(old: DataFrame, new: DataFrame, key: Sequence[str], order: st
     return both.groupBy(*key).agg(F.max_by(F.struct(*both.columns), order).alias("r")).select("r.*")
 
 
-def merge_fields(row: str, page: str, overwrite: Sequence[str], fill: Sequence[str], fallback: dict[str, str] | None = None) -> list[Column]:
+def merge_fields(row: str, page: str, overwrite: Sequence[str], fill: Sequence[str],
+    fallback: dict[str, str] | None = None) -> list[Column]:
     """Columns of a detail merge: page values overwrite where they exist, or only fill gaps; fallback labels come last."""
-    out = [F.coalesce(F.col(f"{page}.{c}"), F.col(f"{row}.{c}"), *([F.lit(fallback[c])] if fallback and c in fallback else [])).alias(c) for c in overwrite]
+    out = [F.coalesce(F.col(f"{page}.{c}"), F.col(f"{row}.{c}"),
+        *([F.lit(fallback[c])] if fallback and c in fallback else [])).alias(c) for c in overwrite]
     return out + [F.coalesce(F.col(f"{row}.{c}"), F.col(f"{page}.{c}")).alias(c) for c in fill]

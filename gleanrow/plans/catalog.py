@@ -37,12 +37,14 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixed_groups(rows: DataFrame) -> DataFrame:
-    return rows.select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"), (F.col("k") % 13 == 0).alias("by_identity"))
+    return rows.select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"),
+        (F.col("k") % 13 == 0).alias("by_identity"))
 
 
 @query
 def q_normalize_keys(spark, sf_dir):
-    return listings(spark, sf_dir).select("id", T.normalize_registration(F.col("registration")).alias("reg"), T.normalize_phone(F.col("phone")).alias("tel"), T.normalize_email(F.col("email")).alias("mail"))
+    return listings(spark, sf_dir).select("id", T.normalize_registration(F.col("registration")).alias("reg"),
+        T.normalize_phone(F.col("phone")).alias("tel"), T.normalize_email(F.col("email")).alias("mail"))
 
 
 @query
@@ -64,13 +66,15 @@ def q_top_operators(spark, sf_dir):
 
 @query
 def q_haversine_block_join(spark, sf_dir):
-    return blocking.near_pairs(listings(spark, sf_dir)).select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round("distance_m", 3).alias("distance_m"))
+    return blocking.near_pairs(listings(spark, sf_dir)).select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"),
+        F.round("distance_m", 3).alias("distance_m"))
 
 
 @query
 def q_cross_platform_pairs(spark, sf_dir):
     rows, first = listings(spark, sf_dir), F.col("platform") == "booking"
-    near = blocking.neighbour_pairs(rows.where(first), rows.where(~first)).withColumn("d", blocking.pair_distance("a_", "b_")).where("d < 100")
+    near = blocking.neighbour_pairs(rows.where(first), rows.where(~first)).withColumn("d",
+        blocking.pair_distance("a_", "b_")).where("d < 100")
     return near.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round("d", 3).alias("distance_m"))
 
 
@@ -82,7 +86,9 @@ def q_singleton_identity(spark, sf_dir):
 @query
 def q_room_and_amenity_veto(spark, sf_dir):
     near = blocking.near_pairs(listings(spark, sf_dir))
-    return near.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round(jaccard(F.col("a_amenities"), F.col("b_amenities")), 6).alias("jaccard"), distinct_units("a_", "b_").alias("distinct_units"), rooms_match("a_", "b_").alias("rooms_match"))
+    return near.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"),
+        F.round(jaccard(F.col("a_amenities"), F.col("b_amenities")), 6).alias("jaccard"),
+        distinct_units("a_", "b_").alias("distinct_units"), rooms_match("a_", "b_").alias("rooms_match"))
 
 
 @query
@@ -95,14 +101,16 @@ def q_name_similarity(spark, sf_dir):
 def q_strict_pairs(spark, sf_dir):
     """The pair rule: near, not distinct units, similar names."""
     pairs = blocking.strict_candidates(listings(spark, sf_dir))
-    return pairs.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round("distance_m", 3).alias("distance_m"), "similarity")
+    return pairs.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round("distance_m", 3).alias("distance_m"),
+        "similarity")
 
 
 @query
 def q_matched_pairs(spark, sf_dir):
     """Cross-platform candidates with similar names."""
     pairs = blocking.cross_platform_matches(listings(spark, sf_dir))
-    return pairs.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round("distance_m", 3).alias("distance_m"), "similarity")
+    return pairs.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round("distance_m", 3).alias("distance_m"),
+        "similarity")
 
 
 @query
@@ -113,7 +121,8 @@ def q_stack_count(spark, sf_dir):
 @query
 def q_fuse_positions(spark, sf_dir):
     fused = fusion.labelled(fusion.fuse(views.observations(spark, sf_dir)), F.lit(False))
-    return fused.select("key", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), F.round("sigma_m", 6).alias("sigma_m"), "dominant_id", "dominant_source", "position_confidence", "location_precision")
+    return fused.select("key", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"),
+        F.round("sigma_m", 6).alias("sigma_m"), "dominant_id", "dominant_source", "position_confidence", "location_precision")
 
 
 @query
@@ -125,13 +134,15 @@ def q_conflict_groups(spark, sf_dir):
 def q_offset_median(spark, sf_dir):
     none = F.lit(None).cast("double")
     members = listings(spark, sf_dir).withColumn("group_id", F.concat(F.lit("g"), F.col("k").cast("string")))
-    return calibration.offsets(members.select("group_id", "id", "platform", "latitude", "longitude", none.alias("geo_latitude"), none.alias("geo_longitude"), F.lit(100.0).alias("sigma_m")))
+    return calibration.offsets(members.select("group_id", "id", "platform", "latitude", "longitude", none.alias("geo_latitude"),
+        none.alias("geo_longitude"), F.lit(100.0).alias("sigma_m")))
 
 
 @query
 def q_sigma_calibration(spark, sf_dir):
     o = views.observations(spark, sf_dir).where("source = 'geocoded'")
-    members = o.select(F.col("key").alias("group_id"), "listing_id", "platform", "latitude", "longitude", F.col("latitude").alias("geo_latitude"), F.col("longitude").alias("geo_longitude"), "sigma_m")
+    members = o.select(F.col("key").alias("group_id"), "listing_id", "platform", "latitude", "longitude",
+        F.col("latitude").alias("geo_latitude"), F.col("longitude").alias("geo_longitude"), "sigma_m")
     return calibration.sigma_buckets(calibration.offset_pairs(members))
 
 
@@ -143,8 +154,11 @@ def q_dedup_metrics(spark, sf_dir):
 
 @query
 def q_upsert_last_nonnull(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.when(F.col("event_id") % 3 != 0, F.round("value", 2)).alias("price"), F.when(F.col("event_id") % 4 != 0, F.col("props")).alias("props"))
-    old, new = (upsert.latest_non_null(x, ["user_id"], "event_id", ["event_type"]) for x in (e.where("event_type in ('view', 'click')"), e.where("event_type not in ('view', 'click')")))
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type",
+        F.when(F.col("event_id") % 3 != 0, F.round("value", 2)).alias("price"),
+        F.when(F.col("event_id") % 4 != 0, F.col("props")).alias("props"))
+    old, new = (upsert.latest_non_null(x, ["user_id"], "event_id", ["event_type"]) for x in (e.where("event_type in ('view', 'click')"),
+        e.where("event_type not in ('view', 'click')")))
     return upsert.upsert_last_non_null(old, new, ["user_id"], overwrite=["event_type"], frozen=["props"])
 
 
@@ -152,23 +166,28 @@ def q_upsert_last_nonnull(spark, sf_dir):
 def q_enrich_first_nonnull(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    old = o.select(k.alias("id"), F.when(k % 3 == 1, "Unknown").when(k % 3 == 2, "Private").alias("kind"), F.when(k % 4 != 0, F.col("o_totalprice")).alias("price"), F.col("o_orderpriority").alias("priority"))
-    new = o.where("o_orderstatus = 'F'").select(k.alias("id"), F.when(k % 5 == 0, "Unknown").when(k % 5 > 1, "Professional").alias("kind"), (F.col("o_totalprice") * 2).alias("price"), F.when(k % 6 != 0, "new").alias("priority"))
+    old = o.select(k.alias("id"), F.when(k % 3 == 1, "Unknown").when(k % 3 == 2, "Private").alias("kind"),
+        F.when(k % 4 != 0, F.col("o_totalprice")).alias("price"), F.col("o_orderpriority").alias("priority"))
+    new = o.where("o_orderstatus = 'F'").select(k.alias("id"), F.when(k % 5 == 0, "Unknown").when(k % 5 > 1, "Professional").alias("kind"),
+        (F.col("o_totalprice") * 2).alias("price"), F.when(k % 6 != 0, "new").alias("priority"))
     return upsert.enrich_first_non_null(old, new, ["id"], prefer_new=["priority"], soft={"kind": "Unknown"})
 
 
 @query
 def q_progress_summary(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    return report.progress_summary(o.select(F.when(F.col("o_custkey") % 2 == 0, "booking").otherwise("airbnb").alias("platform"), F.col("o_orderstatus").alias("status"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey") % 300).alias("result_count")))
+    return report.progress_summary(o.select(F.when(F.col("o_custkey") % 2 == 0, "booking").otherwise("airbnb").alias("platform"),
+        F.col("o_orderstatus").alias("status"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey") % 300).alias("result_count")))
 
 
 @query
 def q_cell_transitions(spark, sf_dir):
     o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
     status = F.when(k % 4 == 0, "in_progress").when(k % 4 == 1, "completed").when(k % 4 == 2, "failed").otherwise("needs_refinement")
-    events = o.select(F.col("o_custkey").alias("cell_id"), F.lit("booking").alias("platform"), status.alias("status"), k.alias("at"), (F.col("o_custkey") % 300).alias("result_count"), F.lit(None).cast("string").alias("error_message"))
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("started_at", "long"), ("completed_at", "long"), ("result_count", "long"), ("error_message", "string"))]
+    events = o.select(F.col("o_custkey").alias("cell_id"), F.lit("booking").alias("platform"), status.alias("status"), k.alias("at"),
+        (F.col("o_custkey") % 300).alias("result_count"), F.lit(None).cast("string").alias("error_message"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("started_at", "long"), ("completed_at", "long"), ("result_count", "long"),
+        ("error_message", "string"))]
     progress = upsert.init_progress(spark.createDataFrame([], "cell_id long, platform string, status string"), events).select("*", *none)
     return upsert.apply_transitions(progress, events).select("cell_id", "status", "started_at", "completed_at", "result_count")
 
@@ -177,8 +196,10 @@ def q_cell_transitions(spark, sf_dir):
 def q_missing_filters(spark, sf_dir):
     either = lambda test, *a: test("booking", *a) | test("airbnb", *a)
     return listings(spark, sf_dir).groupBy("platform").agg(
-        F.count_if(either(report.missing_rooms)).alias("missing_rooms"), F.count_if(report.missing_all_rooms()).alias("missing_all_rooms"), F.count_if(either(report.missing_price)).alias("missing_price"),
-        F.count_if(either(report.missing_business, False)).alias("missing_business"), F.count_if(either(report.missing_business)).alias("business_queue"), F.count_if(report.missing_page_details()).alias("page_queue"),
+        F.count_if(either(report.missing_rooms)).alias("missing_rooms"), F.count_if(report.missing_all_rooms()).alias("missing_all_rooms"),
+        F.count_if(either(report.missing_price)).alias("missing_price"),
+        F.count_if(either(report.missing_business, False)).alias("missing_business"),
+        F.count_if(either(report.missing_business)).alias("business_queue"), F.count_if(report.missing_page_details()).alias("page_queue"),
     )
 
 
@@ -192,7 +213,8 @@ def q_business_queue(spark, sf_dir):
 def q_union_targets(spark, sf_dir):
     rows = listings(spark, sf_dir)
     unknown = F.coalesce(F.col("business_type"), F.lit("Unknown")) == "Unknown"
-    return report.union_targets(rows.where("price_per_night is null").select("id", F.lit("price").alias("why")), rows.where(unknown).select("id", F.lit("business").alias("why")))
+    return report.union_targets(rows.where("price_per_night is null").select("id", F.lit("price").alias("why")),
+        rows.where(unknown).select("id", F.lit("business").alias("why")))
 
 
 @query
@@ -202,7 +224,8 @@ def q_distinct_cells(spark, sf_dir):
 
 @query
 def q_cells_with_listings(spark, sf_dir):
-    cells = spark.range(150).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("cell_id"), F.explode(F.array(F.lit("booking"), F.lit("airbnb"))).alias("platform"))
+    cells = spark.range(150).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("cell_id"),
+        F.explode(F.array(F.lit("booking"), F.lit("airbnb"))).alias("platform"))
     return report.cells_with_listings(cells, listings(spark, sf_dir))
 
 
@@ -225,18 +248,22 @@ def q_currency(spark, sf_dir):
 
 @query
 def q_json_path(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.coalesce(T.json_path(F.col("props"), "k").try_cast("int"), F.lit(-1)).alias("k"), T.json_path(F.col("props"), "missing", "none").alias("missing"))
+    return table(spark, sf_dir, "events").select("event_id", F.coalesce(T.json_path(F.col("props"), "k").try_cast("int"),
+        F.lit(-1)).alias("k"), T.json_path(F.col("props"), "missing", "none").alias("missing"))
 
 
 @query
 def q_map_projection(spark, sf_dir):
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("latitude_best", "double"), ("longitude_best", "double"), ("location_source", "string"), ("location_precision", "string"), ("geocoded_address", "string"))]
-    return report.map_projection(listings(spark, sf_dir).select("*", *none)).select("id", "map_latitude", "map_longitude", "map_source", "map_precision", "address_raw")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("latitude_best", "double"), ("longitude_best", "double"),
+        ("location_source", "string"), ("location_precision", "string"), ("geocoded_address", "string"))]
+    return report.map_projection(listings(spark, sf_dir).select("*", *none)).select("id", "map_latitude", "map_longitude", "map_source",
+        "map_precision", "address_raw")
 
 
 @query
 def q_map_markers(spark, sf_dir):
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("latitude_best", "double"), ("longitude_best", "double"), ("location_source", "string"), ("location_precision", "string"), ("geocoded_address", "string"))]
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("latitude_best", "double"), ("longitude_best", "double"),
+        ("location_source", "string"), ("location_precision", "string"), ("geocoded_address", "string"))]
     return map_markers(listings(spark, sf_dir).select("*", *none)).drop("popup")
 
 
@@ -257,7 +284,8 @@ def q_html_escape(spark, sf_dir):
 
 @query
 def q_url_clean(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.regexp_replace("url", r"[?#].*$", ""), r"/$", "").alias("clean"))
+    return table(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.regexp_replace("url", r"[?#].*$", ""), r"/$",
+        "").alias("clean"))
 
 
 @query
@@ -269,16 +297,19 @@ def q_text_normalize(spark, sf_dir):
 def q_pii_keys(spark, sf_dir):
     """Every address and number of a text, as identity keys."""
     found = lambda pattern: F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("raw")
-    kinds = (("mail", r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+", T.normalize_email), ("tel", r"\+?\d[\d .()-]{7,18}\d", T.normalize_phone))
+    kinds = (("mail", r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+", T.normalize_email),
+        ("tel", r"\+?\d[\d .()-]{7,18}\d", T.normalize_phone))
     docs = table(spark, sf_dir, "documents")
-    mails, phones = (docs.select("doc_id", found(p)).select("doc_id", F.lit(kind).alias("kind"), key(F.col("raw")).alias("value")) for kind, p, key in kinds)
+    mails, phones = (docs.select("doc_id", found(p)).select("doc_id", F.lit(kind).alias("kind"), key(F.col("raw")).alias("value")) for kind,
+        p, key in kinds)
     return mails.unionByName(phones).where("value is not null").distinct()
 
 
 @query
 def q_exact_dup_groups(spark, sf_dir):
     d = table(spark, sf_dir, "documents").where("text is not null")
-    return d.groupBy(F.md5("text").alias("h")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1").drop("h")
+    return d.groupBy(F.md5("text").alias("h")).agg(F.min("doc_id").alias("first_id"),
+        F.count("*").alias("copies")).where("copies > 1").drop("h")
 
 
 @query
@@ -291,7 +322,8 @@ def q_address_clean(spark, sf_dir):
 def q_precision_class(spark, sf_dir):
     rows = report.stack_counts(listings(spark, sf_dir)).withColumn("address", T.payload_address(F.col("raw_json")))
     args = F.col("platform"), F.col("address"), F.col("radius_m")
-    return rows.select("id", geo.scraped_sigma(*args, F.col("stack_count")).alias("sigma_m"), geo.platform_precision(*args).alias("platform_precision"))
+    return rows.select("id", geo.scraped_sigma(*args, F.col("stack_count")).alias("sigma_m"),
+        geo.platform_precision(*args).alias("platform_precision"))
 
 
 @query
@@ -299,7 +331,8 @@ def q_geocode_lookup(spark, sf_dir):
     rows = listings(spark, sf_dir).select("id", "k", T.payload_address(F.col("raw_json")).alias("address")).where("address is not null")
     k = rows.groupBy(T.address_key(F.col("address")).alias("address_norm")).agg(F.max("k").alias("k")).where("k % 5 != 4")
     m = F.col("k") % 5
-    cache = k.select("address_norm", F.when(m == 0, "ok").when(m == 1, "not_found").otherwise("failed").alias("status"), F.lit(44.4).alias("latitude"), F.lit(26.1).alias("longitude"), F.when(m == 3, 5).otherwise(1).alias("attempts"))
+    cache = k.select("address_norm", F.when(m == 0, "ok").when(m == 1, "not_found").otherwise("failed").alias("status"),
+        F.lit(44.4).alias("latitude"), F.lit(26.1).alias("longitude"), F.when(m == 3, 5).otherwise(1).alias("attempts"))
     return geocode.lookup(rows, cache).select("id", "outcome")
 
 
@@ -307,7 +340,8 @@ def q_geocode_lookup(spark, sf_dir):
 def q_grid_cells(spark, sf_dir):
     cells = grid.generate(spark, 44.33, 25.92, 44.58, 26.25)
     six = lambda c, n: F.round(c, 6).alias(n)
-    return cells.select("cell_id", six("center_lat", "center_lat"), six("center_lng", "center_lng"), six("bbox.ne_lat", "ne_lat"), six("bbox.sw_lng", "sw_lng"))
+    return cells.select("cell_id", six("center_lat", "center_lat"), six("center_lng", "center_lng"), six("bbox.ne_lat", "ne_lat"),
+        six("bbox.sw_lng", "sw_lng"))
 
 
 @query
@@ -317,7 +351,8 @@ def q_grid_refine(spark, sf_dir):
 
 @query
 def q_history(spark, sf_dir):
-    return tables.historical_observations(listings(spark, sf_dir).withColumn("scraped_at", F.lit(None).cast("timestamp"))).drop("capture_date")
+    return tables.historical_observations(listings(spark, sf_dir).withColumn("scraped_at",
+        F.lit(None).cast("timestamp"))).drop("capture_date")
 
 
 @query
@@ -353,7 +388,8 @@ def q_curate(spark, sf_dir):
     done = curate(views.listings(spark, sf_dir).withColumn("scraped_at", F.lit("2026-05-01T00:00:00").cast("timestamp")))
     six = lambda c: F.round(c, 6).alias(c)
     return done.listings.select(
-        "id", "operator_id", "group_id", "cross_group_id", six("latitude_best"), six("longitude_best"), "est_accuracy_m", "location_source", "location_precision", "offset_m", "platform_precision",
+        "id", "operator_id", "group_id", "cross_group_id", six("latitude_best"), six("longitude_best"), "est_accuracy_m", "location_source",
+        "location_precision", "offset_m", "platform_precision",
     )
 
 

@@ -44,61 +44,82 @@ NAME_SIMILARITY = f"{L}{_CELLS} select a.id id_a, b.id id_b, {similarity('a.nm',
 STRICT_PAIRS = f"{L}{STRICT} select id_a, id_b, round(d, 3) distance_m, similarity from t2 where similarity >= {O.strict_name}"
 MATCHED_PAIRS = f"{L}{MATCHES} select id_a, id_b, round(d, 3) distance_m, similarity from mt"
 
-ONE_TO_ONE = f"""{L.replace('with l', 'with recursive l', 1)}{MATCHES}, p as (select row_number() over (order by similarity desc, id_a, id_b) n, id_a, id_b from mt),
+ONE_TO_ONE = f"""{L.replace('with l', 'with recursive l', 1)}{MATCHES}, p as (select row_number() over (order by similarity desc, id_a,
+  id_b) n, id_a, id_b from mt),
  w as (select cast(0 as bigint) n, cast([] as varchar[]) used, cast(null as varchar) a, cast(null as varchar) b
-  union all select p.n, case when list_has_any(used, [id_a, id_b]) then used else list_concat(used, [id_a, id_b]) end, case when not list_has_any(used, [id_a, id_b]) then id_a end, case when not list_has_any(used, [id_a, id_b]) then id_b end
+  union all select p.n, case when list_has_any(used, [id_a, id_b]) then used else list_concat(used, [id_a, id_b]) end, case when not
+  list_has_any(used, [id_a, id_b]) then id_a end, case when not list_has_any(used, [id_a, id_b]) then id_b end
   from w join p on p.n = w.n + 1)
  select unnest([a, b]) id, 'xpg_' || substr(md5(least(a, b) || '|' || greatest(a, b)), 1, 16) group_id from w where a is not null"""
 
 _SEQ = "(k * 2 + case when platform = 'booking' then 1 else 0 end)"
 BATCH = f"""{L.replace('with l', 'with recursive l', 1)}{_CELLS}, q as (select *, {_SEQ} seq from s),
- nr as (select * from (select a.seq seq_a, b.seq seq_b, {similarity('a.nm', 'b.nm')} similarity from q a join q b on a.seq < b.seq and a.platform = b.platform and {_NEAR} and {_D} < {O.batch_distance_m}) where similarity >= {O.batch_name}),
- nb as (select seq, coalesce(list(seq_a) filter (seq_a is not null), []) before from q left join nr on seq_b = seq where seq in (select seq_a from nr union select seq_b from nr) group by seq),
+ nr as (select * from (select a.seq seq_a, b.seq seq_b, {similarity('a.nm', 'b.nm')} similarity from q a join q b on a.seq < b.seq and
+  a.platform = b.platform and {_NEAR} and {_D} < {O.batch_distance_m}) where similarity >= {O.batch_name}),
+ nb as (select seq, coalesce(list(seq_a) filter (seq_a is not null), []) before from q left join nr on seq_b = seq where seq in (select
+  seq_a from nr union select seq_b from nr) group by seq),
  p as (select row_number() over (order by seq) n, seq, before from nb),
- w as (select cast(0 as bigint) n, cast([] as bigint[]) kept union all select p.n, case when list_has_any(kept, before) then kept else list_append(kept, seq) end from w join p on p.n = w.n + 1),
+ w as (select cast(0 as bigint) n, cast([] as bigint[]) kept union all select p.n, case when list_has_any(kept, before) then kept else
+  list_append(kept, seq) end from w join p on p.n = w.n + 1),
  last as (select kept from w order by n desc limit 1)
  select id, seq from q where seq not in (select seq from p) or list_contains((select kept from last), seq)"""
 
 _KEYS = "flatten(list_transform(coalesce(ga.m, [a]), lambda x: list_transform(coalesce(gb.m, [b]), lambda y: least(x, y) || '|' || greatest(x, y))))"
 #: OPS has the operators; TWINS' last expression the identity pairs.
 GROUPS = f"""{OPS}{TWINS[TWINS.rindex(', tw as') :]}{STRICT},
- t1 as (select a.id id_a, b.id id_b, {similarity('a.nm', 'b.nm')} similarity, {rooms_match('a', 'b')} rooms from (select s.*, operator_id from s join op using (id)) a join (select s.*, operator_id from s join op using (id)) b
+ t1 as (select a.id id_a, b.id id_b, {similarity('a.nm', 'b.nm')} similarity, {rooms_match('a', 'b')} rooms from (select s.*, operator_id
+  from s join op using (id)) a join (select s.*, operator_id from s join op using (id)) b
   on a.operator_id = b.operator_id and a.id < b.id and {_D} <= {O.relaxed_distance_m} and not {distinct_units('a', 'b')}),
- cand as (select 0 tier, cast(100 as double) similarity, id_a, id_b from tw union select 1, similarity, id_a, id_b from t1 where similarity >= {O.relaxed_name} or rooms union select 2, similarity, id_a, id_b from t2 where similarity >= {O.strict_name}),
+ cand as (select 0 tier, cast(100 as double) similarity, id_a, id_b from tw union select 1, similarity, id_a, id_b from t1 where similarity
+  >= {O.relaxed_name} or rooms union select 2, similarity, id_a, id_b from t2 where similarity >= {O.strict_name}),
  e as (select id_a a, id_b b from cand union select id_b, id_a from cand),
  reach as (select a, b from e union select r.a, e.b from reach r join e on r.b = e.a),
  cc as (select a id, least(a, min(b)) comp from reach group by a),
  bad as (select x.comp, list(a.id || '|' || b.id) filter (not near_relaxed) relaxed, list(a.id || '|' || b.id) filter (not near_strict) strict
   from (select x.comp, x.id ia, y.id ib from cc x join cc y on x.comp = y.comp and x.id < y.id) x join s a on a.id = ia join s b on b.id = ib,
   lateral (select not {distinct_units('a', 'b')} ok, {_D} d, {similarity('a.nm', 'b.nm')} sim),
-  lateral (select ok and d <= {O.relaxed_distance_m} and (sim >= {O.relaxed_name} or {rooms_match('a', 'b')}) near_relaxed, ok and d <= {O.strict_distance_m} and sim >= {O.strict_name} near_strict) group by x.comp),
- p as (select comp, row_number() over (partition by comp order by tier, similarity desc, id_a, id_b) n, tier, id_a, id_b from cand join cc on cc.id = id_a),
+  lateral (select ok and d <= {O.relaxed_distance_m} and (sim >= {O.relaxed_name} or {rooms_match('a', 'b')}) near_relaxed, ok and d <=
+  {O.strict_distance_m} and sim >= {O.strict_name} near_strict) group by x.comp),
+ p as (select comp, row_number() over (partition by comp order by tier, similarity desc, id_a, id_b) n, tier, id_a, id_b from cand join cc
+  on cc.id = id_a),
  w as (select distinct cast(0 as bigint) n, comp, cast([] as struct(m varchar[], f boolean)[]) gs from p
   union all select n, comp, case
     when ga is null and gb is null then list_append(gs, {{'m': [a, b], 'f': tier < 2}})
     when ga is not null and gb is not null and ga.m = gb.m then gs
     when list_has_any({_KEYS}, coalesce(case when tier < 2 then relaxed else strict end, [])) then gs
-    else list_append(list_filter(gs, lambda g: not list_has_any(g.m, [a, b])), {{'m': list_concat(coalesce(ga.m, [a]), coalesce(gb.m, [b])), 'f': tier < 2 or coalesce(ga.f, false) or coalesce(gb.f, false)}}) end
-  from (select p.n, p.comp, p.tier, p.id_a a, p.id_b b, w.gs, bad.relaxed, bad.strict, list_filter(w.gs, lambda g: list_contains(g.m, p.id_a))[1] ga, list_filter(w.gs, lambda g: list_contains(g.m, p.id_b))[1] gb
+    else list_append(list_filter(gs, lambda g: not list_has_any(g.m, [a, b])), {{'m': list_concat(coalesce(ga.m, [a]), coalesce(gb.m, [b])),
+  'f': tier < 2 or coalesce(ga.f, false) or coalesce(gb.f, false)}}) end
+  from (select p.n, p.comp, p.tier, p.id_a a, p.id_b b, w.gs, bad.relaxed, bad.strict, list_filter(w.gs, lambda g: list_contains(g.m,
+  p.id_a))[1] ga, list_filter(w.gs, lambda g: list_contains(g.m, p.id_b))[1] gb
    from w join p on p.comp = w.comp and p.n = w.n + 1 left join bad on bad.comp = p.comp)),
  fin as (select comp, unnest(arg_max(gs, n)) g from w group by comp)
- select unnest(g.m) id, 'pg_' || substr(md5(array_to_string(list_sort(g.m), '|')), 1, 16) group_id, len(list_distinct(list_transform(g.m, lambda x: split_part(x, '_', 1)))) = 2 cross_platform, g.f by_identity from fin"""
+ select unnest(g.m) id, 'pg_' || substr(md5(array_to_string(list_sort(g.m), '|')), 1, 16) group_id, len(list_distinct(list_transform(g.m,
+  lambda x: split_part(x, '_', 1)))) = 2 cross_platform, g.f by_identity from fin"""
 
 _GROUP_ROWS = "select unnest(g.m) id, 'pg_'"
 #: The whole plan: groups, landed observations, fused positions per group and per row, conflicts, offsets, labels.
 CURATE = f"""{GROUPS[: GROUPS.rindex(_GROUP_ROWS)].rstrip()}, grp as ({GROUPS[GROUPS.rindex(_GROUP_ROWS) :]}){ADDRESS[len(L) :]}{_STACK},
  sl as (select *, coalesce(regexp_matches(address, '{_LEVEL}'), false) street from st),
- o as (select id listing_id, platform, coalesce(group_id, id) key, latitude, longitude, radius_m, cross_platform, group_id, id seq, 'scraped' source,
-  case when platform = 'booking' then case when street and stack_count < {O.stack_min} then {O.sigma_address} else {O.sigma_vague} end when radius_m is null then {O.sigma_fuzzed} when radius_m = 0 then {O.sigma_exact} else greatest({O.sigma_fuzzed}, radius_m * 0.7) end sigma_m,
-  case when platform = 'booking' then case when street then 'exact' else 'approximate' end when radius_m = 0 then 'exact' when radius_m is not null then 'approximate' end own from sl left join grp using (id)),
+ o as (select id listing_id, platform, coalesce(group_id, id) key, latitude, longitude, radius_m, cross_platform, group_id, id seq,
+  'scraped' source,
+  case when platform = 'booking' then case when street and stack_count < {O.stack_min} then {O.sigma_address} else {O.sigma_vague} end when
+  radius_m is null then {O.sigma_fuzzed} when radius_m = 0 then {O.sigma_exact} else greatest({O.sigma_fuzzed}, radius_m * 0.7) end sigma_m,
+  case when platform = 'booking' then case when street then 'exact' else 'approximate' end when radius_m = 0 then 'exact' when radius_m is
+  not null then 'approximate' end own from sl left join grp using (id)),
  {fused('o', 'key', 'fk')}, {fused('o', 'listing_id', 'fl')},
  ab as (select a.key, a.group_id, {_D} d, {hav('b', 'a')} od from o a join o b on a.key = b.key and a.platform = 'booking' and b.platform = 'airbnb'),
- cf as (select key from ab group by key having max(d) > {O.disagreement_m}), om as (select group_id, round(median(od), 1) offset_m from ab where group_id is not null group by 1),
- ch as (select o.*, cf.key is not null or coalesce(radius_m = 0, false) alone, fk.fx kx, fk.fy ky, fk.s ks, fk.d kd, fl.fx lx, fl.fy ly, fl.s ls, fl.d ld from o left join cf on cf.key = o.key join fk on fk.g = o.key join fl on fl.g = o.listing_id),
- fx as (select *, case when alone then lx else kx end x, case when alone then ly else ky end y, case when alone then ls else ks end s, case when alone then ld else kd end dom from ch)
- select listing_id id, operator_id, fx.group_id, case when cross_platform then fx.group_id end cross_group_id, round({geo.ANCHOR_LAT} + y / {geo.METRES_PER_DEGREE}, 6) latitude_best, round({geo.ANCHOR_LNG} + x / {geo.METRES_PER_DEGREE_LNG!r}, 6) longitude_best,
- round(s, 1) est_accuracy_m, case when not alone and dom <> listing_id then 'transferred_from_twin' else 'platform_coord' end location_source, case when s <= {O.exact_max_sigma} then 'exact' else 'approximate' end location_precision,
- case when cross_platform then offset_m end offset_m, own platform_precision from fx left join op on op.id = listing_id left join om on om.group_id = fx.group_id"""
+ cf as (select key from ab group by key having max(d) > {O.disagreement_m}), om as (select group_id, round(median(od), 1) offset_m from ab
+  where group_id is not null group by 1),
+ ch as (select o.*, cf.key is not null or coalesce(radius_m = 0, false) alone, fk.fx kx, fk.fy ky, fk.s ks, fk.d kd, fl.fx lx, fl.fy ly,
+  fl.s ls, fl.d ld from o left join cf on cf.key = o.key join fk on fk.g = o.key join fl on fl.g = o.listing_id),
+ fx as (select *, case when alone then lx else kx end x, case when alone then ly else ky end y, case when alone then ls else ks end s, case
+  when alone then ld else kd end dom from ch)
+ select listing_id id, operator_id, fx.group_id, case when cross_platform then fx.group_id end cross_group_id, round({geo.ANCHOR_LAT} + y /
+  {geo.METRES_PER_DEGREE}, 6) latitude_best, round({geo.ANCHOR_LNG} + x / {geo.METRES_PER_DEGREE_LNG!r}, 6) longitude_best,
+ round(s, 1) est_accuracy_m, case when not alone and dom <> listing_id then 'transferred_from_twin' else 'platform_coord' end
+  location_source, case when s <= {O.exact_max_sigma} then 'exact' else 'approximate' end location_precision,
+ case when cross_platform then offset_m end offset_m, own platform_precision from fx left join op on op.id = listing_id left join om on
+  om.group_id = fx.group_id"""
 
 SQL = {
     "q_curate": CURATE,

@@ -15,6 +15,7 @@ from ..operators import blocking, fusion, geocode, identity, quality, report, up
 from ..sinks import files
 from ..sources import tables
 from . import views
+from .curate import reset
 from .sql import _ADDR, FIXED_GROUPS, OBS, OPS, L, fused, hav
 from .sql import SQL as BASE
 
@@ -37,7 +38,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_positions(rows: DataFrame) -> DataFrame:
     """Listings with the columns that curation adds, still unknown."""
-    none = (("latitude_best", "double"), ("longitude_best", "double"), ("location_source", "string"), ("location_precision", "string"), ("geocoded_address", "string"))
+    none = (("latitude_best", "double"), ("longitude_best", "double"), ("location_source", "string"), ("location_precision", "string"),
+        ("geocoded_address", "string"))
     return rows.select("*", *(F.lit(None).cast(t).alias(c) for c, t in none))
 
 
@@ -60,7 +62,8 @@ def q_cell_sample(spark, sf_dir):
 @query("select o_orderkey cell_id from orders where o_custkey % 2 = 0 and o_orderstatus = 'F'")
 def q_cells_by_status(spark, sf_dir):
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    progress = o.select(F.col("o_orderkey").alias("cell_id"), F.when(F.col("o_custkey") % 2 == 0, "booking").otherwise("airbnb").alias("platform"), F.col("o_orderstatus").alias("status"))
+    progress = o.select(F.col("o_orderkey").alias("cell_id"),
+        F.when(F.col("o_custkey") % 2 == 0, "booking").otherwise("airbnb").alias("platform"), F.col("o_orderstatus").alias("status"))
     return report.cells_by_status(progress, "booking", "F")
 
 
@@ -73,7 +76,8 @@ def q_missing_share(spark, sf_dir):
     return spark.createDataFrame([(c, report.missing_share(rows, c)) for c in _SHARES], "field string, missing double")
 
 
-@query(BASE["q_operator_summary"].replace("select coalesce(operator_id", "select * from (select coalesce(operator_id", 1) + ") where listing_count >= 2")
+@query(BASE["q_operator_summary"].replace("select coalesce(operator_id", "select * from (select coalesce(operator_id",
+    1) + ") where listing_count >= 2")
 def q_large_operators(spark, sf_dir):
     rows = listings(spark, sf_dir)
     return report.large_operators(report.operator_summary(rows.join(identity.operator_ids(rows), "id", "left")), 2)
@@ -85,30 +89,41 @@ _GEO = ", g as (select *, latitude + cast(k % 50 as double) / 1000 geo_latitude,
 @query(L + _GEO + f", d as (select id, {hav('g', 'h').replace('h.latitude', 'g.geo_latitude').replace('h.longitude', 'g.geo_longitude')} drift_m from g) select id, round(drift_m, 3) drift_m from d where drift_m <= {O.max_drift_m}")
 def q_accept_near(spark, sf_dir):
     """Geocodes within the drift limit."""
-    moved = listings(spark, sf_dir).withColumn("geo_latitude", F.col("latitude") + (F.col("k") % 50).cast("double") / 1000).withColumn("geo_longitude", F.col("longitude") + (F.col("k") % 7).cast("double") / 1000)
+    moved = listings(spark, sf_dir).withColumn("geo_latitude",
+        F.col("latitude") + (F.col("k") % 50).cast("double") / 1000).withColumn("geo_longitude",
+        F.col("longitude") + (F.col("k") % 7).cast("double") / 1000)
     return geocode.accept_near(moved).select("id", F.round("drift_m", 3).alias("drift_m"))
 
 
-_CACHE = """c as (select concat('a', cast(c_custkey as varchar)) address_norm, case c_custkey % 3 when 0 then 'ok' when 1 then 'not_found' else 'failed' end status, case when c_custkey % 3 = 0 then 44.5 end latitude, case when c_custkey % 3 = 0 then 26.5 end longitude,
- case when c_custkey % 3 = 0 then 'street' end quality, cast(1 + c_custkey % 6 as int) attempts, timestamp '2026-01-01 00:00:00' last_tried_at from customer where c_acctbal > 0),
- d as (select concat('a', cast(c_custkey as varchar)) address_norm, case when c_custkey % 5 < 3 then cast(44 as double) + c_custkey % 5 end lat, c_custkey % 7 = 0 failed from customer where c_nationkey < 19),
- w as (select concat('a', cast(c_custkey as varchar)) address_norm, attempts from customer left join c on c.address_norm = concat('a', cast(c_custkey as varchar)) where status is null or (status = 'failed' and attempts < 5)),
- f as (select w.address_norm, case when coalesce(failed, false) then 'failed' when lat is null then 'not_found' else 'ok' end status, lat, coalesce(attempts, 0) + 1 attempts from w left join d using (address_norm)),
- r as (select address_norm, status, case when status = 'ok' then lat end latitude, case when status = 'ok' then 26.0 end longitude, case when status = 'ok' then 'house' end quality, cast(attempts as int) attempts from f)"""
+_CACHE = """c as (select concat('a', cast(c_custkey as varchar)) address_norm, case c_custkey % 3 when 0 then 'ok' when 1 then 'not_found'
+  else 'failed' end status, case when c_custkey % 3 = 0 then 44.5 end latitude, case when c_custkey % 3 = 0 then 26.5 end longitude,
+ case when c_custkey % 3 = 0 then 'street' end quality, cast(1 + c_custkey % 6 as int) attempts, timestamp '2026-01-01 00:00:00'
+  last_tried_at from customer where c_acctbal > 0),
+ d as (select concat('a', cast(c_custkey as varchar)) address_norm, case when c_custkey % 5 < 3 then cast(44 as double) + c_custkey % 5 end
+  lat, c_custkey % 7 = 0 failed from customer where c_nationkey < 19),
+ w as (select concat('a', cast(c_custkey as varchar)) address_norm, attempts from customer left join c on c.address_norm = concat('a',
+  cast(c_custkey as varchar)) where status is null or (status = 'failed' and attempts < 5)),
+ f as (select w.address_norm, case when coalesce(failed, false) then 'failed' when lat is null then 'not_found' else 'ok' end status, lat,
+  coalesce(attempts, 0) + 1 attempts from w left join d using (address_norm)),
+ r as (select address_norm, status, case when status = 'ok' then lat end latitude, case when status = 'ok' then 26.0 end longitude, case
+  when status = 'ok' then 'house' end quality, cast(attempts as int) attempts from f)"""
 
 
 def _cache(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(cache, fresh answers) of addresses that the customers stand for."""
     k = F.col("c_custkey")
-    who = spark.read.parquet(f"{sf_dir}/customer.parquet").select(k, "c_acctbal", "c_nationkey", F.concat(F.lit("a"), k.cast("string")).alias("address_norm"))
+    who = spark.read.parquet(f"{sf_dir}/customer.parquet").select(k, "c_acctbal", "c_nationkey",
+        F.concat(F.lit("a"), k.cast("string")).alias("address_norm"))
     ok = k % 3 == 0
     status = F.when(ok, "ok").when(k % 3 == 1, "not_found").otherwise("failed")
     cache = who.where("c_acctbal > 0").select(
-        "address_norm", status.alias("status"), F.when(ok, 44.5).alias("latitude"), F.when(ok, 26.5).alias("longitude"), F.when(ok, "street").alias("quality"), (1 + k % 6).cast("int").alias("attempts"),
+        "address_norm", status.alias("status"), F.when(ok, 44.5).alias("latitude"), F.when(ok, 26.5).alias("longitude"),
+        F.when(ok, "street").alias("quality"), (1 + k % 6).cast("int").alias("attempts"),
         F.lit("2026-01-01 00:00:00").cast("timestamp_ntz").alias("last_tried_at"),
     )
     looked = geocode.lookup(who.select(F.col("c_custkey").alias("id"), F.col("address_norm").alias("address")), cache)
-    answers = who.where("c_nationkey < 19").select("address_norm", F.when(k % 5 < 3, 44.0 + k % 5).alias("latitude"), F.when(k % 5 < 3, 26.0).alias("longitude"), F.lit("house").alias("quality"), (k % 7 == 0).alias("failed"))
+    answers = who.where("c_nationkey < 19").select("address_norm", F.when(k % 5 < 3, 44.0 + k % 5).alias("latitude"),
+        F.when(k % 5 < 3, 26.0).alias("longitude"), F.lit("house").alias("quality"), (k % 7 == 0).alias("failed"))
     return cache, geocode.resolve(looked.drop("latitude", "longitude"), answers, F.lit("2026-02-01 00:00:00"))
 
 
@@ -129,15 +144,19 @@ def q_cache_purge(spark, sf_dir):
     return geocode.purge(geocode.update_cache(*_cache(spark, sf_dir))).select("address_norm", "latitude")
 
 
-@query("""select o_orderkey run_id, case when o_orderstatus = 'F' then o_custkey end completed_at, case when o_orderstatus = 'F' then 'completed' else 'running' end status,
- case when o_orderstatus = 'F' and o_orderkey % 3 <> 0 then o_orderkey % 100 else cast(5 as bigint) end total_listings, cast(7 as bigint) listings_dropped from orders""")
+@query("""select o_orderkey run_id, case when o_orderstatus = 'F' then o_custkey end completed_at, case when o_orderstatus = 'F' then
+  'completed' else 'running' end status,
+ case when o_orderstatus = 'F' and o_orderkey % 3 <> 0 then o_orderkey % 100 else cast(5 as bigint) end total_listings, cast(7 as bigint)
+  listings_dropped from orders""")
 def q_finish_runs(spark, sf_dir):
     """The run audit: ends fill it, missing tallies stay."""
     k = F.col("o_orderkey")
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     five, seven = F.lit(5).cast("long"), F.lit(7).cast("long")
-    runs = o.select(k.alias("run_id"), F.lit(None).cast("long").alias("completed_at"), F.lit("running").alias("status"), five.alias("total_listings"), seven.alias("listings_dropped"))
-    ends = o.where("o_orderstatus = 'F'").select(k.alias("run_id"), F.col("o_custkey").alias("completed_at"), F.when(k % 3 != 0, k % 100).alias("total_listings"))
+    runs = o.select(k.alias("run_id"), F.lit(None).cast("long").alias("completed_at"), F.lit("running").alias("status"),
+        five.alias("total_listings"), seven.alias("listings_dropped"))
+    ends = o.where("o_orderstatus = 'F'").select(k.alias("run_id"), F.col("o_custkey").alias("completed_at"),
+        F.when(k % 3 != 0, k % 100).alias("total_listings"))
     return upsert.finish_runs(runs, ends)
 
 
@@ -150,11 +169,13 @@ def q_ledger(spark, sf_dir):
     return spark.read.parquet(path).groupBy("listing_id").agg(F.count("*").alias("n"), F.round(F.sum("latitude"), 4).alias("latitudes"))
 
 
-@query(L + """ select id, coalesce(case when k % 2 = 0 then 'page' end, business_name, 'none') business_name, coalesce(max_guests, cast(k % 5 as int)) max_guests from l""")
+@query(L + """ select id, coalesce(case when k % 2 = 0 then 'page' end, business_name, 'none') business_name, coalesce(max_guests, cast(k %
+  5 as int)) max_guests from l""")
 def q_merge_fields(spark, sf_dir):
     """A detail merge: page values overwrite, or only fill gaps."""
     k = F.col("k")
-    row, page = F.struct("business_name", "max_guests").alias("row"), F.struct(F.when(k % 2 == 0, "page").alias("business_name"), (k % 5).cast("int").alias("max_guests")).alias("page")
+    row, page = F.struct("business_name", "max_guests").alias("row"), F.struct(F.when(k % 2 == 0, "page").alias("business_name"),
+        (k % 5).cast("int").alias("max_guests")).alias("page")
     rows = listings(spark, sf_dir).select("id", row, page)
     return rows.select("id", *upsert.merge_fields("row", "page", ["business_name"], ["max_guests"], {"business_name": "none"}))
 
@@ -173,7 +194,8 @@ def q_csv_rows(spark, sf_dir):
     back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
     typed = [F.col(c).cast(t).alias(c) for c, t in (("map_latitude", "double"), ("map_longitude", "double"), ("k", "long"))]
     # a byte-order mark stands before the first column's name
-    return back.select(F.col(back.columns[0]).alias("id"), "platform", "name", *typed, "map_source", "map_precision", "address_raw", "phone")
+    return back.select(F.col(back.columns[0]).alias("id"), "platform", "name", *typed, "map_source", "map_precision", "address_raw",
+        "phone")
 
 
 @query(L + " select id, 'Feature' kind, 'Point' shape, longitude lng, latitude lat, platform, \"name\", bedrooms, phone from l")
@@ -182,8 +204,10 @@ def q_geojson(spark, sf_dir):
     f = lambda p: F.get_json_object("feature", f"$.{p}")
     rows = files.geojson_features(with_positions(listings(spark, sf_dir)))
     return rows.select(
-        f("properties.id").alias("id"), f("type").alias("kind"), f("geometry.type").alias("shape"), f("geometry.coordinates[0]").cast("double").alias("lng"), f("geometry.coordinates[1]").cast("double").alias("lat"),
-        f("properties.platform").alias("platform"), f("properties.name").alias("name"), f("properties.bedrooms").cast("int").alias("bedrooms"), f("properties.phone").alias("phone"),
+        f("properties.id").alias("id"), f("type").alias("kind"), f("geometry.type").alias("shape"),
+        f("geometry.coordinates[0]").cast("double").alias("lng"), f("geometry.coordinates[1]").cast("double").alias("lat"),
+        f("properties.platform").alias("platform"), f("properties.name").alias("name"),
+        f("properties.bedrooms").cast("int").alias("bedrooms"), f("properties.phone").alias("phone"),
     )
 
 
@@ -199,11 +223,13 @@ def q_operator_csv(spark, sf_dir):
     return back.select(*(F.col(c).cast("long").alias(c) if c.endswith("listings") or c.endswith("count") else F.col(c) for c in names))
 
 
-@query(BASE["q_dedup_metrics"].replace("select (select count(*) from a) comparable_groups", "select * exclude (conflict_groups, precision_proxy, recall_proxy) from (select (select count(*) from a) comparable_groups", 1) + ")")
+@query(BASE["q_dedup_metrics"].replace("select (select count(*) from a) comparable_groups",
+    "select * exclude (conflict_groups, precision_proxy, recall_proxy) from (select (select count(*) from a) comparable_groups", 1) + ")")
 def q_metrics_json(spark, sf_dir):
     """The metrics document, read back from its text."""
     rows = listings(spark, sf_dir)
-    groups = rows.select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"), (F.col("k") % 13 == 0).alias("by_identity"))
+    groups = rows.select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"),
+        (F.col("k") % 13 == 0).alias("by_identity"))
     document = files.metrics_text(quality.dedup_metrics(rows, groups))
     n = lambda k: F.get_json_object("document", f"$.{k}").cast("long").alias(k)
     return document.select(*(n(k) for k in ("comparable_groups", "agreeing_groups", "identity_twins", "identity_twins_grouped")))
@@ -214,7 +240,8 @@ def q_review_rows(spark, sf_dir):
     """The review sheet: its limit is the operator's own."""
     rows = listings(spark, sf_dir)
     groups = rows.select("id", F.concat(F.lit("g"), (F.col("k") % 450).cast("string")).alias("group_id"))
-    return files.review_sample(rows.join(groups, "id")).select("group_id", "id", "platform", "name", "latitude", "longitude", "registration", "phone")
+    return files.review_sample(rows.join(groups, "id")).select("group_id", "id", "platform", "name", "latitude", "longitude",
+        "registration", "phone")
 
 
 def _cell(label: str, value: str) -> str:
@@ -227,9 +254,13 @@ def _cell(label: str, value: str) -> str:
     + " || ".join(
         _cell(label, value)
         for label, value in (
-            ("Platform", "platform"), ("Price", "printf('%.0f', price_per_night) || ' ' || coalesce(currency, '')"), ("Bedrooms", "cast(bedrooms as varchar)"), ("Beds", "cast(beds as varchar)"), ("Bathrooms", "printf('%.1f', bathrooms)"),
-            ("Guests", "cast(max_guests as varchar)"), ("Business", "business_name"), ("Kind", "business_type"), ("Registration", "registration"), ("Register", "trade_register"), ("Email", "email"), ("Phone", "phone"), ("Host", "host_name"),
-            ("Response", "host_response_rate"), ("Since", "host_join_date"), ("Coordinates", "printf('%.5f', latitude) || ', ' || printf('%.5f', longitude)"), ("Radius", "printf('%.0f', radius_m) || ' m'"), ("Position", "'approximate'"), ("Source", "'platform_coord'"),
+            ("Platform", "platform"), ("Price", "printf('%.0f', price_per_night) || ' ' || coalesce(currency, '')"),
+            ("Bedrooms", "cast(bedrooms as varchar)"), ("Beds", "cast(beds as varchar)"), ("Bathrooms", "printf('%.1f', bathrooms)"),
+            ("Guests", "cast(max_guests as varchar)"), ("Business", "business_name"), ("Kind", "business_type"),
+            ("Registration", "registration"), ("Register", "trade_register"), ("Email", "email"), ("Phone", "phone"), ("Host", "host_name"),
+            ("Response", "host_response_rate"), ("Since", "host_join_date"),
+            ("Coordinates", "printf('%.5f', latitude) || ', ' || printf('%.5f', longitude)"),
+            ("Radius", "printf('%.0f', radius_m) || ' m'"), ("Position", "'approximate'"), ("Source", "'platform_coord'"),
         )
     )
     + " || '<tr><td>Page</td><td><a href=\"' || url || '\">' || url || '</a></td></tr></table>' popup from l where latitude <> 0 and longitude <> 0"
@@ -244,7 +275,8 @@ def q_popup(spark, sf_dir):
 def q_raw_dump(spark, sf_dir):
     """Landed payloads by cell, written and read back."""
     path = new_path(spark, "raw")
-    files.dump_raw(listings(spark, sf_dir).where("raw_json is not null").select(F.col("grid_cell_id").alias("cell_id"), F.col("raw_json").alias("payload")), path)
+    files.dump_raw(listings(spark, sf_dir).where("raw_json is not null").select(F.col("grid_cell_id").alias("cell_id"),
+        F.col("raw_json").alias("payload")), path)
     return spark.read.text(path).groupBy("cell_id").agg(F.count("*").alias("n"), F.count_distinct("value").alias("payloads"))
 
 
@@ -255,13 +287,17 @@ _FARTHEST = hav("a", "b")
 @query(
     OBS
     + f""", {fused('o', 'key', 'fk')}, {fused('o', 'listing_id', 'fl')}, p as (select distinct key, platform, latitude, longitude from o),
- bad as (select a.key from p a join p b on a.key = b.key and a.platform = 'booking' and b.platform = 'airbnb' group by a.key having max({_FARTHEST}) > {O.disagreement_m}),
+ bad as (select a.key from p a join p b on a.key = b.key and a.platform = 'booking' and b.platform = 'airbnb' group by a.key having
+  max({_FARTHEST}) > {O.disagreement_m}),
  m as (select distinct listing_id, key, case when {_NUMBER} % 10 = 0 then 0.0 when {_NUMBER} % 3 = 0 then 152.0 end radius_m from o),
- ch as (select listing_id, bad.key is not null or coalesce(radius_m = 0, false) alone, fk.fy ky, fk.s ks, fk.d kd, fk.src ksrc, fl.fy ly, fl.s ls, fl.d ld, fl.src lsrc
+ ch as (select listing_id, bad.key is not null or coalesce(radius_m = 0, false) alone, fk.fy ky, fk.s ks, fk.d kd, fk.src ksrc, fl.fy ly,
+  fl.s ls, fl.d ld, fl.src lsrc
   from m left join bad on bad.key = m.key join fk on fk.g = m.key join fl on fl.g = m.listing_id),
- f as (select listing_id, alone, case when alone then ly else ky end y, case when alone then ls else ks end s, case when alone then ld else kd end d, case when alone then lsrc else ksrc end src from ch)
+ f as (select listing_id, alone, case when alone then ly else ky end y, case when alone then ls else ks end s, case when alone then ld else
+  kd end d, case when alone then lsrc else ksrc end src from ch)
  select listing_id, round({geo.ANCHOR_LAT} + y / {geo.METRES_PER_DEGREE}, 6) latitude, round(s, 1) est_accuracy_m,
- case when not alone and d <> listing_id then 'transferred_from_twin' when src = 'geocoded' then 'geocoded_address' else 'platform_coord' end location_source,
+ case when not alone and d <> listing_id then 'transferred_from_twin' when src = 'geocoded' then 'geocoded_address' else 'platform_coord'
+  end location_source,
  case when s <= {O.exact_max_sigma} then 'exact' else 'approximate' end location_precision from f"""
 )
 def q_choose_positions(spark, sf_dir):
@@ -274,12 +310,23 @@ def q_choose_positions(spark, sf_dir):
     return out.select("listing_id", F.round("latitude", 6).alias("latitude"), "est_accuracy_m", "location_source", "location_precision")
 
 
+@query(L + " select id, radius_m, cast(null as varchar) operator_id, cast(null as double) latitude_best, cast(null as varchar) location_source from l")
+def q_reset(spark, sf_dir):
+    """Listings as they were landed: derived columns are emptied."""
+    done = listings(spark, sf_dir).withColumn("operator_id", F.lit("op")).withColumn("latitude_best", F.col("latitude")).withColumn("location_source", F.lit("x"))
+    return reset(done).select("id", "radius_m", "operator_id", "latitude_best", "location_source")
+
+
 @query(
     OPS
     + f""", s as (select *, from_json(coalesce(amenities_json, '[]'), '["varchar"]') sa from l join op using (id)),
- j as (select a.id id_a, b.id id_b, {hav('a', 'b')} d, a.platform = b.platform same, a.max_guests ga, b.max_guests gb, a.bedrooms ra, b.bedrooms rb, a.beds ba, b.beds bb, a.bathrooms ta, b.bathrooms tb, a.sa, b.sa sb from s a join s b on a.operator_id = b.operator_id and a.id < b.id),
- q as (select *, case when len(sa) = 0 or len(sb) = 0 then 1.0 else len(list_intersect(sa, sb)) / len(list_distinct(list_concat(sa, sb))) end jac from j)
- select id_a, id_b, round(d, 3) distance_m from q where d <= {O.relaxed_distance_m} and not (same and (coalesce(ga <> gb, false) or jac < {O.amenity_jaccard}))"""
+ j as (select a.id id_a, b.id id_b, {hav('a', 'b')} d, a.platform = b.platform same, a.max_guests ga, b.max_guests gb, a.bedrooms ra,
+  b.bedrooms rb, a.beds ba, b.beds bb, a.bathrooms ta, b.bathrooms tb, a.sa, b.sa sb from s a join s b on a.operator_id = b.operator_id and
+  a.id < b.id),
+ q as (select *, case when len(sa) = 0 or len(sb) = 0 then 1.0 else len(list_intersect(sa, sb)) / len(list_distinct(list_concat(sa, sb)))
+  end jac from j)
+ select id_a, id_b, round(d, 3) distance_m from q where d <= {O.relaxed_distance_m} and not (same and (coalesce(ga <> gb, false) or jac <
+  {O.amenity_jaccard}))"""
 )
 def q_operator_pairs(spark, sf_dir):
     """Pairs of one operator within the relaxed distance that are not distinct units."""

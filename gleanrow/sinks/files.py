@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators.report import map_projection, marker_rows
 
-OPERATOR_COLUMNS = ("operator_key", "operator_name", "registration_number", "trade_register", "platforms", "listing_count", "professional_listings")
-REVIEW_COLUMNS = ("group_id", "id", "platform", "name", "latitude", "longitude", "latitude_best", "longitude_best", "registration", "phone", "thumbnail_url")
+OPERATOR_COLUMNS = ("operator_key", "operator_name", "registration_number", "trade_register", "platforms", "listing_count",
+    "professional_listings")
+REVIEW_COLUMNS = ("group_id", "id", "platform", "name", "latitude", "longitude", "latitude_best", "longitude_best", "registration", "phone",
+    "thumbnail_url")
 # Marker colours by business type and platform, else by platform.
 TYPE_COLOURS = {("Professional", "booking"): "darkblue", ("Professional", "airbnb"): "darkred"}
 PLATFORM_COLOURS = {"booking": "blue", "airbnb": "red"}
@@ -40,7 +42,8 @@ def geojson_features(listings: DataFrame) -> DataFrame:
         rows = rows.withColumn("is_superhost", F.col("is_superhost").cast("boolean"))
     properties = F.struct(*(c for c in rows.columns if c not in ("latitude", "longitude")))
     geometry = F.struct(F.lit("Point").alias("type"), F.array("map_longitude", "map_latitude").alias("coordinates"))
-    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), properties.alias("properties")), {"ignoreNullFields": "false"})
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), properties.alias("properties")),
+        {"ignoreNullFields": "false"})
     return rows.select("platform", "name", "id", feature.alias("feature")).orderBy("platform", "name", "id").select("feature")
 
 
@@ -113,29 +116,40 @@ def popup_html(listings: DataFrame):
     rows = [
         ("Platform", has("platform")), ("Type", has("property_type")), ("Stars", stars),
         ("Price", known("price_per_night", number("price_per_night", 0), F.lit(" "), F.coalesce(has("currency"), F.lit("")))),
-        ("Rating", known("review_score", number("review_score", 1), F.lit(" ("), F.format_number(F.coalesce(has("review_count"), F.lit(0)).cast("long"), 0), F.lit(")"))),
-        ("Bedrooms", has("bedrooms")), ("Beds", has("beds")), ("Bathrooms", known("bathrooms", number("bathrooms", 1))), ("Guests", has("max_guests")),
-        ("Business", has("business_name")), ("Kind", has("business_type")), ("Registration", has("registration")), ("Register", has("trade_register")), ("VAT", has("vat")),
+        ("Rating", known("review_score", number("review_score", 1), F.lit(" ("),
+        F.format_number(F.coalesce(has("review_count"), F.lit(0)).cast("long"), 0), F.lit(")"))),
+        ("Bedrooms", has("bedrooms")), ("Beds", has("beds")), ("Bathrooms", known("bathrooms", number("bathrooms", 1))),
+        ("Guests", has("max_guests")),
+        ("Business", has("business_name")), ("Kind", has("business_type")), ("Registration", has("registration")),
+        ("Register", has("trade_register")), ("VAT", has("vat")),
         ("Email", has("email")), ("Phone", has("phone")), ("Address", has("address")), ("Country", has("country")),
-        ("Host", has("host_name")), ("Superhost", F.when(has("is_superhost").cast("boolean"), "yes")), ("Response", has("host_response_rate")), ("Answers", has("host_response_time")), ("Since", has("host_join_date")),
+        ("Host", has("host_name")), ("Superhost", F.when(has("is_superhost").cast("boolean"), "yes")),
+        ("Response", has("host_response_rate")), ("Answers", has("host_response_time")), ("Since", has("host_join_date")),
         ("Coordinates", known(best("latitude"), number(best("latitude"), 5), F.lit(", "), number(best("longitude"), 5))),
-        ("Accuracy", known("est_accuracy_m", number("est_accuracy_m", 1), F.lit(" m"))), ("Confidence", known("position_confidence", number("position_confidence", 2))),
-        ("Radius", known("radius_m", number("radius_m", 0), F.lit(" m"))), ("Position", has("map_precision")), ("Platform says", has("platform_precision")), ("Source", has("map_source")),
+        ("Accuracy", known("est_accuracy_m", number("est_accuracy_m", 1), F.lit(" m"))),
+        ("Confidence", known("position_confidence", number("position_confidence", 2))),
+        ("Radius", known("radius_m", number("radius_m", 0), F.lit(" m"))), ("Position", has("map_precision")),
+        ("Platform says", has("platform_precision")), ("Source", has("map_source")),
     ]
-    picture = F.when(F.coalesce(has("thumbnail_url"), F.lit("")) != "", F.concat(F.lit('<img src="'), T.html_escape(has("thumbnail_url")), F.lit('">'))).otherwise("")
+    picture = F.when(F.coalesce(has("thumbnail_url"), F.lit("")) != "",
+        F.concat(F.lit('<img src="'), T.html_escape(has("thumbnail_url")), F.lit('">'))).otherwise("")
     page = T.html_escape(has("url"))
-    link = F.when(F.coalesce(has("url"), F.lit("")) != "", F.concat(F.lit('<tr><td>Page</td><td><a href="'), page, F.lit('">'), page, F.lit("</a></td></tr>"))).otherwise("")
-    return F.concat(F.lit("<b>"), T.html_escape(has("name")), F.lit("</b>"), picture, F.lit("<table>"), *(_popup_row(label, v) for label, v in rows), link, F.lit("</table>"))
+    link = F.when(F.coalesce(has("url"), F.lit("")) != "", F.concat(F.lit('<tr><td>Page</td><td><a href="'), page, F.lit('">'), page,
+        F.lit("</a></td></tr>"))).otherwise("")
+    return F.concat(F.lit("<b>"), T.html_escape(has("name")), F.lit("</b>"), picture, F.lit("<table>"),
+        *(_popup_row(label, v) for label, v in rows), link, F.lit("</table>"))
 
 
 def map_markers(listings: DataFrame) -> DataFrame:
     """latitude, longitude, platform, colour, tooltip, popup of every row that a map can show."""
     rows = map_projection(marker_rows(listings))
-    colour = F.when(F.col("platform") == "booking", PLATFORM_COLOURS["booking"]).when(F.col("platform") == "airbnb", PLATFORM_COLOURS["airbnb"]).otherwise("gray")
+    colour = F.when(F.col("platform") == "booking", PLATFORM_COLOURS["booking"]).when(F.col("platform") == "airbnb",
+        PLATFORM_COLOURS["airbnb"]).otherwise("gray")
     for (kind, platform), name in TYPE_COLOURS.items():
         colour = F.when((F.col("business_type") == kind) & (F.col("platform") == platform), name).otherwise(colour)
     tooltip = F.concat("name", F.lit(" · "), "platform")
-    return rows.select(F.col("map_latitude").alias("latitude"), F.col("map_longitude").alias("longitude"), "platform", colour.alias("colour"), tooltip.alias("tooltip"), popup_html(rows).alias("popup"))
+    return rows.select(F.col("map_latitude").alias("latitude"), F.col("map_longitude").alias("longitude"), "platform",
+        colour.alias("colour"), tooltip.alias("tooltip"), popup_html(rows).alias("popup"))
 
 
 def export_map(listings: DataFrame, path: str) -> str:
@@ -143,7 +157,9 @@ def export_map(listings: DataFrame, path: str) -> str:
     markers = map_markers(listings)
     n = {r["platform"]: r["count"] for r in markers.groupBy("platform").count().collect()}
     item = F.concat(
-        F.format_string("<li data-lat='%s' data-lng='%s' data-colour='", F.col("latitude").cast("string"), F.col("longitude").cast("string")), F.col("colour"), F.lit("' title='"), T.html_escape(F.col("tooltip")), F.lit("'>"), F.col("popup"), F.lit("</li>\n")
+        F.format_string("<li data-lat='%s' data-lng='%s' data-colour='", F.col("latitude").cast("string"),
+        F.col("longitude").cast("string")), F.col("colour"), F.lit("' title='"), T.html_escape(F.col("tooltip")), F.lit("'>"),
+        F.col("popup"), F.lit("</li>\n")
     )
     with open(path, "w", encoding="utf-8") as f:
         f.write(f"<!DOCTYPE html><html><head><meta charset='utf-8'></head><body><div id='legend'>A ({n.get('booking', 0):,}) B ({n.get('airbnb', 0):,}) Total: {sum(n.values()):,}</div><ul>\n")

@@ -25,7 +25,8 @@ HOST_DETAILS = r'"hostDetails"\s*:\s*\[([^\]]{0,500})\]'
 TENURE, JOINED = r'(?i)"title"\s*:\s*"(\d+\s*years?\s*(?:hosting|on\s+Airbnb))"', r'"joinedString"\s*:\s*"([^"\\]{1,80})"'
 DISCLAIMER = r'"hostLegalDisclaimer"\s*:\s*"((?:[^"\\]|\\.){1,2000})"'
 DISCLOSURE_LABELS = {
-    "business_name": ("Business name",), "trade_register": ("Business registry",), "registration": ("Unique identification number", "Registration number"),
+    "business_name": ("Business name",), "trade_register": ("Business registry",),
+    "registration": ("Unique identification number", "Registration number"),
     "email": ("Email",), "phone": ("Phone",), "address": ("Address",),
 }
 
@@ -42,7 +43,8 @@ def _text(item: Column, *keys: str) -> Column:
 def ld_items(html: Column) -> Column:
     """JSON texts of the structured-data items of a known type, in page order; broken blocks are skipped."""
     blocks = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(LD_BLOCK), F.lit(1))
-    lists = F.transform(blocks, lambda b: F.when(F.json_object_keys(b).isNotNull(), F.array(b)).otherwise(F.coalesce(F.from_json(b, "array<string>"), F.array().cast("array<string>"))))
+    lists = F.transform(blocks, lambda b: F.when(F.json_object_keys(b).isNotNull(),
+        F.array(b)).otherwise(F.coalesce(F.from_json(b, "array<string>"), F.array().cast("array<string>"))))
     return F.filter(F.flatten(lists), lambda i: F.get_json_object(i, "$['@type']").isin(*LD_TYPES))
 
 
@@ -55,10 +57,12 @@ def _ld_offer(item: Column) -> Column:
 
 
 def ld_fields(items: Column) -> dict[str, Column]:
-    named = lambda i: F.coalesce(_text(i, "legalName"), F.when(F.get_json_object(i, "$['@type']").isin("Organization", "Corporation"), _text(i, "name")))
+    named = lambda i: F.coalesce(_text(i, "legalName"), F.when(F.get_json_object(i, "$['@type']").isin("Organization", "Corporation"),
+        _text(i, "name")))
     return {
         "offer": _first(items, _ld_offer),
-        "max_guests": _first(items, lambda i: F.coalesce(F.get_json_object(i, "$.occupancy.value"), F.get_json_object(i, "$.occupancy.maxValue")).try_cast("int")),
+        "max_guests": _first(items, lambda i: F.coalesce(F.get_json_object(i, "$.occupancy.value"),
+        F.get_json_object(i, "$.occupancy.maxValue")).try_cast("int")),
         "bedrooms": _first(items, lambda i: F.get_json_object(i, "$.numberOfRooms").try_cast("int")),
         "business_name": _first(items, named), "vat": _first(items, lambda i: _text(i, "vatID", "taxID")),
         "email": _first(items, lambda i: _text(i, "email")), "phone": _first(items, lambda i: _text(i, "telephone")),
@@ -75,7 +79,8 @@ def ld_address(address: Column) -> Column:
 
 def _scanned_offer(html: Column, price: str, currency: str) -> Column:
     amount = T.extract(html, price).try_cast("double")
-    return F.when(amount.isNotNull(), F.struct(amount.alias("price"), F.coalesce(T.extract(html, currency), F.lit("EUR")).alias("currency")))
+    return F.when(amount.isNotNull(), F.struct(amount.alias("price"),
+        F.coalesce(T.extract(html, currency), F.lit("EUR")).alias("currency")))
 
 
 def trader_fields(trader: Column) -> dict[str, Column]:
@@ -87,9 +92,12 @@ def trader_fields(trader: Column) -> dict[str, Column]:
     subject = F.get_json_object(trader, "$.regulatorySubjectType")
     kind = F.when(private, "Private").when(subject.isin("PRIVATE_INDIVIDUAL", "PRIVATE"), "Individual").otherwise("Professional")
     fields = {
-        "business_name": T.first_of(T.strip(c("companyLegalName")), person), "registration": _text(trader, "contactDetails.registrationNumber"),
-        "trade_register": _text(trader, "contactDetails.tradeRegisterName"), "email": _text(trader, "contactDetails.email"), "phone": _text(trader, "contactDetails.phoneNumber"),
-        "address": T.join_present([c(f"address.{k}") for k in ("addressLine1", "addressLine2", "city", "postalCode", "state")] + [country]), "country": country,
+        "business_name": T.first_of(T.strip(c("companyLegalName")), person),
+        "registration": _text(trader, "contactDetails.registrationNumber"),
+        "trade_register": _text(trader, "contactDetails.tradeRegisterName"), "email": _text(trader, "contactDetails.email"),
+        "phone": _text(trader, "contactDetails.phoneNumber"),
+        "address": T.join_present([c(f"address.{k}") for k in ("addressLine1", "addressLine2", "city", "postalCode", "state")] + [country]),
+        "country": country,
     }
     known = trader.isNotNull() & ~F.coalesce(private, F.lit(False))
     return {k: F.when(known, v) for k, v in fields.items()} | {"business_type": F.when(trader.isNotNull(), kind)}
@@ -104,14 +112,16 @@ def parse_pages_a(pages: DataFrame, html: str = "html", o: Options = Options())
     rows = pages.withColumn("_items", ld_items(h)).withColumn("_trader", object_after(h, '"traderInfo"', TRADER_CHARS))
     ld, tr = ld_fields(F.col("_items")), trader_fields(F.col("_trader"))
     meta, script = _scanned_offer(h, META_PRICE, META_CURRENCY), _scanned_offer(h, JS_PRICE, JS_CURRENCY)
-    rows = rows.withColumn("_ld", ld["offer"]).withColumn("_offer", F.coalesce("_ld", meta, script)).withColumn("_scripted", F.coalesce("_ld", meta).isNull())
+    rows = rows.withColumn("_ld", ld["offer"]).withColumn("_offer", F.coalesce("_ld", meta, script)).withColumn("_scripted",
+        F.coalesce("_ld", meta).isNull())
     amount, currency = F.col("_offer.price"), F.col("_offer.currency")
     price, eur = to_eur(amount, currency, o.ron_per_eur)
     both = lambda k: F.coalesce(ld[k], tr[k])
     out = {
         "price_per_night": price, "currency": eur, "price_original": amount, "currency_original": currency, "bedrooms": ld["bedrooms"],
         "max_guests": F.coalesce(F.when(F.col("_scripted"), T.extract(h, JS_GUESTS).try_cast("int")), ld["max_guests"]),
-        "business_name": both("business_name"), "registration": tr["registration"], "vat": ld["vat"], "email": both("email"), "phone": both("phone"),
+        "business_name": both("business_name"), "registration": tr["registration"], "vat": ld["vat"], "email": both("email"),
+        "phone": both("phone"),
         "address": tr["address"], "country": tr["country"], "trade_register": tr["trade_register"], "business_type": tr["business_type"],
     }
     return rows.select(*pages.columns, *(v.alias(k) for k, v in out.items()))
@@ -142,7 +152,8 @@ def disclosure_text(html: Column) -> Column:
 def disclosure_fields(block: Column) -> dict[str, Column]:
     text = lines_of(F.coalesce(unescaped(block), block))
     tidy = lambda x: T.none_if_empty(T.strip(F.regexp_replace(T.strip(x), r"[.,;:]+\z", "")))
-    fields = {k: F.coalesce(*(tidy(T.extract(text, rf"(?iU){label}\s*:\s*([^\n]+)")) for label in labels)) for k, labels in DISCLOSURE_LABELS.items()}
+    fields = {k: F.coalesce(*(tidy(T.extract(text, rf"(?iU){label}\s*:\s*([^\n]+)")) for label in labels)) for k,
+        labels in DISCLOSURE_LABELS.items()}
     last = T.strip(F.substring_index(fields["address"], ",", -1))
     fields["country"] = F.when(F.length(last).between(2, 60) & last.rlike(r"\A\p{L}"), last)
     return fields
@@ -153,7 +164,8 @@ def host_fields(html: Column) -> dict[str, Column]:
     rate = lambda d: F.lower(d).contains("response rate")
     pick = lambda test: T.strip(F.get(F.filter(details, test), F.lit(0)))
     return {
-        "host_name": T.first_of(*(T.strip(T.extract(html, p)) for p in (HOST_CARD, HOSTED_BY, SUPERHOST))), "host_id": T.decoded_id(T.strip(T.extract(html, HOST_CARD, 2))),
+        "host_name": T.first_of(*(T.strip(T.extract(html, p)) for p in (HOST_CARD, HOSTED_BY, SUPERHOST))),
+        "host_id": T.decoded_id(T.strip(T.extract(html, HOST_CARD, 2))),
         "host_response_rate": pick(rate), "host_response_time": pick(lambda d: F.lower(d).contains("respond") & ~rate(d)),
         "host_join_date": T.strip(F.coalesce(T.extract(html, TENURE), T.extract(html, JOINED))),
     }
@@ -166,11 +178,13 @@ def parse_pages_b(pages: DataFrame, html: str = "html") -> DataFrame:
     details item's screen or title, and at last that details are there but empty.
     """
     h = F.col(html)
-    rows = pages.withColumn("_d", disclosure_text(h)).withColumn("_details", json_at_key(h, "businessDetails")).withColumn("_item", json_at_key(h, "businessDetailsItem"))
+    rows = pages.withColumn("_d", disclosure_text(h)).withColumn("_details", json_at_key(h, "businessDetails")).withColumn("_item",
+        json_at_key(h, "businessDetailsItem"))
     d = disclosure_fields(F.col("_d"))
     rows = rows.withColumn("_f", F.struct(*(v.alias(k) for k, v in d.items())))
     of = lambda k: F.col(f"_f.{k}")
-    disclaimers = F.transform(F.regexp_extract_all(h, F.lit(DISCLAIMER), F.lit(1)), lambda x: T.none_if_empty(T.strip(F.coalesce(unescaped(x), x))))
+    disclaimers = F.transform(F.regexp_extract_all(h, F.lit(DISCLAIMER), F.lit(1)),
+        lambda x: T.none_if_empty(T.strip(F.coalesce(unescaped(x), x))))
     disclaimer = F.substring(F.try_element_at(F.array_compact(disclaimers), F.lit(1)), 1, 500)
     detail = F.col("_details.json")
     said = T.first_of(*(T.strip(F.get_json_object(detail, f"$.{k}")) for k in ("detailsHtml", "title", "hostLegalDisclaimer")))
@@ -186,7 +200,8 @@ def parse_pages_b(pages: DataFrame, html: str = "html") -> DataFrame:
         .when(yes(F.col("_item.kind") == "null") | (F.col("_item.kind").isNull() & h.contains('"businessDetails"')) | h.contains('"businessDetails":null'), "Individual")
     )
     name = F.when(disclosed, of("business_name")).otherwise(F.coalesce(disclaimer, details, of("business_name")))
-    out = {"business_type": kind, "business_name": name} | {k: of(k) for k in ("registration", "trade_register", "email", "phone", "address", "country")} | host_fields(h)
+    out = {"business_type": kind, "business_name": name} | {k: of(k) for k in ("registration", "trade_register", "email", "phone",
+        "address", "country")} | host_fields(h)
     return rows.select(*pages.columns, *(v.alias(k) for k, v in out.items()))
 
 
@@ -197,4 +212,5 @@ def page_details_b(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def title_and_lang(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages with title (trimmed, null if there is none) and lang of the html element."""
-    return pages.select(*pages.columns, T.strip(T.extract(F.col(html), r"(?s)<title>(.*?)</title>")).alias("title"), T.extract(F.col(html), r'<html[^>]*\blang="([^"]*)"').alias("lang"))
+    return pages.select(*pages.columns, T.strip(T.extract(F.col(html), r"(?s)<title>(.*?)</title>")).alias("title"),
+        T.extract(F.col(html), r'<html[^>]*\blang="([^"]*)"').alias("lang"))

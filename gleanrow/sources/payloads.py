@@ -15,8 +15,10 @@ from ..functions.geo import to_eur
 from ..functions.options import Options
 
 LISTING = (
-    "id", "platform", "platform_id", "name", "latitude", "longitude", "property_type", "star_rating", "review_score", "review_count", "price_per_night", "currency",
-    "price_original", "currency_original", "url", "thumbnail_url", "bedrooms", "beds", "bathrooms", "max_guests", "is_superhost", "grid_cell_id", "raw_json", "status",
+    "id", "platform", "platform_id", "name", "latitude", "longitude", "property_type", "star_rating", "review_score", "review_count",
+    "price_per_night", "currency",
+    "price_original", "currency_original", "url", "thumbnail_url", "bedrooms", "beds", "bathrooms", "max_guests", "is_superhost",
+    "grid_cell_id", "raw_json", "status",
 )
 # Where items are in a payload, and public addresses.
 RAW_ITEMS_PATH = "$.data.presentation.staysSearch.results.searchResults"
@@ -85,19 +87,25 @@ def parse_a(rows: DataFrame, country: str, grid_cell_id: Column | None = None, o
     photo = p("basicPropertyData.photos.main.highResJpegUrl.relativeUrl")
     base = f"{SITE_A}/{country}"
     fields = {
-        "platform_id": pid, "name": T.plain_text(F.coalesce(p("displayName.text"), F.lit(""))), "latitude": p("basicPropertyData.location.latitude"), "longitude": p("basicPropertyData.location.longitude"),
-        "property_type": T.accommodation_type(p("basicPropertyData.accommodationTypeId")), "star_rating": p("basicPropertyData.starRating.value"),
+        "platform_id": pid, "name": T.plain_text(F.coalesce(p("displayName.text"), F.lit(""))),
+        "latitude": p("basicPropertyData.location.latitude"), "longitude": p("basicPropertyData.location.longitude"),
+        "property_type": T.accommodation_type(p("basicPropertyData.accommodationTypeId")),
+        "star_rating": p("basicPropertyData.starRating.value"),
         "review_score": p("basicPropertyData.reviews.totalScore"), "review_count": p("basicPropertyData.reviews.reviewsCount"),
-        "price_per_night": price, "currency": eur, "price_original": paid["amount"], "currency_original": F.when(paid["amount"].isNotNull(), currency),
-        "url": F.when(F.coalesce(page, F.lit("")) != "", F.concat(F.lit(f"{base}/"), page, F.lit(".html"))).otherwise(F.concat(F.lit(f"{base}/?hotel_id="), pid)),
-        "thumbnail_url": F.concat(F.lit(PHOTO_HOST), T.none_if_empty(photo)), "bedrooms": number("nbBedrooms", "int"), "beds": number("nbAllBeds", "int"), "bathrooms": number("nbBathrooms", "double"),
+        "price_per_night": price, "currency": eur, "price_original": paid["amount"],
+        "currency_original": F.when(paid["amount"].isNotNull(), currency),
+        "url": F.when(F.coalesce(page, F.lit("")) != "", F.concat(F.lit(f"{base}/"), page,
+        F.lit(".html"))).otherwise(F.concat(F.lit(f"{base}/?hotel_id="), pid)),
+        "thumbnail_url": F.concat(F.lit(PHOTO_HOST), T.none_if_empty(photo)), "bedrooms": number("nbBedrooms", "int"),
+        "beds": number("nbAllBeds", "int"), "bathrooms": number("nbBathrooms", "double"),
     }
     return _finish(_typed(rows, _A), "booking", fields, grid_cell_id if grid_cell_id is not None else F.lit(""))
 
 
 def _descriptions(details: Column) -> Column:
     empty = F.array().cast("array<string>")
-    per = F.transform(F.coalesce(details, F.array().cast("array<struct<items:array<struct<description:string>>>>")), lambda d: F.coalesce(F.transform(d["items"], lambda i: F.coalesce(i["description"], F.lit(""))), empty))
+    per = F.transform(F.coalesce(details, F.array().cast("array<struct<items:array<struct<description:string>>>>")),
+        lambda d: F.coalesce(F.transform(d["items"], lambda i: F.coalesce(i["description"], F.lit(""))), empty))
     return F.flatten(per)
 
 
@@ -116,11 +124,13 @@ def parse_b_raw(rows: DataFrame, grid_cell_id: Column | None = None) -> DataFram
     pid = T.decoded_id(p("demandStayListing.id"))
     rating = T.rating_parts(p("avgRatingLocalized"))
     line = p("structuredDisplayPrice.primaryLine")
-    price = F.coalesce(T.nightly_price(_descriptions(p("structuredDisplayPrice.explanationData.priceDetails"))), T.digits_price(T.first_of(line["originalPrice"], line["price"])))
+    price = F.coalesce(T.nightly_price(_descriptions(p("structuredDisplayPrice.explanationData.priceDetails"))),
+        T.digits_price(T.first_of(line["originalPrice"], line["price"])))
     fields = {
         "platform_id": pid, "name": T.plain_text(F.coalesce(p("demandStayListing.description.name.localizedStringWithTranslationPreference"), F.lit(""))),
         "latitude": p("demandStayListing.location.coordinate.latitude"), "longitude": p("demandStayListing.location.coordinate.longitude"),
-        "review_score": rating["score"], "review_count": rating["count"], "price_per_night": price, "currency": F.lit("EUR"), "price_original": price, "currency_original": F.lit("EUR"),
+        "review_score": rating["score"], "review_count": rating["count"], "price_per_night": price, "currency": F.lit("EUR"),
+        "price_original": price, "currency_original": F.lit("EUR"),
         "url": _room_url(pid), "thumbnail_url": F.get(p("contextualPictures"), F.lit(0))["picture"],
     } | _rooms(p("structuredContent.mapPrimaryLine"))
     wanted = rows.where((F.get_json_object("item", "$.__typename") == RAW_ITEM_TYPE) | F.json_object_keys("item").isNull())
@@ -135,10 +145,13 @@ def parse_b_map(rows: DataFrame, grid_cell_id: Column | None = None) -> DataFram
     currency = F.when(nightly.isNull(), F.coalesce(rate["currency"], F.lit("USD"))).otherwise("USD")
     price = F.coalesce(nightly, rate["amount"])
     fields = {
-        "platform_id": pid, "name": T.plain_text(F.coalesce(p("listing.name"), F.lit(""))), "latitude": p("listing.coordinate.latitude"), "longitude": p("listing.coordinate.longitude"),
-        "property_type": F.coalesce(p("listing.roomTypeCategory"), F.lit("")), "review_score": p("listing.avgRating"), "review_count": p("listing.reviewsCount"),
+        "platform_id": pid, "name": T.plain_text(F.coalesce(p("listing.name"), F.lit(""))), "latitude": p("listing.coordinate.latitude"),
+        "longitude": p("listing.coordinate.longitude"),
+        "property_type": F.coalesce(p("listing.roomTypeCategory"), F.lit("")), "review_score": p("listing.avgRating"),
+        "review_count": p("listing.reviewsCount"),
         "price_per_night": price, "currency": currency, "price_original": price, "currency_original": currency, "url": _room_url(pid),
-        "thumbnail_url": F.get(p("listing.contextualPictures"), F.lit(0))["picture"], "is_superhost": F.coalesce(p("listing.isSuperhost"), F.lit(False)),
+        "thumbnail_url": F.get(p("listing.contextualPictures"), F.lit(0))["picture"],
+        "is_superhost": F.coalesce(p("listing.isSuperhost"), F.lit(False)),
     } | _rooms(p("listing.structuredContent.mapPrimaryLine"))
     return _finish(_typed(rows, _MAP), "airbnb", fields, grid_cell_id if grid_cell_id is not None else F.lit(""))
 
@@ -152,8 +165,10 @@ def parse_b_library(rows: DataFrame, grid_cell_id: Column | None = None) -> Data
     fields = {
         "platform_id": pid, "name": T.plain_text(F.coalesce(p("name"), F.lit(""))), "latitude": p("coordinates.latitude"),
         "longitude": F.coalesce(F.nullif(p("coordinates.longitud"), F.lit(0.0)), p("coordinates.longitude")),
-        "property_type": T.first_of(p("room_type"), p("type")), "review_score": p("rating.value"), "review_count": p("rating.reviewCount").try_cast("int"),
-        "price_per_night": unit["amount"], "currency": currency, "price_original": unit["amount"], "currency_original": currency, "url": _room_url(pid),
+        "property_type": T.first_of(p("room_type"), p("type")), "review_score": p("rating.value"),
+        "review_count": p("rating.reviewCount").try_cast("int"),
+        "price_per_night": unit["amount"], "currency": currency, "price_original": unit["amount"], "currency_original": currency,
+        "url": _room_url(pid),
         "thumbnail_url": F.get(p("images"), F.lit(0)), "is_superhost": p("is_superhost"),
     } | _rooms(p("structuredContent.mapPrimaryLine"))
     return _finish(_typed(rows, _LIBRARY), "airbnb", fields, grid_cell_id if grid_cell_id is not None else F.lit(""))

@@ -22,7 +22,8 @@ def distinct_within(rows: DataFrame, delay: str = "1 day") -> DataFrame:
     return rows.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["id"])
 
 
-def upsert_into(rows: DataFrame, table: str, checkpoint: str, key: Sequence[str], order: str, overwrite: Sequence[str], frozen: Sequence[str], after: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+def upsert_into(rows: DataFrame, table: str, checkpoint: str, key: Sequence[str], order: str, overwrite: Sequence[str],
+    frozen: Sequence[str], after: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     """Each micro-batch goes into a new snapshot ``table/v=<batch>`` of the null-aware upsert.
 
     A batch that is run again after a failure reads the snapshot before its own, so its

@@ -33,7 +33,8 @@ def test_fusion(spark):
 
 
 def test_calibration(spark):
-    pairs = lambda n, d: spark.createDataFrame([(d, 100.0)] * n + [(5000.0, 100.0), (None, 100.0), (1.0, None)], "distance_m double, sigma_b double")
+    pairs = lambda n, d: spark.createDataFrame([(d, 100.0)] * n + [(5000.0, 100.0), (None, 100.0), (1.0, None)],
+        "distance_m double, sigma_b double")
     bad = calibration.sigma_buckets(pairs(30, 400.0)).first()
     assert (bad["n"], bad["warned"]) == (30, True) and bad["ratio"] > 1.4
     assert calibration.sigma_buckets(pairs(5, 400.0)).first()["warned"] is False
@@ -42,7 +43,8 @@ def test_calibration(spark):
 
 def test_offsets(spark):
     cols = "group_id string, id string, platform string, latitude double, longitude double, geo_latitude double, geo_longitude double, sigma_m double"
-    rows = [("g", "a", "booking", 44.5, 26.1, 44.43, 26.1, 50.0), ("g", "b", "airbnb", 44.431, 26.1, None, None, 100.0), ("g", "c", "airbnb", 44.432, 26.1, None, None, 100.0), ("h", "d", "airbnb", 44.4, 26.1, None, None, 100.0)]
+    rows = [("g", "a", "booking", 44.5, 26.1, 44.43, 26.1, 50.0), ("g", "b", "airbnb", 44.431, 26.1, None, None, 100.0),
+        ("g", "c", "airbnb", 44.432, 26.1, None, None, 100.0), ("h", "d", "airbnb", 44.4, 26.1, None, None, 100.0)]
     got = {r["id"]: (r["offset_m"], r["offset_source"]) for r in calibration.offsets(spark.createDataFrame(rows, cols)).collect()}
     assert set(got) == {"a", "b", "c"} and got["a"] == got["c"] == (pytest.approx(166.8, abs=0.2), "geocoded")
 
@@ -57,7 +59,8 @@ def test_upserts(spark):
     kinds = "id long, kind string, price double"
     e = upsert.enrich_first_non_null(
         spark.createDataFrame([(1, None, None), (2, "Unknown", 1.0), (3, "Private", 2.0), (4, None, 3.0)], kinds),
-        spark.createDataFrame([(1, "Unknown", 7.0), (2, "Professional", 8.0), (3, "Unknown", 9.0), (9, "x", 1.0)], kinds), ["id"], soft={"kind": "Unknown"},
+        spark.createDataFrame([(1, "Unknown", 7.0), (2, "Professional", 8.0), (3, "Unknown", 9.0), (9, "x", 1.0)], kinds), ["id"],
+        soft={"kind": "Unknown"},
     )
     assert sorted(map(tuple, e.collect())) == [(1, "Unknown", 7.0), (2, "Professional", 1.0), (3, "Private", 2.0), (4, None, 3.0)]
     feed = spark.createDataFrame([(1, "a", 1.0, 1), (1, "b", None, 2)], "id long, name string, price double, seq long")
@@ -66,20 +69,26 @@ def test_upserts(spark):
 
 def test_progress_runs_and_cache(spark):
     cells = spark.createDataFrame([("c1", "booking"), ("c2", "booking")], "cell_id string, platform string")
-    progress = upsert.init_progress(spark.createDataFrame([("c1", "booking", "completed")], "cell_id string, platform string, status string"), cells)
+    progress = upsert.init_progress(spark.createDataFrame([("c1", "booking", "completed")],
+        "cell_id string, platform string, status string"), cells)
     assert sorted(map(tuple, progress.collect())) == [("c1", "booking", "completed"), ("c2", "booking", "pending")]
     assert [r["cell_id"] for r in report.cells_by_status(progress, "booking", "pending").collect()] == ["c2"]
-    runs = spark.createDataFrame([(1, None, "running", 5, None), (2, None, "running", 1, None)], "run_id long, completed_at string, status string, total_listings long, listings_dropped long")
+    runs = spark.createDataFrame([(1, None, "running", 5, None), (2, None, "running", 1, None)],
+        "run_id long, completed_at string, status string, total_listings long, listings_dropped long")
     ends = spark.createDataFrame([(1, "now", None, 3)], "run_id long, completed_at string, total_listings long, listings_dropped long")
     assert tuple(upsert.finish_runs(runs, ends).where("run_id = 1").first()) == (1, "now", "completed", 5, 3)
-    cache = spark.createDataFrame([("a", "ok", 1.0, 2.0, None, 1, datetime(2026, 1, 1)), ("b", "failed", None, None, None, 2, datetime(2026, 1, 1)), ("c", "failed", None, None, None, 5, datetime(2026, 1, 1)), ("d", "not_found", None, None, None, 1, datetime(2026, 1, 1))], geocode.CACHE)
+    cache = spark.createDataFrame([("a", "ok", 1.0, 2.0, None, 1, datetime(2026, 1, 1)),
+        ("b", "failed", None, None, None, 2, datetime(2026, 1, 1)), ("c", "failed", None, None, None, 5, datetime(2026, 1, 1)),
+        ("d", "not_found", None, None, None, 1, datetime(2026, 1, 1))], geocode.CACHE)
     asked = spark.createDataFrame([(1, "A"), (2, " b "), (3, "c"), (4, "d"), (5, "e")], "id long, address string")
     looked = geocode.lookup(asked, cache)
     assert [r["outcome"] for r in looked.orderBy("id").collect()] == ["hit", "miss", "exhausted", "negative", "miss"]
-    answers = spark.createDataFrame([("b", 3.0, 4.0, "house", False)], "address_norm string, latitude double, longitude double, quality string, failed boolean")
+    answers = spark.createDataFrame([("b", 3.0, 4.0, "house", False)],
+        "address_norm string, latitude double, longitude double, quality string, failed boolean")
     fresh = geocode.resolve(looked, answers, F.lit("2026-02-01").cast("timestamp"))
     after = {r["address_norm"]: (r["status"], r["attempts"], r["latitude"]) for r in geocode.update_cache(cache, fresh).collect()}
-    assert after == {"a": ("ok", 1, 1.0), "b": ("ok", 3, 3.0), "c": ("failed", 5, None), "d": ("not_found", 1, None), "e": ("not_found", 1, None)}
+    assert after == {"a": ("ok", 1, 1.0), "b": ("ok", 3, 3.0), "c": ("failed", 5, None), "d": ("not_found", 1, None),
+        "e": ("not_found", 1, None)}
     assert geocode.purge(cache).count() == 1
 
 
@@ -105,7 +114,8 @@ RAW = '{"location":{"address":"Strada A 3","city":"T"}}'
 
 def test_curation(spark):
     geocodes = spark.createDataFrame([("strada a 3, t", 44.4305, 26.1)], "address_norm string, latitude double, longitude double")
-    run = lambda rows, g=None, h=None: {r["id"]: r for r in curate(spark.createDataFrame(rows, LISTING), g, h).listings.collect()}
+    run = lambda rows, g=None, h=None: {r["id"]: r for r in curate(spark.createDataFrame(rows, LISTING), g,
+        h).listings.collect()}
     # a precise twin lends its position
     got = run([listing("a", "booking", 44.43, raw=RAW, **TWIN), listing("b", "airbnb", 44.4302, **TWIN)], geocodes)
     assert got["b"]["location_source"] == "transferred_from_twin" and got["a"]["location_source"] == "geocoded_address"
@@ -120,6 +130,7 @@ def test_curation(spark):
     got = run([listing("a", "booking", 44.5, raw=RAW)], geocodes)
     assert got["a"]["location_source"] == "platform_coord" and got["a"]["geo_latitude"] is None
     # history sharpens a position
-    old = spark.createDataFrame([("b", "airbnb", 44.4302, 26.1, date(2025, 1, 1)), ("gone", "airbnb", 44.0, 26.1, date(2025, 1, 1))], "id string, platform string, latitude double, longitude double, scraped_at date")
+    old = spark.createDataFrame([("b", "airbnb", 44.4302, 26.1, date(2025, 1, 1)), ("gone", "airbnb", 44.0, 26.1, date(2025, 1, 1))],
+        "id string, platform string, latitude double, longitude double, scraped_at date")
     got = run([listing("b", "airbnb", 44.43)], None, tables.historical_observations(old))
     assert got["b"]["est_accuracy_m"] == 70.7

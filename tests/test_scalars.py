@@ -12,10 +12,12 @@ def values(spark, rows, column, kind="string"):
 
 
 def test_identity_normalisers(spark):
-    assert values(spark, ["RO 41137103", "J40/1234/2020", "", None, "ro"], T.normalize_registration) == ["41137103", "j4012342020", None, None, None]
+    assert values(spark, ["RO 41137103", "J40/1234/2020", "", None, "ro"], T.normalize_registration) == ["41137103", "j4012342020", None,
+        None, None]
     phones = ["+40 721 234 567", "0040721234567", "0721234567", "123", None, "721234567", "40123456", "0012345678901"]
     assert values(spark, phones, T.normalize_phone) == ["721234567", "721234567", "721234567", None, None, "721234567", None, "345678901"]
-    assert values(spark, ["  Host@Example.COM ", "not-an-email", None, "a@b@c.d", "a b@c.d"], T.normalize_email) == ["host@example.com", None, None, None, None]
+    assert values(spark, ["  Host@Example.COM ", "not-an-email", None, "a@b@c.d", "a b@c.d"], T.normalize_email) == ["host@example.com",
+        None, None, None, None]
 
 
 def test_keys_share_a_namespace_unless_asked(spark):
@@ -32,7 +34,8 @@ def test_plain_text(spark):
 @pytest.mark.parametrize(
     ("address", "want"),
     [
-        ("Strada Lunga nr. 94-100, bloc A2, ap. 3", "Strada Lunga 94"), ("Strada Lunga 12, A2", "Strada Lunga 12"), ("Strada Lunga, 12", "Strada Lunga, 12"), ("Calea X 5 sc1 et 2", "Calea X 5"),
+        ("Strada Lunga nr. 94-100, bloc A2, ap. 3", "Strada Lunga 94"), ("Strada Lunga 12, A2", "Strada Lunga 12"),
+        ("Strada Lunga, 12", "Strada Lunga, 12"), ("Calea X 5 sc1 et 2", "Calea X 5"),
         ("Bd. Y 7, 12B", "Bd. Y 7"), ("bloc 3", ""), ("Strada Apei 4", "Strada Apei 4"),
     ],
 )
@@ -41,15 +44,18 @@ def test_clean_street(spark, address, want):
 
 
 def test_payload_address_and_level(spark):
-    rows = ['{"basicPropertyData":{"location":{"address":"Strada A nr. 3, ap. 1","city":"Town"}}}', '{"location":{"address":"Old Square"}}', '{"location":{"address":"ap. 1","city":"T"}}', "{bad", None, "[]"]
+    rows = ['{"basicPropertyData":{"location":{"address":"Strada A nr. 3, ap. 1","city":"Town"}}}', '{"location":{"address":"Old Square"}}',
+        '{"location":{"address":"ap. 1","city":"T"}}', "{bad", None, "[]"]
     assert values(spark, rows, T.payload_address) == ["Strada A 3, Town", "Old Square", None, None, None, None]
     assert values(spark, ["Strada A 3", "12 Main", "Main 12", None, ""], T.is_street_level) == [True, True, False, False, False]
     assert values(spark, ["  Strada   A\n3 "], T.address_key) == ["strada a 3"]
 
 
 def test_page_scalars(spark):
-    assert values(spark, ['x"mapMarkerRadiusInMeters": 152.5,', '"mapMarkerRadiusInMeters":0', "none", None], T.map_radius) == [152.5, 0.0, None, None]
-    html = "".join(f'{{"__typename":"AmenityItem","available":{a},"title":"{t}"}}' for a, t in (("true", "Wifi "), ("false", "Pool"), ("true", "wifi"), ("true", "Air con")))
+    assert values(spark, ['x"mapMarkerRadiusInMeters": 152.5,', '"mapMarkerRadiusInMeters":0', "none", None], T.map_radius) == [152.5, 0.0,
+        None, None]
+    html = "".join(f'{{"__typename":"AmenityItem","available":{a},"title":"{t}"}}' for a,
+        t in (("true", "Wifi "), ("false", "Pool"), ("true", "wifi"), ("true", "Air con")))
     assert values(spark, [html, None], T.available_amenities) == [["air con", "wifi"], []]
 
 
@@ -60,10 +66,13 @@ def test_room_counts(spark):
 
 
 def test_prices_ratings_ids(spark):
-    assert [tuple(x) for x in values(spark, ["4.85 (120)", "4,7", "New", None], T.rating_parts)] == [(4.85, 120), (4.7, None), (None, None), (None, None)]
-    assert values(spark, [["x", "5 nights x € 174.69"], ["1 night × 80,5"], ["total"], []], T.nightly_price, "array<string>") == [174.69, 80.5, None, None]
+    assert [tuple(x) for x in values(spark, ["4.85 (120)", "4,7", "New", None], T.rating_parts)] == [(4.85, 120), (4.7, None), (None, None),
+        (None, None)]
+    assert values(spark, [["x", "5 nights x € 174.69"], ["1 night × 80,5"], ["total"], []], T.nightly_price, "array<string>") == [174.69,
+        80.5, None, None]
     assert values(spark, ["€ 1,234", "none", None], T.digits_price) == [1234.0, None, None]
-    assert values(spark, ["RGVtYW5kU3RheUxpc3Rpbmc6MTIzNDU=", "RGVtYW5kU3RheUxpc3Rpbmc6MTIzNDU", "plain!", None], T.decoded_id) == ["12345", "12345", "plain!", None]
+    assert values(spark, ["RGVtYW5kU3RheUxpc3Rpbmc6MTIzNDU=", "RGVtYW5kU3RheUxpc3Rpbmc6MTIzNDU", "plain!", None], T.decoded_id) == ["12345",
+        "12345", "plain!", None]
     assert values(spark, [204, 999, None], T.accommodation_type, "int") == ["hotel", "type_999", None]
     assert values(spark, ["<a href=\"x\">'&'</a>", None], T.html_escape) == ["&lt;a href=&quot;x&quot;&gt;&#x27;&amp;&#x27;&lt;/a&gt;", ""]
 
@@ -77,7 +86,8 @@ def test_geo(spark):
 
 
 def test_sigma_ladder(spark):
-    rows = [("booking", "Strada A 3", None, 1), ("booking", "Park", None, 1), ("booking", "Strada A 3", None, 3), ("airbnb", None, None, 1), ("airbnb", None, 0.0, 9), ("airbnb", None, 152.0, 1)]
+    rows = [("booking", "Strada A 3", None, 1), ("booking", "Park", None, 1), ("booking", "Strada A 3", None, 3), ("airbnb", None, None, 1),
+        ("airbnb", None, 0.0, 9), ("airbnb", None, 152.0, 1)]
     df = spark.createDataFrame(rows, "p string, a string, r double, n int")
     got = [x[0] for x in df.select(geo.scraped_sigma(F.col("p"), F.col("a"), F.col("r"), F.col("n"))).collect()]
     assert got == [50.0, 150.0, 150.0, 100.0, 15.0, pytest.approx(106.4)]
@@ -86,9 +96,11 @@ def test_sigma_ladder(spark):
 
 
 def test_name_similarity_both_ways(spark):
-    pairs = [("Cosy Flat", "cosy flat"), ("abc", "xyz"), (None, ""), ("kitten", "sitting"), ("", "a"), ("Old Town Apartment 2", "Old Town Apartament"), ("ää", "äb")]
+    pairs = [("Cosy Flat", "cosy flat"), ("abc", "xyz"), (None, ""), ("kitten", "sitting"), ("", "a"),
+        ("Old Town Apartment 2", "Old Town Apartament"), ("ää", "äb")]
     df = spark.createDataFrame(pairs, "a string, b string")
-    rows = df.select(similarity.name_similarity("a", "b").alias("u"), similarity.indel_ratio_sql(F.col("a"), F.col("b")).alias("s")).collect()
+    rows = df.select(similarity.name_similarity("a", "b").alias("u"),
+        similarity.indel_ratio_sql(F.col("a"), F.col("b")).alias("s")).collect()
     assert [r["u"] for r in rows] == pytest.approx([100, 0, 100, 100 * 8 / 13, 0, 100 * 36 / 39, 50])
     assert [r["s"] for r in rows] == pytest.approx([r["u"] for r in rows])
 
@@ -110,7 +122,8 @@ def test_options_from_sections(tmp_path):
     rules = tmp_path / "rules.yaml"
     rules.write_text("delays:\n  a: 1\ndedup:\n  strict_name_threshold: 85\nfusion:\n  disagreement_km: 2.5\nmin_sigma: 7.0\n")
     o = Options.load(str(city), str(rules))
-    assert (o.refine_threshold, o.cap_a, o.strict_name, o.disagreement_m, o.min_sigma, o.cap_b) == (0.8, 99, 85, 2500.0, 7.0, Options().cap_b)
+    assert (o.refine_threshold, o.cap_a, o.strict_name, o.disagreement_m, o.min_sigma, o.cap_b) == (0.8, 99, 85, 2500.0, 7.0,
+        Options().cap_b)
     rules.write_text("no_such_option: 1\n")
     with pytest.raises(ValueError, match="no_such_option"):
         Options.load(str(rules))
