@@ -383,9 +383,7 @@ def q_batch_dedup(spark, sf_dir):
     return clustering.batch_dedup(rows).select("id", "seq")
 
 
-@query
-def q_curate(spark, sf_dir):
-    done = curate(views.listings(spark, sf_dir).withColumn("scraped_at", F.lit("2026-05-01T00:00:00").cast("timestamp")))
+def _curated(done) -> DataFrame:
     six = lambda c: F.round(c, 6).alias(c)
     return done.listings.select(
         "id", "operator_id", "group_id", "cross_group_id", six("latitude_best"), six("longitude_best"), "est_accuracy_m", "location_source",
@@ -393,6 +391,28 @@ def q_curate(spark, sf_dir):
     )
 
 
+def _landed(spark, sf_dir) -> DataFrame:
+    return views.listings(spark, sf_dir).withColumn("scraped_at", F.lit("2026-05-01T00:00:00").cast("timestamp"))
+
+
+@query
+def q_curate(spark, sf_dir):
+    """The whole plan over landed positions."""
+    return _curated(curate(_landed(spark, sf_dir)))
+
+
+@query
+def q_curate_observed(spark, sf_dir):
+    """The whole plan with geocodes and an older snapshot as further observations."""
+    rows = _landed(spark, sf_dir)
+    address = rows.where("platform = 'booking'").select(T.payload_address(F.col("raw_json")).alias("address"), "latitude", "longitude").where("address is not null")
+    geocodes = address.groupBy(T.address_key(F.col("address")).alias("address_norm")).agg(
+        (F.min("latitude") + 0.001).alias("latitude"), (F.min("longitude") + 0.001).alias("longitude")
+    )
+    snapshot = rows.withColumn("latitude", F.col("latitude") + 0.0005)
+    return _curated(curate(rows, geocodes, tables.historical_observations(snapshot)))
+
+
 def queries() -> dict[str, Query]:
     return QUERIES | payload_catalog.QUERIES | state_catalog.QUERIES
 

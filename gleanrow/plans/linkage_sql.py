@@ -97,32 +97,52 @@ GROUPS = f"""{OPS}{TWINS[TWINS.rindex(', tw as') :]}{STRICT},
   lambda x: split_part(x, '_', 1)))) = 2 cross_platform, g.f by_identity from fin"""
 
 _GROUP_ROWS = "select unnest(g.m) id, 'pg_'"
-#: The whole plan: groups, landed observations, fused positions per group and per row, conflicts, offsets, labels.
-CURATE = f"""{GROUPS[: GROUPS.rindex(_GROUP_ROWS)].rstrip()}, grp as ({GROUPS[GROUPS.rindex(_GROUP_ROWS) :]}){ADDRESS[len(L) :]}{_STACK},
+_AT = GROUPS.rindex(_GROUP_ROWS)
+_SIGMA = f"""case when platform = 'booking' then case when street and stack_count < {O.stack_min} then {O.sigma_address} else {O.sigma_vague} end
+  when radius_m is null then {O.sigma_fuzzed} when radius_m = 0 then {O.sigma_exact} else greatest({O.sigma_fuzzed}, radius_m * 0.7) end"""
+_OWN = "case when platform = 'booking' then case when street then 'exact' else 'approximate' end when radius_m = 0 then 'exact' when radius_m is not null then 'approximate' end"
+_SEQ_OF = "struct_pack(phase := {}, id := {}, rank := {})"
+_SEEN = "union all select {}, r.platform, r.key, {}, {}, {} sigma_m, '{}', " + _SEQ_OF
+#: Geocodes of addresses and an older snapshot, as q_curate_observed makes them.
+GEOCODES = """, gc as (select lower(regexp_replace(address, '\\s+', ' ', 'g')) address_norm, min(latitude) + 0.001 glat, min(longitude) + 0.001 glng
+  from ad where platform = 'booking' and address is not null group by 1)"""
+
+
+def curate(observed: bool) -> str:
+    """The whole plan: groups, observations, fused positions per group and per row, conflicts, offsets, labels.
+
+    observed: with geocodes within the drift limit and an older snapshot's positions.
+    """
+    drift = hav("r", "gc").replace("gc.latitude", "gc.glat").replace("gc.longitude", "gc.glng")
+    near = f"r join gc on r.platform = 'booking' and gc.address_norm = lower(regexp_replace(r.address, '\\s+', ' ', 'g')) and {drift} <= {O.max_drift_m}"
+    geo_seen = _SEEN.format("gn.id", "glat", "glng", O.sigma_geocoded, "geocoded", 0, "gn.id", 1) + " from gn join r using (id)"
+    history = f"case when r.platform = 'booking' then {O.history_sigma_a} else {O.history_sigma_b} end"
+    old_seen = _SEEN.format("r.id", "latitude + 0.0005", "longitude", history, "scraped", 1, "r.id", 0) + " from r"
+    return f"""{GROUPS[:_AT].rstrip()}, grp as ({GROUPS[_AT:]}){ADDRESS[len(L) :]}{_STACK}{GEOCODES},
  sl as (select *, coalesce(regexp_matches(address, '{_LEVEL}'), false) street from st),
- o as (select id listing_id, platform, coalesce(group_id, id) key, latitude, longitude, radius_m, cross_platform, group_id, id seq,
-  'scraped' source,
-  case when platform = 'booking' then case when street and stack_count < {O.stack_min} then {O.sigma_address} else {O.sigma_vague} end when
-  radius_m is null then {O.sigma_fuzzed} when radius_m = 0 then {O.sigma_exact} else greatest({O.sigma_fuzzed}, radius_m * 0.7) end sigma_m,
-  case when platform = 'booking' then case when street then 'exact' else 'approximate' end when radius_m = 0 then 'exact' when radius_m is
-  not null then 'approximate' end own from sl left join grp using (id)),
+ r as (select *, coalesce(group_id, id) key, {_SIGMA} sigma_m, {_OWN} own from sl left join grp using (id)),
+ gn as (select r.id, glat, glng from {near if observed else "r join gc on false"}),
+ o as (select id listing_id, platform, key, latitude, longitude, sigma_m, 'scraped' source, {_SEQ_OF.format(0, 'id', 0)} seq from r
+  {geo_seen + " " + old_seen if observed else ""}),
  {fused('o', 'key', 'fk')}, {fused('o', 'listing_id', 'fl')},
- ab as (select a.key, a.group_id, {_D} d, {hav('b', 'a')} od from o a join o b on a.key = b.key and a.platform = 'booking' and b.platform = 'airbnb'),
- cf as (select key from ab group by key having max(d) > {O.disagreement_m}), om as (select group_id, round(median(od), 1) offset_m from ab
-  where group_id is not null group by 1),
- ch as (select o.*, cf.key is not null or coalesce(radius_m = 0, false) alone, fk.fx kx, fk.fy ky, fk.s ks, fk.d kd, fl.fx lx, fl.fy ly,
-  fl.s ls, fl.d ld from o left join cf on cf.key = o.key join fk on fk.g = o.key join fl on fl.g = o.listing_id),
- fx as (select *, case when alone then lx else kx end x, case when alone then ly else ky end y, case when alone then ls else ks end s, case
-  when alone then ld else kd end dom from ch)
- select listing_id id, operator_id, fx.group_id, case when cross_platform then fx.group_id end cross_group_id, round({geo.ANCHOR_LAT} + y /
-  {geo.METRES_PER_DEGREE}, 6) latitude_best, round({geo.ANCHOR_LNG} + x / {geo.METRES_PER_DEGREE_LNG!r}, 6) longitude_best,
- round(s, 1) est_accuracy_m, case when not alone and dom <> listing_id then 'transferred_from_twin' else 'platform_coord' end
-  location_source, case when s <= {O.exact_max_sigma} then 'exact' else 'approximate' end location_precision,
- case when cross_platform then offset_m end offset_m, own platform_precision from fx left join op on op.id = listing_id left join om on
-  om.group_id = fx.group_id"""
+ cf as (select a.key from o a join o b on a.key = b.key and a.platform = 'booking' and b.platform = 'airbnb' group by a.key having max({_D}) > {O.disagreement_m}),
+ pa as (select group_id, coalesce(glat, latitude) latitude, coalesce(glng, longitude) longitude from r left join gn using (id) where cross_platform and platform = 'booking'),
+ pb as (select group_id, latitude, longitude from r where cross_platform and platform = 'airbnb'),
+ om as (select a.group_id, round(median({hav('b', 'a')}), 1) offset_m from pa a join pb b on a.group_id = b.group_id group by 1),
+ ch as (select r.*, cf.key is not null or coalesce(radius_m = 0, false) alone, fk.fx kx, fk.fy ky, fk.s ks, fk.d kd, fk.src ksrc, fl.fx lx, fl.fy ly, fl.s ls, fl.d ld, fl.src lsrc
+  from r left join cf on cf.key = r.key join fk on fk.g = r.key join fl on fl.g = r.id),
+ fx as (select *, case when alone then lx else kx end x, case when alone then ly else ky end y, case when alone then ls else ks end s,
+  case when alone then ld else kd end dom, case when alone then lsrc else ksrc end src from ch)
+ select fx.id, operator_id, fx.group_id, case when cross_platform then fx.group_id end cross_group_id,
+ round({geo.ANCHOR_LAT} + y / {geo.METRES_PER_DEGREE}, 6) latitude_best, round({geo.ANCHOR_LNG} + x / {geo.METRES_PER_DEGREE_LNG!r}, 6) longitude_best, round(s, 1) est_accuracy_m,
+ case when not alone and dom <> fx.id then 'transferred_from_twin' when src = 'geocoded' then 'geocoded_address' else 'platform_coord' end location_source,
+ case when s <= {O.exact_max_sigma} then 'exact' else 'approximate' end location_precision, case when cross_platform then offset_m end offset_m, own platform_precision
+ from fx left join op on op.id = fx.id left join om on om.group_id = fx.group_id"""
+
 
 SQL = {
-    "q_curate": CURATE,
+    "q_curate": curate(False),
+    "q_curate_observed": curate(True),
     "q_name_similarity": NAME_SIMILARITY,
     "q_strict_pairs": STRICT_PAIRS,
     "q_matched_pairs": MATCHED_PAIRS,

@@ -14,7 +14,7 @@ from ..functions import jsonslice
 from ..functions import text as T
 from ..functions.options import Options
 from ..operators import report
-from ..sources import pages, payloads
+from ..sources import disclosures, pages, payloads
 from .views import duck_view, spark_view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -400,3 +400,52 @@ def q_json_slices(spark, sf_dir):
         "contactDetails")
     found = rows.select("k", cut.alias("slice"), value.alias("v"))
     return found.select("k", F.md5("slice").alias("slice_md5"), F.col("v.kind").alias("kind"), F.md5("v.json").alias("value_md5"))
+
+
+DIALOGS = """
+select c_custkey k, case c_custkey % 4
+ when 0 then concat('<dl><dt>Business name</dt><dd>Firm ', cast(c_custkey as {S}), ' SRL.</dd><dt>Phone number: 0721 ', cast(100000 + c_custkey as {S}),
+  '</dt><p>CUI</p><p>RO ', cast(c_custkey as {S}), '</p><p>Adresa: Strada ', cast(c_custkey as {S}), '</p></dl>')
+ when 1 then concat('<p>An individual host</p><p>write to h', cast(c_custkey as {S}), '@b.ro.</p>')
+ when 2 then '<p>hello</p>' else '' end dialog,
+ concat('<h1>x</h1>', case when c_custkey % 3 = 0 then '' else '<h2>Legal information</h2>' end, '<p>Company name: Firm ', cast(c_custkey as {S}), '.</p><div>VAT ID: RO 12 ',
+  cast(10000 + c_custkey as {S}), '</div><li>J 40 / ', cast(c_custkey as {S}), ' / 2020</li><p>Mail x', cast(c_custkey as {S}), '@y.ro</p><p>Business address: Strada ',
+  cast(c_custkey as {S}), ', Town</p>') html,
+ case c_custkey % 3 when 0 then concat('{"streetAddress":" S ', cast(c_custkey as {S}), ' ","addressLocality":"Town","postalCode":"","addressCountry":{"name":"Land"}}')
+  when 1 then concat(' Street ', cast(c_custkey as {S}), ' ') else '{"addressCountry":"RO"}' end address
+from customer
+"""
+_D = f"with v as ({duck_view(DIALOGS)})"
+
+
+@query(
+    _D
+    + """ select k, nullif(regexp_extract(dialog, '<dd>(.*?)[.]</dd>', 1), '') business_name, nullif(regexp_extract(dialog, 'Phone number: ([0-9 ]+)', 1), '') phone,
+ nullif(regexp_extract(dialog, '<p>CUI</p><p>([^<]*)', 1), '') vat, nullif(regexp_extract(dialog, 'Adresa: ([^<]*)', 1), '') address, nullif(regexp_extract(dialog, 'write to ([^<]*)[.]<', 1), '') email,
+ case k % 4 when 0 then 'Professional' when 1 then 'Individual' when 2 then 'Unknown' end business_type from v"""
+)
+def q_dialogs(spark, sf_dir):
+    """Labelled dialogs: values beside or under their labels."""
+    fields = disclosures.dialog_fields(F.col("dialog"))
+    rows = spark_view(spark, sf_dir, DIALOGS)
+    return rows.select("k", *(fields[c].alias(c) for c in ("business_name", "phone", "vat", "address", "email", "business_type")))
+
+
+@query(
+    _D
+    + """, h as (select k, html, html like '%Legal%' there from v)
+ select k, case when there then regexp_extract(html, 'Company name: ([^.<]*)', 1) end business_name, case when there then replace(regexp_extract(html, 'VAT ID: ([^<]*)', 1), ' ', '') end vat,
+ case when there then replace(regexp_extract(html, '<li>([^<]*)', 1), ' ', '') end registration, case when there then regexp_extract(html, 'Mail ([^<]*)', 1) end email,
+ case when there then regexp_extract(html, 'Business address: ([^<]*)', 1) end address, case when there then 'Professional' end business_type from h"""
+)
+def q_legal_blocks(spark, sf_dir):
+    """Legal blocks of pages."""
+    fields = disclosures.legal_fields(F.col("html"))
+    rows = spark_view(spark, sf_dir, DIALOGS)
+    return rows.select("k", *(fields[c].alias(c) for c in ("business_name", "vat", "registration", "email", "address", "business_type")))
+
+
+@query(_D + " select k, case k % 3 when 0 then 'S ' || k || ', Town, Land' when 1 then 'Street ' || k else 'RO' end address from v")
+def q_ld_address(spark, sf_dir):
+    """Structured addresses as one line."""
+    return spark_view(spark, sf_dir, DIALOGS).select("k", pages.ld_address(F.col("address")).alias("address"))
