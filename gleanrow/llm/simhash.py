@@ -21,7 +21,8 @@ more. At 0.8 a bit differs with probability 0.15 (the angle of the two shingle s
 bits of the distinct shingles and a budget of ``WIDE_BUDGET`` in the same trie join. Buckets are
 made of shared shingles instead of equal bits: a text goes to ``KEYS`` buckets, one for its least
 shingle in each of as many orders, of which texts of similarity 0.8 share none with probability
-0.2^KEYS. A bucket over ``WIDE_ROWS`` is dealt again by a second shared shingle, and a third.
+0.2^KEYS. A bucket over ``WIDE_ROWS`` is dealt again by a second shared shingle, and a third, unless
+it is a crowd of near copies: that one is joined by one task, in slices of bounded memory.
 
 Edge cases: null and empty texts have fingerprint zero and are linked like any other; a
 null doc_id takes part but is never a component's id (only a component of nulls has a null
@@ -305,17 +306,26 @@ def _wide(k: int):
 
 
 def shingle_buckets(prints: DataFrame, wide_rows: int = WIDE_ROWS) -> DataFrame:
-    """From (fp, keys): (key, fp). Buckets over wide_rows are dealt by one more of their rows' keys, LEVELS times."""
-    rows = prints.select(F.explode("keys").alias("key"), "keys", "fp")
+    """From (fp, keys): (key, fp). A bucket over wide_rows is dealt by one more of its rows' keys, LEVELS times.
+
+    A bucket most of whose rows share half of all keys stays as it is: that is a crowd of near copies, which
+    dealing would copy and not divide, and in which the join prunes what is connected.
+    """
+    rows = prints.select(F.explode("keys").alias("key"), "keys", "fp").withColumn("used", F.array("key"))
     done = None
     for _ in range(LEVELS):
-        large = stored(rows.groupBy("key").count().where(F.col("count") > wide_rows).select("key"), "large")
+        large = stored(rows.groupBy("key").count().where(F.col("count") > wide_rows), "large")
         if large.isEmpty():
             break
-        fits = rows.join(large, "key", "left_anti")
+        others = F.explode(F.array_except("keys", "used")).alias("other")
+        shared = rows.join(large, "key").select("key", "count", others).groupBy("key", "count", "other").agg(F.count("*").alias("n"))
+        crowds = shared.where(F.col("n") * 2 > F.col("count")).groupBy("key").agg(F.count("*").alias("common")).where(F.col("common") >= KEYS // 2)
+        dealt = stored(large.join(crowds, "key", "left_anti").select("key"), "dealt_keys")
+        fits = rows.join(dealt, "key", "left_anti")
         done = fits if done is None else done.unionByName(fits)
-        more = rows.join(large, "key", "left_semi").select("key", "keys", "fp", F.explode("keys").alias("other"))
-        rows = stored(more.select(F.xxhash64("key", "other").alias("key"), "keys", "fp").distinct(), "dealt")
+        more = rows.join(dealt, "key", "left_semi").select("keys", "fp", "used", others)
+        more = more.select("keys", "fp", F.array_sort(F.concat("used", F.array("other"))).alias("used"))
+        rows = stored(more.select(F.xxhash64("used").alias("key"), "keys", "fp", "used").distinct(), "dealt")
     rows = rows if done is None else done.unionByName(rows)
     return rows.select("key", "fp")
 

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -169,3 +170,32 @@ def test_keep_one_with_null_and_shared_ids_and_odd_texts(spark):
     left = simhash.keep_one(documents(spark, ODD))
     assert sorted(r["doc_id"] for r in left.collect()) == [0, *range(3, len(ODD))]
     assert simhash.keep_one(documents(spark, [])).count() == 0
+
+
+def test_large_buckets_are_dealt_and_crowds_are_not(spark):
+    """Rows with one key in common are dealt by their other keys; near pairs meet again, and no bucket stays large."""
+    rng = random.Random(8)
+    texts = []
+    for i in range(120):  # every text holds the passage, by which all have some least shingles in common
+        own = prose(rng, 80, 9000) + " " + "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 2
+        texts += [own, edited(rng, own, 1)] if i < 20 else [own]
+    prints = [simhash.wide_fingerprint(t) for t in texts]
+
+    def buckets(some, most):
+        df = spark.createDataFrame([(bytearray(fp), keys.tolist()) for fp, keys in some], "fp binary, keys array<long>").distinct()
+        rows = [(bytes(r["fp"]), r["key"]) for r in simhash.shingle_buckets(df, most).collect()]
+        sizes = Counter(key for _, key in rows)
+        at = {}
+        for fp, key in rows:
+            at.setdefault(fp, set()).add(key)
+        return max(sizes.values()), at
+
+    assert buckets(prints, 1 << 15)[0] > 100
+    largest, at = buckets(prints, 70)
+    assert largest <= 70
+    for i in range(0, 40, 2):
+        a, b = prints[i][0], prints[i + 1][0]
+        assert a == b or at[a] & at[b]
+    crowd = [simhash.wide_fingerprint(edited(rng, texts[0], 1)) for _ in range(90)]
+    largest, at = buckets(crowd, 30)
+    assert largest > 60 and max(map(len, at.values())) <= simhash.KEYS
