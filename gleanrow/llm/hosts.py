@@ -29,6 +29,8 @@ from .common import ascii_lower, stored
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 #: The bad rate that blocks, and how sure the posterior must be of it.
 MAX_BAD, SURE = 0.5, 0.95
+#: Blocked hosts that are broadcast; more are joined by a shuffle.
+BROADCAST_HOSTS = 200_000
 #: Labels that make a suffix together with a country's two letters.
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gov", "mil", "ne", "net", "or", "org")
 #: Points of the quadrature on either side of max_bad, and deviations that it reaches from the mode.
@@ -152,10 +154,13 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, max_bad: float = MAX
     rule, verdict = match_rule(host, path, rules)
     domain, suffix = levels(host)
     seen = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
-    # one row per distinct host is judged, then joined: host tables are far smaller than pages
+    # one row per distinct host is judged, and only blocked hosts meet the pages: a hot host is not shuffled
     hosts = seen.select("host").distinct().select("host", domain.alias("domain"), suffix.alias("suffix"))
     hosts = hosts.join(of("host"), "host", "left").join(of("domain"), "domain", "left").join(of("suffix"), "suffix", "left")
-    bad = F.coalesce("host_bad", "domain_bad", "suffix_bad", F.lit(overall))
-    hosts = hosts.select("host", F.when(bad, "block").otherwise("allow").alias("reputed"))
-    return seen.join(hosts, "host", "left").select("page_id", "host", "path", rule.alias("rule"),
-        F.coalesce(verdict, F.col("reputed")).alias("verdict"))
+    blocked = hosts.where(F.coalesce("host_bad", "domain_bad", "suffix_bad", F.lit(overall))).select(F.col("host").alias("blocked"))
+    blocked = stored(blocked, "blocked")
+    if blocked.count() <= BROADCAST_HOSTS:
+        blocked = F.broadcast(blocked)
+    out = seen.join(blocked, F.col("host") == F.col("blocked"), "left")
+    reputed = F.when(F.col("blocked").isNotNull(), "block").otherwise("allow")
+    return out.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, reputed).alias("verdict"))
