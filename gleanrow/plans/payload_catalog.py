@@ -185,7 +185,8 @@ def q_parse_a(spark, sf_dir):
     )
 
 
-@query(_items(ITEMS_A, "$") + f", s as (select {_status(_PID_A, _LAT_A, _LNG_A, chr(39) * 2)} from it) select status, count(*) n from s group by 1")
+@query(_items(ITEMS_A, "$") + f", s as (select {_status(_PID_A, _LAT_A, _LNG_A, chr(39) * 2)} from it) select status, count(*) "
+    f"n from s group by 1")
 def q_parse_stats(spark, sf_dir):
     """How many items were parsed, and why others were not."""
     return report.parse_stats(payloads.parse_a(payloads.items(spark_view(spark, sf_dir, ITEMS_A)), "ro"))

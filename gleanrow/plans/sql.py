@@ -82,7 +82,8 @@ SQL = {
  from l left join op using (id) where coalesce(operator_id, registration, business_name, host_id) is not null group by 1""",
     "q_top_operators": OPS + """ select operator_id operator_key, count(*) listing_count from op group by 1 order by 2 desc, 1 limit 5""",
     "q_haversine_block_join": PAIRS + f" select id_a, id_b, round(d, 3) distance_m from pr where d <= {O.strict_distance_m}",
-    "q_cross_platform_pairs": PAIRS + " select case when pa = 'booking' then id_a else id_b end id_a, case when pa = 'booking' then id_b else id_a end id_b, round(d, 3) distance_m from pr where pa <> pb and d < 100",
+    "q_cross_platform_pairs": PAIRS + " select case when pa = 'booking' then id_a else id_b end id_a, case when pa = 'booking' then id_b "
+        "else id_a end id_b, round(d, 3) distance_m from pr where pa <> pb and d < 100",
     "q_singleton_identity": TWINS + ' select "key", id_a, id_b from tw',
     "q_room_and_amenity_veto": PAIRS + f""", j as (select id_a, id_b, a.platform = b.platform same, a.max_guests ga, b.max_guests gb,
   a.bedrooms ra, b.bedrooms rb, a.beds ba, b.beds bb, a.bathrooms ta, b.bathrooms tb,
@@ -151,8 +152,10 @@ SQL = {
   trade_register is null) or (platform = 'airbnb' and (host_response_rate is null or host_join_date is null))) business_queue,
  count(*) filter (platform = 'airbnb' and url is not null and (radius_m is null or amenities_json is null)) page_queue from l group by
   platform""",
-    "q_business_queue": L + " select id from l where platform = 'airbnb' and (business_type is null or business_type = 'Unknown' or host_response_rate is null or host_join_date is null) order by id limit 50",
-    "q_union_targets": L + " select id, 'price' why from l where price_per_night is null union all select id, 'business' from l where (business_type is null or business_type = 'Unknown') and price_per_night is not null",
+    "q_business_queue": L + " select id from l where platform = 'airbnb' and (business_type is null or business_type = 'Unknown' or "
+        "host_response_rate is null or host_join_date is null) order by id limit 50",
+    "q_union_targets": L + " select id, 'price' why from l where price_per_night is null union all select id, 'business' from l where "
+        "(business_type is null or business_type = 'Unknown') and price_per_night is not null",
     "q_distinct_cells": L + " select distinct grid_cell_id from l where grid_cell_id is not null and grid_cell_id <> ''",
     "q_cells_with_listings": L + """, c as (select 'c' || cast(i as varchar) cell_id, p platform from range(150) r(i), (values ('booking'),
   ('airbnb')) v(p)) select cell_id, platform from c where exists (select 1 from l where grid_cell_id = cell_id and l.platform = c.platform)""",
@@ -160,22 +163,33 @@ SQL = {
     "q_counts": L + """ select platform, count(*) listings, count(*) filter (price_per_night is null) missing_price, count(*) filter
   (business_type is null or business_type = 'Unknown' or (platform = 'booking' and business_type = 'Professional' and trade_register is
   null)) missing_business from l group by 1""",
-    "q_currency": L + f" select id, case when currency = 'RON' and price_per_night is not null then round(price_per_night / {O.ron_per_eur}, 2) else price_per_night end price, case when currency = 'RON' and price_per_night is not null then 'EUR' else currency end currency from l",
-    "q_json_path": "select event_id, coalesce(cast(json_extract_string(props, '$.k') as int), -1) k, coalesce(json_extract_string(props, '$.missing'), 'none') missing from events",
-    "q_map_projection": L + f" select id, latitude map_latitude, longitude map_longitude, 'platform_coord' map_source, 'approximate' map_precision, {_ADDR} address_raw from l",
+    "q_currency": L + f" select id, case when currency = 'RON' and price_per_night is not null then round(price_per_night / "
+        f"{O.ron_per_eur}, 2) else price_per_night end price, case when currency = 'RON' and price_per_night is not null then 'EUR' else "
+        f"currency end currency from l",
+    "q_json_path": "select event_id, coalesce(cast(json_extract_string(props, '$.k') as int), -1) k, coalesce(json_extract_string(props, "
+        "'$.missing'), 'none') missing from events",
+    "q_map_projection": L + f" select id, latitude map_latitude, longitude map_longitude, 'platform_coord' map_source, 'approximate' "
+        f"map_precision, {_ADDR} address_raw from l",
     "q_map_markers": L + """ select latitude, longitude, platform, case when business_type = 'Professional' then case platform when
   'booking' then 'darkblue' else 'darkred' end else case platform when 'booking' then 'blue' else 'red' end end colour, name || ' · ' ||
   platform tooltip from l where latitude <> 0 and longitude <> 0""",
-    "q_html_title_meta": "select page_id, trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)) title, regexp_extract(html, '<html[^>]*\\blang=\"([^\"]*)\"', 1) lang from pages",
-    "q_html_strip": "select page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?i)<\\s*br\\s*/?>|</\\s*li\\s*>', chr(10), 'g'), '<[^>]+>', ' ', 'g'), '[ \\t]+', ' ', 'g'), ' ' || chr(9) || chr(10) || chr(13)) stripped from pages",
-    "q_html_escape": "select page_id, replace(replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') escaped from pages",
+    "q_html_title_meta": "select page_id, trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)) title, regexp_extract(html, "
+        "'<html[^>]*\\blang=\"([^\"]*)\"', 1) lang from pages",
+    "q_html_strip": "select page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?i)<\\s*br\\s*/?>|</\\s*li\\s*>', chr(10), "
+        "'g'), '<[^>]+>', ' ', 'g'), '[ \\t]+', ' ', 'g'), ' ' || chr(9) || chr(10) || chr(13)) stripped from pages",
+    "q_html_escape": "select page_id, replace(replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', "
+        "'&quot;'), '''', '&#x27;') escaped from pages",
     "q_url_clean": "select page_id, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/$', '') clean from pages",
-    "q_text_normalize": "select doc_id, md5(replace(replace(replace(replace(replace(replace(replace(replace(text, '—', '-'), '–', '-'), '‘', ''''), '’', ''''), '“', '\"'), '”', '\"'), '…', '...'), '`', '''')) plain_md5 from documents",
+    "q_text_normalize": "select doc_id, md5(replace(replace(replace(replace(replace(replace(replace(replace(text, '—', '-'), '–', '-'), "
+        "'‘', ''''), '’', ''''), '“', '\"'), '”', '\"'), '…', '...'), '`', '''')) plain_md5 from documents",
     "q_pii_keys": """with e as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\\.[A-Za-z0-9.-]+')) email from documents),
  t as (select doc_id, unnest(regexp_extract_all(text, '\\+?\\d[\\d .()-]{7,18}\\d')) phone from documents) """
-    + f"select distinct doc_id, 'mail' kind, {_MAIL} value from e where {_MAIL} is not null union all select distinct doc_id, 'tel', {_TEL} from t where {_TEL} is not null",
-    "q_exact_dup_groups": "select min(doc_id) first_id, count(*) copies from documents where text is not null group by md5(text) having count(*) > 1",
-    "q_address_clean": ADDRESS + " select id, address, lower(regexp_replace(address, '\\s+', ' ', 'g')) address_key from ad where platform = 'booking'",
+    + f"select distinct doc_id, 'mail' kind, {_MAIL} value from e where {_MAIL} is not null union all select distinct doc_id, 'tel', "
+        f"{_TEL} from t where {_TEL} is not null",
+    "q_exact_dup_groups": "select min(doc_id) first_id, count(*) copies from documents where text is not null group by md5(text) "
+        "having count(*) > 1",
+    "q_address_clean": ADDRESS + " select id, address, lower(regexp_replace(address, '\\s+', ' ', 'g')) address_key from ad where "
+        "platform = 'booking'",
     "q_precision_class": ADDRESS + _STACK + f""", sl as (select *, coalesce(regexp_matches(address, '{_LEVEL}'), false) street from st)
  select id, case when platform = 'booking' then case when street and stack_count < 3 then {O.sigma_address} else {O.sigma_vague} end when
   radius_m is null then {O.sigma_fuzzed} when radius_m = 0 then {O.sigma_exact} else greatest({O.sigma_fuzzed}, radius_m * 0.7) end sigma_m,
@@ -188,7 +202,9 @@ SQL = {
  select id, case when status is null then 'miss' when status = 'ok' then 'hit' when status = 'not_found' then 'negative' when attempts >= 5
   then 'exhausted' else 'miss' end outcome from ad left join cs on lower(regexp_replace(address, '\\s+', ' ', 'g')) = address_norm where
   address is not null""",
-    "q_grid_cells": "with c as (select r.i r, c.i c from range(10) r(i), range(14) c(i)) select '7/' || r || '/' || c cell_id, cast(round(44.33 + (r + 0.5) * 0.025, 6) as double) center_lat, cast(round(25.92 + (c + 0.5) * 0.025, 6) as double) center_lng, cast(round(44.33 + (r + 1) * 0.025, 6) as double) ne_lat, cast(round(25.92 + c * 0.025, 6) as double) sw_lng from c",
+    "q_grid_cells": "with c as (select r.i r, c.i c from range(10) r(i), range(14) c(i)) select '7/' || r || '/' || c cell_id, "
+        "cast(round(44.33 + (r + 0.5) * 0.025, 6) as double) center_lat, cast(round(25.92 + (c + 0.5) * 0.025, 6) as double) center_lng, "
+        "cast(round(44.33 + (r + 1) * 0.025, 6) as double) ne_lat, cast(round(25.92 + c * 0.025, 6) as double) sw_lng from c",
     "q_grid_refine": L.replace("with l", "with recursive l", 1) + """, v as (
   select cast(7 as int) as level, cast(floor((latitude - 44.33) / (0.025 / pow(2.0, 0))) as bigint) as r, cast(floor((longitude - 25.92) /
   (0.025 / pow(2.0, 0))) as bigint) as c, latitude, longitude, count(*) over (partition by floor((latitude - 44.33) / (0.025 / pow(2.0,
@@ -199,7 +215,11 @@ SQL = {
     count(*) over (partition by floor((latitude - 44.33) / (0.025 / pow(2.0, level + 1 - 7))), floor((longitude - 25.92) / (0.025 / pow(2.0,
   level + 1 - 7)))) from v where n >= 20 * 0.9 and level < 10)
  select level, r as "row", c as col, count(*) result_count from v group by 1, 2, 3""",
-    "q_history": L + " select id listing_id, latitude, longitude, cast(case when platform = 'booking' then 60 else 100 end as double) sigma_m, platform from l where latitude is not null",
-    "q_zoom": L + " select id, case when radius_m > 0 then greatest(1, least(20, cast(round_even(log2(360.0 / (radius_m / 100000)), 0) as int))) else 15 end zoom from l where radius_m is not null",
-    "q_stable_ids": "select o_orderkey id, 'xpg_' || substr(md5(case when cast(o_orderkey as varchar) < cast(o_custkey as varchar) then cast(o_orderkey as varchar) || '|' || cast(o_custkey as varchar) else cast(o_custkey as varchar) || '|' || cast(o_orderkey as varchar) end), 1, 16) gid from orders",
+    "q_history": L + " select id listing_id, latitude, longitude, cast(case when platform = 'booking' then 60 else 100 end as double) "
+        "sigma_m, platform from l where latitude is not null",
+    "q_zoom": L + " select id, case when radius_m > 0 then greatest(1, least(20, cast(round_even(log2(360.0 / (radius_m / 100000)), 0) as "
+        "int))) else 15 end zoom from l where radius_m is not null",
+    "q_stable_ids": "select o_orderkey id, 'xpg_' || substr(md5(case when cast(o_orderkey as varchar) < cast(o_custkey as varchar) then "
+        "cast(o_orderkey as varchar) || '|' || cast(o_custkey as varchar) else cast(o_custkey as varchar) || '|' || cast(o_orderkey as "
+        "varchar) end), 1, 16) gid from orders",
 }

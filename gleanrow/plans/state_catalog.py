@@ -43,7 +43,8 @@ def with_positions(rows: DataFrame) -> DataFrame:
     return rows.select("*", *(F.lit(None).cast(t).alias(c) for c, t in none))
 
 
-@query(L + " select id, platform, \"name\", latitude, longitude, registration, phone, email, bedrooms, beds, bathrooms, max_guests, amenities_json, raw_json, radius_m from l where latitude is not null and longitude is not null")
+@query(L + " select id, platform, \"name\", latitude, longitude, registration, phone, email, bedrooms, beds, bathrooms, max_guests, "
+    "amenities_json, raw_json, radius_m from l where latitude is not null and longitude is not null")
 def q_scan_curation(spark, sf_dir):
     return tables.for_curation(views.listings(spark, sf_dir))
 
@@ -53,7 +54,8 @@ def q_scan_minimal(spark, sf_dir):
     return tables.minimal(views.listings(spark, sf_dir))
 
 
-@query(L + ", c as (select distinct grid_cell_id cell_id from l) select cell_id from c order by md5(cell_id || '|7'), cell_id limit (select greatest(1, cast(floor(count(*) * 0.2) as bigint)) from c)")
+@query(L + ", c as (select distinct grid_cell_id cell_id from l) select cell_id from c order by md5(cell_id || '|7'), cell_id limit "
+    "(select greatest(1, cast(floor(count(*) * 0.2) as bigint)) from c)")
 def q_cell_sample(spark, sf_dir):
     """A seeded sample of a fifth of the cells: the sample is the operator's own."""
     return report.sample_cells(report.distinct_cells(listings(spark, sf_dir)).withColumnRenamed("grid_cell_id", "cell_id"), 0.2, 7)
@@ -70,7 +72,8 @@ def q_cells_by_status(spark, sf_dir):
 _SHARES = ("bedrooms", "price_per_night", "radius_m", "name")
 
 
-@query(L + " " + " union all ".join(f"select '{c}' field, 100.0 * count(*) filter (\"{c}\" is null) / count(*) missing from l" for c in _SHARES))
+@query(L + " " + " union all ".join(f"select '{c}' field, 100.0 * count(*) filter (\"{c}\" is null) / "
+    f"count(*) missing from l" for c in _SHARES))
 def q_missing_share(spark, sf_dir):
     rows = listings(spark, sf_dir)
     return spark.createDataFrame([(c, report.missing_share(rows, c)) for c in _SHARES], "field string, missing double")
@@ -86,7 +89,8 @@ def q_large_operators(spark, sf_dir):
 _GEO = ", g as (select *, latitude + cast(k % 50 as double) / 1000 geo_latitude, longitude + cast(k % 7 as double) / 1000 geo_longitude from l)"
 
 
-@query(L + _GEO + f", d as (select id, {hav('g', 'h').replace('h.latitude', 'g.geo_latitude').replace('h.longitude', 'g.geo_longitude')} drift_m from g) select id, round(drift_m, 3) drift_m from d where drift_m <= {O.max_drift_m}")
+@query(L + _GEO + f", d as (select id, {hav('g', 'h').replace('h.latitude', 'g.geo_latitude').replace('h.longitude', 'g.geo_longitude')} "
+    f"drift_m from g) select id, round(drift_m, 3) drift_m from d where drift_m <= {O.max_drift_m}")
 def q_accept_near(spark, sf_dir):
     """Geocodes within the drift limit."""
     moved = listings(spark, sf_dir).withColumn("geo_latitude",
@@ -133,13 +137,15 @@ def q_geocode_resolve(spark, sf_dir):
     return _cache(spark, sf_dir)[1].drop("last_tried_at")
 
 
-@query(f"with {_CACHE} select address_norm, status, latitude, longitude, quality, attempts from r union all select address_norm, status, latitude, longitude, quality, attempts from c where address_norm not in (select address_norm from r)")
+@query(f"with {_CACHE} select address_norm, status, latitude, longitude, quality, attempts from r union all select address_norm, status, "
+    f"latitude, longitude, quality, attempts from c where address_norm not in (select address_norm from r)")
 def q_cache_update(spark, sf_dir):
     """The cache after the answers: the latest row of an address stays."""
     return geocode.update_cache(*_cache(spark, sf_dir)).drop("last_tried_at")
 
 
-@query(f"with {_CACHE} select address_norm, latitude from r where status = 'ok' union all select address_norm, latitude from c where status = 'ok' and address_norm not in (select address_norm from r)")
+@query(f"with {_CACHE} select address_norm, latitude from r where status = 'ok' union all select address_norm, latitude from c where "
+    f"status = 'ok' and address_norm not in (select address_norm from r)")
 def q_cache_purge(spark, sf_dir):
     return geocode.purge(geocode.update_cache(*_cache(spark, sf_dir))).select("address_norm", "latitude")
 
@@ -180,13 +186,15 @@ def q_merge_fields(spark, sf_dir):
     return rows.select("id", *upsert.merge_fields("row", "page", ["business_name"], ["max_guests"], {"business_name": "none"}))
 
 
-@query("select count(*) filter (o_orderstatus <> 'F') inserted, count(*) filter (o_orderstatus = 'F') updated from orders where o_custkey > 100")
+@query("select count(*) filter (o_orderstatus <> 'F') inserted, count(*) filter (o_orderstatus = 'F') updated from orders "
+    "where o_custkey > 100")
 def q_write_counts(spark, sf_dir):
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return upsert.write_counts(o.where("o_orderstatus = 'F'"), o.where("o_custkey > 100"), ["o_orderkey"])
 
 
-@query(L + f" select id, platform, \"name\", latitude map_latitude, longitude map_longitude, 'platform_coord' map_source, 'approximate' map_precision, {_ADDR} address_raw, phone, k from l")
+@query(L + f" select id, platform, \"name\", latitude map_latitude, longitude map_longitude, 'platform_coord' map_source, 'approximate' "
+    f"map_precision, {_ADDR} address_raw, phone, k from l")
 def q_csv_rows(spark, sf_dir):
     """The listing export, written with a byte-order mark and read back."""
     path = new_path(spark, "csv")
@@ -235,7 +243,8 @@ def q_metrics_json(spark, sf_dir):
     return document.select(*(n(k) for k in ("comparable_groups", "agreeing_groups", "identity_twins", "identity_twins_grouped")))
 
 
-@query(L + FIXED_GROUPS + ' select group_id, id, platform, "name", latitude, longitude, registration, phone from l join g using (id) order by group_id, id limit 400')
+@query(L + FIXED_GROUPS + ' select group_id, id, platform, "name", latitude, longitude, registration, phone from l join g using (id) order '
+    'by group_id, id limit 400')
 def q_review_rows(spark, sf_dir):
     """The review sheet: its limit is the operator's own."""
     rows = listings(spark, sf_dir)
@@ -263,7 +272,8 @@ def _cell(label: str, value: str) -> str:
             ("Radius", "printf('%.0f', radius_m) || ' m'"), ("Position", "'approximate'"), ("Source", "'platform_coord'"),
         )
     )
-    + " || '<tr><td>Page</td><td><a href=\"' || url || '\">' || url || '</a></td></tr></table>' popup from l where latitude <> 0 and longitude <> 0"
+    + " || '<tr><td>Page</td><td><a href=\"' || url || '\">' || url || '</a></td></tr></table>' popup from l where latitude <> "
+        "0 and longitude <> 0"
 )
 def q_popup(spark, sf_dir):
     """The pop-up of every marker."""
@@ -310,7 +320,8 @@ def q_choose_positions(spark, sf_dir):
     return out.select("listing_id", F.round("latitude", 6).alias("latitude"), "est_accuracy_m", "location_source", "location_precision")
 
 
-@query(L + " select id, radius_m, cast(null as varchar) operator_id, cast(null as double) latitude_best, cast(null as varchar) location_source from l")
+@query(L + " select id, radius_m, cast(null as varchar) operator_id, cast(null as double) latitude_best, cast(null as varchar) "
+    "location_source from l")
 def q_reset(spark, sf_dir):
     """Listings as they were landed: derived columns are emptied."""
     done = listings(spark, sf_dir).withColumn("operator_id", F.lit("op")).withColumn("latitude_best", F.col("latitude")).withColumn("location_source", F.lit("x"))
