@@ -14,6 +14,7 @@ from ..functions.storage import new_path
 from ..operators import blocking, fusion, geocode, identity, quality, report, upsert
 from ..sinks import files
 from ..sources import tables
+from ..streaming import ingest
 from . import views
 from .curate import reset
 from .sql import _ADDR, FIXED_GROUPS, OBS, OPS, L, fused, hav
@@ -345,3 +346,32 @@ def q_operator_pairs(spark, sf_dir):
     any_name = Options(relaxed_name=-1.0)
     pairs = blocking.operator_candidates(rows, identity.operator_ids(rows), any_name)
     return pairs.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round("distance_m", 3).alias("distance_m"))
+
+
+@query("select '2026-03-01' snapshot")
+def q_latest_snapshot(spark, sf_dir):
+    """The last of several snapshot folders by name."""
+    base = new_path(spark, "snapshots")
+    for day in ("2026-01-01", "2026-03-01", "2026-02-01"):
+        spark.range(1).write.parquet(f"{base}/{day}")
+    found = tables.latest_snapshot(spark, f"{base}/2026-*")
+    return spark.createDataFrame([(found.rsplit("/", 1)[-1],)], "snapshot string")
+
+
+_EVENTS = """with e as (select user_id, event_id, event_type, case when event_id % 3 = 0 then null else round(value, 2) end price from events)"""
+
+
+@query(_EVENTS + " select user_id, arg_max(event_type, event_id) event_type, arg_max(price, event_id) filter (price is not null) price from e group by 1")
+def q_stream_upsert(spark, sf_dir):
+    """Events that land in three files, upserted by a stream one file at a time."""
+    base = new_path(spark, "stream")
+    price = F.when(F.col("event_id") % 3 != 0, F.round("value", 2)).alias("price")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "event_type", price)
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    third = (high - low) // 3 + 1
+    for part in range(3):
+        own = events.where(F.col("event_id").between(low + part * third, low + (part + 1) * third - 1))
+        own.coalesce(1).write.mode("append").parquet(f"{base}/landed")
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
+    ingest.upsert_into(rows, f"{base}/table", f"{base}/checkpoint", ["user_id"], "event_id", ["event_type"], []).awaitTermination()
+    return spark.read.parquet(f"{base}/table/v=2")
