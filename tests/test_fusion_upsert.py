@@ -1,4 +1,5 @@
 import math
+import random
 from datetime import date, datetime
 
 import pytest
@@ -134,3 +135,20 @@ def test_curation(spark):
         "id string, platform string, latitude double, longitude double, scraped_at date")
     got = run([listing("b", "airbnb", 44.43)], None, tables.historical_observations(old))
     assert got["b"]["est_accuracy_m"] == 70.7
+
+
+def test_boxes_leave_out_no_conflict(spark):
+    """Conflicts by boxes first are those of all pairs, around the limit, at the poles and across the date line."""
+    rng = random.Random(2)
+    rows = []
+    for k in range(300):
+        lat, lng = rng.choice([(rng.uniform(-80, 80), rng.uniform(-180, 180)), (89.99, rng.uniform(-180, 180)), (10.0, 179.999)])
+        for i in range(rng.randrange(2, 7)):
+            far = rng.choice([0.001, 0.004, 0.0062, 0.02])
+            point = (lat + rng.uniform(-far, far), (lng + rng.uniform(-far, far) + 180) % 360 - 180)
+            rows.append((f"k{k}", rng.choice(["booking", "airbnb"]), min(90.0, point[0]), point[1]))
+    df = spark.createDataFrame(rows, "key string, platform string, latitude double, longitude double")
+    every = fusion.max_disagreement(df).where("max_distance_m > 1000")
+    got = fusion.conflicts(df)
+    assert 50 < every.count() < 250
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, every.collect()))
