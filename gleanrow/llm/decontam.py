@@ -11,9 +11,13 @@ item windows by 128-bit digests of their words, so a probe never decides alone.
 broadcast up to ``broadcast_rows`` windows; beyond, digests of the hits (never texts) are shuffled.
 Hits are gathered per distinct text, and documents take those of their text.
 
+A text is identified and split once, into blocks of ``STEP`` words that overlap by a window; what is
+carried beside a hit is its block, so a very long text made of benchmark passages costs its words.
+
 Edge cases: null or empty texts have no words and no hits; items without words are ignored; the
 windows of an item with a null id count as hits but name no item; repeated rows are each judged;
-empty tables give empty or all-clean results; columns of any other name pass through unchanged.
+very long texts are judged whole; empty tables give empty or all-clean results; columns of any
+other name pass through unchanged.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: Words of a window that are looked up first, and bits of the set: at most SLOTS / 64 rows of 16 bytes.
 PROBE, SLOTS = 3, 1 << 26
+#: Words of a block. A hit carries its block, never its text, so hits cost the same in texts of any length.
+STEP = 64
 #: Item windows, or texts with hits, that are broadcast; more are joined by a shuffle of their keys.
 BROADCAST_ROWS = 200_000
 FOUND = "text_id binary, n_words long, hits array<struct<start:int,len:int>>, items array<string>, n_hit long"
@@ -96,15 +102,34 @@ def covered(hits: Column) -> Column:
     return F.aggregate(F.sort_array(hits), begin, step, lambda acc: acc["n"]).cast("long")
 
 
+def _gaps(hits: Column, n_words: Column) -> Column:
+    """array<struct<start, end>>: the runs of words outside all hits (sorted by start), in one pass over them."""
+    none = F.array().cast("array<struct<start:int,end:int>>")
+
+    def step(acc, x):
+        gap = F.array(F.struct(acc["end"].alias("start"), x["start"].cast("int").alias("end")))
+        gaps = F.when(x["start"] > acc["end"], F.concat(acc["gaps"], gap)).otherwise(acc["gaps"])
+        return F.struct(gaps.alias("gaps"), F.greatest(acc["end"], x["start"] + x["len"]).cast("int").alias("end"))
+
+    last = F.array(F.struct(n_words.cast("int").alias("start"), F.lit(0).alias("len")))
+    return F.aggregate(F.concat(hits, last), F.struct(none.alias("gaps"), F.lit(0).alias("end")), step, lambda acc: acc["gaps"])
+
+
 def found(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """FOUND of every distinct text with a hit, as a table."""
     wins = stored(item_windows(benchmark, n), "windows")
     per_len = {r["len"]: r["count"] for r in wins.groupBy("len").count().collect()}  # at most n rows
     if not per_len:
         return docs.sparkSession.createDataFrame([], FOUND)
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    # the outer form: from the inner one the optimizer infers a filter that splits each text once more
-    at = texts.select("text", _pieces(F.col("text")).alias("w")).select("text", "w", F.posexplode_outer("w").alias("i", "first"))
+    text = docs.select(F.col("text").cast("string").alias("text"))
+    per_text = text.select(text_id().alias("text_id"), _pieces(F.col("text")).alias("w"))
+    # The outer forms: from the inner ones the optimizer infers filters that split each text once more.
+    # No lambda from here to the digests: generated code then goes through a text's hits without keeping rows of words.
+    begins = F.explode_outer(F.sequence(F.lit(0), F.size("w") - 1, F.lit(STEP))).alias("b")
+    counted = per_text.select("text_id", "w", _count(F.col("w")).alias("n_words"), _blank_first(F.col("w")).alias("blank"), begins)
+    reach = F.slice("w", F.col("b") + 1, STEP + max(n, PROBE) - 1).alias("w")
+    at = counted.select("text_id", "n_words", (F.col("b") - F.col("blank")).alias("start"), reach)
+    at = at.select("*", F.posexplode_outer(F.slice("w", 1, STEP)).alias("i", "first"))
     # a window shorter than PROBE has a slot of its own number of words
     ahead = [F.col("first"), *(F.get("w", F.col("i") + j) for j in range(1, PROBE))]
     none = F.lit(None).cast("string")
@@ -112,11 +137,10 @@ def found(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadcast_rows
     at = at.withColumn("slot", slots[0] if len(slots) == 1 else F.explode(F.array_distinct(F.array(*slots))))
     near = at.join(F.broadcast(_bits(wins)), F.shiftright("slot", 6) == F.col("place"))
     near = near.where(F.expr("shiftright(bits, cast(slot & 63 as int)) & 1") == 1)
-    lens = F.filter(F.array(*(F.lit(k) for k in sorted(per_len))), lambda k: F.col("i") + k <= F.size("w"))
-    near = near.select("text", "w", "i", "slot", F.explode(lens).alias("len"))
+    near = near.select("*", F.explode(F.array(*(F.lit(k) for k in sorted(per_len)))).alias("len"))
+    near = near.where(F.col("i") + F.col("len") <= F.size("w"))
     win = ascii_lower(F.array_join(F.slice("w", F.col("i") + 1, F.col("len")), " "))
-    near = near.select(text_id().alias("text_id"), _count(F.col("w")).alias("n_words"), (F.col("i") - _blank_first(F.col("w"))).alias("i"),
-        "len", _digest(win).alias("digest"))
+    near = near.select("text_id", "n_words", (F.col("start") + F.col("i")).alias("i"), "len", _digest(win).alias("digest"))
     keys = wins.select("len", "digest", "items")
     hits = near.join(F.broadcast(keys) if sum(per_len.values()) <= broadcast_rows else keys, ["len", "digest"])
     hit = F.struct(F.col("i").alias("start"), "len")
@@ -150,9 +174,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, broadca
     p = own_prefix(docs)
     out = _joined(docs, found(docs, benchmark, n, broadcast_rows).select("text_id", "hits"), "left", broadcast_rows)
     w = words(F.col("text").cast("string"))
-    inside = lambda i: F.exists(f"{p}hits", lambda x: (i >= x["start"]) & (i < x["start"] + x["len"]))
-    kept = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))), lambda x: ~inside(x["i"]))
-    clean = F.when(F.col(f"{p}hits").isNull(), w).otherwise(F.transform(kept, lambda x: x["w"]))
+    hits = F.coalesce(F.col(f"{p}hits"), F.array().cast("array<struct<start:int,len:int>>"))
+    clean = F.flatten(F.transform(_gaps(hits, F.size(w)), lambda g: F.slice(w, g["start"] + 1, g["end"] - g["start"])))
     return out.select(*all_of(docs), clean.alias("clean_words"))
 
 

@@ -97,3 +97,19 @@ def test_more_windows_than_are_broadcast(spark):
         hit = {j for k in at for j in range(k, k + 13)}
         assert (r["n_words"], r["n_hit"]) == (len(w), len(hit))
         assert r["items"] == sorted({i for k in at for i in wins[tuple(w[k : k + 13])]})
+
+
+def test_very_long_texts_made_of_passages(spark):
+    """Hits carry their block and not their text: 20,000 and 200,000 words of passages stay small."""
+    rng = random.Random(9)
+    words = [f"v{i}" for i in range(3000)]
+    passage = " ".join(rng.choice(words) for _ in range(2000))
+    items = [(1, passage), (2, "a short item")]
+    texts = [" ".join([passage] * 10), " ".join([passage] * 100), "a short item " * 6000, "x " * 20000, passage + " clean" * 500]
+    docs, bench = documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    rows = decontam.report(docs, bench).orderBy("doc_id").collect()
+    assert [(r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in rows] == [(20000, 20000, ["1"], True),
+        (200000, 200000, ["1"], True), (18000, 18000, ["2"], True), (20000, 0, [], False), (2500, 2000, ["1"], True)]
+    assert [r["doc_id"] for r in decontam.decontaminate(docs, bench).collect()] == [3]
+    left = {r["doc_id"]: r["n"] for r in decontam.remove_spans(docs, bench).selectExpr("doc_id", "size(clean_words) n").collect()}
+    assert left == {0: 0, 1: 0, 2: 0, 3: 20000, 4: 500}
