@@ -174,18 +174,26 @@ def _race(tree: hashtree.Node) -> str:
     return at
 
 
-def _op9(shards: int = 16) -> str:
-    tree = hashtree.default_tree(shards)
+def _crc_table() -> str:
     # the table of CRC-32: eight halvings of each byte, with the polynomial where a bit falls out
     half = "case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end"
     rounds = f"select i, cast(i as bigint) v, 0 s from range(256) q(i) union all select i, {half}, s + 1 from r where s < 8"
-    table = f"with recursive r as ({rounds}) select list(v order by i) t from r where s = 8"
+    return f"with recursive r as ({rounds}) select list(v order by i) t from r where s = 8"
+
+
+def _crc(text: str) -> str:
+    """Unsigned CRC-32 of a text, with the table t."""
+    return f"""xor(list_reduce(list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: cast('0x' || h as bigint)), lambda a, b: xor(a >> 8,
+  t.t[(xor(a, b) & 255) + 1]), cast(4294967295 as bigint)), 4294967295)"""
+
+
+def _op9(shards: int = 16) -> str:
+    tree = hashtree.default_tree(shards)
     return f"""
-with t as ({table}),
+with t as ({_crc_table()}),
 d as (select doc_id, coalesce(text, '') as text, coalesce(cast(doc_id as varchar), 'null') as k from documents),
 c as (select doc_id, k, cast(strlen(text) + 1 as bigint) as size,
-  xor(list_reduce(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: cast('0x' || h as bigint)), lambda a, b: xor(a >> 8,
-  t.t[(xor(a, b) & 255) + 1]), cast(4294967295 as bigint)), 4294967295) as text_crc32 from d, t),
+  {_crc('text')} as text_crc32 from d, t),
 s as (select *, 'key' as law, {_race(tree)} as shard, {_race(hashtree.add_shard(tree, shards))} as grown_shard from c),
 e as (select *, cast('0x' || substr(md5(concat_ws('|', k, size, text_crc32, law, shard, grown_shard)), 1, 8) as bigint) % greatest(1,
   cast(ceil((select count(*) from documents) / {float(hashtree.CELL_ROWS * shards)}) as bigint)) as cell from s)
@@ -194,6 +202,57 @@ select doc_id, size, text_crc32, law, shard, row_number() over (partition by sha
 """
 
 
+def _op13() -> str:
+    """The shortest repair, from the last row to the first: w(q) is the best (cost, audit) from grammar state q on."""
+    best = lambda *some: f"list_sort([{', '.join(some)}])[1]"
+    way = lambda cost, label, q: f"struct_pack(c := w{q}.c + {cost}, a := '{label}' || w{q}.a)"
+
+    def over(q: str, keeps: dict[str, str], written: str) -> str:
+        """p(q), before inserts: Delete, Keep where the initial fits, Rerole to what is written here."""
+        stays = "case when f in ('b', 'd') then 1000000 when f = 't' then 1 else 0 end"
+        fits = [way(f"case when x = '{x}' then {stays} else 1000000 end", "K", to) for x, to in keeps.items()]
+        return f"{best(way('3', 'D', q), *fits, way(f'2 + {stays}', 'R', written))} as p{q}"
+
+    more = lambda q, some: f"struct_pack(c := p{q}.c + {2 * len(some)}, a := '{some}' || p{q}.a)"
+    return f"""
+with recursive t as ({_crc_table()}),
+c as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  {_crc("concat(coalesce(cast(conv_id as varchar), ' '), ':', coalesce(cast(turn as varchar), ' '))")} % 20 as k from conversations, t),
+g as (select conv_id, row_number() over () as g from (select distinct conv_id from c)),
+d as (select g, turn, case when k = 4 then 'user' else role end as role,
+  case k when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+  unnest(range(case k when 0 then 0 when 3 then 2 else 1 end)) as copy from c join g on c.conv_id is not distinct from g.conv_id),
+n as (select *, row_number() over (partition by g order by turn nulls first, role, text, copy) as i, substr(role, 1, 1) as x,
+  rtrim(text, {WHITE}) as shown from d),
+f as (select *, case when shown = '' then 'b' when row_number() over (partition by g, role, text order by i) > 1 then 'd'
+    when right(shown, 1) not in ('.', '!', '?') then 't' else '' end as f,
+  lag(x) over (partition by g order by i) || x not in ('su', 'ua', 'au') as broken from n),
+m as (select g, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (f = 'b') as blank, count(*) filter (f = 'd')
+  as duplicate, count(*) filter (f = 't') as truncated, count(*) filter (broken) as illegal, list(x order by i) as xs, list(f order by i) as fs
+  from f group by g),
+r as (
+  select g, len(xs) as i, xs, fs, struct_pack(c := 0, a := '') as w0, struct_pack(c := 4, a := 'II') as ws, struct_pack(c := 2, a := 'I') as wu,
+    struct_pack(c := 0, a := '') as wa from m
+  union all
+  select g, i - 1, xs, fs, {best("p0", more("u", "I"), more("a", "II"))}, {best("ps", more("u", "I"), more("a", "II"))},
+    {best("pu", more("a", "I"), more("u", "II"))}, {best("pa", more("u", "I"), more("a", "II"))}
+  from (select g, i, xs, fs, {over("0", {"s": "s", "u": "u"}, "u")}, {over("s", {"u": "u"}, "u")}, {over("u", {"a": "a"}, "a")},
+    {over("a", {"u": "u"}, "u")} from (select *, xs[i] as x, fs[i] as f from r where i > 0))),
+b as (select g, w0.c as cost, w0.a as audit from r where i = 0),
+e as (select g, j, substr(audit, j, 1) as edit, j - len(replace(substr(audit, 1, j), 'I', '')) as inserts from (select *, unnest(range(1,
+  len(audit) + 1)) as j from b)),
+o as (select e.g, j, edit, f.role, f.text, f.x, row_number() over (partition by e.g order by j) as o from e left join f on e.g = f.g and
+  e.edit <> 'I' and f.i = j - inserts where edit <> 'D'),
+s as (select *, max(case when o = 1 and edit = 'K' and x = 's' then 1 else 0 end) over (partition by g) as led from o),
+y as (select g, string_agg(case when edit = 'K' then role when (o - led) % 2 = 1 then 'user' else 'assistant' end || ':' || case when edit = 'I'
+  then '' else text end, chr(10) order by j) as repaired from s group by g)
+select conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, cast(coalesce(cost, 0) as bigint) as cost, coalesce(audit, '') as audit, sha256(coalesce(repaired, '')) as
+  repaired_sha256
+from g left join m using (g) left join b using (g) left join y using (g)
+"""
+
+
 #: op2 (XXH64), op7 and op8 (trained models) are beyond SQL: tests hold them against brute-force versions.
 ORACLES = {"op1_chat_format": OP1, "op3_line_dedup": OP3, "op4_decontaminate": OP4, "op5_url_filter": _op5(), "op6_warc": OP6,
-    "op9_shard": _op9(), "op10_mix": _op10()}
+    "op9_shard": _op9(), "op10_mix": _op10(), "op13_conversation_repair": _op13()}
