@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.storage import new_path, shared_dir, stored
+from ..functions.storage import dropped, new_path, shared_dir, stored
 
 __all__ = [
-    "LOWER", "UPPER", "WORD", "all_of", "ascii_lower", "keep_first", "name", "new_path", "own_prefix", "read", "shared_dir", "stored",
+    "LOWER", "UPPER", "WORD", "all_of", "ascii_lower", "dropped", "keep_first", "name", "new_path", "own_prefix", "read", "shared_dir", "stored",
     "text_key",
 ]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontam, gam, hashtree, hosts, iforest, lines, maxent, mixing, repair, simhash, warc
+from . import chat, codes, decontam, gam, hashtree, hosts, iforest, lines, maxent, mixing, repair, simhash, warc
 from .common import read
 from .sql import ORACLES
 
@@ -58,6 +58,10 @@ def op10_mix(spark, sf_dir):
     return mixing.mix_report(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_vector_codes(spark, sf_dir):
+    return codes.compress(read(spark, sf_dir, "embeddings"))
+
+
 def op12_quality_classifier(spark, sf_dir):
     found = gam.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")
@@ -68,7 +72,7 @@ def op13_conversation_repair(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_line_dedup, op4_decontaminate, op5_url_filter, op6_warc, op7_lm_score,
-    op8_quality_rules, op9_shard, op10_mix, op12_quality_classifier, op13_conversation_repair)}
+    op8_quality_rules, op9_shard, op10_mix, op11_vector_codes, op12_quality_classifier, op13_conversation_repair)}
 
 
 def queries():

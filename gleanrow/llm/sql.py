@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import hashtree, hosts, mixing
+from . import codes, hashtree, hosts, mixing
 
 OP1 = """
 with c as (
@@ -202,6 +202,34 @@ select doc_id, size, text_crc32, law, shard, row_number() over (partition by sha
 """
 
 
+def _op11() -> str:
+    """Every round compares all parts with all entries of their codebook."""
+    far = "list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = ""
+    for i in range(codes.ROUNDS + 1):
+        steps += f""",
+a{i} as materialized (select r, part, min(struct_pack(d := cast({far} as bigint), e := b.e)) as m from p join b{i} b using (part) group by r, part)"""
+        if i < codes.ROUNDS:
+            steps += f""",
+b{i + 1} as materialized (select part, b.e, coalesce(x.x, b.x) as x from b{i} b left join (
+  select part, e, list((s - ((s % n) + n) % n) // n order by j) as x from (
+    select part, m.e as e, j, cast(sum(p.x[j]) as bigint) as s, count(*) as n from a{i} join p using (r, part), (select unnest(range(1, (select w from
+      w) + 1)) as j) group by part, m.e, j) group by part, e) x using (part, e))"""
+    last, parts = codes.ROUNDS, codes.PARTS
+    return f"""
+with f as (select vec_id, label, list_transform(embedding, lambda x: cast(floor(cast(x as double) * {codes.SCALE}) as bigint)) as v from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+w as (select len(v) as n, cast(ceil(len(v) / {float(parts)}) as bigint) as w from f order by vec_id nulls last, v limit 1),
+k as materialized (select row_number() over (order by vec_id nulls last, v) - 1 as r, vec_id, label, list_concat(v, list_transform(range(w * {parts} - n),
+  lambda i: cast(0 as bigint))) as v from f, w where len(v) = n),
+p as materialized (select r, part, v[part * w + 1:(part + 1) * w] as x from k, w, (select unnest(range({parts})) as part)),
+b0 as materialized (select part, r as e, x from p where r < {codes.ENTRIES}){steps},
+t as (select r, string_agg(lpad(lower(to_hex(m.e)), 2, '0'), '' order by part) as code, cast(sum(m.d) as bigint) as error from a{last} group by r),
+h as (select sha256(string_agg(array_to_string(x, ','), ',' order by part, e)) as codebooks_sha256 from b{last})
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256 from k join t using (r), h
+"""
+
+
 def _op13() -> str:
     """The shortest repair, from the last row to the first: w(q) is the best (cost, audit) from grammar state q on."""
     best = lambda *some: f"list_sort([{', '.join(some)}])[1]"
@@ -255,4 +283,4 @@ from g left join m using (g) left join b using (g) left join y using (g)
 
 #: op2 (XXH64), op7 and op8 (trained models) are beyond SQL: tests hold them against brute-force versions.
 ORACLES = {"op1_chat_format": OP1, "op3_line_dedup": OP3, "op4_decontaminate": OP4, "op5_url_filter": _op5(), "op6_warc": OP6,
-    "op9_shard": _op9(), "op10_mix": _op10(), "op13_conversation_repair": _op13()}
+    "op9_shard": _op9(), "op10_mix": _op10(), "op11_vector_codes": _op11(), "op13_conversation_repair": _op13()}
