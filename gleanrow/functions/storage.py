@@ -44,7 +44,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Removes one table of ours that nothing reads any more, on any file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def clear(spark: SparkSession) -> None:
     """Removes this application's tables, on any file system; call it when no DataFrame reads them any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    dropped(spark, run_dir(spark))
