@@ -41,6 +41,9 @@ class Options:
     cap_b: int = 280
     namespaced_keys: bool = False
     exact_radius: bool = False
+    #: Pairs that one cell may compare before names part its rows; candidate pairs of a component that one task clusters.
+    crowd: int = 1 << 20
+    component_pairs: int = 100_000
 
     @classmethod
     def load(cls, *paths: str) -> Options:

@@ -35,6 +35,49 @@ def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def _lowered(name: Column) -> Column:
+    return F.lower(F.coalesce(name, F.lit("")))
+
+
+#: Names longer than this are compared without filters: numbering their letters would cost more.
+LONGEST_FILTERED = 200
+
+
+def name_features(name: Column) -> Column:
+    """What the filters read, once per row: length, distinct pairs of letters, and letters numbered by occurrence."""
+    x = _lowered(name)
+    n = F.length(x)
+    short = n <= LONGEST_FILTERED
+    pairs = F.when(n > 1, F.array_distinct(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(x, i, F.lit(2)))))
+    letters = F.when(short & (n > 0), F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(x, i, F.lit(1)),
+        (i - F.length(F.replace(F.substring(x, F.lit(1), i), F.substring(x, i, F.lit(1)), F.lit("")))).cast("string"))))
+    none = F.array().cast("array<string>")
+    return F.struct(n.alias("n"), short.alias("short"), F.coalesce(pairs, none).alias("pairs"), F.coalesce(letters, none).alias("letters"))
+
+
+def least_common(n: Column, m: Column, least: float) -> Column:
+    """The longest common subsequence that names of these lengths need for a ratio of least (0 to 100)."""
+    return F.ceil(least / 200.0 * (n + m) - 1e-9)
+
+
+def lost_pairs(n: Column, m: Column, least: float) -> Column:
+    """How many pairs of letters of a name of n letters a name of m may lack at a ratio of least.
+
+    Each letter that is not common takes two pairs with it, each letter put between two common ones takes one.
+    """
+    return 2 * (n - least_common(n, m, least)) + (m - least_common(n, m, least))
+
+
+def names_may_match(a: Column, b: Column, least: float) -> Column:
+    """False only where the ratio of two names is surely below least, by their name_features(): lengths, pairs, then letters."""
+    n, m = a["n"], b["n"]
+    common = least_common(n, m, least)
+    both = F.size(F.array_intersect(a["pairs"], b["pairs"]))
+    pairs = (both >= F.size(a["pairs"]) - lost_pairs(n, m, least)) & (both >= F.size(b["pairs"]) - lost_pairs(m, n, least))
+    letters = F.size(F.array_intersect(a["letters"], b["letters"])) >= common
+    return (F.least(n, m) >= common) & pairs & (~a["short"] | ~b["short"] | letters)
+
+
 def indel_ratio_sql(a: Column, b: Column) -> Column:
     """The same by built-in functions only (a dynamic programme over arrays); slower, used as a check."""
     x, y = F.lower(F.coalesce(a, F.lit(""))), F.lower(F.coalesce(b, F.lit("")))
