@@ -41,9 +41,13 @@ class Options:
     cap_b: int = 280
     namespaced_keys: bool = False
     exact_radius: bool = False
-    #: Pairs that one cell may compare before names part its rows; candidate pairs of a component that one task clusters.
-    crowd: int = 1 << 20
+    #: Pairs that one cell may compare before names part its rows; candidate pairs of a component that one task clusters;
+    #: equal rows for which one stands while groups are formed; pairs of points of a key that are compared one by one.
+    #: None of them changes a result.
+    crowd: int = 1 << 22
     component_pairs: int = 100_000
+    equal_rows: int = 32
+    key_pairs: int = 1 << 20
 
     @classmethod
     def load(cls, *paths: str) -> Options:

@@ -39,20 +39,14 @@ def _lowered(name: Column) -> Column:
     return F.lower(F.coalesce(name, F.lit("")))
 
 
-#: Names longer than this are compared without filters: numbering their letters would cost more.
-LONGEST_FILTERED = 200
-
-
 def name_features(name: Column) -> Column:
-    """What the filters read, once per row: length, distinct pairs of letters, and letters numbered by occurrence."""
+    """What the filters read, once per row: the length and the distinct pairs of letters, as numbers."""
     x = _lowered(name)
     n = F.length(x)
-    short = n <= LONGEST_FILTERED
-    pairs = F.when(n > 1, F.array_distinct(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(x, i, F.lit(2)))))
-    letters = F.when(short & (n > 0), F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(x, i, F.lit(1)),
-        (i - F.length(F.replace(F.substring(x, F.lit(1), i), F.substring(x, i, F.lit(1)), F.lit("")))).cast("string"))))
-    none = F.array().cast("array<string>")
-    return F.struct(n.alias("n"), short.alias("short"), F.coalesce(pairs, none).alias("pairs"), F.coalesce(letters, none).alias("letters"))
+    letters = F.split(x, "")
+    pair = lambda c, d: F.ascii(c).cast("long") * (1 << 21) + F.ascii(d)
+    pairs = F.when(n > 1, F.array_distinct(F.zip_with(F.slice(letters, 1, n - 1), F.slice(letters, 2, n - 1), pair)))
+    return F.struct(n.alias("n"), F.coalesce(pairs, F.array().cast("array<bigint>")).alias("pairs"))
 
 
 def least_common(n: Column, m: Column, least: float) -> Column:
@@ -69,13 +63,11 @@ def lost_pairs(n: Column, m: Column, least: float) -> Column:
 
 
 def names_may_match(a: Column, b: Column, least: float) -> Column:
-    """False only where the ratio of two names is surely below least, by their name_features(): lengths, pairs, then letters."""
+    """False only where the ratio of two names is surely below least, by their name_features(): lengths, then pairs."""
     n, m = a["n"], b["n"]
-    common = least_common(n, m, least)
     both = F.size(F.array_intersect(a["pairs"], b["pairs"]))
-    pairs = (both >= F.size(a["pairs"]) - lost_pairs(n, m, least)) & (both >= F.size(b["pairs"]) - lost_pairs(m, n, least))
-    letters = F.size(F.array_intersect(a["letters"], b["letters"])) >= common
-    return (F.least(n, m) >= common) & pairs & (~a["short"] | ~b["short"] | letters)
+    asked = F.greatest(F.size(a["pairs"]) - lost_pairs(n, m, least), F.size(b["pairs"]) - lost_pairs(m, n, least))
+    return (F.least(n, m) >= least_common(n, m, least)) & ((asked <= 0) | (both >= asked))
 
 
 def indel_ratio_sql(a: Column, b: Column) -> Column:

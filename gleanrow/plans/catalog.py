@@ -91,6 +91,12 @@ def q_room_and_amenity_veto(spark, sf_dir):
         distinct_units("a_", "b_").alias("distinct_units"), rooms_match("a_", "b_").alias("rooms_match"))
 
 
+@query
+def q_link_classes(spark, sf_dir):
+    """Rows that are equal but for their id, and how many rows each row is paired with."""
+    return blocking.link_counts(stored(listings(spark, sf_dir), "rows"))
+
+
 @query
 def q_name_similarity(spark, sf_dir):
     near = blocking.near_pairs(listings(spark, sf_dir))
@@ -338,10 +344,15 @@ def q_geocode_lookup(spark, sf_dir):
 
 @query
 def q_grid_cells(spark, sf_dir):
-    cells = grid.generate(spark, 44.33, 25.92, 44.58, 26.25)
+    """Cells over the extent of the listings, with how many listings lie in each."""
+    rows = listings(spark, sf_dir)
+    south, north, west, east = rows.agg(F.min("latitude"), F.max("latitude"), F.min("longitude"), F.max("longitude")).first()  # one row
+    cells = grid.generate(spark, south, west, north + 0.001, east + 0.001)
+    row, col = grid.cell_of(F.col("latitude"), F.col("longitude"), south, west, 0.025, 7, F.lit(7))
+    held = rows.groupBy(row.alias("row"), col.alias("col")).agg(F.count("*").alias("listings"))
     six = lambda c, n: F.round(c, 6).alias(n)
-    return cells.select("cell_id", six("center_lat", "center_lat"), six("center_lng", "center_lng"), six("bbox.ne_lat", "ne_lat"),
-        six("bbox.sw_lng", "sw_lng"))
+    return cells.join(held, ["row", "col"], "left").select("cell_id", six("center_lat", "center_lat"), six("center_lng", "center_lng"),
+        six("bbox.ne_lat", "ne_lat"), six("bbox.sw_lng", "sw_lng"), F.coalesce("listings", F.lit(0)).alias("listings"))
 
 
 @query
@@ -368,13 +379,13 @@ def q_stable_ids(spark, sf_dir):
 
 @query
 def q_property_groups(spark, sf_dir):
-    rows = listings(spark, sf_dir)
+    rows = stored(listings(spark, sf_dir), "rows")
     return clustering.property_groups(rows, stored(identity.operator_ids(rows), "operators"))
 
 
 @query
 def q_greedy_one_to_one(spark, sf_dir):
-    return clustering.one_to_one(listings(spark, sf_dir))
+    return clustering.one_to_one(stored(listings(spark, sf_dir), "rows"))
 
 
 @query

@@ -42,6 +42,10 @@ MATCHES = f"{_CELLS}, mt as (select * from (select a.id id_a, b.id id_b, {_D} d,
 
 NAME_SIMILARITY = f"{L}{_CELLS} select a.id id_a, b.id id_b, {similarity('a.nm', 'b.nm')} similarity from s a join s b on a.id < b.id and {_NEAR} and {_D} <= {O.strict_distance_m}"
 STRICT_PAIRS = f"{L}{STRICT} select id_a, id_b, round(d, 3) distance_m, similarity from t2 where similarity >= {O.strict_name}"
+LINK_CLASSES = f"""{L}{STRICT}, lk as (select id_a, id_b from t2 where similarity >= {O.strict_name}),
+ le as (select id_a id from lk union all select id_b from lk), lc as (select id, count(*) links from le group by id)
+ select l.id, min(l.id) over (partition by platform, name, latitude, longitude, bedrooms, beds, bathrooms, max_guests, coalesce(amenities_json, '[]')) class_id,
+  coalesce(links, 0) links from l left join lc using (id)"""
 MATCHED_PAIRS = f"{L}{MATCHES} select id_a, id_b, round(d, 3) distance_m, similarity from mt"
 
 ONE_TO_ONE = f"""{L.replace('with l', 'with recursive l', 1)}{MATCHES}, p as (select row_number() over (order by similarity desc, id_a,
@@ -145,6 +149,7 @@ SQL = {
     "q_curate_observed": curate(True),
     "q_name_similarity": NAME_SIMILARITY,
     "q_strict_pairs": STRICT_PAIRS,
+    "q_link_classes": LINK_CLASSES,
     "q_matched_pairs": MATCHED_PAIRS,
     "q_greedy_one_to_one": ONE_TO_ONE,
     "q_batch_dedup": BATCH,

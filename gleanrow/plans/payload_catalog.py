@@ -432,6 +432,30 @@ def q_dialogs(spark, sf_dir):
     return rows.select("k", *(fields[c].alias(c) for c in ("business_name", "phone", "vat", "address", "email", "business_type")))
 
 
+#: Dialogs with marks around values, two labels in a line, and values that are only punctuation.
+MARKED = """
+select s_suppkey k, case s_suppkey % 5
+ when 0 then concat('<dl><dt>Phone</dt><dd>: 0712 ', cast(100000 + s_suppkey as {S}), '</dd></dl>')
+ when 1 then concat('<p>Business name</p><li>\u2022 Firm ', cast(s_suppkey as {S}), '</li>')
+ when 2 then concat('<p>Phone (contact phone) = 0733 ', cast(100000 + s_suppkey as {S}), '</p>')
+ when 3 then concat('<p>Phone number: .</p><p>Telephone \u2014 0799 ', cast(100000 + s_suppkey as {S}), ';</p>')
+ else concat('<p>- VAT: - </p><p>\u2022 RO ', cast(s_suppkey as {S}), ' -</p>') end dialog
+from supplier
+"""
+
+
+@query(
+    f"with v as ({duck_view(MARKED)})"
+    + """ select k, case k % 5 when 1 then regexp_extract(dialog, 'Firm [0-9]+') end business_name,
+ case k % 5 when 0 then regexp_extract(dialog, '0712 [0-9]+') when 2 then ') = ' || regexp_extract(dialog, '0733 [0-9]+') when 3 then regexp_extract(dialog, '0799 [0-9]+')
+ end phone, case k % 5 when 4 then regexp_extract(dialog, 'RO [0-9]+') end vat from v"""
+)
+def q_dialog_marks(spark, sf_dir):
+    """Dialogs whose values stand between marks, or after the longer of two labels."""
+    fields = disclosures.dialog_fields(F.col("dialog"))
+    return spark_view(spark, sf_dir, MARKED).select("k", *(fields[c].alias(c) for c in ("business_name", "phone", "vat")))
+
+
 @query(
     _D
     + """, h as (select k, html, html like '%Legal%' there from v)

@@ -202,9 +202,12 @@ SQL = {
  select id, case when status is null then 'miss' when status = 'ok' then 'hit' when status = 'not_found' then 'negative' when attempts >= 5
   then 'exhausted' else 'miss' end outcome from ad left join cs on lower(regexp_replace(address, '\\s+', ' ', 'g')) = address_norm where
   address is not null""",
-    "q_grid_cells": "with c as (select r.i r, c.i c from range(10) r(i), range(14) c(i)) select '7/' || r || '/' || c cell_id, "
-        "cast(round(44.33 + (r + 0.5) * 0.025, 6) as double) center_lat, cast(round(25.92 + (c + 0.5) * 0.025, 6) as double) center_lng, "
-        "cast(round(44.33 + (r + 1) * 0.025, 6) as double) ne_lat, cast(round(25.92 + c * 0.025, 6) as double) sw_lng from c",
+    "q_grid_cells": L + """, b as (select min(latitude) s, max(latitude) + 0.001 n, min(longitude) w, max(longitude) + 0.001 e from l),
+d as (select *, cast(ceil(round((n - s) / 0.025, 9)) as bigint) rows, cast(ceil(round((e - w) / 0.025, 9)) as bigint) cols from b),
+c as (select s, w, r, unnest(range(cols)) c from (select *, unnest(range(rows)) r from d)),
+h as (select cast(floor((latitude - s) / 0.025) as bigint) r, cast(floor((longitude - w) / 0.025) as bigint) c, count(*) n from l, b group by 1, 2)
+select '7/' || r || '/' || c cell_id, round(s + r * 0.025 + 0.025 / 2, 6) center_lat, round(w + c * 0.025 + 0.025 / 2, 6) center_lng,
+ round(s + r * 0.025 + 0.025, 6) ne_lat, round(w + c * 0.025, 6) sw_lng, coalesce(n, 0) listings from c left join h using (r, c)""",
     "q_grid_refine": L.replace("with l", "with recursive l", 1) + """, v as (
   select cast(7 as int) as level, cast(floor((latitude - 44.33) / (0.025 / pow(2.0, 0))) as bigint) as r, cast(floor((longitude - 25.92) /
   (0.025 / pow(2.0, 0))) as bigint) as c, latitude, longitude, count(*) over (partition by floor((latitude - 44.33) / (0.025 / pow(2.0,

@@ -348,14 +348,19 @@ def q_operator_pairs(spark, sf_dir):
     return pairs.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), F.round("distance_m", 3).alias("distance_m"))
 
 
-@query("select '2026-03-01' snapshot")
+_DAYS = ("2026-01-01", "2026-03-01", "2026-02-01")
+
+
+@query(L + f""", s as (select *, case k % 3 when 0 then '{_DAYS[0]}' when 1 then '{_DAYS[1]}' else '{_DAYS[2]}' end captured from l)
+select captured, id, latitude, longitude from s where captured = (select max(captured) from s)""")
 def q_latest_snapshot(spark, sf_dir):
-    """The last of several snapshot folders by name."""
+    """The rows of the last of several snapshots of the listings, found by name."""
     base = new_path(spark, "snapshots")
-    for day in ("2026-01-01", "2026-03-01", "2026-02-01"):
-        spark.range(1).write.parquet(f"{base}/{day}")
-    found = tables.latest_snapshot(spark, f"{base}/2026-*")
-    return spark.createDataFrame([(found.rsplit("/", 1)[-1],)], "snapshot string")
+    kind = F.col("k") % 3
+    captured = F.when(kind == 0, _DAYS[0]).when(kind == 1, _DAYS[1]).otherwise(_DAYS[2])
+    views.listings(spark, sf_dir).withColumn("captured", captured).write.partitionBy("captured").parquet(base)
+    found = tables.latest_snapshot(spark, f"{base}/captured=*")
+    return spark.read.parquet(found).select(F.lit(found.rsplit("=", 1)[-1]).alias("captured"), "id", "latitude", "longitude")
 
 
 _EVENTS = """with e as (select user_id, event_id, event_type, case when event_id % 3 = 0 then null else round(value, 2) end price from events)"""

@@ -52,7 +52,7 @@ def test_filters_lose_no_similar_names(spark):
     for least in (70.0, 80.0, 95.0):
         found = a.join(b, F.expr("aid < bid")).select("aname", "bname", names_may_match(F.col("af"), F.col("bf"), least).alias("may")).collect()
         assert all(r["may"] for r in found if indel_ratio(r["aname"], r["bname"]) >= least)
-        assert sum(r["may"] for r in found) < 0.6 * len(found)
+        assert sum(r["may"] for r in found) < 0.7 * len(found)
 
 
 def test_crowded_cells_give_the_same_pairs(spark):
@@ -74,7 +74,7 @@ def test_link_counts(spark):
 
 
 def test_groups_by_rounds_equal_the_one_pass(spark):
-    for seed, phones, o in ((8, 20, Options()), (9, 4, replace(Options(), crowd=0, component_pairs=400))):
+    for seed, phones, o in ((8, 20, replace(Options(), equal_rows=2)), (9, 4, replace(Options(), crowd=0, component_pairs=400, equal_rows=3))):
         rows = stacked(random.Random(seed), 200, phones)
         df = frame(spark, rows).persist()
         ops = identity.operator_ids(df).persist()
