@@ -71,11 +71,11 @@ def gzip_member(data: bytes, level: int = LEVEL) -> bytes:
 
 
 class Damaged(ValueError):
-    """reason, and the records inside that pass their own checks."""
+    """reason, the records inside that pass their own checks, and where the bytes end that they were read from."""
 
-    def __init__(self, reason: str, records: list[dict] | None = None):
+    def __init__(self, reason: str, records: list[dict] | None = None, end: int = 0):
         super().__init__(reason)
-        self.records = records or []
+        self.records, self.end = records or [], end
 
 
 def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
@@ -114,20 +114,25 @@ def _inflate(data: memoryview, begin: int) -> tuple[bytes, int, str | None]:
         try:
             out.append(z.decompress(piece))
         except zlib.error as e:
-            return _inflated_until(data, begin, at + step), at, f"gzip: {e}"
+            content, end = _inflated_until(data, begin, at + step)
+            return content, end, f"gzip: {e}"
         at += len(piece)
     return b"".join(out), at - len(z.unused_data), None
 
 
-def _inflated_until(data: memoryview, begin: int, end: int, step: int = 64) -> bytes:
-    """What a member gives before it fails, in small steps as a failing one gives nothing."""
-    z, out = zlib.decompressobj(31), []
-    try:
-        for i in range(begin, min(end, len(data)), step):
-            out.append(z.decompress(data[i : i + step]))
-    except zlib.error:
-        pass
-    return b"".join(out)
+def _inflated_until(data: memoryview, begin: int, end: int) -> tuple[bytes, int]:
+    """What a member gives before it fails, to the last byte, and where it fails: ever smaller pieces, as a failing one gives nothing."""
+    z, out, at = zlib.decompressobj(31), [], begin
+    for step in (1 << 12, 64, 1):
+        while at < min(end, len(data)):
+            before = z.copy()
+            try:
+                out.append(z.decompress(data[at : at + step]))
+            except zlib.error:
+                z = before
+                break
+            at += step
+    return b"".join(out), min(at + 1, len(data))
 
 
 def _unit(data: bytes, view: memoryview, at: int) -> tuple[list[dict], int]:
@@ -147,7 +152,7 @@ def _unit(data: bytes, view: memoryview, at: int) -> tuple[list[dict], int]:
             if i < 0:
                 break
     if wrong:
-        raise Damaged(wrong, records)
+        raise Damaged(wrong, records, end)
     return records, end
 
 
@@ -157,23 +162,26 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
     Records that are saved from a failed member have its gap's place in the file.
     """
     view, at, lost, why, saved = memoryview(data), 0, None, "", []
+    inside: list[tuple[int, list[dict]]] = []  # (end, records) of failed members: a start before such an end may show its records again
     while at < len(data):
+        known = [r for end, some in inside if at < end for r in some]
         try:
             records, end = _unit(data, view, at)
         except Damaged as e:
             if lost is None:
                 lost, why = at, str(e)
-            # the same records would be found again from every start inside the member
-            saved += [r for r in e.records if r not in saved]
+            saved += [r for r in e.records if r not in known]
+            if e.records:
+                inside.append((e.end, e.records))
             found = _START.search(data, at + 1)
             at = found.start() if found else len(data)
             continue
         if lost is not None:
-            if not records:  # a separator proves nothing about what comes before a real record
+            if all(r in known for r in records):  # nothing new; and a separator proves nothing about what comes before a real record
                 at = end
                 continue
             yield from _gap(lost, at, why, saved)
-            lost, saved = None, []
+            lost, saved, inside = None, [], []
         for record in records:
             yield "record", at, end, record
         at = end

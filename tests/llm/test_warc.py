@@ -93,3 +93,22 @@ def test_very_long_page(spark):
     assert [(r["record_type"], r["payload_bytes"], r["refers_to"]) for r in rows] == [("response", 9_000_000, None),
         ("revisit", 9_000_000, 1)]
     assert rows[0]["payload_digest"] == hashlib.sha256(html.encode()).hexdigest()
+
+
+def test_records_of_members_with_a_wrong_sum():
+    """A member whose checksum is wrong gives its record, however small; equal records of two such members are two."""
+    rng = random.Random(7)
+    for words in (5, 50, 500):
+        units = []
+        for i in range(100):
+            text = " ".join(f"w{rng.randrange(900)}" for _ in range(words)).encode()
+            unit = bytearray(warc.gzip_member(warc.make_record(i, "http://a", text, "0", None)))
+            unit[-6] ^= 0xFF  # in the CRC
+            units.append(bytes(unit))
+        found = list(warc.salvage(warc.SEPARATOR.join(units)))
+        assert sum(x[0] == "record" for x in found) == 100 and found[-1][0] == "gap"
+        twice = list(warc.salvage(units[0] + units[0] + units[1]))
+        assert sum(x[0] == "record" for x in twice) == 3
+    stored = bytearray(warc.gzip_member(warc.make_record(1, None, b"plain text", "0", None), 0))
+    stored[-6] ^= 0xFF  # nothing is compressed: the record's own version line is found again inside
+    assert sum(x[0] == "record" for x in warc.salvage(bytes(stored) + warc.SEPARATOR)) == 1
