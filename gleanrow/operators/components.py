@@ -90,3 +90,30 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, few_edges: int
         raise RuntimeError(f"components are not settled after {max_rounds} rounds")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def component_changes(labels: DataFrame, edges: DataFrame, few_edges: int = FEW_EDGES) -> DataFrame:
+    """node, component, before: what new edges (a, b) change in stored labels (node, component), and new nodes (before is null).
+
+    Stored components are nodes here, by their label, so the work is that of the batch: components of labels that
+    the edges join, then the nodes of those labels that give way to a lesser one. Other rows are not written.
+    """
+    given = stored(edges.select("a", "b").where("a != b").distinct(), "given")
+    ends = given.select(F.col("a").alias("node")).unionByName(given.select(F.col("b").alias("node"))).distinct()
+    known = ends.join(labels.select("node", "component"), "node", "left")
+    at = stored(known.select("node", F.coalesce("component", "node").alias("label"), F.col("component").isNull().alias("fresh")), "ends")
+    of = at.select("node", "label")
+    joined = given.join(of.toDF("a", "label_a"), "a").join(of.toDF("b", "label_b"), "b")
+    merged = stored(connected_components(joined.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), few_edges=few_edges), "merged")
+    now = merged.select(F.col("node").alias("label"), F.col("component").alias("now"))
+    fresh = at.where("fresh").join(now, "label", "left").select("node", F.coalesce("now", "label").alias("component"))
+    moved = labels.join(now.where("label != now"), F.col("component") == F.col("label")).select("node", F.col("now").alias("component"),
+        F.col("component").alias("before"))
+    kind = labels.schema["component"].dataType
+    return moved.unionByName(fresh.withColumn("before", F.lit(None).cast(kind)))
+
+
+def with_changes(labels: DataFrame, changes: DataFrame) -> DataFrame:
+    """labels after component_changes()."""
+    kept = labels.select("node", "component").join(changes.select("node"), "node", "left_anti")
+    return kept.unionByName(changes.select("node", "component"))

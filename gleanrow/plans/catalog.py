@@ -13,6 +13,7 @@ from ..functions.options import Options
 from ..functions.similarity import amenity_list, distinct_units, jaccard, name_similarity, rooms_match
 from ..functions.storage import stored
 from ..operators import blocking, calibration, clustering, fusion, geocode, grid, identity, quality, report, upsert
+from ..operators.components import component_changes, connected_components, with_changes
 from ..sinks.files import map_markers
 from ..sources import pages, tables
 from . import linkage_sql, payload_catalog, state_catalog, views
@@ -91,6 +92,21 @@ def q_room_and_amenity_veto(spark, sf_dir):
         distinct_units("a_", "b_").alias("distinct_units"), rooms_match("a_", "b_").alias("rooms_match"))
 
 
+@query
+def q_component_changes(spark, sf_dir):
+    """Rows that share identity keys: components of one platform's rows, then the other's as a batch of new edges."""
+    keyed = identity.with_keys(listings(spark, sf_dir), Options()).select("id", "platform", F.explode("keys").alias("key"))
+    keyed = stored(keyed, "keyed")
+
+    def stars(rows):
+        return rows.join(rows.groupBy("key").agg(F.min("id").alias("first")), "key").select(F.col("first").alias("a"), F.col("id").alias("b"))
+
+    old = keyed.where("platform = 'airbnb'")
+    labels = stored(connected_components(stars(old)), "labels")
+    batch = stars(keyed.join(keyed.where("platform = 'booking'").select("key").distinct(), "key", "left_semi"))
+    return with_changes(labels, stored(component_changes(labels, batch), "changes"))
+
+
 @query
 def q_link_classes(spark, sf_dir):
     """Rows that are equal but for their id, and how many rows each row is paired with."""

@@ -149,6 +149,8 @@ SQL = {
     "q_curate_observed": curate(True),
     "q_name_similarity": NAME_SIMILARITY,
     "q_strict_pairs": STRICT_PAIRS,
+    "q_component_changes": OPS + """, size as (select root, count(*) n from comp group by root)
+ select id node, root component from comp join size using (root) where n > 1""",
     "q_link_classes": LINK_CLASSES,
     "q_matched_pairs": MATCHED_PAIRS,
     "q_greedy_one_to_one": ONE_TO_ONE,

@@ -7,7 +7,7 @@ from gleanrow.functions import similarity
 from gleanrow.functions.options import Options
 from gleanrow.functions.similarity import compatible, indel_ratio
 from gleanrow.operators import blocking, clustering, identity, quality
-from gleanrow.operators.components import connected_components
+from gleanrow.operators.components import component_changes, connected_components, with_changes
 
 ROW = "id string, platform string, name string, latitude double, longitude double, registration string, phone string, email string, bedrooms int, beds int, bathrooms double, max_guests int, amenities array<string>"
 
@@ -213,3 +213,20 @@ def test_rows_of_one_id_in_a_batch(spark):
     none = {"bedrooms": "int", "beds": "int", "bathrooms": "double", "max_guests": "int", "amenities": "array<string>"}
     df = df.select("*", *(F.lit(None).cast(t).alias(c) for c, t in none.items()))
     assert sorted(r["seq"] for r in clustering.batch_dedup(df).collect()) == [1, 3, 5]
+
+
+def test_components_follow_batches_of_edges(spark):
+    """Stored labels and each batch's changes equal a new computation; only touched nodes are written."""
+    rng = random.Random(13)
+    schema, every, labels = "a long, b long", [], spark.createDataFrame([], "node long, component long")
+    for k, n in enumerate((60, 15, 40, 1)):
+        batch = [(rng.randrange(150), rng.randrange(150)) for _ in range(n)] + [(5, 5), (None, 3)]
+        before = {r["node"]: r["component"] for r in labels.collect()}
+        changes = component_changes(labels, spark.createDataFrame(batch, schema), few_edges=1 if k % 2 else 100)
+        told = {r["node"]: (r["component"], r["before"]) for r in changes.collect()}
+        every += batch
+        want = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(every, schema)).collect()}
+        assert told == {x: (c, before.get(x)) for x, c in want.items() if before.get(x) != c}
+        rows = with_changes(labels, changes).collect()
+        assert {r["node"]: r["component"] for r in rows} == want and len(rows) == len(want)
+        labels = spark.createDataFrame(rows, "node long, component long")
