@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,8 +36,23 @@ def run_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/gleanrow/{spark.sparkContext.applicationId}"
 
 
+#: The folder that scratch() has set, if any.
+_INNER: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_INNER.get() or run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within are removed at the end: what reads them must have been written elsewhere by then."""
+    before = _INNER.set(new_path(spark, "scratch"))
+    try:
+        yield
+    finally:
+        dropped(spark, _INNER.get())
+        _INNER.reset(before)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

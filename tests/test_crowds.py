@@ -75,7 +75,7 @@ def test_link_counts(spark):
 
 def test_groups_by_rounds_equal_the_one_pass(spark):
     for seed, phones, o in ((8, 20, replace(Options(), equal_rows=2)), (9, 4, replace(Options(), crowd=0, component_pairs=400, equal_rows=3))):
-        rows = stacked(random.Random(seed), 200, phones)
+        rows = stacked(random.Random(seed), 150, phones)
         df = frame(spark, rows).persist()
         ops = identity.operator_ids(df).persist()
         want = plain_groups(plain(rows), [tuple(r) for r in clustering.candidates(df, ops).collect()], Options())

@@ -16,6 +16,17 @@ def test_tables_are_kept_and_cleared(spark):
     assert storage.stored(spark.range(3), "three").count() == 3
 
 
+def test_scratch_tables_go(spark):
+    with storage.scratch(spark):
+        kept = storage.run_dir(spark) + "/kept"
+        table = storage.stored(spark.range(4), "inner")
+        (path,) = {os.path.dirname(f) for f in table.inputFiles()}
+        table.write.parquet(kept)
+    assert not os.path.exists(path.removeprefix("file:").replace("//", "/"))
+    assert spark.read.parquet(kept).count() == 4
+    assert "scratch-" not in storage.new_path(spark, "after")
+
+
 def test_no_machine_local_folder_on_a_cluster():
     for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
         sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
