@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gleanrow.functions.storage import dropped, scratch
 from gleanrow.llm import decontam, hashtree, iforest, mixing, simhash
 from gleanrow.llm.common import new_path, read
 
@@ -59,9 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The rows of the last stage, as a table; what a stage read and stored is removed once it is written."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            dropped(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
