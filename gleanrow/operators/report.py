@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,13 @@ def missing_share(listings: DataFrame, column: str) -> float:
     return 100.0 * r["k"] / r["n"] if r["n"] else 0.0
 
 
+def missing_shares(listings: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """field, missing (percent of rows without it) of all columns: one aggregation, nothing on the driver."""
+    share = lambda c: F.coalesce(F.try_divide(100.0 * F.count_if(F.col(c).isNull()), F.count("*")), F.lit(0.0))
+    shares = F.array(*(F.struct(F.lit(c).alias("field"), share(c).alias("missing")) for c in columns))
+    return listings.agg(F.explode(shares).alias("x")).select("x.*")
+
+
 def progress_summary(progress: DataFrame) -> DataFrame:
     return progress.groupBy("platform", "status").agg(F.count("*").alias("cells"),
         F.coalesce(F.sum("result_count"), F.lit(0)).cast("long").alias("results"))

@@ -76,8 +76,7 @@ _SHARES = ("bedrooms", "price_per_night", "radius_m", "name")
 @query(L + " " + " union all ".join(f"select '{c}' field, 100.0 * count(*) filter (\"{c}\" is null) / "
     f"count(*) missing from l" for c in _SHARES))
 def q_missing_share(spark, sf_dir):
-    rows = listings(spark, sf_dir)
-    return spark.createDataFrame([(c, report.missing_share(rows, c)) for c in _SHARES], "field string, missing double")
+    return report.missing_shares(listings(spark, sf_dir), _SHARES)
 
 
 @query(BASE["q_operator_summary"].replace("select coalesce(operator_id", "select * from (select coalesce(operator_id",

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import csv
 import json
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,27 @@ def export_operators(summary: DataFrame, path: str) -> str:
     return write_csv(summary.orderBy(F.desc("listing_count"), "operator_key"), path, OPERATOR_COLUMNS)
 
 
+def _collections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of one FeatureCollection from a task's features; a comma stands before all but the first."""
+    line = lambda some: pa.RecordBatch.from_arrays([pa.array(some, pa.string())], ["value"])
+    yield line(['{"type": "FeatureCollection", "features": ['])
+    first = True
+    for batch in batches:
+        if batch.num_rows:
+            features = batch.column(0).to_pylist()
+            yield line([features[0] if first else "," + features[0], *("," + f for f in features[1:])])
+            first = False
+    yield line(["]}"])
+
+
+def save_geojson(listings: DataFrame, path: str) -> None:
+    """The GeoJSON export as a folder on any file system: each part file is a FeatureCollection of its own, sorted across files.
+
+    Tasks frame and write their parts and Spark commits them, so nothing passes the driver and a lost task leaves no torn file.
+    """
+    geojson_features(listings).mapInArrow(_collections, "value string").write.text(path)
+
+
 def save_csv(listings: DataFrame, path: str) -> None:
     """The listing export as a folder of sorted part files on any file system, each with a byte-order mark and a header."""
     _save(map_projection(listings), ["platform", "name", "id"], path)

@@ -172,6 +172,9 @@ def test_sinks(spark, listings, tmp_path):
     f = doc["features"][2]
     assert f["geometry"]["coordinates"] == [2.0, 1.5] and "latitude" not in f["properties"] and f["properties"]["is_superhost"] is True
     assert doc["features"][0]["properties"]["location_source"] is None
+    files.save_geojson(listings, str(tmp_path / "parts"))
+    parts = [json.loads(x.read_text()) for x in sorted((tmp_path / "parts").glob("part-*"))]
+    assert all(x["type"] == "FeatureCollection" for x in parts) and [f for x in parts for f in x["features"]] == doc["features"]
     page = open(files.export_map(listings, str(tmp_path / "m.html"))).read()
     assert "B &lt;x&gt;" in page and "darkblue" in page and "Total: 2" in page
     review = list(csv.DictReader(open(files.export_review(listings, str(tmp_path / "r.csv"), 1), encoding="utf-8-sig")))
