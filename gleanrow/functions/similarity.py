@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from .geo import haversine
 from .options import Options
@@ -29,12 +27,6 @@ def indel_ratio(a: str | None, b: str | None) -> float:
     return 200.0 * lcs / (len(a) + len(b))
 
 
-@F.pandas_udf(DoubleType())
-def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """indel_ratio of two columns, an Arrow batch at a time."""
-    return pd.Series([indel_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
 def _lowered(name: Column) -> Column:
     return F.lower(F.coalesce(name, F.lit("")))
 
@@ -70,6 +62,77 @@ def names_may_match(a: Column, b: Column, least: float) -> Column:
     return (F.least(n, m) >= least_common(n, m, least)) & ((asked <= 0) | (both >= asked))
 
 
+#: Bits of a number that a row of the common subsequence uses: two such numbers and a carry fit a long.
+LIMB = 62
+_FULL = (1 << LIMB) - 1
+
+
+def letter_masks(name: Column) -> Column:
+    """What masked_similarity() reads of its first name, once per row: n, the distinct letters, and where each stands.
+
+    bits[i][k] has bit p set where letter k, counted from 1, is at place LIMB * i + p; letter 0 is any other and nowhere.
+    """
+
+    def places(part, letter):
+        bits = F.transform(part, lambda c, p: F.when(c == letter, F.call_function("shiftleft", F.lit(1).cast("long"), p)).otherwise(0))
+        return F.aggregate(bits, F.lit(0).cast("long"), lambda acc, bit: acc + bit)
+
+    def of(letters):
+        each = F.array_distinct(letters)
+        limbs = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(letters) / LIMB), F.lit(1)).cast("int") - 1)
+        part = lambda i: F.slice(letters, i * LIMB + 1, LIMB)
+        bits = F.transform(limbs, lambda i: F.concat(F.array(F.lit(0).cast("long")), F.transform(each, lambda c: places(part(i), c))))
+        return F.struct(F.size(letters).alias("n"), each.alias("letters"), bits.alias("bits"))
+
+    return F.transform(F.array(_letters(name)), of)[0]
+
+
+def _letters(name: Column) -> Column:
+    return F.filter(F.split(_lowered(name), ""), lambda c: c != "")
+
+
+def masked_similarity(a: Column, b: Column) -> Column:
+    """indel_ratio() of the name whose letter_masks() are a and the name b, by built-in functions.
+
+    The bit-parallel row of indel_ratio() in numbers of LIMB bits, with the carry handed up from one to the next.
+    """
+    full, n = F.lit(_FULL), a["n"]
+    numbers = F.transform(F.split(_lowered(b), ""), lambda c: F.array_position(a["letters"], c).cast("int"))
+
+    def step(v, m, total):
+        return total.bitwiseAND(full).bitwiseOR(v.bitwiseAND(F.bitwise_not(m)))
+
+    def low(v, places):
+        """How many of the lowest places are still open."""
+        return F.bit_count(v.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.least(places, F.lit(LIMB))) - 1))
+
+    first = a["bits"][0]
+    short = F.aggregate(F.transform(numbers, lambda k: F.get(first, k)), full, lambda v, m: step(v, m, v + v.bitwiseAND(m)), lambda v: low(v, n))
+
+    def limb(k):
+        def run(acc, vm):
+            v, m = vm["v"], F.get(vm["m"], k)
+            total = v + v.bitwiseAND(m) + acc["carry"]
+            return F.struct(F.shiftright(total, LIMB).alias("carry"), F.concat(acc["row"], F.array(step(v, m, total))).alias("row"))
+
+        return run
+
+    def long(row, k):
+        start = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("row"))
+        both = F.zip_with(row, a["bits"], lambda v, m: F.struct(v.alias("v"), m.alias("m")))
+        return F.aggregate(both, start, limb(k), lambda acc: acc["row"])
+
+    rows = F.transform(F.aggregate(numbers, F.array_repeat(full, F.size(a["bits"])), long), lambda v, i: low(v, n - i * LIMB))
+    still = F.when(n <= LIMB, short).otherwise(F.aggregate(rows, F.lit(0), lambda acc, x: acc + x))
+    total = n + F.length(_lowered(b))
+    return F.when(total == 0, 100.0).otherwise(200.0 * (n - still) / total)
+
+
+def name_similarity(a: Column | str, b: Column | str) -> Column:
+    """indel_ratio() of two names; in a join, letter_masks() once per row and masked_similarity() cost less."""
+    return masked_similarity(letter_masks(F.col(a) if isinstance(a, str) else a), F.col(b) if isinstance(b, str) else b)
+
+
 def indel_ratio_sql(a: Column, b: Column) -> Column:
     """The same by built-in functions only (a dynamic programme over arrays); slower, used as a check."""
     x, y = F.lower(F.coalesce(a, F.lit(""))), F.lower(F.coalesce(b, F.lit("")))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions import text as T
 from ..functions.options import Options
-from ..functions.similarity import amenity_list, distinct_units, jaccard, name_similarity, rooms_match
+from ..functions.similarity import amenity_list, distinct_units, jaccard, masked_similarity, name_features, rooms_match
 from ..functions.storage import stored
 from ..operators import blocking, calibration, clustering, fusion, geocode, grid, identity, quality, report, upsert
 from ..operators.components import component_changes, connected_components, with_changes
@@ -115,8 +115,9 @@ def q_link_classes(spark, sf_dir):
 
 @query
 def q_name_similarity(spark, sf_dir):
-    near = blocking.near_pairs(listings(spark, sf_dir))
-    return near.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), name_similarity("a_name", "b_name").alias("similarity"))
+    near = blocking.near_pairs(listings(spark, sf_dir).withColumn("features", name_features(F.col("name"))))
+    return near.select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"),
+        masked_similarity(F.col("a_masks"), F.col("b_name")).alias("similarity"))
 
 
 @query

@@ -105,6 +105,27 @@ def test_name_similarity_both_ways(spark):
     assert [r["s"] for r in rows] == pytest.approx([r["u"] for r in rows])
 
 
+def test_name_similarity_of_long_names(spark):
+    import random
+
+    rng = random.Random(5)
+    names = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in (0, 1, 30, 61, 62, 63, 123, 124, 125, 200, 400)]
+    pairs = [(a, b) for a in names for b in names] + [(None, names[7]), ("A" * 124, "a" * 62 + "b" + "a" * 62)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = df.select("a", "b", similarity.name_similarity("a", "b").alias("r")).collect()
+    assert [x["r"] for x in got] == pytest.approx([similarity.indel_ratio(x["a"], x["b"]) for x in got])
+
+
+def test_pair_plans_have_no_python(spark):
+    from gleanrow.operators import blocking
+
+    side = "id long, platform string, name string, latitude double, longitude double, bedrooms int, beds int, bathrooms double, " \
+        "max_guests int, amenities array<string>"
+    rows = spark.createDataFrame([(i, "booking", f"Flat {i % 3}", 44.4, 26.1, 1, 1, 1.0, 2, ["x"]) for i in range(9)], side)
+    pairs = blocking.strict_candidates(rows)
+    assert "Python" not in pairs._jdf.queryExecution().toString() and pairs.count() == 36
+
+
 def test_options(tmp_path):
     (tmp_path / "o.yaml").write_text("strict_name: 90\n")
     o = Options.load(str(tmp_path / "o.yaml"))
