@@ -12,7 +12,7 @@ from ..functions import text as T
 from ..functions.options import Options
 from ..functions.similarity import amenity_list, distinct_units, jaccard, masked_similarity, name_features, rooms_match
 from ..functions.storage import stored
-from ..operators import blocking, calibration, clustering, fusion, geocode, grid, identity, quality, report, upsert
+from ..operators import blocking, calibration, clustering, fusion, geocode, grid, hexgrid, identity, quality, report, upsert
 from ..operators.components import component_changes, connected_components, with_changes
 from ..sinks.files import map_markers
 from ..sources import pages, tables
@@ -372,6 +372,23 @@ def q_grid_cells(spark, sf_dir):
         six("bbox.ne_lat", "ne_lat"), six("bbox.sw_lng", "sw_lng"), F.coalesce("listings", F.lit(0)).alias("listings"))
 
 
+@query
+def q_hex_cells(spark, sf_dir):
+    """Hexagons that meet the extent of the listings, with how many listings lie in each."""
+    rows, frame = listings(spark, sf_dir), hexgrid.Frame(44.43, 26.1)
+    south, north, west, east = rows.agg(F.min("latitude"), F.max("latitude"), F.min("longitude"), F.max("longitude")).first()  # one row
+    held = rows.where("latitude is not null and longitude is not null").groupBy(frame.cell(F.col("latitude"), F.col("longitude"),
+        7).alias("cell")).agg(F.count("*").alias("listings"))
+    return hexgrid.cover(spark, frame, south, west, north, east).join(held, "cell", "left").select("cell_id", "parent_id",
+        F.round("center_lat", 6).alias("center_lat"), F.round("center_lng", 6).alias("center_lng"), F.coalesce("listings", F.lit(0)).alias("listings"))
+
+
+@query
+def q_hex_refine(spark, sf_dir):
+    """Hexagons of levels 7 to 10 that a search visits: children of cells with many listings."""
+    return hexgrid.refine(listings(spark, sf_dir), hexgrid.Frame(44.43, 26.1), 7, 20)
+
+
 @query
 def q_grid_refine(spark, sf_dir):
     return grid.refine(listings(spark, sf_dir), 44.33, 25.92, 0.025, 7, 20)

@@ -72,6 +72,15 @@ _STACK = ", st as (select *, count(*) over (partition by round_even(latitude, 6)
 _DAY = "select event_id, user_id, event_type, value, ts, props from events"
 FEED = f"with e as ({_DAY})"
 
+#: The hexagon (q, r) of each listing: a plane in metres, turned by the angle of the level, and the nearest of four centres.
+HEX = """, xy as (select id, (longitude - 26.1) * 111195 * cos(radians(44.43)) x, (latitude - 44.43) * 111195 y, {level} * atan2(sqrt(3) / 2, 2.5) a,
+  sqrt(3) * 1107710 / pow(7, {level} / 2.0) u from l where latitude is not null and longitude is not null),
+tu as (select *, (x * cos(a) - y * sin(a)) / u gx, (x * sin(a) + y * cos(a)) / u gy from xy),
+ax as (select *, gy / (sqrt(3) / 2) fr, gx - gy / sqrt(3) fq from tu),
+ca as (select *, cast(floor(fq) as bigint) + unnest([0, 1, 0, 1]) q, cast(floor(fr) as bigint) + unnest([0, 0, 1, 1]) r from ax),
+spot as (select id, arg_min(q, (q - fq) ** 2 + (q - fq) * (r - fr) + (r - fr) ** 2) q, arg_min(r, (q - fq) ** 2 + (q - fq) * (r - fr) + (r - fr) ** 2) r
+  from ca group by id)"""
+
 SQL = {
     "q_normalize_keys": L + " select id, reg, tel, mail from n",
     "q_operator_components": OPS + " select id, operator_id from op",
@@ -218,6 +227,25 @@ select '7/' || r || '/' || c cell_id, round(s + r * 0.025 + 0.025 / 2, 6) center
     count(*) over (partition by floor((latitude - 44.33) / (0.025 / pow(2.0, level + 1 - 7))), floor((longitude - 25.92) / (0.025 / pow(2.0,
   level + 1 - 7)))) from v where n >= 20 * 0.9 and level < 10)
  select level, r as "row", c as col, count(*) result_count from v group by 1, 2, 3""",
+    # the nearest of the four centres around a point, by distance; cells above by division
+    "q_hex_refine": L + HEX.format(level=10) + """, n10 as (select q, r, count(*) n from spot group by 1, 2),
+""" + ",\n".join(f"n{v} as (select cast(floor((3 * q + r + 3) / 7.0) as bigint) q, cast(floor((2 * r - q + 3) / 7.0) as bigint) r, sum(n) n from n{v + 1} "
+        "group by 1, 2)" for v in (9, 8, 7, 6)) + """,
+u as (""" + " union all ".join(f"select {v} as lv, c.q, c.r, c.n, p.q pq, p.r pr, p.n pn from n{v} c join n{v - 1} p on p.q = floor((3 * c.q + c.r + 3) / 7.0) "
+        "and p.r = floor((2 * c.r - c.q + 3) / 7.0)" for v in (7, 8, 9, 10)) + """)
+select cast(lv as int) as level, lv || '/' || q || '/' || r cell_id, (lv - 1) || '/' || pq || '/' || pr parent_id, cast(n as bigint) result_count
+ from u where lv = 7 or pn >= 20 * 0.9""",
+    # hexagons and box: parted by the axis of a side, or they meet
+    "q_hex_cells": L + HEX.format(level=7) + """, h as (select q, r, count(*) listings from spot group by 1, 2),
+b as (select min(y) s, max(y) n, min(x) w, max(x) e, cast(ceil(1.8 * max(sqrt(x * x + y * y)) / any_value(u)) + 2 as bigint) m, any_value(u) u, any_value(a) a from xy),
+c as (select *, u * (q + r / 2) gx, u * r * sqrt(3) / 2 gy from (select *, unnest(range(-m, m + 1)) r from (select *, unnest(range(-m, m + 1)) q from b))),
+d as (select *, gx * cos(a) + gy * sin(a) x, gy * cos(a) - gx * sin(a) y from c),
+g as (select *, unnest([0.0, 0.5, k, k + 1 / 3.0, k + 2 / 3.0]) t from (select *, -a / pi() k from d)),
+o as (select *, abs((x - (w + e) / 2) * cos(t * pi()) + (y - (s + n) / 2) * sin(t * pi())) apart, abs(cos(t * pi())) * (e - w) / 2 + abs(sin(t * pi())) * (n - s) / 2
+  + list_max([u / sqrt(3) * cos(t * pi() + a - (j + 0.5) * pi() / 3) for j in range(6)]) near from g),
+f as (select q, r, any_value(x) x, any_value(y) y from o group by q, r having bool_and(apart <= near))
+select '7/' || q || '/' || r cell_id, '6/' || cast(floor((3 * q + r + 3) / 7.0) as bigint) || '/' || cast(floor((2 * r - q + 3) / 7.0) as bigint) parent_id,
+ round(44.43 + y / 111195, 6) center_lat, round(26.1 + x / (111195 * cos(radians(44.43))), 6) center_lng, coalesce(listings, 0) listings from f left join h using (q, r)""",
     "q_history": L + " select id listing_id, latitude, longitude, cast(case when platform = 'booking' then 60 else 100 end as double) "
         "sigma_m, platform from l where latitude is not null",
     "q_zoom": L + " select id, case when radius_m > 0 then greatest(1, least(20, cast(round_even(log2(360.0 / (radius_m / 100000)), 0) as "
