@@ -14,7 +14,7 @@ from ..functions.storage import new_path
 from ..operators import blocking, fusion, geocode, identity, quality, report, upsert
 from ..sinks import files
 from ..sources import tables
-from ..streaming import ingest
+from ..streaming import ingest, keyed
 from . import views
 from .curate import reset
 from .sql import _ADDR, FIXED_GROUPS, OBS, OPS, L, fused, hav
@@ -379,3 +379,16 @@ def q_stream_upsert(spark, sf_dir):
     rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
     ingest.upsert_into(rows, f"{base}/table", f"{base}/checkpoint", ["user_id"], "event_id", ["event_type"], []).awaitTermination()
     return spark.read.parquet(f"{base}/table/v=2")
+
+
+@query(_EVENTS + " select user_id, arg_max(event_type, event_id) event_type, arg_max(price, event_id) filter (price is not null) price from e group by 1")
+def q_stream_state(spark, sf_dir):
+    """Events that land out of order, upserted by a stream that keeps each user's row as state."""
+    base = new_path(spark, "stream")
+    price = F.when(F.col("event_id") % 3 != 0, F.round("value", 2)).alias("price")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "event_type", price)
+    events.repartition(4, "event_id").write.parquet(f"{base}/landed")
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/landed")
+    changed = keyed.changes(rows, ["user_id"], "event_id", ["event_type"])
+    keyed.write_changes(changed, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return keyed.current(spark, f"{base}/table", ["user_id"])
