@@ -129,7 +129,8 @@ def popup_html(listings: DataFrame):
     """A column: a picture, the escaped table of all fields that are known, and a link to the page."""
     kinds = dict(listings.dtypes)
     has = lambda c: F.col(c) if c in kinds else F.lit(None).cast("string")
-    number = lambda c, digits: F.format_string(f"%.{digits}f", has(c).cast("double"))
+    # ties go to the even digit, as C prints them; Java's format would round them up
+    number = lambda c, digits: F.format_string(f"%.{digits}f", F.bround(has(c).cast("double"), digits))
 
     def known(test: str, *parts) -> F.Column:
         return F.when(has(test).isNotNull(), F.concat(*parts))

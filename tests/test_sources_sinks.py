@@ -204,3 +204,11 @@ def test_stream_upsert_keeps_known_values(spark, tmp_path):
     spark.createDataFrame([(1, "c", None, 3), (2, "n", 1.0, 4)], schema).coalesce(1).write.mode("append").json(src)
     start()
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t" / "v=1")).collect())) == [(1, "c", 5.0), (2, "n", 1.0)]
+
+
+def test_popup_rounds_ties_to_even(spark):
+    rows = spark.createDataFrame([(1, 62.5, 0.25), (2, 63.5, 0.75), (3, 62.4, 1.0)], "id long, price_per_night double, bathrooms double")
+    rows = rows.selectExpr("*", "'x' as name", "'u' as url", "'EUR' as currency")
+    shown = {r["id"]: r["popup"] for r in rows.select("id", files.popup_html(rows).alias("popup")).collect()}
+    for i, price, baths in ((1, 62, 0.2), (2, 64, 0.8), (3, 62, 1.0)):
+        assert f"<td>{price} EUR</td>" in shown[i] and f"<td>{baths}</td>" in shown[i]
