@@ -1,17 +1,17 @@
 """Quality rules: rule statistics of whole texts, judged by an isolation forest.
 
 Per document the rules' counts are taken; ratios of them are the features. Trees are grown
-from rows labelled good, by random splits of the box that all sampled rows span, so regions
+from rows labelled good, by random splits of the box that all labelled rows span, so regions
 without good rows are cut off early and have short paths. The anomaly score is
 2^(-mean path / expected path); a row is rejected above the threshold that finds most rows
 labelled bad while at most ``max_false`` of the rows labelled good are rejected.
 
-The forest is fitted and calibrated on ``sample_rows`` rows of labelled documents, those with the
-least hash of their id (then of their counts): a documented bound, read nowhere else. Every
-document is counted and judged.
+All labelled documents that pass the base rules count: each tree draws its ``TREE_ROWS`` rows from all
+that are labelled good, the box is that of all, and the threshold is the exact one for the scores of all.
+Up to ``few`` rows that is done on the driver, beyond it by tasks. Every document is counted and judged.
 
-Edge cases: a null text has no words and fails the base rules; without sampled rows of
-both labels the forest is grown from the whole sample (of all documents if there are no
+Edge cases: a null text has no words and fails the base rules; without rows of
+both labels the forest is grown from all labelled rows (from all documents if there are no
 labels) and only rejects scores above ``NO_LABEL_SCORE``; repeated rows are each judged; an
 empty table gives an empty result; null labels and ids are not fitted on; doc_id is an integer.
 """
@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_prefix, stored
+from .common import stored
 
 SYMBOLS = "#*$%&|<>"
-SAMPLE_ROWS, MAX_FALSE, NO_LABEL_SCORE = 20_000, 0.002, 0.75
+FEW, MAX_FALSE, NO_LABEL_SCORE = 20_000, 0.002, 0.75
 TREES, TREE_ROWS = 128, 256
 SEED = 7
 
@@ -124,15 +124,20 @@ class Forest:
 
     @classmethod
     def grow(cls, points: np.ndarray, box: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> Forest:
-        rng = np.random.default_rng(seed)
         rows = min(rows, len(points))
+        return cls.grow_each(lambda rng, _: points[rng.choice(len(points), rows, replace=False)], rows, box.min(axis=0), box.max(axis=0), trees, seed)
+
+    @classmethod
+    def grow_each(cls, drawn, rows: int, low: np.ndarray, high: np.ndarray, trees: int = TREES, seed: int = SEED) -> Forest:
+        """drawn(rng, t): the rows of tree t; low, high: the box."""
+        rng = np.random.default_rng(seed)
         depth = max(1, math.ceil(math.log2(max(rows, 2)))) + 2
         feature = np.zeros((trees, 2**depth - 1), np.int16)
         cut = np.full((trees, 2**depth - 1), np.inf)
         path = np.zeros((trees, 2**depth))
         for t in range(trees):
-            own = points[rng.choice(len(points), rows, replace=False)]
-            cls._grow(rng, own, box.min(axis=0), box.max(axis=0), 0, 0, depth, feature[t], cut[t], path[t])
+            own = drawn(rng, t)
+            cls._grow(rng, own, low, high, 0, 0, depth, feature[t], cut[t], path[t])
         return cls(feature, cut, path, rows, NO_LABEL_SCORE)
 
     @classmethod
@@ -169,32 +174,116 @@ class Forest:
         self.threshold = float((least + above[0]) / 2) if len(above) else float(least)
 
 
-def sample_ids(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """_id, quality of at most sample_rows labelled documents; without labels, of documents with a null quality."""
+def labelled(stats: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rule statistics and quality of the labelled documents that pass the base rules; without labels, of all, with a null quality."""
+    judged = stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")) & F.col("doc_id").isNotNull())
     known = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").alias("_id"), "quality")
     if known.isEmpty():
-        known = docs.where("doc_id is not null").select(F.col("doc_id").alias("_id"), F.lit(None).cast("int").alias("quality"))
-    return known.orderBy(F.xxhash64("_id"), "_id", "quality").limit(sample_rows)
-
-
-def fit(stats: DataFrame, ids: DataFrame, max_false: float = MAX_FALSE, sample_rows: int = SAMPLE_ROWS) -> Forest:
-    """A forest from the rule statistics of the sampled documents (ids are few enough to broadcast)."""
-    judged = ~base_failed(F.col("n_words"), F.col("n_repeat_words"))
-    rows = stats.where(judged).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
-    rows = rows.select("doc_id", *COUNTS, *MORE, "quality")
-    order = [F.xxhash64("doc_id"), *rows.columns]  # ids may be repeated: the bound is one of rows
-    sample = rows.orderBy(*order).limit(sample_rows).toPandas().sort_values(["doc_id", *COUNTS], ignore_index=True)
-    if sample.empty:
+        return judged.select("doc_id", *COUNTS, *MORE, F.lit(None).cast("int").alias("quality"))
+    return judged.join(known, F.col("doc_id") == F.col("_id")).select("doc_id", *COUNTS, *MORE, "quality")
+
+
+def fit(stats: DataFrame, labels: DataFrame, max_false: float = MAX_FALSE, few: int = FEW) -> Forest:
+    """A forest from the rule statistics of all labelled documents."""
+    rows = stored(labelled(stats, labels), "labelled")
+    total, n_good, n_bad = rows.agg(F.count("*"), F.count_if(F.col("quality") > 0), F.count_if(F.col("quality") == 0)).first()
+    if not total:
         return Forest.grow(np.zeros((1, FEATURES)), np.zeros((1, FEATURES)))
-    x = features({c: sample[c].to_numpy() for c in COUNTS + MORE})
-    good, bad = (sample["quality"] > 0).to_numpy(), (sample["quality"] == 0).to_numpy()
-    if not good.any() or not bad.any():
+    if total > few:
+        return _fit_by_tasks(rows, total, n_good, n_bad, max_false)
+    own = rows.toPandas().sort_values(["doc_id", *COUNTS], ignore_index=True)
+    x = features({c: own[c].to_numpy() for c in COUNTS + MORE})
+    if not n_good or not n_bad:
         return Forest.grow(x, x)
+    good, bad = (own["quality"] > 0).to_numpy(), (own["quality"] == 0).to_numpy()
     forest = Forest.grow(x[good], x)
     forest.calibrate(x[good], x[bad], max_false)
     return forest
 
 
+X = [f"x{i}" for i in range(FEATURES)]
+
+
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            x = features({c: batch.column(c).to_numpy() for c in COUNTS + MORE})
+            yield pa.RecordBatch.from_arrays([batch.column("draw"), batch.column("quality"), *(pa.array(c) for c in x.T)], ["draw", "quality", *X])
+
+
+def _draws(key: np.ndarray, tree: int) -> np.ndarray:
+    """A number from 0 to 2^64 - 1 of each row for a tree."""
+    z = key.astype(np.uint64) + np.uint64((tree + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def _drawn(limit: int, trees: int):
+    """tree, number and features of the rows whose number for a tree is at most limit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column("draw").to_numpy().view(np.uint64)
+            x = [batch.column(c).to_numpy() for c in X]
+            for t in range(trees):
+                number = _draws(key, t)
+                at = np.flatnonzero(number <= np.uint64(limit))
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t)), pa.array((number[at] >> np.uint64(1)).astype(np.int64)),
+                        *(pa.array(c[at]) for c in x)], ["tree", "number", *X])
+
+    return run
+
+
+def _fit_by_tasks(rows: DataFrame, total: int, n_good: int, n_bad: int, max_false: float) -> Forest:
+    """fit() of more rows than the driver should hold: it gets the rows that the trees draw, and counts of scores."""
+    kind = ", ".join(f"{c} double" for c in X)
+    keyed = rows.select(*COUNTS, *MORE, F.col("quality").cast("int").alias("quality"), F.xxhash64("doc_id", *COUNTS, *MORE).alias("draw"))
+    points = stored(keyed.mapInArrow(_featured, f"draw long, quality int, {kind}"), "points")
+    box = points.agg(*(f(c) for f in (F.min, F.max) for c in X)).first()
+    both = bool(n_good and n_bad)
+    pool, n = (points.where("quality > 0"), n_good) if both else (points, total)
+    size, share = min(TREE_ROWS, n), 4 * TREE_ROWS / n
+    while True:  # the rows with the least numbers of a tree are among those up to limit, if these are enough
+        limit = min(2**64 - 1, int(share * 2**64))
+        found = pool.mapInArrow(_drawn(limit, TREES), f"tree long, number long, {kind}").toPandas().sort_values(["tree", "number", *X])
+        held = [part[X].to_numpy()[:size] for _, part in found.groupby("tree")]
+        if share >= 1 or (len(held) == TREES and min(map(len, held)) == size):
+            break
+        share *= 4
+    forest = Forest.grow_each(lambda _, t: held[t], size, np.array(box[:FEATURES], float), np.array(box[FEATURES:], float))
+    if not both:
+        return forest
+    shared = rows.sparkSession.sparkContext.broadcast(forest)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = np.stack([batch.column(c).to_numpy() for c in X], axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(shared.value.score(x))], ["quality", "score"])
+
+    scores = stored(points.mapInArrow(score, "quality int, score double"), "scores")
+    least = _from_top(scores.where("quality > 0"), min(int(max_false * n_good), n_good - 1))
+    above = scores.where((F.col("quality") == 0) & (F.col("score") > least)).agg(F.min("score")).first()[0]
+    forest.threshold = least if above is None else (least + above) / 2
+    return forest
+
+
+def _from_top(scores: DataFrame, rank: int, bins: int = 1024) -> float:
+    """The score that rank others come before, from the highest, by counts of ever narrower ranges."""
+    low, high = scores.agg(F.min("score"), F.max("score")).first()
+    while low < high:
+        place = F.least(F.floor((F.col("score") - low) / (high - low) * bins), F.lit(bins - 1))
+        per = scores.where(F.col("score").between(low, high)).groupBy(place.alias("at")).agg(F.count("*"), F.min("score"), F.max("score"))
+        for _, n, least, most in sorted(map(tuple, per.collect()), reverse=True):  # at most bins rows
+            if rank < n:
+                low, high = least, most
+                break
+            rank -= n
+    return float(low)
+
+
 def _judge(forest):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = forest.value
@@ -208,22 +297,18 @@ def _judge(forest):
     return run
 
 
-def judge(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_false: float = MAX_FALSE) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, few: int = FEW, max_false: float = MAX_FALSE) -> DataFrame:
     """doc_id, COUNTS, score, base_failed, kept of every document."""
     stats = stored(rule_statistics(docs), "rules")
-    forest = docs.sparkSession.sparkContext.broadcast(fit(stats, sample_ids(docs, labels, sample_rows), max_false, sample_rows))
+    forest = docs.sparkSession.sparkContext.broadcast(fit(stats, labels, max_false, few))
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", score double, usual boolean"
     judged = stats.mapInArrow(_judge(forest), schema).withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
     return judged.select("doc_id", *COUNTS, "score", "base_failed", (~F.col("base_failed") & F.col("usual")).alias("kept"))
 
 
-def keep(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_false: float = MAX_FALSE) -> DataFrame:
-    """docs without the rejected rows: each row is counted and judged where it lies, nothing is shuffled."""
-    ids = stored(sample_ids(docs, labels, sample_rows), "sample")
-    mine = own_prefix(docs)
-    of = ids.select(F.col("_id").alias(mine)).distinct()  # at most sample_rows ids
-    sampled = docs.join(F.broadcast(of), F.col("doc_id") == F.col(mine), "left_semi")
-    forest = docs.sparkSession.sparkContext.broadcast(fit(rule_statistics(sampled), ids, max_false, sample_rows))
+def keep(docs: DataFrame, labels: DataFrame, few: int = FEW, max_false: float = MAX_FALSE) -> DataFrame:
+    """docs without the rejected rows: each row is counted and judged where it lies, no text is shuffled."""
+    forest = docs.sparkSession.sparkContext.broadcast(fit(stored(rule_statistics(docs), "rules"), labels, max_false, few))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -150,3 +150,26 @@ def test_scores_and_verdicts_against_plain(spark):
     for i, (score, kept) in enumerate(plain_verdicts(list(enumerate(texts)), [(i, q) for i, q, _ in labels])):
         assert math.isclose(rows[i]["score"], score, rel_tol=1e-9)
         assert rows[i]["kept"] == kept
+
+
+def test_all_labelled_rows_count_beyond_the_few(spark):
+    """With more rows than the driver fits, trees draw from all, and box and threshold are those of all."""
+    good, bad = corpus()
+    texts = good + bad
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, int(i < len(good)), 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    stats = iforest.rule_statistics(docs)
+    forest = iforest.fit(stats, labels, max_false=0.02, few=10)
+    rows = iforest.labelled(stats, labels).toPandas()
+    x = iforest.features({c: rows[c].to_numpy() for c in iforest.COUNTS + iforest.MORE})
+    q = rows["quality"].to_numpy()
+    other = iforest.Forest(forest.feature, forest.cut, forest.path, forest.rows, 0.0)
+    other.calibrate(x[q > 0], x[q == 0], 0.02)
+    assert math.isclose(forest.threshold, other.threshold, rel_tol=1e-12)
+    low, high = x.min(axis=0), x.max(axis=0)
+    used = np.isfinite(forest.cut)
+    assert (forest.cut[used] >= low[forest.feature[used]]).all() and (forest.cut[used] <= high[forest.feature[used]]).all()
+    assert forest.rows == min(iforest.TREE_ROWS, int((q > 0).sum()))
+    told = {r["doc_id"]: r["kept"] for r in iforest.judge(docs, labels, few=10, max_false=0.02).collect()}
+    assert sum(told[i] for i in range(len(good))) > 0.9 * sum((q > 0))
+    assert {r["doc_id"] for r in iforest.keep(docs, labels, few=10, max_false=0.02).collect()} == {i for i, k in told.items() if k}
