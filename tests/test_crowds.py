@@ -84,6 +84,22 @@ def test_groups_by_rounds_equal_the_one_pass(spark):
         assert {r["cross_platform"] for r in found.select("cross_platform").distinct().collect()} == {True, False}
 
 
+def test_components_part_by_the_order_of_their_pairs(spark, monkeypatch):
+    """One component of all pairs, whose earlier pairs hang together in small ones: no rounds are needed."""
+    def rounds(*_):
+        raise AssertionError("rounds")
+
+    rng = random.Random(13)
+    rows = [row(f"x{rng.randrange(10**9):09}_{i}", ("booking", "airbnb")[i % 2], ("sunny flat", "sunny flot", "sunny float")[i % 3],
+        44.0 + i // 6 * 0.0006, 26.1, phone=f"0721234{i // 6:03}") for i in range(240)]
+    df = frame(spark, rows).persist()
+    ops = identity.operator_ids(df).persist()
+    pairs = [tuple(r) for r in clustering.candidates(df, ops).collect()]
+    want = sorted((ids, by) for ids, by in clustering.cluster(plain(rows), pairs))
+    monkeypatch.setattr(clustering, "_by_rounds", rounds)
+    assert groups_of(clustering.property_groups(df, ops, replace(Options(), component_pairs=len(pairs) // 3, equal_rows=10**9))) == want
+
+
 def test_one_to_one_by_rounds(spark):
     df = frame(spark, stacked(random.Random(10), 200))
     one, other = (sorted(map(tuple, clustering.one_to_one(df, o).collect())) for o in (Options(), replace(Options(), component_pairs=10)))
